@@ -123,8 +123,8 @@ def judged_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(high | (F.col("l_discount") >= 0.09), -1).otherwise(1).alias("pred_a"),
         F.when(price, -1).otherwise(1).alias("pred_b"),
         F.when(F.col("l_tax") > 0.05, -1).otherwise(1).alias("pred_c"),
-        F.round(F.col("l_quantity") * 0.02, 6).alias("score_a"),
-        F.round(F.col("l_extendedprice") / 120000.0, 6).alias("score_b"),
+        (F.col("l_quantity") / 50.0).alias("score_a"),
+        (F.col("l_extendedprice") / 120000.0).alias("score_b"),
         F.unix_micros(F.col("l_shipdate").cast("timestamp")).alias("ts_us"),
     )
 
@@ -135,7 +135,7 @@ judged AS (
     CASE WHEN l_quantity > 40 OR l_discount >= 0.09 THEN -1 ELSE 1 END AS pred_a,
     CASE WHEN l_extendedprice > 60000 THEN -1 ELSE 1 END AS pred_b,
     CASE WHEN l_tax > 0.05 THEN -1 ELSE 1 END AS pred_c,
-    round(l_quantity * 0.02, 6) AS score_a, round(l_extendedprice / 120000.0, 6) AS score_b,
+    l_quantity / 50.0 AS score_a, l_extendedprice / 120000.0 AS score_b,
     epoch_us(l_shipdate) AS ts_us
   FROM flow)"""
 

@@ -27,6 +27,7 @@ from floodmark.plans.staging import stage
 BLOCK_ROWS = 8192
 QUERY_ROWS = 8192
 MAX_PIVOTS = 256
+ROWS = "{id} long, v array<double>"
 METRICS = ("euclidean", "manhattan", "cosine", "mahalanobis", "hamming")
 
 
@@ -106,7 +107,7 @@ def _assign(df: DataFrame, pivots: np.ndarray, metric: str) -> DataFrame:
             cell = _all_distances(x, shared.value, metric).argmin(axis=1)
             yield batch.assign(cell=cell.astype("int32"), radius=_pair_distances(x, shared.value[cell], metric))
 
-    return df.mapInPandas(nearest, df.schema.add("cell", "int").add("radius", "double"))
+    return df.mapInPandas(nearest, f"{ROWS.format(id=df.columns[0])}, cell int, radius double")
 
 
 def _index(ref: DataFrame, k: int, metric: str, seed: int, block_rows: int) -> tuple[CellIndex, DataFrame]:
@@ -166,7 +167,7 @@ def _route(queries: DataFrame, index: CellIndex, k: int, metric: str, probes: in
                 chosen.append([int(c) for c in np.flatnonzero(near & filled)])
             yield batch.assign(cells=chosen)
 
-    return queries.mapInPandas(route, queries.schema.add("cells", "array<int>"))
+    return queries.mapInPandas(route, f"{ROWS.format(id=queries.columns[0])}, cells array<int>")
 
 
 def _prepare(df: DataFrame, vector: str, metric: str, whitening: np.ndarray | None) -> DataFrame:

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from floodmark.functions.scores import ANOMALY, NORMAL
 
@@ -99,7 +100,7 @@ def adaptive_threshold(
     The feedback makes each key sequential. Rows of a key stream through one task in time order as Arrow
     batches; the task holds one ring of ``size`` scores, never the whole key.
     """
-    schema = df.schema.add("threshold", "double").add("y_pred", "int")
+    schema = T.StructType([*df.schema.fields, T.StructField("threshold", T.DoubleType()), T.StructField("y_pred", T.IntegerType())])
     ordered = df.repartition(key).sortWithinPartitions(key, ts)
 
     def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
