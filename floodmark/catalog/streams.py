@@ -1 +1,110 @@
-"""Stub."""
+"""Streaming operators, run over everything available and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from floodmark.catalog.detectors import prepared
+from floodmark.catalog.joins import geo_blocks
+from floodmark.catalog.registry import query, rounded
+from floodmark.catalog.scans import event_stream, run_to_table
+from floodmark.catalog.standins import FLOW_FEATURES, REQ, flows, table
+from floodmark.catalog.windows import window_sql
+from floodmark.operators import cleaning, enrich, ensemble, splitting
+from floodmark.operators.detect import gmm, iforest, ocsvm
+from floodmark.plans.staging import scratch_path
+from floodmark.sources import sinks
+from floodmark.streaming import adaptive, pipeline
+
+_ENTROPY = """chars AS (SELECT row_id, unnest(string_split(path, '')) AS ch FROM req), c AS (SELECT row_id, ch, count(*)::DOUBLE AS n FROM chars GROUP BY ALL),
+e AS (SELECT row_id, round(-sum(n / length(path) * log2(n / length(path))), 6) AS path_entropy FROM c JOIN req USING (row_id) GROUP BY 1)"""
+
+
+@query("stream_features", f"""WITH w AS (SELECT max(c_custkey) // 25 + 1 AS width FROM customer),
+blocks AS (SELECT n_nationkey * width AS s, n_nationkey * width + width - 10 AS e, n_name AS country FROM nation, w), {REQ}, {_ENTROPY}
+SELECT req.row_id, country, CAST(hour(ts) AS INTEGER) AS hour, CAST(dayofweek(ts) AS INTEGER) AS day_of_week, CAST(length(path) AS INTEGER) AS path_length, path_entropy,
+  CAST(coalesce(contains(lower(user_agent), 'bot'), false) AS INTEGER) AS is_bot, CAST(status // 100 = 5 AS INTEGER) AS status_5xx
+FROM req JOIN e USING (row_id) LEFT JOIN blocks ON src BETWEEN s AND blocks.e""")
+def stream_features(spark, sf_dir):
+    featured = pipeline.stream_features(event_stream(spark, sf_dir))
+    located = enrich.geo_enrich(featured, geo_blocks(spark, sf_dir), "src", ["country"], width=64)
+    out = run_to_table(located, "stream-features")
+    return rounded(out.select("row_id", "country", "hour", "day_of_week", "path_length", "path_entropy", "is_bot", "status_5xx"))
+
+
+_CLOSED = "HAVING window_start_us + {us} <= (SELECT max(ts_us) - 600000000 FROM req)"
+
+
+@query("stream_windows", window_sql(10, 10, having=_CLOSED.format(us=10_000_000)))
+def stream_windows(spark, sf_dir):
+    return rounded(run_to_table(pipeline.stream_windows(event_stream(spark, sf_dir), 10), "stream-windows"))
+
+
+@query("stream_windows_sliding", window_sql(60, 10, having=_CLOSED.format(us=60_000_000)))
+def stream_windows_sliding(spark, sf_dir):
+    return rounded(run_to_table(pipeline.stream_windows(event_stream(spark, sf_dir), 60, 10), "stream-sliding"))
+
+
+@query("stream_dedup", "SELECT event_id AS row_id, count(*) AS n FROM events GROUP BY 1")
+def stream_dedup(spark, sf_dir):
+    resent = event_stream(spark, sf_dir).withColumn("attempt", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
+    once = run_to_table(pipeline.stream_dedup(resent, ["row_id"]), "stream-dedup")
+    return once.groupBy("row_id").agg(F.count("*").alias("n"))
+
+
+def flow_stream(spark, sf_dir):
+    schema = table(spark, sf_dir, "lineitem").schema
+    raw = spark.readStream.schema(schema).parquet(f"{sf_dir}/lineitem*.parquet")
+    key = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    return raw.select(
+        key.alias("row_id"), *FLOW_FEATURES, (F.col("l_returnflag") == "N").alias("verified_normal"), F.col("l_shipdate").cast("timestamp").alias("ts")
+    )
+
+
+@query("stream_score")
+def stream_score(spark, sf_dir):
+    train, _ = splitting.benign_split(flows(spark, sf_dir), "row_id")
+    scaler = cleaning.standard_scaler_fit(train, FLOW_FEATURES)
+    scaled = cleaning.standard_scaler_transform(train, scaler)
+    mixture = gmm.gmm_fit(scaled, FLOW_FEATURES)
+    low = gmm.gmm_threshold(scaled, mixture, 5.0).threshold
+    forest = iforest.iforest_fit(scaled, FLOW_FEATURES, "row_id", n_trees=20, psi=64)
+    path = scratch_path(spark, "anomalies")
+
+    def score(batch):
+        df = cleaning.standard_scaler_transform(batch, scaler)
+        df = gmm.gmm_score(df, mixture).withColumn("gmm_01", 1.0 / (1.0 + F.exp(F.col("score") - F.lit(low)))).drop("score")
+        df = iforest.iforest_score(df, forest).withColumnRenamed("score", "forest_01")
+        return df.withColumn("score", ensemble.weighted_score(["gmm_01", "forest_01"], [0.4, 0.6]))
+
+    def publish(df, batch_id):
+        sinks.with_date(df, "ts").select("row_id", "ts", "date", "score").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    pipeline.stream_score(flow_stream(spark, sf_dir), score, publish).awaitTermination()
+    return rounded(spark.read.parquet(path).select("row_id", "date", "score"))
+
+
+@query("ocsvm_online")
+def ocsvm_online(spark, sf_dir):
+    train, _ = prepared(spark, sf_dir)
+    model = ocsvm.ocsvm_fit(train, FLOW_FEATURES, rounds=1)
+    query_, current = pipeline.ocsvm_online(flow_stream(spark, sf_dir), model, scratch_path(spark, "online"))
+    query_.awaitTermination()
+    scored = ocsvm.ocsvm_predict(train, current())
+    return rounded(scored.agg(F.count("*").alias("n"), F.avg((F.col("y_pred") == -1).cast("double")).alias("outlier_share")), 3)
+
+
+@query("stream_adaptive_threshold")
+def stream_adaptive_threshold(spark, sf_dir):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    scores = event_stream(spark, sf_dir).select(F.col("event_type").alias("deployment"), "row_id", "ts_us", F.col("payload").alias("score"))
+    return rounded(run_to_table(adaptive.stream_adaptive_threshold(scores, "deployment", 150.0), "stream-adaptive"))
+
+
+@query("stream_alert", f"""WITH {REQ}, m AS (SELECT event_type AS deployment, ts_us // 60000000 AS minute, avg(payload) / 100 AS m FROM req GROUP BY 1, 2),
+w AS (SELECT deployment, minute - unnest(range(0, 2)) AS s, m FROM m), a AS (SELECT deployment, s, min(m) AS lowest, count(*) AS n FROM w GROUP BY 1, 2)
+SELECT deployment, s * 60000000 AS start_us, (s + 2) * 60000000 AS end_us, round(lowest, 6) AS lowest FROM a
+WHERE lowest > 0.2 AND n = 2 AND (s + 2) * 60000000 <= (SELECT max(ts_us) - 600000000 FROM req)""")
+def stream_alert(spark, sf_dir):
+    scores = event_stream(spark, sf_dir).select(F.col("event_type").alias("deployment"), "ts", (F.col("payload") / 100).alias("score"))
+    return rounded(run_to_table(pipeline.stream_alert(scores, limit=0.2, minutes=2), "stream-alert"))
