@@ -10,8 +10,7 @@ from floodmark.plans.quantiles import exact_quantile
 
 def percentile_threshold(df: DataFrame, percentile: float, score: str = "score", side: str = "high") -> float:
     """Cut-off that leaves ``percentile`` per cent of the scores on the normal side (linear interpolation)."""
-    share = percentile / 100.0
-    return exact_quantile(df, score, share if side == "high" else 1.0 - share)
+    return exact_quantile(df, score, (percentile if side == "high" else 100.0 - percentile) / 100.0)
 
 
 def apply_threshold(df: DataFrame, threshold: float, score: str = "score", side: str = "high") -> DataFrame:
