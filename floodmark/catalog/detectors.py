@@ -12,13 +12,18 @@ from floodmark.operators import cleaning, enrich, evaluation, splitting
 from floodmark.operators.detect import autoencoder, gmm, grid, iforest, neighbors, ocsvm, rules, thresholds
 from floodmark.operators.traffic import trailing_rate
 from floodmark.plans.ordering import below_fraction, order_hash
+from floodmark.plans.staging import stage
 
 TWO = ["l_quantity", "l_discount"]
 
 
 def prepared(spark, sf_dir):
-    """Split flows, impute, clip and scale on train statistics: (train, test), both with y."""
-    train, test = splitting.benign_split(flows(spark, sf_dir), "row_id")
+    """Split flows, impute, clip and scale on train statistics: (train, test), both with y.
+
+    The train part is written once: the statistics and fits read it many times.
+    """
+    train, test = splitting.benign_split(flows(spark, sf_dir).select("row_id", "label", *FLOW_FEATURES), "row_id")
+    train = stage(train, "train")
     medians = cleaning.median_fit(train, FLOW_FEATURES)
     filled = cleaning.median_fill(train, medians)
     limits = cleaning.clip_fit(filled, FLOW_FEATURES)

@@ -9,18 +9,18 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import GaussianMixture, KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from floodmark.functions.scores import flag_below
 from floodmark.operators.detect.thresholds import percentile_threshold
 from floodmark.plans.moments import mean_and_covariance, sum_vectors
+from floodmark.plans.sizing import file_partitions, spread
 from floodmark.plans.staging import staged
 
 RIDGE = 1e-6
-EXPRESSION_TERMS = 400
+START_ROWS = 5_000
+EXPRESSION_TERMS = 60
 
 
 @dataclass
@@ -51,19 +51,13 @@ def gmm_fit(df: DataFrame, columns: list[str], k: int = 1, max_iter: int = 100,
     if k == 1:
         _, mean, cov = mean_and_covariance(df, columns)
         return mixture_model(columns, [1.0], [mean], [cov + RIDGE * np.eye(len(columns))])
-    vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(df).select("features")
-    with staged(vectors, "gmm") as table:
-        fits = [
-            GaussianMixture(k=k, maxIter=max_iter, tol=1e-3, seed=seed + i).fit(table) for i in range(n_init)
-        ]
-        best = max(fits, key=lambda m: m.summary.logLikelihood)
-        parts = best.gaussiansDF.collect()
-    ridge = RIDGE * np.eye(len(columns))
-    return mixture_model(columns, best.weights, [p["mean"].toArray() for p in parts], [p["cov"].toArray() + ridge for p in parts])
+    with staged(spread(df.select(*columns)), "gmm") as table:
+        fits = [em_fit(table, columns, k, "full", max_iter, seed=seed + i) for i in range(n_init)]
+    return max(fits, key=lambda fit: fit[1])[0]
 
 
 def log_density(model: MixtureModel) -> Column:
-    """Log density of a row as one JVM expression; for models of up to a few hundred terms."""
+    """Log density of a row as one JVM expression; for models of a few dozen terms."""
     logs = []
     for mean, white, norm in zip(model.means, model.whitening, model.log_norm):
         shifted = [F.col(c) - F.lit(m) for c, m in zip(model.columns, mean)]
@@ -137,11 +131,59 @@ def _m_step(kind: str, weight: np.ndarray, first: np.ndarray, second: np.ndarray
     return weight / weight.sum(), means, covs + RIDGE * np.eye(d)
 
 
+def _e_step(x: np.ndarray, model: MixtureModel, centre: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+    """Log likelihood and summed responsibilities, weighted rows and weighted outer products around ``centre``."""
+    parts = _log_components(x, model)
+    logs = _log_sum(parts)
+    share = np.exp(parts - logs[:, None])
+    z = x - centre
+    second = np.stack([(z * s[:, None]).T @ z for s in share.T])
+    return float(logs.sum()), share.sum(axis=0), share.T @ z, second
+
+
+def _seed_means(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means with spread-out starts on a sample."""
+    means = x[rng.integers(len(x))][None]
+    while len(means) < k:
+        gap = np.square(x[:, None] - means).sum(axis=2).min(axis=1)
+        odds = gap / gap.sum() if gap.sum() > 0 else None
+        means = np.vstack([means, x[rng.choice(len(x), p=odds)]])
+    for _ in range(20):
+        nearest = np.square(x[:, None] - means).sum(axis=2).argmin(axis=1)
+        means = np.stack([x[nearest == c].mean(axis=0) if (nearest == c).any() else means[c] for c in range(k)])
+    return means
+
+
+def _warm_start(df: DataFrame, columns: list[str], n: int, centre: np.ndarray, cov: np.ndarray, k: int, kind: str, max_iter: int, tol: float, seed: int) -> MixtureModel:
+    """EM on a bounded random sample inside one task: a start that saves most passes over the whole table."""
+    d = len(columns)
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [b.to_numpy(dtype=float) for b in batches]
+        x = np.concatenate(rows) if rows else np.zeros((0, d))
+        weights, means, covs = np.full(k, 1.0 / k), np.tile(centre, (k, 1)), np.tile(cov / k + RIDGE * np.eye(d), (k, 1, 1))
+        if len(x) >= k:
+            means, previous = _seed_means(x, k, np.random.default_rng(seed)), -math.inf
+            for _ in range(max_iter):
+                likelihood, weight, first, second = _e_step(x, mixture_model(columns, weights, means, covs), centre)
+                weights, means, covs = _m_step(kind, weight, first, second)
+                means = means + centre
+                if abs(likelihood - previous) / len(x) < tol:
+                    break
+                previous = likelihood
+        yield pd.DataFrame({"s": [np.concatenate([weights, means.ravel(), covs.ravel()])]})
+
+    sample = df.select(*columns).filter(F.rand(seed) < min(1.0, START_ROWS / max(n, 1)))
+    flat = sum_vectors(sample.repartition(1).mapInPandas(fit, "s array<double>"), "s", k * (1 + d + d * d))
+    return mixture_model(columns, flat[:k], flat[k : k + k * d].reshape(k, d), flat[k + k * d :].reshape(k, d, d))
+
+
 def em_fit(df: DataFrame, columns: list[str], k: int, kind: str = "full", max_iter: int = 100, tol: float = 1e-3, seed: int = 42) -> tuple[MixtureModel, float, int]:
     """Distributed EM for any covariance shape: (model, total log likelihood, rows).
 
-    Each pass runs the E-step per partition and sums the sufficient statistics; starts come from k-means.
-    Values are shifted by the column means so that the second moments stay accurate.
+    ``df`` should be a staged table. Each pass runs the E-step per partition and sums the sufficient
+    statistics, shifted by the column means so that the second moments stay accurate. Passes go on until
+    the mean log likelihood of all rows changes by less than ``tol``.
     """
     d = len(columns)
     n, centre, cov = mean_and_covariance(df, columns)
@@ -150,37 +192,26 @@ def em_fit(df: DataFrame, columns: list[str], k: int, kind: str = "full", max_it
         model = mixture_model(columns, [1.0], [centre], [full + RIDGE * np.eye(d)])
         return model, gmm_score(df, model).agg(F.sum("score")).first()[0], n
 
-    assembled = VectorAssembler(inputCols=columns, outputCol="features").transform(df)
-    starts = np.array(KMeans(k=k, seed=seed, featuresCol="features").fit(assembled).clusterCenters())
-    model = mixture_model(columns, [1.0 / k] * k, starts, [cov / k + RIDGE * np.eye(d)] * k)
-    previous = -math.inf
+    model = _warm_start(df, columns, n, centre, cov, k, kind, max_iter, tol, seed)
+    previous, numbers = -math.inf, file_partitions(df) * (1 + k + k * d + k * d * d)
     for _ in range(max_iter):
         shared = df.sparkSession.sparkContext.broadcast(model)
 
         def e_step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            current = shared.value
-            weight, first, second, total = np.zeros(k), np.zeros((k, d)), np.zeros((k, d, d)), 0.0
+            total, weight, first, second = 0.0, np.zeros(k), np.zeros((k, d)), np.zeros((k, d, d))
             for batch in batches:
-                x = batch.to_numpy(dtype=float)
-                parts = _log_components(x, current)
-                logs = _log_sum(parts)
-                share = np.exp(parts - logs[:, None])
-                z = x - centre
-                total += logs.sum()
-                weight += share.sum(axis=0)
-                first += share.T @ z
-                second += np.einsum("nk,ni,nj->kij", share, z, z, optimize=True)
+                likelihood, w, f, s = _e_step(batch.to_numpy(dtype=float), shared.value, centre)
+                total, weight, first, second = total + likelihood, weight + w, first + f, second + s
             yield pd.DataFrame({"s": [np.concatenate([[total], weight, first.ravel(), second.ravel()])]})
 
-        sums = sum_vectors(df.select(*columns).mapInPandas(e_step, "s array<double>"), "s")
+        sums = sum_vectors(df.select(*columns).mapInPandas(e_step, "s array<double>"), "s", numbers)
         shared.unpersist()
         likelihood = float(sums[0])
-        weight, first = sums[1 : 1 + k], sums[1 + k : 1 + k + k * d].reshape(k, d)
-        second = sums[1 + k + k * d :].reshape(k, d, d)
         if abs(likelihood - previous) / n < tol:
             break
         previous = likelihood
-        shares, means, covs = _m_step(kind, weight, first, second)
+        weight, first = sums[1 : 1 + k], sums[1 + k : 1 + k + k * d].reshape(k, d)
+        shares, means, covs = _m_step(kind, weight, first, sums[1 + k + k * d :].reshape(k, d, d))
         model = mixture_model(columns, shares, means + centre, covs)
     return model, likelihood, n
 
@@ -188,7 +219,7 @@ def em_fit(df: DataFrame, columns: list[str], k: int, kind: str = "full", max_it
 def gmm_select(df: DataFrame, columns: list[str], k_range=range(1, 10), kinds=("full", "tied", "diag", "spherical"), max_iter: int = 100) -> tuple[MixtureModel, DataFrame]:
     """Fit every (k, covariance shape) and keep the lowest BIC; also returns the table of fits."""
     rows, best = [], None
-    with staged(df.select(*columns), "gmm-select") as table:
+    with staged(spread(df.select(*columns)), "gmm-select") as table:
         for kind in kinds:
             for k in k_range:
                 model, likelihood, n = em_fit(table, columns, k, kind, max_iter)

@@ -1,9 +1,10 @@
-"""Nearest neighbours by pivot cells.
+"""Nearest neighbours.
 
-Reference rows are grouped around hash-drawn pivots; the triangle inequality tells which cells can hold a
-neighbour of a query, and only those are compared. Cells are cut into bounded blocks and the queries of a
-cell into bounded groups, so a cell of duplicates or a hot cell is spread over many tasks. Each
-(block, query group) yields only its k best rows per query.
+A reference side of proven small size is broadcast. A bigger one is grouped around hash-drawn pivots into
+cells: a query first meets its own cell, which bounds the distance of its k-th neighbour, and then only the
+cells that can hold a nearer row by the triangle inequality. Cells are cut into bounded blocks and the
+queries of a cell into bounded groups, so a cell of duplicates or a hot cell is spread over many tasks.
+Each (block, query group) yields at most the k best rows per query.
 """
 
 from __future__ import annotations
@@ -21,13 +22,14 @@ from floodmark.functions.scores import flag_above
 from floodmark.operators.detect.thresholds import percentile_threshold
 from floodmark.plans.moments import mean_and_covariance
 from floodmark.plans.ordering import order_hash, take_in_hash_order
-from floodmark.plans.sizing import skew_join
+from floodmark.plans.sizing import skew_join, spread
 from floodmark.plans.staging import stage
 
 BLOCK_ROWS = 8192
 QUERY_ROWS = 8192
+BROADCAST_VALUES = 4_000_000
 MAX_PIVOTS = 256
-ROWS = "{id} long, v array<double>"
+MAX_TASKS = 20_000
 METRICS = ("euclidean", "manhattan", "cosine", "mahalanobis", "hamming")
 
 
@@ -52,43 +54,52 @@ def _all_distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
     return np.sqrt(np.maximum(squared, 0.0))
 
 
-def top_k(queries: np.ndarray, refs: np.ndarray, ref_ids: np.ndarray, own: np.ndarray | None, k: int, metric: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query position, ids, distances) of the k nearest references, ties by id.
+def top_k(
+    queries: np.ndarray, refs: np.ndarray, ref_ids: np.ndarray, k: int, metric: str, own: np.ndarray | None = None, reach: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(query position, reference id, distance, rank) of the k nearest references within reach, ties by id.
 
     Candidates come from a fast matrix product with a safety margin and are measured again exactly.
     """
-    scale = np.sqrt(np.square(refs).sum(axis=1).max(initial=0.0))
-    step = max(1, 8_000_000 // max(1, len(refs)))
+    squares = metric not in ("manhattan", "hamming")
+    ref_squares = np.square(refs).sum(axis=1) if squares else None
+    step = max(1, 4_000_000 // max(1, len(refs)))
+    parts = []
     for start in range(0, len(queries), step):
         q = queries[start : start + step]
-        rough = _all_distances(q, refs, metric)
+        if squares:
+            q_squares = np.square(q).sum(axis=1)
+            rough = q @ (-2.0 * refs.T)
+            rough += ref_squares
+            rough += q_squares[:, None]
+            margin = 1e-9 * (1.0 + q_squares + ref_squares.max())
+        else:
+            rough = _all_distances(q, refs, metric)
+            margin = np.full(len(q), 1e-9)
         if own is not None:
             rough[own[start : start + step, None] == ref_ids[None, :]] = np.inf
-        if len(refs) > k:
-            kth = np.partition(rough, k - 1, axis=1)[:, k - 1]
-        else:
-            kth = np.full(len(q), np.inf)
-        margin = 1e-7 * (1.0 + scale + np.sqrt(np.square(q).sum(axis=1)))
-        rows, cols = np.nonzero((rough <= (kth + margin)[:, None]) & np.isfinite(rough))
+        limit = np.partition(rough, k - 1, axis=1)[:, k - 1] if len(refs) > k else np.full(len(q), np.inf)
+        if reach is not None:
+            bound = reach[start : start + step]
+            limit = np.minimum(limit, np.square(bound) if squares else bound)
+        rows, cols = np.nonzero(rough <= np.minimum(limit + margin, 1e300)[:, None])
         exact = _pair_distances(q[rows], refs[cols], metric)
         order = np.lexsort((ref_ids[cols], exact, rows))
         rows, cols, exact = rows[order], cols[order], exact[order]
-        bounds = np.searchsorted(rows, np.arange(len(q) + 1))
-        for i in range(len(q)):
-            a, b = bounds[i], min(bounds[i] + k, bounds[i + 1])
-            if b > a:
-                yield start + i, ref_ids[cols[a:b]], exact[a:b]
+        rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        keep = rank < k
+        parts.append((rows[keep] + start, ref_ids[cols[keep]], exact[keep], rank[keep] + 1))
+    return tuple(np.concatenate(x) for x in zip(*parts))
 
 
 @dataclass
 class CellIndex:
-    """Bounded summary of the reference side: pivots and per-cell counts, radii and nearest distances."""
+    """Bounded summary of the reference side: pivots and per-cell counts, radii and block counts."""
 
     pivots: np.ndarray
     counts: np.ndarray
     low: np.ndarray
     high: np.ndarray
-    nearest: list[list[float]]
     slots: np.ndarray
 
 
@@ -107,32 +118,25 @@ def _assign(df: DataFrame, pivots: np.ndarray, metric: str) -> DataFrame:
             cell = _all_distances(x, shared.value, metric).argmin(axis=1)
             yield batch.assign(cell=cell.astype("int32"), radius=_pair_distances(x, shared.value[cell], metric))
 
-    return df.mapInPandas(nearest, f"{ROWS.format(id=df.columns[0])}, cell int, radius double")
+    return df.mapInPandas(nearest, "r_id long, v array<double>, cell int, radius double")
 
 
-def _index(ref: DataFrame, k: int, metric: str, seed: int, block_rows: int) -> tuple[CellIndex, DataFrame]:
-    n = ref.count()
+def _index(ref: DataFrame, n: int, metric: str, seed: int, block_rows: int) -> tuple[CellIndex, DataFrame]:
     wanted = int(min(MAX_PIVOTS, max(1, math.isqrt(n) // 8)))
-    drawn = take_in_hash_order(ref, order_hash(seed, "r_id"), wanted).select("v").collect()
-    pivots = np.unique(_matrix(pd.Series([r["v"] for r in drawn])), axis=0)
+    sample = take_in_hash_order(ref, order_hash(seed, "r_id"), wanted).select("v").collect()
+    pivots = np.unique(_matrix(pd.Series([r["v"] for r in sample])), axis=0)
     cells = stage(_assign(ref, pivots, metric), "cells")
     stats = {
         r["cell"]: r
         for r in cells.groupBy("cell").agg(F.count("*").alias("n"), F.min("radius").alias("lo"), F.max("radius").alias("hi")).collect()
     }
-    ranked = F.row_number().over(Window.partitionBy("cell").orderBy("radius"))
-    close = cells.select("cell", "radius").withColumn("_r", ranked).filter(F.col("_r") <= k).collect()
-    nearest: list[list[float]] = [[] for _ in pivots]
-    for r in close:
-        nearest[r["cell"]].append(r["radius"])
-    m = range(len(pivots))
-    counts = np.array([stats[c]["n"] if c in stats else 0 for c in m])
+    every = range(len(pivots))
+    counts = np.array([stats[c]["n"] if c in stats else 0 for c in every])
     index = CellIndex(
         pivots,
         counts,
-        np.array([stats[c]["lo"] if c in stats else np.inf for c in m]),
-        np.array([stats[c]["hi"] if c in stats else -np.inf for c in m]),
-        [sorted(x) for x in nearest],
+        np.array([stats[c]["lo"] if c in stats else np.inf for c in every]),
+        np.array([stats[c]["hi"] if c in stats else -np.inf for c in every]),
         np.maximum(1, -(-counts // block_rows)),
     )
     slots = F.array(*[F.lit(int(s)) for s in index.slots])
@@ -140,34 +144,95 @@ def _index(ref: DataFrame, k: int, metric: str, seed: int, block_rows: int) -> t
     return index, cells.select("r_id", "v", "cell", slot.alias("slot"))
 
 
-def _route(queries: DataFrame, index: CellIndex, k: int, metric: str, probes: int | None) -> DataFrame:
-    """Add ``cells``: the cells that may hold one of the k nearest rows (or the ``probes`` closest ones)."""
+def _route_closest(queries: DataFrame, index: CellIndex, k: int, metric: str, probes: int) -> DataFrame:
+    """Add ``cells``: the ``probes`` closest cells, more where they hold fewer than k rows."""
     shared = queries.sparkSession.sparkContext.broadcast(index)
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ix = shared.value
-        filled = ix.counts > 0
         for batch in batches:
             if not len(batch):
                 continue
             d = _all_distances(_matrix(batch["v"]), ix.pivots, metric)
-            chosen = []
-            for row in d:
-                closest = np.argsort(row)
-                if probes is not None:
-                    held = np.cumsum(ix.counts[closest])
-                    need = max(probes, int(np.searchsorted(held, min(k, held[-1]))) + 1)
-                    picked = closest[:need]
-                    chosen.append([int(c) for c in picked if filled[c]])
-                    continue
-                bounds = np.concatenate([row[c] + np.asarray(ix.nearest[c]) for c in closest[:8]])
-                reach = np.partition(bounds, k - 1)[k - 1] if len(bounds) >= k else np.inf
-                reach += 1e-6 * (1.0 + row.max() + (reach if np.isfinite(reach) else 0.0))
-                near = (row - ix.high <= reach) & (ix.low - row <= reach) & ((row - row.min()) / 2.0 <= reach)
-                chosen.append([int(c) for c in np.flatnonzero(near & filled)])
-            yield batch.assign(cells=chosen)
-
-    return queries.mapInPandas(route, f"{ROWS.format(id=queries.columns[0])}, cells array<int>")
+            d[:, ix.counts == 0] = np.inf
+            closest = np.argsort(d, axis=1)
+            held = np.cumsum(ix.counts[closest], axis=1)
+            enough = (held < min(k, int(ix.counts.sum()))).sum(axis=1) + 1
+            need = np.minimum(np.maximum(probes, enough), int((ix.counts > 0).sum()))
+            yield batch.assign(cells=[c[:m].tolist() for c, m in zip(closest, need)])
+
+    return queries.mapInPandas(route, "q_id long, v array<double>, cells array<int>")
+
+
+def _route_within(bounded: DataFrame, index: CellIndex, metric: str) -> DataFrame:
+    """Replace ``cells`` (already searched) by the other cells that may hold a row within ``reach``."""
+    shared = bounded.sparkSession.sparkContext.broadcast(index)
+
+    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ix = shared.value
+        for batch in batches:
+            if not len(batch):
+                continue
+            d = _all_distances(_matrix(batch["v"]), ix.pivots, metric)
+            reach = batch["reach"].to_numpy(dtype=float)
+            slack = (reach + 1e-6 * (1.0 + d.max(axis=1) + np.where(np.isfinite(reach), reach, 0.0)))[:, None]
+            near = (d - ix.high <= slack) & (ix.low - d <= slack) & ((d - d.min(axis=1)[:, None]) / 2.0 <= slack)
+            near &= ix.counts > 0
+            for i, seen in enumerate(batch["cells"]):
+                near[i, np.asarray(seen, dtype=int)] = False
+            yield batch.assign(cells=[np.flatnonzero(row).tolist() for row in near])
+
+    return bounded.mapInPandas(route, "q_id long, v array<double>, cells array<int>, reach double")
+
+
+def _compare_blocks(
+    routed: DataFrame, blocks: DataFrame, index: CellIndex, k: int, metric: str, exclude_self: bool, query_rows: int
+) -> DataFrame:
+    """The k best rows of each (query, block) among the routed pairs: (q_id, n_id, dist)."""
+    asked = routed.withColumn("cell", F.explode("cells")).drop("cells")
+    # the queries of a cell are cut into groups, its reference blocks repeated once per group
+    load = {r["cell"]: r["count"] for r in asked.groupBy("cell").count().collect()}
+    per_cell = [max(1, -(-load.get(c, 0) // query_rows)) for c in range(len(index.counts))]
+    groups = F.array(*map(F.lit, per_cell))
+    slots = F.array(*[F.lit(int(s)) for s in index.slots])
+    asked = asked.withColumn("grp", F.pmod(F.xxhash64("q_id"), F.get(groups, F.col("cell"))).cast("int"))
+    asked = asked.withColumn("slot", F.explode(F.sequence(F.lit(0), F.get(slots, F.col("cell")) - 1)))
+    offered = blocks.withColumn("grp", F.explode(F.sequence(F.lit(0), F.get(groups, F.col("cell")) - 1)))
+    bounded = "reach" in routed.columns
+
+    def compare(asking: pd.DataFrame, offering: pd.DataFrame) -> pd.DataFrame:
+        if not len(asking) or not len(offering):
+            return pd.DataFrame({"q_id": [], "n_id": [], "dist": []})
+        ids = asking["q_id"].to_numpy()
+        q, n, dist, _ = top_k(
+            _matrix(asking["v"]), _matrix(offering["v"]), offering["r_id"].to_numpy(), k, metric,
+            ids if exclude_self else None, asking["reach"].to_numpy(dtype=float) if bounded else None,
+        )
+        return pd.DataFrame({"q_id": ids[q], "n_id": n, "dist": dist})
+
+    # few bytes but much work per group: a fixed number of partitions is not merged by AQE
+    keys = ["cell", "slot", "grp"]
+    pairs = int(sum(g * s for g, s in zip(per_cell, index.slots)))
+    tasks = max(routed.sparkSession.sparkContext.defaultParallelism, min(pairs, MAX_TASKS))
+    asked, offered = asked.repartition(tasks, *keys), offered.repartition(tasks, *keys)
+    return asked.groupBy(*keys).cogroup(offered.groupBy(*keys)).applyInPandas(compare, "q_id long, n_id long, dist double")
+
+
+def _broadcast_neighbours(queries: DataFrame, ref: DataFrame, k: int, metric: str, exclude_self: bool) -> DataFrame:
+    """Compare every query with a reference side whose size was checked; no shuffle."""
+    rows = ref.toPandas()
+    shared = queries.sparkSession.sparkContext.broadcast((rows["r_id"].to_numpy(), _matrix(rows["v"])))
+
+    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, refs = shared.value
+        for batch in batches:
+            if not len(batch) or not len(ids):
+                continue
+            own = batch["q_id"].to_numpy()
+            q, n, dist, rank = top_k(_matrix(batch["v"]), refs, ids, k, metric, own if exclude_self else None)
+            yield pd.DataFrame({"q_id": own[q], "n_id": n, "dist": dist, "rank": rank.astype("int32")})
+
+    return spread(queries).mapInPandas(nearest, "q_id long, n_id long, dist double, rank int")
 
 
 def _prepare(df: DataFrame, vector: str, metric: str, whitening: np.ndarray | None) -> DataFrame:
@@ -194,6 +259,7 @@ def knn_join(
     seed: int = 42,
     block_rows: int = BLOCK_ROWS,
     query_rows: int = QUERY_ROWS,
+    broadcast_values: int = BROADCAST_VALUES,
 ) -> DataFrame:
     """k nearest reference rows per query: (q_id, n_id, dist, rank); ties by id.
 
@@ -209,37 +275,28 @@ def knn_join(
         _, _, cov = mean_and_covariance(wide, wide.columns)
         whitening = np.linalg.inv(np.linalg.cholesky(cov + 1e-12 * np.eye(d)))
     inner = "euclidean" if metric in ("cosine", "mahalanobis") else metric
-    reach = k + 1 if exclude_self else k
-    right = stage(_prepare(ref, vector, metric, whitening).select(F.col(r_id).cast("long").alias("r_id"), "v"), "knn-ref")
+    right = _prepare(ref, vector, metric, whitening).select(F.col(r_id).cast("long").alias("r_id"), "v")
     left = _prepare(queries, vector, metric, whitening).select(F.col(q_id).cast("long").alias("q_id"), "v")
-    index, blocks = _index(right, reach, inner, seed, block_rows)
-    routed = stage(_route(left, index, reach, inner, probes), "knn-route")
-    routed = routed.withColumn("cell", F.explode("cells")).drop("cells")
-
-    # the queries of a cell are cut into groups, its reference blocks repeated once per group
-    load = {r["cell"]: r["count"] for r in routed.groupBy("cell").count().collect()}
-    groups = F.array(*[F.lit(max(1, -(-load.get(c, 0) // query_rows))) for c in range(len(index.counts))])
-    slots = F.array(*[F.lit(int(s)) for s in index.slots])
-    routed = routed.withColumn("grp", F.pmod(F.xxhash64("q_id"), F.get(groups, F.col("cell"))).cast("int"))
-    asked = routed.withColumn("slot", F.explode(F.sequence(F.lit(0), F.get(slots, F.col("cell")) - 1)))
-    offered = blocks.withColumn("grp", F.explode(F.sequence(F.lit(0), F.get(groups, F.col("cell")) - 1)))
-
-    def compare(asking: pd.DataFrame, offering: pd.DataFrame) -> pd.DataFrame:
-        if not len(asking) or not len(offering):
-            return pd.DataFrame({"q_id": [], "n_id": [], "dist": []})
-        ids = asking["q_id"].to_numpy()
-        hits = top_k(_matrix(asking["v"]), _matrix(offering["v"]), offering["r_id"].to_numpy(), ids if exclude_self else None, k, inner)
-        parts = [(np.full(len(n), ids[i]), n, dist) for i, n, dist in hits]
-        if not parts:
-            return pd.DataFrame({"q_id": [], "n_id": [], "dist": []})
-        q, n, dist = (np.concatenate(x) for x in zip(*parts))
-        return pd.DataFrame({"q_id": q, "n_id": n, "dist": dist})
-
-    keys = ["cell", "slot", "grp"]
-    found = asked.groupBy(*keys).cogroup(offered.groupBy(*keys)).applyInPandas(compare, "q_id long, n_id long, dist double")
-    # distances of equal pairs may differ in the last bits between blocks; compare them at 12 digits
-    best = Window.partitionBy("q_id").orderBy(F.round("dist", 12), "n_id")
-    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    size = right.agg(F.count("*").alias("n"), F.sum(F.size("v")).alias("values")).first()
+    if probes is None and (size["values"] or 0) <= broadcast_values:
+        ranked = _broadcast_neighbours(left, right, k, inner, exclude_self)
+    else:
+        right = stage(right, "knn-ref")
+        needed = k + 1 if exclude_self else k
+        index, blocks = _index(right, size["n"], inner, seed, block_rows)
+        routed = stage(_route_closest(left, index, needed, inner, probes or 1), "knn-route")
+        found = _compare_blocks(routed, blocks, index, k, inner, exclude_self, query_rows)
+        if probes is None:
+            found = stage(found, "knn-home")
+            best = Window.partitionBy("q_id").orderBy("dist", "n_id")
+            kth = found.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") == k)
+            bounded = routed.join(kth.select("q_id", F.col("dist").alias("reach")), "q_id", "left")
+            bounded = bounded.withColumn("reach", F.coalesce("reach", F.lit(float("inf"))))
+            further = stage(_route_within(bounded, index, inner).filter(F.size("cells") > 0), "knn-further")
+            found = found.unionByName(_compare_blocks(further, blocks, index, k, inner, exclude_self, query_rows))
+        # distances of equal pairs may differ in the last bits between blocks; compare them at 12 digits
+        best = Window.partitionBy("q_id").orderBy(F.round("dist", 12), "n_id")
+        ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     dist = F.col("dist") * F.col("dist") / 2.0 if metric == "cosine" else F.col("dist")
     return ranked.select(F.col("q_id").alias(q_id), "n_id", dist.alias("dist"), "rank")
 

@@ -12,11 +12,11 @@ from floodmark.functions.scores import ANOMALY, NORMAL, flag_above
 from floodmark.operators.profiling import is_benign
 from floodmark.plans.ordering import (
     below_fraction,
+    drawn,
     fraction_bound,
     grouped_hash_rank,
-    hash_cut,
+    hash_cuts,
     order_hash,
-    take_in_hash_order,
 )
 
 WEEK_US = 7 * 86_400_000_000
@@ -33,10 +33,9 @@ def benign_split(
     hashed, benign = order_hash(seed, row_id), is_benign(label)
     held_out = below_fraction(hashed, test_fraction)
     if exact:
-        rows = df.filter(benign)
-        n_test = math.ceil(round(test_fraction * rows.count(), 6))
-        cut = hash_cut(rows.select(hashed.alias("h")), n_test) if n_test else ""
-        held_out = hashed <= F.lit(cut)
+        share = {"test": F.when(benign, hashed)}
+        cuts = hash_cuts(df, share, lambda n: {"test": math.ceil(round(test_fraction * n["test"], 6))})
+        held_out = drawn(hashed, cuts["test"])
     return df.filter(benign & ~held_out), df.filter(~benign | held_out)
 
 
@@ -57,12 +56,9 @@ def balanced_sample(
 ) -> DataFrame:
     """``n`` benign and ``n`` other rows without replacement; n shrinks to the smaller class."""
     benign, hashed = is_benign(label), order_hash(seed, row_id)
-    sizes = df.agg(F.count_if(benign), F.count_if(~benign)).first()
-    n = min(n, *sizes)
-    if n == 0:
-        return df.limit(0)
-    cuts = [hash_cut(df.filter(side).select(hashed.alias("h")), n) for side in (benign, ~benign)]
-    picked = df.filter((benign & (hashed <= F.lit(cuts[0]))) | (~benign & (hashed <= F.lit(cuts[1]))))
+    sides = {"benign": F.when(benign, hashed), "other": F.when(~benign, hashed)}
+    cuts = hash_cuts(df, sides, lambda sizes: dict.fromkeys(sizes, min(n, *sizes.values())))
+    picked = df.filter((benign & drawn(hashed, cuts["benign"])) | (~benign & drawn(hashed, cuts["other"])))
     return picked.orderBy(row_id) if ordered else picked
 
 
@@ -85,24 +81,24 @@ def contaminated_split(df: DataFrame, row_id: str, label: str = "label", seed: i
     )
     attack_side = F.when(eight < fraction_bound(0.5), "validation").otherwise("test")
     tagged = df.withColumn("part", F.when(benign, normal_part).otherwise(attack_side))
-    sizes = tagged.filter(benign).groupBy("part").count().collect()
-    quota = {r["part"]: r["count"] // 9 for r in sizes}
+    parts = ("validation", "test")
+    in_part = {p: F.col("part") == p for p in parts}
+    draws = {f"normal {p}": F.when(benign & in_part[p], hashed) for p in parts}
+    draws |= {p: F.when(~benign & in_part[p], hashed) for p in parts}
+    cuts = hash_cuts(tagged, draws, lambda n: {p: n[f"normal {p}"] // 9 for p in parts} | {f"normal {p}": 0 for p in parts})
     keep = benign
-    for part in ("validation", "test"):
-        attacks = tagged.filter(~benign & (F.col("part") == part)).select(hashed.alias("h"))
-        n = quota.get(part, 0)
-        cut = hash_cut(attacks, n) if n else ""
-        inside = F.lit(True) if cut is None else hashed <= F.lit(cut)
-        keep = keep | (~benign & (F.col("part") == part) & inside)
+    for p in parts:
+        keep = keep | (~benign & in_part[p] & drawn(hashed, cuts[p]))
     return tagged.filter(keep)
 
 
 def review_sample(scored: DataFrame, row_id: str, n_anomalies: int = 500, n_normals: int = 500, seed: int = 42) -> DataFrame:
     """Rows for hand labelling: predicted anomalies and predicted normals in hash order."""
-    hashed = order_hash(seed, row_id)
-    flagged = take_in_hash_order(scored.filter(F.col("y_pred") == ANOMALY), hashed, n_anomalies)
-    passed = take_in_hash_order(scored.filter(F.col("y_pred") == NORMAL), hashed, n_normals)
-    return flagged.unionByName(passed)
+    hashed, wanted = order_hash(seed, row_id), {ANOMALY: n_anomalies, NORMAL: n_normals}
+    draws = {str(side): F.when(F.col("y_pred") == side, hashed) for side in wanted}
+    cuts = hash_cuts(scored, draws, lambda _: {str(side): n for side, n in wanted.items()})
+    keep = [(F.col("y_pred") == side) & drawn(hashed, cuts[str(side)]) for side in wanted]
+    return scored.filter(keep[0] | keep[1])
 
 
 def hybrid_route(
@@ -137,15 +133,11 @@ def inject_anomalies(
 
     Parts may overlap and are applied in this order. Adds ``injected`` (0/1) and one flag per kind.
     """
-    stats = df.agg(F.count("*").alias("n"), *[F.max(c).alias(c) for c in columns]).first()
-    part = int(stats["n"] * ratio) // 3
+    stats = df.agg(*[F.max(c).alias(c) for c in columns]).first()
     d = len(columns)
-    flags = {}
-    for kind in ("noise", "swap", "extreme"):
-        hashed = order_hash(f"{seed}-{kind}", row_id)
-        cut = hash_cut(df.select(hashed.alias("h")), part) if part else ""
-        flags[kind] = F.lit(True) if cut is None else hashed <= F.lit(cut)
-    out = df.withColumns({f"is_{kind}": condition.cast("int") for kind, condition in flags.items()})
+    hashes = {kind: order_hash(f"{seed}-{kind}", row_id) for kind in ("noise", "swap", "extreme")}
+    cuts = hash_cuts(df, hashes, lambda n: {kind: int(rows * ratio) // 3 for kind, rows in n.items()})
+    out = df.withColumns({f"is_{kind}": drawn(h, cuts[kind]).cast("int") for kind, h in hashes.items()})
 
     def gaussian(c: str) -> Column:
         radius = F.sqrt(-2.0 * F.log(_uniform(f"{seed}-u-{c}", row_id)))

@@ -7,11 +7,17 @@ the table and no single-task limit is needed.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from floodmark.plans.sizing import spread
+
 DIGITS = 3
 RESOLVE_ROWS = 10_000
+RANK_ROWS = 1_000_000
 
 
 def order_hash(seed: int | str, row_id: Column | str) -> Column:
@@ -28,56 +34,86 @@ def below_fraction(hashed: Column, fraction: float) -> Column:
     return F.substring(hashed, 1, 8) < F.lit(fraction_bound(fraction))
 
 
-def hash_cut(hashes: DataFrame, n: int) -> str | None:
-    """The ``n``-th smallest value of the single column of ``hashes``; None when there are fewer rows.
+def hash_cuts(
+    df: DataFrame, draws: dict[str, Column], sizes: Callable[[dict[str, int]], dict[str, int]]
+) -> dict[str, str | None]:
+    """For several draws at once: the hash of the last drawn row, "" to draw none, None to draw all.
 
-    Each pass counts rows per prefix (at most 16**3 counters) and descends into the prefix holding the
-    cut, until so few rows share it that they can be sorted.
+    A draw is a hash column, null where the row does not take part. ``sizes`` maps the number of rows of
+    each draw to the number wanted. One pass counts rows per prefix (at most 16**3 counters per draw);
+    further passes descend into the prefixes holding the cuts until few rows share them.
     """
-    col = F.col(hashes.columns[0])
-    prefix, rank = "", n
-    while True:
-        width = len(prefix) + DIGITS
-        counts = (
-            hashes.filter(col.startswith(prefix))
-            .groupBy(F.substring(col, 1, width).alias("p"))
-            .count()
-            .orderBy("p")
-            .collect()
-        )
-        inside = None
-        for row in counts:
-            if rank <= row["count"]:
-                prefix, inside = row["p"], row["count"]
-                break
-            rank -= row["count"]
-        if inside is None:
-            return None
-        if inside <= RESOLVE_ROWS:
-            cut = hashes.filter(col.startswith(prefix)).agg(
-                F.element_at(F.sort_array(F.collect_list(col)), rank).alias("h")
-            )
-            return cut.first()["h"]
-        if len(prefix) >= 32:
-            return prefix
+    names = list(draws)
+    long = spread(df).select(
+        F.inline(F.array(*[F.struct(F.lit(n).alias("draw"), h.alias("h")) for n, h in draws.items()]))
+    ).filter("h is not null")
+    prefix = dict.fromkeys(names, "")
+    rank: dict[str, int] = {}
+    cuts: dict[str, str | None] = {}
+    width, first = 0, True
+    searching = names
+    while searching:
+        width += DIGITS
+        sought = F.lit(False)
+        for n in searching:
+            sought = sought | ((F.col("draw") == n) & F.col("h").startswith(prefix[n]))
+        counted = long.filter(sought).groupBy("draw", F.substring("h", 1, width).alias("p")).count().collect()
+        by_draw: dict[str, list[tuple[str, int]]] = {n: [] for n in searching}
+        for r in counted:
+            by_draw[r["draw"]].append((r["p"], r["count"]))
+        if first:
+            totals = {n: sum(c for _, c in by_draw[n]) for n in names}
+            for n, wanted in sizes(totals).items():
+                rank[n] = wanted
+                if wanted <= 0:
+                    cuts[n] = ""
+                elif wanted >= totals[n]:
+                    cuts[n] = None
+            first = False
+        few = []
+        for n in [n for n in searching if n not in cuts]:
+            for p, c in sorted(by_draw[n]):
+                if rank[n] <= c:
+                    prefix[n] = p
+                    if c <= RESOLVE_ROWS or len(p) >= 32:
+                        few.append(n)
+                    break
+                rank[n] -= c
+        if few:
+            inside = F.lit(False)
+            for n in few:
+                inside = inside | ((F.col("draw") == n) & F.col("h").startswith(prefix[n]))
+            rows = long.filter(inside).groupBy("draw").agg(F.sort_array(F.collect_list("h")).alias("hs")).collect()
+            cuts.update({r["draw"]: r["hs"][rank[r["draw"]] - 1] for r in rows})
+        searching = [n for n in searching if n not in cuts]
+    return cuts
+
+
+def drawn(hashed: Column, cut: str | None) -> Column:
+    """Rows that a cut of ``hash_cuts`` draws."""
+    if cut is None:
+        return hashed.isNotNull()
+    return F.lit(False) if cut == "" else hashed <= F.lit(cut)
 
 
 def take_in_hash_order(df: DataFrame, hashed: Column, n: int) -> DataFrame:
     """The ``n`` rows that come first in hash order (all rows when there are fewer)."""
-    if n <= 0:
-        return df.limit(0)
-    cut = hash_cut(df.select(hashed.alias("h")), n)
-    return df if cut is None else df.filter(hashed <= F.lit(cut))
+    return df.filter(drawn(hashed, hash_cuts(df, {"all": hashed}, lambda _: {"all": n})["all"]))
 
 
-def grouped_hash_rank(df: DataFrame, group: list[str], hashed: str, digits: int = DIGITS) -> DataFrame:
+def grouped_hash_rank(df: DataFrame, group: list[str], hashed: str, rank_rows: int = RANK_ROWS) -> DataFrame:
     """Add ``_rank`` (1-based, by hash within the group) and ``_size`` (rows of the group).
 
-    A group is split by hash prefix, so one big group is ranked by up to 16**digits tasks.
+    When the largest group exceeds ``rank_rows`` all groups are split by hash prefix, so that one big
+    group is ranked by many tasks.
     """
+    largest = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+    digits = max(0, math.ceil(math.log(max(largest, 1) / rank_rows, 16)))
+    by_group = Window.partitionBy(*group)
+    if digits == 0:
+        return df.withColumns({"_rank": F.row_number().over(by_group.orderBy(hashed)), "_size": F.count("*").over(by_group)})
     pre = df.withColumn("_prefix", F.substring(hashed, 1, digits))
     counts = pre.groupBy(*group, "_prefix").agg(F.count("*").alias("_n"))
-    by_group = Window.partitionBy(*group)
     running = by_group.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         *[F.col(g).alias(f"_o_{g}") for g in group],

@@ -5,12 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+SPREAD_BYTES = 256 << 20
+SPLIT_BYTES = 128 << 20
+
 
 def size_in_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimised plan (no job is run)."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def file_partitions(table: DataFrame) -> int:
+    """Upper estimate of the partitions of a plain file scan (files plus full splits)."""
+    return len(table.inputFiles()) + size_in_bytes(table) // SPLIT_BYTES
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a small input (few bytes, hence few file splits) all cores; big inputs are left alone."""
+    if size_in_bytes(df) >= SPREAD_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def broadcast_limit(df: DataFrame) -> int:
     text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
     value = text.lower().rstrip("b")

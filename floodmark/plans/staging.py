@@ -13,6 +13,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from floodmark.plans.sizing import spread
+
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
@@ -36,16 +38,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` once and return the written table."""
+    """Write ``df`` once and return the written table; small tables are spread over all cores."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    spread(df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def staged(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
-    """``stage`` for the length of a block; for fits whose result does not depend on the table."""
+    """``stage`` for the length of a block (partitioned as given); for fits whose result does not depend on it."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)

@@ -112,12 +112,13 @@ def brute(q, r, k, metric, own):
 
 @pytest.mark.parametrize("metric", neighbors.METRICS)
 @pytest.mark.parametrize("own", [True, False])
-def test_neighbours_equal_brute_force(spark, metric, own):
+@pytest.mark.parametrize("small", [True, False])
+def test_neighbours_equal_brute_force(spark, metric, own, small):
     rng = np.random.default_rng(7)
     x = np.concatenate([rng.normal(0, 1, (300, 4)), rng.normal(8, 0.1, (200, 4)), np.repeat([[1.0, 2.0, 3.0, 4.0]], 250, axis=0)])
     x = np.round(x) if metric == "hamming" else x
     df = vector_frame(spark, x)
-    near = neighbors.knn_join(df, df, 6, "row_id", "row_id", metric=metric, exclude_self=own, block_rows=60, query_rows=70)
+    near = neighbors.knn_join(df, df, 6, "row_id", "row_id", metric=metric, exclude_self=own, block_rows=60, query_rows=70, **({} if small else {"broadcast_values": 0}))
     got = np.full((len(x), 6), np.nan)
     seen = set()
     for r in near.collect():
@@ -127,9 +128,10 @@ def test_neighbours_equal_brute_force(spark, metric, own):
     assert len(seen) == 6 * len(x) and not (own and any(a == b for a, b in seen))
 
 
-def test_fewer_references_than_k(spark):
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_fewer_references_than_k(spark, limit):
     df = vector_frame(spark, np.array([[0.0], [1.0], [5.0]]))
-    near = neighbors.knn_join(df, df, 5, "row_id", "row_id", exclude_self=True)
+    near = neighbors.knn_join(df, df, 5, "row_id", "row_id", exclude_self=True, broadcast_values=limit)
     assert sorted((r.row_id, r.n_id, r.dist) for r in near.collect()) == [(0, 1, 1.0), (0, 2, 5.0), (1, 0, 1.0), (1, 2, 4.0), (2, 0, 5.0), (2, 1, 4.0)]
 
 

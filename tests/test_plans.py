@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from floodmark.plans.chunks import lag_in_key, overlap_chunks
 from floodmark.plans.moments import mean_and_covariance
-from floodmark.plans.ordering import grouped_hash_rank, hash_cut, order_hash, take_in_hash_order
+from floodmark.plans.ordering import grouped_hash_rank, hash_cuts, order_hash, take_in_hash_order
 from floodmark.plans.quantiles import exact_quantiles
 from floodmark.plans.running import running_totals
 from floodmark.plans.sizing import fits_broadcast, size_in_bytes, skew_join
@@ -43,31 +43,33 @@ def test_quantiles_of_several_columns_and_infinities(spark):
         assert got["c"] == [None, None]
 
 
-def test_hash_cut_takes_exactly_n(spark):
+def test_hash_cuts_take_exactly_n(spark):
     df = spark.range(20_000).withColumn("g", F.col("id") % 3)
     hashed = order_hash(42, "id")
     expected = sorted(r.h for r in df.select(hashed.alias("h")).collect())
-    for n in (1, 777, 19_999, 20_000):
-        cut = hash_cut(df.select(hashed.alias("h")), n)
-        assert cut == expected[n - 1]
-        assert take_in_hash_order(df, hashed, n).count() == n
-    assert hash_cut(df.select(hashed.alias("h")), 20_001) is None
-    assert take_in_hash_order(df, hashed, 0).count() == 0
+    for n in (0, 1, 777, 19_999, 20_000, 20_001):
+        assert take_in_hash_order(df, hashed, n).count() == min(n, 20_000)
+    draws = {"all": hashed, "odd": F.when(F.col("id") % 2 == 1, hashed), "none": F.lit(None).cast("string")}
+    cuts = hash_cuts(df, draws, lambda n: {"all": n["all"] // 4, "odd": n["odd"], "none": 5})
+    assert cuts == {"all": expected[4_999], "odd": None, "none": None}
 
 
-def test_hash_cut_descends_prefixes(spark, monkeypatch):
+def test_hash_cuts_descend_prefixes(spark, monkeypatch):
     import floodmark.plans.ordering as ordering
 
     monkeypatch.setattr(ordering, "RESOLVE_ROWS", 1)
     monkeypatch.setattr(ordering, "DIGITS", 1)
-    hashes = spark.range(500).select(order_hash(1, "id").alias("h"))
-    assert hash_cut(hashes, 250) == sorted(r.h for r in hashes.collect())[249]
+    df = spark.range(500)
+    draws = {"a": order_hash(1, "id"), "b": order_hash(2, "id")}
+    expected = {n: sorted(r.h for r in df.select(h.alias("h")).collect()) for n, h in draws.items()}
+    assert hash_cuts(df, draws, lambda _: {"a": 250, "b": 17}) == {"a": expected["a"][249], "b": expected["b"][16]}
 
 
-def test_grouped_rank_with_null_and_hot_group(spark):
+@pytest.mark.parametrize("rank_rows", [100, 1_000_000])
+def test_grouped_rank_with_null_and_hot_group(spark, rank_rows):
     df = spark.range(3000).withColumn("g", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, (F.col("id") % 50).cast("string")))
     df = df.withColumn("h", order_hash(1, "id"))
-    got = {r.id: (r._rank, r._size) for r in grouped_hash_rank(df, ["g"], "h", digits=1).collect()}
+    got = {r.id: (r._rank, r._size) for r in grouped_hash_rank(df, ["g"], "h", rank_rows).collect()}
     w = Window.partitionBy("g")
     want = df.select("id", F.row_number().over(w.orderBy("h")).alias("r"), F.count("*").over(w).alias("n")).collect()
     assert got == {r.id: (r.r, r.n) for r in want}
