@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from floodmark.catalog.quality import CELLS_SQL, METRICS_SQL
 from floodmark.catalog.registry import query, rounded
 from floodmark.catalog.standins import FLOW, FLOW_FEATURES, JUDGED, REQ, flows, hash_sql, judged_flows, requests, table, vectors
 from floodmark.functions.http import path_features
@@ -44,7 +46,50 @@ def flagship(spark, sf_dir):
     return rounded(evaluation.binary_metrics(gmm.gmm_predict(test, model)))
 
 
-@query("gaussian_detector_metrics")
+def _flagship_sql() -> str:
+    """The whole pipeline in SQL; the covariance is factored one column at a time."""
+    cols, d = FLOW_FEATURES, len(FLOW_FEATURES)
+
+    def each(template: str) -> str:
+        return ", ".join(template.format(c=c, i=i) for i, c in enumerate(cols))
+
+    ctes = [
+        FLOW,
+        f"sp AS (SELECT *, label = 'Benign' AND substr({hash_sql('42')}, 1, 8) >= '33333333' AS train FROM flow)",
+        "m AS (SELECT " + each("quantile_cont({c}, 0.5) AS m{i}") + " FROM sp WHERE train)",
+        "fl AS (SELECT row_id, label, train, " + each("coalesce({c}, m{i}) AS {c}") + " FROM sp, m)",
+        "q AS (SELECT " + each("quantile_cont({c}, 0.001) AS a{i}, quantile_cont({c}, 0.999) AS b{i}") + " FROM fl WHERE train)",
+        "cl AS (SELECT row_id, label, train, " + each("least(greatest({c}, a{i}), b{i}) AS {c}") + " FROM fl, q)",
+        "st AS (SELECT " + each("avg({c}) AS mu{i}, stddev_pop({c}) AS sd{i}") + " FROM cl WHERE train)",
+        "z AS (SELECT row_id, label, train, " + each("({c} - mu{i}) / sd{i} AS x{i}") + " FROM cl, st)",
+        "cv AS (SELECT " + each("avg(x{i}) AS e{i}") + ", "
+        + ", ".join(f"covar_pop(x{i}, x{j}){' + 1e-6::DOUBLE' if i == j else ''} AS c{i}{j}" for j in range(d) for i in range(j, d)) + " FROM z WHERE train)",
+    ]
+    previous = "cv"
+    for j in range(d):
+        below = " ".join(f"- l{j}{k} * l{j}{k}" for k in range(j))
+        ctes.append(f"d{j} AS (SELECT *, sqrt(c{j}{j} {below}) AS l{j}{j} FROM {previous})")
+        rest = ", ".join(
+            f"(c{i}{j} " + " ".join(f"- l{i}{k} * l{j}{k}" for k in range(j)) + f") / l{j}{j} AS l{i}{j}" for i in range(j + 1, d)
+        )
+        ctes.append(f"k{j} AS (SELECT *{', ' + rest if rest else ''} FROM d{j})")
+        previous = f"k{j}"
+    source = f"z, {previous}"
+    for i in range(d):
+        minus = " ".join(f"- l{i}{k} * w{k}" for k in range(i))
+        ctes.append(f"w{i}s AS (SELECT *, (x{i} - e{i} {minus}) / l{i}{i} AS w{i} FROM {source})")
+        source = f"w{i}s"
+    squares, logs = " + ".join(f"w{i} * w{i}" for i in range(d)), " + ".join(f"ln(l{i}{i})" for i in range(d))
+    ctes += [
+        f"s AS (SELECT label, train, -0.5::DOUBLE * ({squares}) - ({logs}) AS score FROM {source})",
+        "t AS (SELECT quantile_cont(score, 0.05) AS cut FROM s WHERE train)",
+        "j AS (SELECT CASE WHEN label = 'Benign' THEN 1 ELSE -1 END AS y, CASE WHEN score < cut THEN -1 ELSE 1 END AS p FROM s, t WHERE NOT train)",
+        f"c AS (SELECT {CELLS_SQL} FROM j)",
+    ]
+    return f"WITH {', '.join(ctes)} SELECT *, {METRICS_SQL} FROM c"
+
+
+@query("gaussian_detector_metrics", _flagship_sql())
 def gaussian_detector_metrics(spark, sf_dir):
     return flagship(spark, sf_dir)
 
@@ -55,14 +100,13 @@ def _cov_sql(ridge: str = "1e-6") -> str:
         for b in FLOW_FEATURES:
             extra = f" + {ridge}::DOUBLE" if a == b else ""
             parts.append(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(avg({a}), 4) AS mean_a, round(covar_pop({a}, {b}){extra}, 4) + 0.0 AS covariance FROM b")
-    return f"WITH {FLOW}, b AS (SELECT * FROM flow WHERE label = 'Benign') " + " UNION ALL ".join(parts)
+    return f"WITH {FLOW}, b AS (SELECT * REPLACE (l_extendedprice / 1000 AS l_extendedprice) FROM flow WHERE label = 'Benign') " + " UNION ALL ".join(parts)
 
 
 @query("gmm_fit", _cov_sql())
 def gmm_fit(spark, sf_dir):
-    import numpy as np
-
-    model = gmm.gmm_fit(flows(spark, sf_dir).filter("label = 'Benign'"), FLOW_FEATURES)
+    train = flows(spark, sf_dir).filter("label = 'Benign'").withColumn("l_extendedprice", F.col("l_extendedprice") / 1000)
+    model = gmm.gmm_fit(train, FLOW_FEATURES)
     factor = np.linalg.inv(np.array(model.whitening[0]))
     cov = factor @ factor.T
     rows = [
@@ -81,20 +125,20 @@ def gmm_fit_components(spark, sf_dir):
     return rounded(spark.createDataFrame(rows, "component int, weight double, " + ", ".join(f"{c} double" for c in FLOW_FEATURES)))
 
 
-_TWO_D = f"""WITH {FLOW}, b AS (SELECT * FROM flow WHERE label = 'Benign'),
+TWO_D_SQL = f"""WITH {FLOW}, b AS (SELECT * FROM flow WHERE label = 'Benign'),
 p AS (SELECT avg(l_quantity) AS mx, avg(l_discount) AS my, var_pop(l_quantity) + 1e-6::DOUBLE AS xx, var_pop(l_discount) + 1e-6::DOUBLE AS yy, covar_pop(l_quantity, l_discount) AS xy FROM b),
 s AS (SELECT row_id, label, -ln(2 * pi()) - 0.5 * ln(xx * yy - xy * xy)
   - 0.5 * ((l_quantity - mx) ** 2 * yy - 2 * (l_quantity - mx) * (l_discount - my) * xy + (l_discount - my) ** 2 * xx) / (xx * yy - xy * xy) AS score FROM flow, p)"""
 
 
-@query("gmm_score", f"{_TWO_D} SELECT row_id, round(score, 5) AS score FROM s")
+@query("gmm_score", f"{TWO_D_SQL} SELECT row_id, round(score, 5) AS score FROM s")
 def gmm_score(spark, sf_dir):
     df = flows(spark, sf_dir)
     model = gmm.gmm_fit(df.filter("label = 'Benign'"), TWO)
     return rounded(gmm.gmm_score(df, model).select("row_id", "score"), 5)
 
 
-@query("gmm_predict", f"""{_TWO_D}, t AS (SELECT quantile_cont(score, 0.05) AS cut FROM s WHERE label = 'Benign')
+@query("gmm_predict", f"""{TWO_D_SQL}, t AS (SELECT quantile_cont(score, 0.05) AS cut FROM s WHERE label = 'Benign')
 SELECT label, count(*) AS n, count(*) FILTER (score < cut - 1e-9) AS n_below, round(any_value(cut), 5) AS threshold FROM s, t GROUP BY 1""")
 def gmm_predict(spark, sf_dir):
     df = flows(spark, sf_dir)
@@ -105,7 +149,7 @@ def gmm_predict(spark, sf_dir):
     return rounded(scored.withColumn("threshold", F.lit(model.threshold)), 5)
 
 
-@query("gmm_bic", f"""{_TWO_D}, l AS (SELECT sum(score) AS ll, count(*) AS n FROM s WHERE label = 'Benign')
+@query("gmm_bic", f"""{TWO_D_SQL}, l AS (SELECT sum(score) AS ll, count(*) AS n FROM s WHERE label = 'Benign')
 SELECT 5 AS n_parameters, round(ll, 2) AS log_likelihood, round(10 - 2 * ll, 2) AS aic, round(5 * ln(n) - 2 * ll, 2) AS bic FROM l""")
 def gmm_bic(spark, sf_dir):
     train = flows(spark, sf_dir).filter("label = 'Benign'")
@@ -130,7 +174,7 @@ def iforest_fit(spark, sf_dir):
 
 
 # a fixed two-tree forest over (l_quantity, l_discount): [feature, split, left, right, path]
-_SMALL_FOREST = iforest.ForestModel(
+SMALL_FOREST = iforest.ForestModel(
     TWO,
     4,
     [
@@ -144,7 +188,7 @@ _SMALL_FOREST = iforest.ForestModel(
   (CASE WHEN l_quantity <= 10 THEN 1.0 WHEN l_discount <= 0.05 THEN 3.0 ELSE 2.0 END + CASE WHEN l_discount <= 0.08 THEN 2.0 ELSE 1.0 END) / 2 AS mean_path FROM flow)
 SELECT row_id, round(power(2.0, -mean_path / (2.0 * (ln(3.0) + 0.5772156649015329) - 2.0 * 3.0 / 4.0)), 6) AS score FROM h""")
 def iforest_score(spark, sf_dir):
-    return rounded(iforest.iforest_score(flows(spark, sf_dir), _SMALL_FOREST).select("row_id", "score"))
+    return rounded(iforest.iforest_score(flows(spark, sf_dir), SMALL_FOREST).select("row_id", "score"))
 
 
 @query("iforest_predict")

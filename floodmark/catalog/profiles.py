@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from floodmark.catalog.registry import query, rounded
@@ -9,9 +10,6 @@ from floodmark.catalog.standins import DIRTY, FLOW, FLOW_FEATURES, dirty_flows,
 from floodmark.operators import cleaning, profiling, selection
 from floodmark.sources import flows as flow_source
 
-_FEATURES = ", ".join(FLOW_FEATURES)
-
-
 def per_feature_sql(cte: str, source: str, stats: dict[str, str], where: str = "") -> str:
     """One row per feature; ``{c}`` in a statistic is the feature."""
     parts = [
@@ -147,20 +145,20 @@ def standard_scaler(spark, sf_dir):
     return rounded(cleaning.standard_scaler_transform(df, scaler).select("row_id", *FLOW_FEATURES))
 
 
-_VARIANCE_SQL = f"""WITH {FLOW}, v AS (SELECT {_FEATURES}, 7.0 AS constant FROM flow), long AS (""" + " UNION ALL ".join(
+_VARIANCE_SQL = f"""WITH {FLOW}, v AS (SELECT l_quantity, l_extendedprice / 1000 AS l_extendedprice, l_discount, l_tax, 7.0 AS constant FROM flow), long AS (""" + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, round({{f}}({c}), 4) AS variance FROM v" for c in [*FLOW_FEATURES, "constant"]
 ) + ") SELECT *, variance {t} AS kept FROM long"
 
 
 @query("variance_filter", _VARIANCE_SQL.format(f="var_pop", t="> 0"))
 def variance_filter(spark, sf_dir):
-    df = flows(spark, sf_dir).withColumn("constant", F.lit(7.0))
+    df = flows(spark, sf_dir).withColumns({"l_extendedprice": F.col("l_extendedprice") / 1000, "constant": F.lit(7.0)})
     return rounded(selection.variance_filter(df, [*FLOW_FEATURES, "constant"]), 4)
 
 
 @query("variance_filter_near_zero", _VARIANCE_SQL.format(f="var_samp", t=">= 1e-10"))
 def variance_filter_near_zero(spark, sf_dir):
-    df = flows(spark, sf_dir).withColumn("constant", F.lit(7.0))
+    df = flows(spark, sf_dir).withColumns({"l_extendedprice": F.col("l_extendedprice") / 1000, "constant": F.lit(7.0)})
     return rounded(selection.variance_filter(df, [*FLOW_FEATURES, "constant"], "near_zero"), 4)
 
 
@@ -208,10 +206,20 @@ def select_k_best(spark, sf_dir):
     return rounded(selection.select_k_best(flows(spark, sf_dir), FLOW_FEATURES, "label", 3), 4)
 
 
+@query("pca_reduce_two", f"""WITH {FLOW}, s AS (SELECT avg(l_quantity) AS mx, stddev_pop(l_quantity) AS sx, avg(l_extendedprice) AS my, stddev_pop(l_extendedprice) AS sy FROM flow),
+z AS (SELECT row_id, (l_quantity - mx) / sx AS x, (l_extendedprice - my) / sy AS y FROM flow, s)
+SELECT row_id, round(abs(x + y) / sqrt(2), 5) AS pc0, round(abs(x - y) / sqrt(2), 5) AS pc1 FROM z""")
+def pca_reduce_two(spark, sf_dir):
+    """Two scaled, positively correlated features: the components are the diagonals, up to sign."""
+    two = ["l_quantity", "l_extendedprice"]
+    df = flows(spark, sf_dir)
+    scaled = cleaning.standard_scaler_transform(df, cleaning.standard_scaler_fit(df, two))
+    reduced = selection.pca_reduce(scaled, selection.pca_fit(scaled, two, 2))
+    return rounded(reduced.select("row_id", *[F.abs(vector_to_array("pca")[i]).alias(f"pc{i}") for i in range(2)]), 5)
+
+
 @query("pca_reduce")
 def pca_reduce(spark, sf_dir):
-    from pyspark.ml.functions import vector_to_array
-
     df = flows(spark, sf_dir)
     scaler = cleaning.standard_scaler_fit(df, FLOW_FEATURES)
     scaled = cleaning.standard_scaler_transform(df, scaler)

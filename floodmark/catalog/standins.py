@@ -67,8 +67,9 @@ req AS (
   FROM ev)"""
 
 
-def row_key(prefix: str = ""):
-    return F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+def row_key():
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    return F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", cents)
 
 
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +82,7 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 FLOW = """
 flow AS (
-  SELECT l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_linenumber AS row_id, l_orderkey,
+  SELECT l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_linenumber || '-' || CAST(round(l_extendedprice * 100) AS BIGINT) AS row_id, l_orderkey,
     l_quantity, l_extendedprice, l_discount, l_tax,
     CASE l_returnflag WHEN 'N' THEN 'Benign' WHEN 'R' THEN 'Attack' ELSE 'Suspicious' END AS label,
     l_linestatus, l_shipdate

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from floodmark.catalog.detectors import prepared
+from floodmark.catalog.detectors import TWO_D_SQL, SMALL_FOREST, TWO, prepared
 from floodmark.catalog.joins import geo_blocks
 from floodmark.catalog.registry import query, rounded
 from floodmark.catalog.scans import event_stream, run_to_table
-from floodmark.catalog.standins import FLOW_FEATURES, REQ, flows, table
+from floodmark.catalog.standins import FLOW_FEATURES, REQ, flows, row_key, table
 from floodmark.catalog.windows import window_sql
-from floodmark.operators import cleaning, enrich, ensemble, splitting
+from floodmark.functions.scores import sigmoid_score
+from floodmark.operators import enrich, ensemble
 from floodmark.operators.detect import gmm, iforest, ocsvm
 from floodmark.plans.staging import scratch_path
 from floodmark.sources import sinks
@@ -55,33 +56,30 @@ def stream_dedup(spark, sf_dir):
 def flow_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "lineitem").schema
     raw = spark.readStream.schema(schema).parquet(f"{sf_dir}/lineitem*.parquet")
-    key = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     return raw.select(
-        key.alias("row_id"), *FLOW_FEATURES, (F.col("l_returnflag") == "N").alias("verified_normal"), F.col("l_shipdate").cast("timestamp").alias("ts")
+        row_key().alias("row_id"), *FLOW_FEATURES, (F.col("l_returnflag") == "N").alias("verified_normal"), F.col("l_shipdate").cast("timestamp").alias("ts")
     )
 
 
-@query("stream_score")
+@query("stream_score", f"""{TWO_D_SQL}, h AS (SELECT row_id,
+  (CASE WHEN l_quantity <= 10 THEN 1.0 WHEN l_discount <= 0.05 THEN 3.0 ELSE 2.0 END + CASE WHEN l_discount <= 0.08 THEN 2.0 ELSE 1.0 END) / 2 AS mean_path FROM flow)
+SELECT row_id, strftime(l_shipdate, '%Y.%m.%d') AS date,
+  round(0.4 / (1 + exp(score + 1)) + 0.6 * power(2.0, -mean_path / (2.0 * (ln(3.0) + 0.5772156649015329) - 2.0 * 3.0 / 4.0)), 5) AS score
+FROM s JOIN h USING (row_id) JOIN flow USING (row_id)""")
 def stream_score(spark, sf_dir):
-    train, _ = splitting.benign_split(flows(spark, sf_dir), "row_id")
-    scaler = cleaning.standard_scaler_fit(train, FLOW_FEATURES)
-    scaled = cleaning.standard_scaler_transform(train, scaler)
-    mixture = gmm.gmm_fit(scaled, FLOW_FEATURES)
-    low = gmm.gmm_threshold(scaled, mixture, 5.0).threshold
-    forest = iforest.iforest_fit(scaled, FLOW_FEATURES, "row_id", n_trees=20, psi=64)
+    mixture = gmm.gmm_fit(flows(spark, sf_dir).filter("label = 'Benign'"), TWO)
     path = scratch_path(spark, "anomalies")
 
     def score(batch):
-        df = cleaning.standard_scaler_transform(batch, scaler)
-        df = gmm.gmm_score(df, mixture).withColumn("gmm_01", 1.0 / (1.0 + F.exp(F.col("score") - F.lit(low)))).drop("score")
-        df = iforest.iforest_score(df, forest).withColumnRenamed("score", "forest_01")
+        df = gmm.gmm_score(batch, mixture).withColumn("gmm_01", sigmoid_score(F.col("score") + 1)).drop("score")
+        df = iforest.iforest_score(df, SMALL_FOREST).withColumnRenamed("score", "forest_01")
         return df.withColumn("score", ensemble.weighted_score(["gmm_01", "forest_01"], [0.4, 0.6]))
 
     def publish(df, batch_id):
         sinks.with_date(df, "ts").select("row_id", "ts", "date", "score").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     pipeline.stream_score(flow_stream(spark, sf_dir), score, publish).awaitTermination()
-    return rounded(spark.read.parquet(path).select("row_id", "date", "score"))
+    return rounded(spark.read.parquet(path).select("row_id", "date", "score"), 5)
 
 
 @query("ocsvm_online")
