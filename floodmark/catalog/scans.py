@@ -6,9 +6,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from floodmark.catalog.quality import CELLS_SQL, METRICS_SQL
 from floodmark.catalog.registry import query, rounded
-from floodmark.catalog.standins import FLOW, FLOW_FEATURES, REQ, flows, hash_sql, micros, requests, shape_requests, table
-from floodmark.operators import cleaning, splitting
+from floodmark.catalog.standins import FLOW, FLOW_FEATURES, JUDGED, REQ, flows, hash_sql, judged_flows, micros, requests, shape_requests, table
+from floodmark.operators import cleaning, evaluation, splitting
 from floodmark.operators.detect import gmm
 from floodmark.plans.staging import scratch_path
 from floodmark.sources import flows as flow_source
@@ -134,17 +135,17 @@ def save_load_model(spark, sf_dir):
     return scored.agg(F.count("*").alias("n"), F.max(F.abs(F.col("a") - F.col("b"))).alias("max_difference"))
 
 
-@query("append_metrics", f"""WITH {FLOW}, runs AS (
-  SELECT l_linestatus AS model, count(*) AS n, round(avg(CASE WHEN label = 'Benign' THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM flow GROUP BY 1)
-SELECT model, n, accuracy, run FROM runs, (SELECT unnest([1, 2]) AS run)""")
+@query("append_metrics", f"""WITH {JUDGED}, runs AS (SELECT 'rule_a' AS model, y, pred_a AS p FROM judged UNION ALL SELECT 'rule_b', y, pred_b FROM judged),
+c AS (SELECT model, {CELLS_SQL} FROM runs GROUP BY 1)
+SELECT model, 'flows' AS dataset, 0::BIGINT AS training_samples, tp + fp + fn + tn AS test_samples, 4 AS features, {METRICS_SQL.rsplit(', ', 1)[0]},
+  1.0::DOUBLE AS training_time_s, 2.0::DOUBLE AS prediction_time_s, round(2000.0::DOUBLE / (tp + fp + fn + tn), 6) AS avg_prediction_ms,
+  round((tp + fp + fn + tn) / 2.0::DOUBLE, 6) AS throughput, tp, fp, fn, tn FROM c""")
 def append_metrics(spark, sf_dir):
-    runs = flows(spark, sf_dir).groupBy(F.col("l_linestatus").alias("model")).agg(
-        F.count("*").alias("n"), F.avg((F.col("label") == "Benign").cast("double")).alias("accuracy")
-    )
-    path = scratch_path(spark, "metrics")
-    for run in (1, 2):
-        sinks.append_metrics(rounded(runs).withColumn("run", F.lit(run)), path)
-    return spark.read.parquet(path)
+    df, path = judged_flows(spark, sf_dir), scratch_path(spark, "metrics")
+    for m in "ab":
+        quality = evaluation.binary_metrics(df, "y", f"pred_{m}")
+        sinks.append_metrics(sinks.metrics_row(quality, f"rule_{m}", "flows", 0, len(FLOW_FEATURES), 1.0, 2.0), path)
+    return rounded(spark.read.parquet(path))
 
 
 @query("dated_sink", """SELECT strftime(ts, '%Y.%m.%d') AS date, count(*) AS n FROM events

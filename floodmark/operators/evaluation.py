@@ -83,11 +83,9 @@ def score_curve(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
     per_score = df.filter(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(F.col(y) == ANOMALY).alias("pos"), F.count_if(F.col(y) == NORMAL).alias("neg")
     )
-    curve = running_totals(per_score, "threshold", ["pos", "neg"])
-    sides = df.filter(F.col(score).isNotNull()).agg(F.count_if(F.col(y) == ANOMALY), F.count_if(F.col(y) == NORMAL))
-    n_pos, n_neg = sides.first()
+    curve, totals = running_totals(per_score, "threshold", ["pos", "neg"])
     tp, fp = F.col("cum_pos"), F.col("cum_neg")
-    recall = _ratio(tp, F.lit(n_pos))
+    recall = _ratio(tp, F.lit(totals["pos"]))
     return curve.select(
         "threshold",
         "pos",
@@ -95,7 +93,7 @@ def score_curve(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
         tp.alias("tp"),
         fp.alias("fp"),
         recall.alias("tpr"),
-        _ratio(fp, F.lit(n_neg)).alias("fpr"),
+        _ratio(fp, F.lit(totals["neg"])).alias("fpr"),
         _ratio(tp, tp + fp).alias("precision"),
         recall.alias("recall"),
     )

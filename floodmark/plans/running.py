@@ -11,9 +11,11 @@ from floodmark.plans.staging import stage
 
 def running_totals(
     df: DataFrame, order: str, sums: list[str], buckets: int = 256, descending: bool = True
-) -> DataFrame:
+) -> tuple[DataFrame, dict[str, float]]:
     """Add ``cum_<c>`` for each column of ``sums``, accumulated along ``order`` (a distinct double).
 
+    Also returns the grand totals.
+
     The table is cut into about equal ranges of ``order``; each range is accumulated by its own task and
     shifted by the totals of the ranges before it (at most ``buckets`` + 1 rows of totals).
     """
@@ -44,4 +46,4 @@ def running_totals(
         (F.sum(c).over(within) + F.element_at(F.array(*map(F.lit, offsets[c])), F.col("_bucket") + 1)).alias(f"cum_{c}")
         for c in sums
     ]
-    return bucketed.select(*df.columns, *shifted)
+    return bucketed.select(*df.columns, *shifted), carry

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from floodmark.plans.sizing import spread
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_kept: list[str] = []
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -42,6 +43,7 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     spread(df).write.parquet(path)
+    _kept.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -54,5 +56,15 @@ def staged(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def purge_staged(spark: SparkSession) -> None:
+    """Delete the tables this process staged; results that still read them must have been written before."""
+    while _kept:
+        _delete(spark, _kept.pop())

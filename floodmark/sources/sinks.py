@@ -10,11 +10,28 @@ from pyspark.sql.streaming import StreamingQuery
 
 from floodmark.plans.staging import scratch_path
 
-METRIC_COLUMNS = (
-    "model string, dataset string, training_samples long, test_samples long, features int, accuracy double, "
-    "precision double, recall double, f1 double, fpr double, training_time_s double, prediction_time_s double, "
-    "avg_prediction_ms double, throughput double, tp long, fp long, fn long, tn long"
-)
+METRIC_COLUMNS = [
+    "model", "dataset", "training_samples", "test_samples", "features", "accuracy", "precision", "recall", "f1", "fpr",
+    "training_time_s", "prediction_time_s", "avg_prediction_ms", "throughput", "tp", "fp", "fn", "tn",
+]
+
+
+def metrics_row(quality: DataFrame, model: str, dataset: str, training_samples: int, features: int, training_time_s: float, prediction_time_s: float) -> DataFrame:
+    """The run row of a metrics table from the output of ``binary_metrics`` and the measured times."""
+    n = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
+    return quality.withColumns(
+        {
+            "model": F.lit(model),
+            "dataset": F.lit(dataset),
+            "training_samples": F.lit(training_samples).cast("long"),
+            "test_samples": n,
+            "features": F.lit(features),
+            "training_time_s": F.lit(float(training_time_s)),
+            "prediction_time_s": F.lit(float(prediction_time_s)),
+            "avg_prediction_ms": F.try_divide(F.lit(1000.0 * prediction_time_s), n),
+            "throughput": F.try_divide(n.cast("double"), F.lit(float(prediction_time_s))),
+        }
+    ).select(*METRIC_COLUMNS)
 
 
 def append_metrics(df: DataFrame, path: str) -> None:

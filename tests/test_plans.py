@@ -9,7 +9,7 @@ from floodmark.plans.ordering import grouped_hash_rank, hash_cuts, order_hash, t
 from floodmark.plans.quantiles import exact_quantiles
 from floodmark.plans.running import running_totals
 from floodmark.plans.sizing import fits_broadcast, size_in_bytes, skew_join
-from floodmark.plans.staging import stage, staged
+from floodmark.plans.staging import purge_staged, stage, staged
 
 PROBS = [0.0, 0.001, 0.05, 0.25, 0.5, 0.95, 0.999, 1.0]
 
@@ -78,7 +78,9 @@ def test_grouped_rank_with_null_and_hot_group(spark, rank_rows):
 @pytest.mark.parametrize("descending", [True, False])
 def test_running_totals_over_buckets(spark, descending):
     df = spark.range(1000).select((F.col("id") * 0.5).alias("t"), (F.col("id") % 7).alias("a"), F.lit(1).cast("long").alias("b"))
-    got = sorted((r.t, r.cum_a, r.cum_b) for r in running_totals(df, "t", ["a", "b"], buckets=16, descending=descending).collect())
+    out, totals = running_totals(df, "t", ["a", "b"], buckets=16, descending=descending)
+    got = sorted((r.t, r.cum_a, r.cum_b) for r in out.collect())
+    assert totals == {"a": sum(i % 7 for i in range(1000)), "b": 1000}
     a = np.arange(1000) % 7
     sums = a[::-1].cumsum()[::-1] if descending else a.cumsum()
     ones = np.arange(1000, 0, -1) if descending else np.arange(1, 1001)
@@ -136,4 +138,8 @@ def test_staged_table_is_removed(spark):
     import os
 
     assert not os.path.exists(path.replace("file://", ""))
+    kept = stage(df).inputFiles()[0].replace("file://", "")
+    assert os.path.exists(kept)
+    purge_staged(spark)
+    assert not os.path.exists(kept)
     assert size_in_bytes(df) > 0
