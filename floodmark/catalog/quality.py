@@ -16,10 +16,11 @@ def _safe(a: str, b: str) -> str:
     return f"round(coalesce(({a})::DOUBLE / nullif({b}, 0), 0.0::DOUBLE), 6)"
 
 
-METRICS_SQL = ", ".join([
+METRIC_TEXTS = [
     f"{_safe('tp + tn', 'tp + tn + fp + fn')} AS accuracy", f"{_safe('tp', 'tp + fp')} AS precision", f"{_safe('tp', 'tp + fn')} AS recall",
     f"{_safe('2 * tp', '2 * tp + fp + fn')} AS f1", f"{_safe('fp', 'fp + tn')} AS fpr", f"{_safe('tn', 'fp + tn')} AS tnr",
-])
+]
+METRICS_SQL = ", ".join(METRIC_TEXTS)
 # predictions in long form, one row per (row, model)
 LONG = JUDGED + """,
 long AS (SELECT row_id, label, y, 'a' AS model, pred_a AS p, ts_us FROM judged UNION ALL SELECT row_id, label, y, 'b', pred_b, ts_us FROM judged

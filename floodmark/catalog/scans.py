@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from floodmark.catalog.quality import CELLS_SQL, METRICS_SQL
+from floodmark.catalog.quality import CELLS_SQL, METRIC_TEXTS
 from floodmark.catalog.registry import query, rounded
 from floodmark.catalog.standins import FLOW, FLOW_FEATURES, JUDGED, REQ, flows, hash_sql, judged_flows, micros, requests, shape_requests, table
 from floodmark.operators import cleaning, evaluation, splitting
@@ -137,7 +137,7 @@ def save_load_model(spark, sf_dir):
 
 @query("append_metrics", f"""WITH {JUDGED}, runs AS (SELECT 'rule_a' AS model, y, pred_a AS p FROM judged UNION ALL SELECT 'rule_b', y, pred_b FROM judged),
 c AS (SELECT model, {CELLS_SQL} FROM runs GROUP BY 1)
-SELECT model, 'flows' AS dataset, 0::BIGINT AS training_samples, tp + fp + fn + tn AS test_samples, 4 AS features, {METRICS_SQL.rsplit(', ', 1)[0]},
+SELECT model, 'flows' AS dataset, 0::BIGINT AS training_samples, tp + fp + fn + tn AS test_samples, 4 AS features, {', '.join(METRIC_TEXTS[:5])},
   1.0::DOUBLE AS training_time_s, 2.0::DOUBLE AS prediction_time_s, round(2000.0::DOUBLE / (tp + fp + fn + tn), 6) AS avg_prediction_ms,
   round((tp + fp + fn + tn) / 2.0::DOUBLE, 6) AS throughput, tp, fp, fn, tn FROM c""")
 def append_metrics(spark, sf_dir):
