@@ -147,13 +147,14 @@ def inject_anomalies(
         {c: F.when(F.col("is_noise") == 1, F.col(c) + gaussian(c)).otherwise(F.col(c).cast("double")) for c in columns}
     )
     if d > 1:
-        out = out.withColumn("_i", _index(f"{seed}-i", row_id, d))
-        out = out.withColumn("_j", F.pmod(F.col("_i") + 1 + _index(f"{seed}-j", row_id, d - 1), F.lit(d)))
+        swapped = F.col("is_swap") == 1
+        out = out.withColumn("_i", F.when(swapped, _index(f"{seed}-i", row_id, d)))
+        out = out.withColumn("_j", F.when(swapped, F.pmod(F.col("_i") + 1 + _index(f"{seed}-j", row_id, d - 1), F.lit(d))))
         values = F.array(*columns)
         out = out.withColumns(
             {
-                c: F.when((F.col("is_swap") == 1) & (F.col("_i") == k), F.get(values, F.col("_j")))
-                .when((F.col("is_swap") == 1) & (F.col("_j") == k), F.get(values, F.col("_i")))
+                c: F.when(F.col("_i") == k, F.get(values, F.col("_j")))
+                .when(F.col("_j") == k, F.get(values, F.col("_i")))
                 .otherwise(F.col(c))
                 for k, c in enumerate(columns)
             }

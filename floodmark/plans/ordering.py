@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from floodmark.plans.sizing import spread
+from floodmark.plans.sizing import SPREAD_BYTES, size_in_bytes, spread
 
 DIGITS = 3
 RESOLVE_ROWS = 10_000
@@ -41,12 +41,23 @@ def hash_cuts(
 
     A draw is a hash column, null where the row does not take part. ``sizes`` maps the number of rows of
     each draw to the number wanted. One pass counts rows per prefix (at most 16**3 counters per draw);
-    further passes descend into the prefixes holding the cuts until few rows share them.
+    further passes descend into the prefixes holding the cuts until few rows share them. The hashes of a
+    small table are kept between passes, those of a big one are computed again.
     """
-    names = list(draws)
     long = spread(df).select(
         F.inline(F.array(*[F.struct(F.lit(n).alias("draw"), h.alias("h")) for n, h in draws.items()]))
     ).filter("h is not null")
+    if size_in_bytes(df) >= SPREAD_BYTES:
+        return _search_cuts(long, list(draws), sizes)
+    long = long.persist()
+    try:
+        return _search_cuts(long, list(draws), sizes)
+    finally:
+        long.unpersist()
+
+
+def _search_cuts(long: DataFrame, names: list[str], sizes: Callable[[dict[str, int]], dict[str, int]]) -> dict[str, str | None]:
+    """``hash_cuts`` over rows (draw, h)."""
     prefix = dict.fromkeys(names, "")
     rank: dict[str, int] = {}
     cuts: dict[str, str | None] = {}
