@@ -6,7 +6,7 @@ from importlib import import_module
 
 from floodmark.catalog.registry import Query
 
-MODULES = ("exact_dedup", "quality")
+MODULES = ("piece_codec", "exact_dedup", "quality")
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
