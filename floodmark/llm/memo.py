@@ -12,26 +12,22 @@ class ChunkMemo(dict):
     use come back. What is forgotten is encoded again, so the bound never changes a result.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 400_000, longest: int = 200):
-        self.encode, self.limit, self.longest, self.old = encode, limit, longest, {}
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 600_000, longest: int = 200):
+        self.encode, self.limit, self.longest, self.old, self.long = encode, limit, longest, {}, []
 
-    def fill(self, chunks: set[str]) -> dict[str, bytes]:
-        """Encoded bytes of ``chunks``; chunks over ``longest`` characters are not remembered."""
+    def fill(self, chunks: set[str]) -> ChunkMemo:
+        """Hold the encoded bytes of ``chunks``; those over ``longest`` characters only until the next call."""
+        for chunk in self.long:
+            self.pop(chunk, None)
         if len(self) > self.limit:
             self.old = dict(self)
             self.clear()
-        missing, found, old = [], {}, self.old
-        for chunk in chunks:
-            value = self.get(chunk)
-            if value is None:
-                value = old.get(chunk)
-                if value is None:
-                    missing.append(chunk)
-                    continue
-                self[chunk] = value
-            found[chunk] = value
-        for chunk, value in zip(missing, self.encode(missing) if missing else []):
-            found[chunk] = value
-            if len(chunk) <= self.longest:
-                self[chunk] = value
-        return found
+        missing = list(chunks.difference(self))
+        if missing and self.old:
+            kept = self.old
+            self.update((c, kept[c]) for c in missing if c in kept)
+            missing = [c for c in missing if c not in kept]
+        if missing:
+            self.update(zip(missing, self.encode(missing)))
+        self.long = [c for c in missing if len(c) > self.longest]
+        return self

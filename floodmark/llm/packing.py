@@ -51,7 +51,7 @@ class ByteTokenizer:
     """
 
     CHUNKS = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+").findall
-    OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]").search
+    OTHER_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]").search
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer

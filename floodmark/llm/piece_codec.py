@@ -15,8 +15,8 @@ is one row. Repeated rows give repeated results. Columns other than the id and t
 
 from __future__ import annotations
 
-import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -59,6 +59,8 @@ class PieceModel:
         self.surfaces = surfaces
         self.raw = frozenset(int(i) for i in self.bytes_of)
         self.single = {p: i for p, i in pieces.items() if len(p) == 1}
+        self.by_point = np.full(0x110000, NONE, np.int32)
+        self.by_point[[ord(p) for p in self.single]] = list(self.single.values())
         self.splits = all(SPACE not in p.lstrip(SPACE) for p in pieces)
         # the agenda's table: pair of symbols -> merged piece and its rank (best score first)
         pairs = [(pieces[p[:k]] * size + pieces[p[k:]], i) for p, i in pieces.items() for k in range(1, len(p)) if p[:k] in pieces and p[k:] in pieces]
@@ -99,16 +101,14 @@ class PieceModel:
         ``after`` links live symbols; ``agenda`` holds rank * span + position of the pair that starts at a symbol.
         """
         texts = [chunks[k] for k in group]
-        width = max(map(len, texts)) + 1
-        single = self.single
+        lengths = np.array([len(t) for t in texts])
+        width = int(lengths.max()) + 1
+        alive = np.arange(width)[None, :] < lengths[:, None]
         symbols = np.full((len(texts), width), NONE, np.int64)
-        for row, text in enumerate(texts):
-            symbols[row, : len(text)] = [single.get(c, NONE) for c in text]
+        symbols[alive] = self.by_point[np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)]
         span, idle = width, np.iinfo(np.int64).max
         after = np.tile(np.arange(1, width + 1), (len(texts), 1))
         before = np.tile(np.arange(-1, width - 1), (len(texts), 1))
-        lengths = np.array([len(t) for t in texts])
-        alive = np.arange(width)[None, :] < lengths[:, None]
         made = np.full((len(texts), width), NONE, np.int64)
         made[:, :-1] = self.merged(symbols[:, :-1], symbols[:, 1:])
         agenda = np.where(made >= 0, self.rank[made] * span + np.arange(width), idle)
@@ -131,9 +131,11 @@ class PieceModel:
                 piece = np.where(ok & alive[rows, r], self.merged(symbols[rows, l], symbols[rows, r]), NONE)
                 value = np.where(piece >= 0, self.rank[piece] * span + l, idle)
                 made[rows[ok], l[ok]], agenda[rows[ok], l[ok]] = piece[ok], value[ok]
+        joined, cuts = symbols[alive].astype("<u4").tobytes(), np.concatenate([[0], np.cumsum(4 * alive.sum(1))]).tolist()
         for row, k in enumerate(group):
-            ids, where = symbols[row][alive[row]], np.flatnonzero(alive[row])
-            out[k] = self._with_bytes(ids, where, texts[row]) if (ids < 0).any() else ids.astype("<u4").tobytes()
+            out[k] = joined[cuts[row] : cuts[row + 1]]
+        for row in np.flatnonzero((alive & (symbols < 0)).any(1)).tolist():
+            out[group[row]] = self._with_bytes(symbols[row][alive[row]], np.flatnonzero(alive[row]), texts[row])
 
     def _heap(self, text: str) -> bytes:
         """One long chunk: the same agenda in a heap, n log n in the length."""
@@ -254,7 +256,7 @@ def _compare(pieces: PieceModel, texts: list[str], encoded: list[bytes], decoded
     """The library's ids and its text of them must be ours."""
     theirs = pieces.library.encode(texts, add_bos=True, add_eos=True, num_threads=1)
     for text, ours, ids in zip(texts, encoded, theirs):
-        if np.array(ids, "<u4").tobytes() != ours:
+        if array("I", ids).tobytes() != ours:  # four bytes, little-endian on the platforms the library runs on
             raise ValueError(f"ids differ from the library's for {text[:80]!r}")
     for ours, other in zip(decoded, pieces.library.decode(theirs, num_threads=1)):
         if ours != other:
