@@ -51,22 +51,44 @@ class ByteTokenizer:
     """
 
     CHUNKS = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+").findall
-    OTHER_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]").search
+    OTHER_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
+        names = sorted(self.library.get_vocab().items(), key=lambda x: x[1])
+        self.widths = np.zeros(names[-1][1] + 1, np.int64)  # one character of a byte-level token is one byte
+        self.widths[[i for _, i in names]] = [len(t) for t, _ in names]
         self.memo = ChunkMemo(self._encode)
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
+        """Chunks are joined for the library, and its ids are cut where a chunk's bytes end.
+
+        A chunk without leading white space gets a line break ahead, which is a token of its own and is cut off.
+        """
         out: list[bytes] = []
-        for start in range(0, len(chunks), 4096):
-            found = self.library.encode_batch_fast(chunks[start : start + 4096], add_special_tokens=False)
-            out.extend(np.array(e.ids, "<u4").tobytes() for e in found)
+        for at in range(0, len(chunks), 4096):
+            group = chunks[at : at + 4096]
+            alone = {k for k, c in enumerate(group) if not c.strip(" \n\t\r") or self.OTHER_SPACE(c)}
+            padded = ["" if k in alone else c if c[0] in " \n\t\r" else "\n" + c for k, c in enumerate(group)]
+            ids = self._ids("".join(padded))
+            ends = np.cumsum(self.widths[ids])
+            raw = np.cumsum([len(c.encode()) for c in padded])
+            stops = (np.searchsorted(ends, raw, "left") + 1).tolist()
+            joined, start = ids.tobytes(), 0
+            for k, (chunk, pad, stop) in enumerate(zip(group, padded, stops)):
+                if k in alone:
+                    out.append(self._ids(chunk).tobytes())
+                    continue
+                out.append(joined[4 * (start + (len(pad) > len(chunk))) : 4 * stop])
+                start = stop
         return out
 
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         rows = [[t] if self.OTHER_SPACE(t) else self.CHUNKS(t) for t in texts]
