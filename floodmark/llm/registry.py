@@ -6,7 +6,7 @@ from importlib import import_module
 
 from floodmark.catalog.registry import Query
 
-MODULES = ("piece_codec", "exact_dedup", "quality", "chat", "secrets", "personal", "packing")
+MODULES = ("piece_codec", "exact_dedup", "near_dedup", "quality", "chat", "secrets", "personal", "packing")
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
