@@ -7,7 +7,9 @@ behind another character, so no merge crosses a chunk border and chunks are inde
 that does not hold are encoded as one chunk per text. All chunks unseen by the worker run their agendas side by side
 in numpy, one merge per chunk and round. Symbols without a piece fall back to their UTF-8 bytes.
 
-Every Arrow batch is checked against the sentencepiece library (``verify``): a difference raises an error.
+Every Arrow batch is checked against the sentencepiece library; a difference raises an error. ``verify="chunks"`` compares
+ids and decoded text of every chunk that the worker has not met before, which covers all texts since chunks are
+independent; ``verify="texts"`` encodes and decodes every whole text a second time.
 
 Null and empty texts have only the begin and end ids. The map is row by row, without a shuffle; a text of any length
 is one row. Repeated rows give repeated results. Columns other than the id and text are not read.
@@ -26,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floodmark.llm.memo import ChunkMemo
+from floodmark.llm.textscan import blocks
 
 NAME = "op1_sentencepiece"
 SQL = None
@@ -70,7 +73,21 @@ class PieceModel:
         self.pair_ids = np.array([i for _, i in pairs], np.int64)
         scores = np.array([sp.get_score(i) for i in range(size)])
         self.rank = np.unique(-scores, return_inverse=True)[1].astype(np.int64)
-        self.memo = ChunkMemo(self.encode_chunks)
+        self.memo = ChunkMemo(self.checked_chunks)
+
+    def checked_chunks(self, chunks: list[str], together: int = 512) -> list[bytes]:
+        """Encoded chunks, compared with the library: chunks in a row make a text whose ids and decoded text are known."""
+        encoded = self.encode_chunks(chunks)
+        spaces = [k for k, c in enumerate(chunks) if not c.strip(SPACE)]  # these end a text and stand alone
+        alone, others = set(spaces), range(len(chunks))
+        others = [k for k in others if k not in alone] if alone else others
+        groups = [[k] for k in spaces] + [others[at : at + together] for at in range(0, len(others), together)]
+        for group in groups if self.splits else ():
+            text = "".join(chunks[k] for k in group)[1:].replace(SPACE, " ")  # the library adds the first one by itself
+            ids = b"".join(encoded[k] for k in group)
+            if text:
+                _compare(self, [text], [ids], [self.decode(np.frombuffer(ids, "<u4"))], marks=False)
+        return encoded
 
     def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Piece of every adjacent pair, NONE where they form none."""
@@ -106,12 +123,12 @@ class PieceModel:
         alive = np.arange(width)[None, :] < lengths[:, None]
         symbols = np.full((len(texts), width), NONE, np.int64)
         symbols[alive] = self.by_point[np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)]
-        span, idle = width, np.iinfo(np.int64).max
+        span, idle = width, np.iinfo(np.int32).max
         after = np.tile(np.arange(1, width + 1), (len(texts), 1))
         before = np.tile(np.arange(-1, width - 1), (len(texts), 1))
         made = np.full((len(texts), width), NONE, np.int64)
         made[:, :-1] = self.merged(symbols[:, :-1], symbols[:, 1:])
-        agenda = np.where(made >= 0, self.rank[made] * span + np.arange(width), idle)
+        agenda = np.where(made >= 0, self.rank[made] * span + np.arange(width), idle).astype(np.int32)
         rows = np.arange(len(texts))
         while len(rows):
             at = agenda[rows].argmin(1)
@@ -226,35 +243,33 @@ def model(path: str) -> PieceModel:
 
 
 def encode(
-    docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", verify: bool = True, block: int = 256
+    docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", verify: str = "chunks", block: int = 4 << 20
 ) -> DataFrame:
     """``_id``, ``ids`` (little-endian unsigned 32-bit, begin and end included) and ``decoded`` of every row.
 
-    ``block`` rows of an Arrow batch are held as ids at a time.
+    About ``block`` bytes of text (one row at least) are held as ids at a time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model(path)
-        for batch in batches:
-            for start in range(0, batch.num_rows, block):
-                part = batch.slice(start, block)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                encoded = pieces.encode_batch(texts)
-                decoded = [pieces.decode(np.frombuffer(e, "<u4")) for e in encoded]
-                if verify:
-                    _compare(pieces, texts, encoded, decoded)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(encoded, pa.binary()), pa.array(decoded, pa.string())], ["_id", "ids", "decoded"]
-                )
+        for part in blocks(batches, 1, block):
+            texts = [t or "" for t in part.column(1).to_pylist()]
+            encoded = pieces.encode_batch(texts)
+            decoded = [pieces.decode(np.frombuffer(e, "<u4")) for e in encoded]
+            if verify == "texts" or not pieces.splits:
+                _compare(pieces, texts, encoded, decoded)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(encoded, pa.binary()), pa.array(decoded, pa.string())], ["_id", "ids", "decoded"]
+            )
 
     narrow = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))
     kind = narrow.schema["_id"].dataType.simpleString()
     return narrow.mapInArrow(run, f"_id {kind}, ids binary, decoded string")
 
 
-def _compare(pieces: PieceModel, texts: list[str], encoded: list[bytes], decoded: list[str]) -> None:
-    """The library's ids and its text of them must be ours."""
-    theirs = pieces.library.encode(texts, add_bos=True, add_eos=True, num_threads=1)
+def _compare(pieces: PieceModel, texts: list[str], encoded: list[bytes], decoded: list[str], marks: bool = True) -> None:
+    """The library's ids (with begin and end, if ``marks``) and its text of them must be ours."""
+    theirs = pieces.library.encode(texts, add_bos=marks, add_eos=marks, num_threads=1)
     for text, ours, ids in zip(texts, encoded, theirs):
         if array("I", ids).tobytes() != ours:  # four bytes, little-endian on the platforms the library runs on
             raise ValueError(f"ids differ from the library's for {text[:80]!r}")
