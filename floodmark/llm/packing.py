@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from floodmark.llm.memo import ChunkMemo
+from floodmark.llm.textscan import blocks
 from floodmark.plans.staging import stage
 
 NAME = "op10_best_fit_packing"
@@ -106,7 +107,7 @@ def tokenizer(path: str) -> ByteTokenizer:
 
 def pieces(
     docs: DataFrame, path: str, keep: list[str], text_column: str = "text", capacity: int = CAPACITY, with_ids: bool = False,
-    block: int = 256,
+    block: int = 4 << 20,
 ) -> DataFrame:
     """One row per piece: columns ``keep``, ``piece``, ``start``, ``length``, ``ids_crc32`` and, if asked for, ``ids``."""
     narrow = docs.select(*keep, F.col(text_column).alias("_text"))
@@ -114,29 +115,27 @@ def pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(path).encode
-        for batch in batches:
-            for at in range(0, batch.num_rows, block):
-                part = batch.slice(at, block)
-                row, number, begun, sizes, sums, ids = [], [], [], [], [], []
-                for k, tokens in enumerate(encode([t or "" for t in part.column(len(keep)).to_pylist()])):
-                    tokens += end
-                    n = len(tokens) // 4
-                    start = 0
-                    for p in range(-(-n // capacity)):
-                        stop = min(n, ((n - 1) % capacity + 1) + p * capacity)
-                        cut = tokens[4 * start : 4 * stop]
-                        row.append(k), number.append(p), begun.append(start), sizes.append(stop - start)
-                        sums.append(zlib.crc32(cut))
-                        if with_ids:
-                            ids.append(cut)
-                        start = stop
-                out = [part.column(i).take(pa.array(row, pa.int64())) for i in range(len(keep))]
-                out += [pa.array(number, pa.int32()), *(pa.array(x, pa.int64()) for x in (begun, sizes, sums))]
-                names = [*keep, "piece", "start", "length", "ids_crc32"]
-                if with_ids:
-                    out.append(pa.array(ids, pa.binary()))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(out, names)
+        for part in blocks(batches, len(keep), block):
+            row, number, begun, sizes, sums, ids = [], [], [], [], [], []
+            for k, tokens in enumerate(encode([t or "" for t in part.column(len(keep)).to_pylist()])):
+                tokens += end
+                n = len(tokens) // 4
+                start = 0
+                for p in range(-(-n // capacity)):
+                    stop = min(n, ((n - 1) % capacity + 1) + p * capacity)
+                    cut = tokens[4 * start : 4 * stop]
+                    row.append(k), number.append(p), begun.append(start), sizes.append(stop - start)
+                    sums.append(zlib.crc32(cut))
+                    if with_ids:
+                        ids.append(cut)
+                    start = stop
+            out = [part.column(i).take(pa.array(row, pa.int64())) for i in range(len(keep))]
+            out += [pa.array(number, pa.int32()), *(pa.array(x, pa.int64()) for x in (begun, sizes, sums))]
+            names = [*keep, "piece", "start", "length", "ids_crc32"]
+            if with_ids:
+                out.append(pa.array(ids, pa.binary()))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(out, names)
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1])
     more = ", ids binary" if with_ids else ""
