@@ -6,7 +6,10 @@ from importlib import import_module
 
 from floodmark.catalog.registry import Query
 
-MODULES = ("piece_codec", "exact_dedup", "near_dedup", "window_dedup", "quality", "chat", "secrets", "personal", "packing")
+MODULES = (
+    "piece_codec", "exact_dedup", "suffix_dedup", "near_dedup", "window_dedup",
+    "quality", "chat", "secrets", "personal", "packing",
+)
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
