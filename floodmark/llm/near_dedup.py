@@ -35,12 +35,13 @@ from floodmark.plans.staging import stage
 
 NAME = "op4_minhash_near_dedup"
 SQL = None
-COORDINATES, LONG_COORDINATES = 32, 256
+COORDINATES, LONG_COORDINATES, SHORT_COORDINATES = 32, 1024, 256
 #: Highest chance, per link at the threshold, that a count of collisions misses it.
 MISS = 1e-8
 #: Nodes on a side of a tile.
 TILE = 1024
-_C = [wh.mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(s)) | np.uint64(1) for n, s in ((COORDINATES, 0xA24BAED4963EE407), (LONG_COORDINATES, 0x9FB21C651E98DF25))]
+_C64 = wh.mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
+_C32 = (wh.mix(np.arange(1, LONG_COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25)) | np.uint64(1)).astype(np.uint32)
 
 
 @lru_cache
@@ -57,7 +58,7 @@ def least_matches(coordinates: int, percent: int) -> int:
 def shingle_sets(column: pa.Array, size: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; fewer words than ``size`` make one shingle."""
     data, offsets = utf8(column)
-    hashes, _, _, cuts = wh.words(data, offsets, lower=True)
+    hashes, cuts = wh.words(data, offsets, lower=True)
     at, rows = wh.windows(hashes, cuts, size)
     shingles = wh.window_hashes(hashes, at, size)
     bounds = np.searchsorted(rows, np.arange(len(column) + 1))
@@ -72,16 +73,16 @@ def shingle_sets(column: pa.Array, size: int) -> list[np.ndarray]:
 
 
 def minima(values: np.ndarray, constants: np.ndarray) -> np.ndarray:
-    """Smallest value of every coordinate's hash, in slices of bounded memory."""
-    best = np.full(len(constants), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(values), 4096):
-        part = values[at : at + 4096]
+    """Smallest value of every coordinate's hash, in slices of bounded memory. Its low bits tell the shingle."""
+    best = np.full(len(constants), np.iinfo(constants.dtype).max, constants.dtype)
+    for at in range(0, len(values), 512):
+        part = values[at : at + 512]
         np.minimum(best, ((part[None, :] ^ constants[:, None]) * constants[:, None]).min(1), out=best)
     return best
 
 
 def _digest(values: np.ndarray) -> tuple[int, int]:
-    return tuple(int(wh.mix(values ^ c).sum().view(np.int64)) for c in _C[0][:2])
+    return tuple(int(wh.mix(values ^ c).sum().view(np.int64)) for c in _C64[:2])
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
@@ -93,7 +94,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
         for part in blocks(batches, 1, 2 << 20):
             sets = shingle_sets(part.column(1), size)
             digests = [_digest(s) for s in sets]
-            tokens = [((minima(wh.mix(s), _C[0]) >> np.uint64(32)) | place).view(np.int64) if len(s) else [] for s in sets]
+            tokens = [((minima(wh.mix(s), _C64) & np.uint64(0xFFFFFFFF)) | place).view(np.int64) if len(s) else [] for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([len(s) for s in sets], pa.int64()), *(pa.array([d[k] for d in digests], pa.int64()) for k in (0, 1)), pa.array(tokens, pa.list_(pa.int64()))],
                 ["_id", "_n", "_d1", "_d2", "_tokens"],
@@ -110,7 +111,7 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
         for part in blocks(batches, 1, 2 << 20):
             sets = shingle_sets(part.column(1), size)
             digests = [_digest(s) for s in sets]
-            longs = [(minima(wh.mix(s), _C[1]) >> np.uint64(56)).astype(np.uint8).tobytes() for s in sets]
+            longs = [minima((wh.mix(s) >> np.uint64(32)).astype(np.uint32), _C32).astype(np.uint8).tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), *(pa.array([d[k] for d in digests], pa.int64()) for k in (0, 1)), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(longs, pa.binary())],
                 ["_id", "_d1", "_d2", "_set", "_long"],
@@ -142,13 +143,25 @@ def _filtered(pairs: DataFrame, left: str, right: str, keep) -> DataFrame:
     return pairs.mapInArrow(run, schema)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (``_a``, ``_b``) whose full sets reach the threshold, after the count of collisions."""
-    enough = least_matches(LONG_COORDINATES, percent)
+def _colliding(long: np.ndarray, others: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows of ``others`` collide often enough with ``long`` (one row, or a row each); a part is counted first."""
+    part = slice(0, SHORT_COORDINATES)
+    enough = (others[:, part] == long[..., part]).sum(1) >= least_matches(SHORT_COORDINATES, percent)
+    at = np.flatnonzero(enough)
+    rest = long[at] if long.ndim > 1 else long
+    enough[at] = (others[at] == rest).sum(1) >= least_matches(LONG_COORDINATES, percent)
+    return enough
+
+
+def _longs(raw: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(raw), np.uint8).reshape(-1, LONG_COORDINATES)
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, counted: bool) -> DataFrame:
+    """Pairs (``_a``, ``_b``) whose full sets reach the threshold; collisions come first unless they are ``counted``."""
 
     def collide(a: list[bytes], b: list[bytes]) -> np.ndarray:
-        left, right = (np.frombuffer(b"".join(x), np.uint8).reshape(-1, LONG_COORDINATES) for x in (a, b))
-        return (left == right).sum(1) >= enough
+        return _colliding(_longs(a), _longs(b), percent)
 
     def alike(a: list[bytes], b: list[bytes]) -> list[bool]:
         out = []
@@ -158,7 +171,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             out.append(100 * both >= percent * (len(x) + len(y) - both))
         return out
 
-    for column, keep in (("_long", collide), ("_set", alike)):
+    for column, keep in (("_long", collide), ("_set", alike))[counted:]:
         a, b = (sets.select(F.col("_node").alias(k), F.col(column).alias(f"{k}x")) for k in ("_a", "_b"))
         pairs = _filtered(pairs.join(a, "_a").join(b, "_b"), "_ax", "_bx", keep)
     return pairs
@@ -192,7 +205,6 @@ def across(posted: DataFrame, sets: DataFrame, labels: DataFrame, percent: int)
     every = nodes.withColumns({"_c": F.pmod(slot, "_cols"), "_r": F.explode(F.sequence(F.lit(0).cast("long"), F.col("_rows") - F.lit(1).cast("long"))), "_side": F.lit(1)})
     columns = ["_token", "_r", "_c", "_side", "_node", "_label", "_long", "_prefix"]
     tiles = small.select(*columns).unionByName(every.select(*columns))
-    enough = least_matches(LONG_COORDINATES, percent)
     node_type = tiles.schema["_node"].dataType.simpleString()
 
     def compare(tile: pa.Table) -> pa.Table:
@@ -201,13 +213,13 @@ def across(posted: DataFrame, sets: DataFrame, labels: DataFrame, percent: int)
         token = tile.column("_token")[0].as_py()
         labels = tile.column("_label").to_pylist()
         codes = np.unique(np.array(labels, dtype=object).astype(str), return_inverse=True)[1]
-        long = np.frombuffer(b"".join(tile.column("_long").to_pylist()), np.uint8).reshape(-1, LONG_COORDINATES)
+        long = _longs(tile.column("_long").to_pylist())
         node, prefix = tile.column("_node").to_pylist(), tile.column("_prefix").to_pylist()
         rows, cols = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         found: set[tuple] = set()
         for i in rows:
             other = cols[codes[cols] != codes[i]]
-            for j in other[(long[other] == long[i]).sum(1) >= enough]:
+            for j in other[_colliding(long[i], long[other], percent)]:
                 if min(set(prefix[i]) & set(prefix[j])) == token:  # the other lists that both are in leave the pair to this one
                     found.add((min(node[i], node[j]), max(node[i], node[j])))
         kind = tile.schema.field("_node").type
@@ -230,9 +242,9 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, id_column: st
     sets = sets.withColumnRenamed("_id", "_node").join(wanted, ["_node", "_d1", "_d2"]).drop("_d1", "_d2")
     sets = stage(sets.dropDuplicates(["_node"]), "sets")
     posted = chosen.select("_node", F.explode("_prefix").alias("_token"))
-    links = stage(confirmed(stars(posted), sets, percent), "star-links")
+    links = stage(confirmed(stars(posted), sets, percent, counted=False), "star-links")
     labels = components(links, "_a", "_b")
-    more = confirmed(across(posted, sets, labels, percent), sets, percent)
+    more = confirmed(across(posted, sets, labels, percent), sets, percent, counted=True)
     labels = components(links.unionByName(more), "_a", "_b")
     found = signed.select("_id", *key).join(nodes.select(*key, "_node"), key, "left")
     found = found.join(labels.select(F.col("node").alias("_node"), "component"), "_node", "left")
