@@ -21,7 +21,7 @@ from floodmark.llm.textscan import utf8
 from floodmark.plans.sizing import size_in_bytes
 
 #: Text bytes per chunk of a map task; file bytes of the input per bucket.
-CHUNK_BYTES, BUCKET_BYTES = 16 << 20, 8 << 20
+CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 8 << 20
 FIELDS = [("_bucket", pa.int32()), ("_settled", pa.bool_()), *((c, pa.binary()) for c in ("_ids", "_counts", "_offsets", "_keys", "_rest"))]
 SCHEMA = pa.schema(FIELDS)
 DDL = "_bucket int, _settled boolean, _ids binary, _counts binary, _offsets binary, _keys binary, _rest binary"
@@ -108,10 +108,10 @@ def packed(
     yield pa.RecordBatch.from_arrays([pa.array(rows[n], t) for n, t in FIELDS], schema=SCHEMA)
 
 
-def unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Ids and offsets of packed rows."""
     ids, counts, offsets = (b"".join(table.column(c).to_pylist()) for c in ("_ids", "_counts", "_offsets"))
-    return np.repeat(np.frombuffer(ids, np.int64), np.frombuffer(counts, np.int32)), np.frombuffer(offsets, np.int32), None
+    return np.repeat(np.frombuffer(ids, np.int64), np.frombuffer(counts, np.int32)), np.frombuffer(offsets, np.int32)
 
 
 def marks(ids: np.ndarray, offsets: np.ndarray) -> pa.Table:
@@ -130,7 +130,7 @@ def resolve(occurrences: DataFrame, every: bool) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         done = table.column("_settled").to_numpy().astype(bool)
         own = table.filter(pa.array(~done))
-        ids, offsets, _ = unpacked(own)
+        ids, offsets = unpacked(own)
         keys = [np.frombuffer(b"".join(own.column("_keys").to_pylist()), np.uint64)]
         rest = b"".join(own.column("_rest").to_pylist())
         order = np.lexsort((offsets, ids))
@@ -139,7 +139,7 @@ def resolve(occurrences: DataFrame, every: bool) -> DataFrame:
         keys[0] = keys[0][order]
         ids, offsets = ids[order], offsets[order]
         _, found = settle(ids, offsets, keys, every)
-        more, at, _ = unpacked(table.filter(pa.array(done)))
+        more, at = unpacked(table.filter(pa.array(done)))
         return marks(np.concatenate([ids[found], more]), np.concatenate([offsets[found], at]))
 
     return occurrences.groupBy("_bucket").applyInArrow(run, MARKS)

@@ -41,7 +41,7 @@ def anchors(docs: DataFrame, buckets: int) -> DataFrame:
 
     def work(chunk: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         data, offsets = utf8(chunk.column(1))
-        hashes, _, _, cuts = wh.words(data, offsets)
+        hashes, cuts = wh.words(data, offsets)
         at, rows = wh.windows(hashes, cuts, ANCHOR)
         place = at - cuts[rows]
         chosen = cover[place % PERIOD]
@@ -57,8 +57,9 @@ def windows(docs: DataFrame, buckets: int) -> DataFrame:
     """Packed windows around the repeated anchors (``_marks``)."""
 
     def work(chunk: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        chunk = chunk.filter(chunk.column(2).is_valid())  # here, so that both joins read one exchange of the texts
         data, offsets = utf8(chunk.column(1))
-        hashes, _, _, cuts = wh.words(data, offsets)
+        hashes, cuts = wh.words(data, offsets)
         near = np.zeros(len(hashes) + 1, np.int32)
         for k, lists in enumerate(chunk.column(2).to_pylist()):
             at = oc.offsets_of(lists).astype(np.int64)
@@ -82,7 +83,7 @@ def remove_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """``_id``, ``n_words``, ``n_removed`` and ``kept`` (the words that stay, joined by one space) of every row."""
     texts = docs.select(F.col(id_column).cast("long").alias("_id"), F.col(text_column).alias("_text"))
     buckets = oc.bucket_count(docs)
-    near = oc.marked(texts, oc.resolve(anchors(texts, buckets), every=True)).where("_marks is not null")
+    near = oc.marked(texts, oc.resolve(anchors(texts, buckets), every=True))
     found = oc.resolve(windows(near, buckets), every=False)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

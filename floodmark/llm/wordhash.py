@@ -55,12 +55,18 @@ def stretches(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np
     return (sums[ends] - sums[starts]) * down[starts]
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, first and end byte of every word, and the n + 1 offsets of the texts into them."""
-    starts, ends = runs(~_SPACE[data], offsets)
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word, and the n + 1 offsets of the texts into them; whole texts of about ``block`` bytes at a time."""
     table = _BYTE[_LOWER] if lower else _BYTE
-    hashes = mix(stretches(table[data], starts, ends, _R) + (ends - starts).astype(np.uint64)) if len(starts) else np.zeros(0, np.uint64)
-    return hashes, starts, ends, np.searchsorted(starts, offsets)
+    hashes, cuts, n, row = [], [np.zeros(1, np.int64)], 0, 0
+    while row < len(offsets) - 1:
+        stop = max(int(np.searchsorted(offsets, offsets[row] + block, "right")) - 1, row + 1)
+        part, own = data[offsets[row] : offsets[stop]], offsets[row : stop + 1] - offsets[row]
+        starts, ends = runs(~_SPACE[part], own)
+        hashes.append(mix(stretches(table[part], starts, ends, _R) + (ends - starts).astype(np.uint64)))
+        cuts.append(n + np.searchsorted(starts, own[1:]))
+        n, row = n + len(starts), stop
+    return np.concatenate([np.zeros(0, np.uint64), *hashes]), np.concatenate(cuts)
 
 
 def windows(hashes: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
