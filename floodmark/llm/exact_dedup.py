@@ -82,8 +82,9 @@ def dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     """The rows of ``docs`` that stay, with all their columns."""
     names = [F.col(c) for c in docs.columns]
     gone = exact_groups(docs, id_column, text_column).where(~F.col("_id").eqNullSafe(F.col("keep_id")))
-    gone = gone.select(F.col("_id").alias("__gone_id")).distinct()
-    return docs.join(gone, F.col(id_column).eqNullSafe(F.col("__gone_id")), "left_anti").select(*names)
+    gone = gone.select(F.col("_id").alias("__id"), F.col("_sha").alias("__sha")).distinct()
+    same = F.col(id_column).eqNullSafe(F.col("__id")) & (F.unhex(F.sha2(normalised(F.col(text_column)), 256)) == F.col("__sha"))
+    return docs.join(gone, same, "left_anti").select(*names)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -168,5 +168,16 @@ def judge(docs: DataFrame, keep: list[str], host_column: str = "source", text_co
     return verdict.select(*keep, *COUNTS, "base_failed", kept.alias("kept"))
 
 
+def keep_good(docs: DataFrame, id_column: str = "doc_id", host_column: str = "source", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns. Rows are told apart by id and text."""
+    names = [F.col(c) for c in docs.columns]
+    told = docs.select(
+        F.col(id_column).alias("__id"), F.xxhash64(text_column).alias("__text"), F.col(host_column).alias("__host"), F.col(text_column).alias("__in")
+    )
+    gone = judge(told, ["__id", "__text"], "__host", "__in").where("not kept").select("__id", "__text").distinct()
+    same = F.col(id_column).eqNullSafe(F.col("__id")) & (F.xxhash64(text_column) == F.col("__text"))
+    return docs.join(gone, same, "left_anti").select(*names)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(spark.read.parquet(f"{sf_dir}/documents.parquet"), ["doc_id"])
