@@ -59,6 +59,9 @@ class ByteTokenizer:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
+        resize = getattr(self.library.model, "_resize_cache", None)
+        if resize is not None:
+            resize(0)  # the memo holds what comes back; the library's own cache only costs time on new chunks
         names = sorted(self.library.get_vocab().items(), key=lambda x: x[1])
         self.widths = np.zeros(names[-1][1] + 1, np.int64)  # one character of a byte-level token is one byte
         self.widths[[i for _, i in names]] = [len(t) for t, _ in names]
