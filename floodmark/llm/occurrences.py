@@ -22,15 +22,26 @@ from floodmark.plans.sizing import size_in_bytes
 
 #: Text bytes per chunk of a map task; file bytes of the input per bucket.
 CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 8 << 20
+#: Estimates from here on stand for an unknown size.
+UNKNOWN_SIZE = 1 << 50
 FIELDS = [("_bucket", pa.int32()), ("_settled", pa.bool_()), *((c, pa.binary()) for c in ("_ids", "_counts", "_offsets", "_keys", "_rest"))]
 SCHEMA = pa.schema(FIELDS)
 DDL = "_bucket int, _settled boolean, _ids binary, _counts binary, _offsets binary, _keys binary, _rest binary"
 MARKS = "_id long, _marks binary"
 
 
-def bucket_count(docs: DataFrame) -> int:
+def input_bytes(docs: DataFrame, text_column: str) -> int:
+    """Bytes of the input as Catalyst estimates them; inputs of unknown size are measured by one aggregate."""
+    size = size_in_bytes(docs)
+    if size < UNKNOWN_SIZE:
+        return size
+    return docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0
+
+
+def parts(docs: DataFrame, text_column: str, per_part: int) -> int:
+    """Number of buckets or groups: the session's shuffle partitions, or more so that each covers ``per_part`` bytes."""
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, -(-size_in_bytes(docs) // BUCKET_BYTES))
+    return max(least, -(-input_bytes(docs, text_column) // per_part))
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: int, most_bytes: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:

@@ -210,7 +210,8 @@ class PieceModel:
             text = joined.decode()
         except UnicodeDecodeError:
             text = self._decode_bytewise(ids)
-        return text[1:] if text.startswith(" ") else text
+        first = next((i for i in ids[:8].tolist() if self.surfaces[i]), NONE)  # behind begin marks
+        return text[1:] if text.startswith(" ") and first not in self.raw else text
 
     def _decode_bytewise(self, ids: np.ndarray) -> str:
         """Invalid byte sequences give one replacement character per byte; runs of byte pieces stand alone."""

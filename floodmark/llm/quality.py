@@ -68,8 +68,8 @@ v AS (
          AS between_hosts
   FROM h, m GROUP BY mean, hosts, total, squares
 ), s AS (
-  SELECT mean, CASE WHEN between_hosts > 0 AND mean * (1 - mean) > between_hosts
-         THEN least(mean * (1 - mean) / between_hosts - 1, 1000000) ELSE 1000000 END AS strength FROM v
+  SELECT mean, CASE WHEN between_hosts > 0
+         THEN least(greatest(mean * (1 - mean) / between_hosts - 1, 0), 1000000) ELSE 1000000 END AS strength FROM v
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT (soft_failed AND (k + strength * mean) / (n + strength) > 0.5) AS kept
@@ -152,7 +152,7 @@ def host_rates(judged: DataFrame) -> DataFrame:
     binomial = mean * (1 - mean)
     scale = total - squares / total if total else 0.0
     variance = (between - (size - 1) * binomial) / scale if scale else 0.0
-    strength = min(binomial / variance - 1, MAX_STRENGTH) if 0 < variance < binomial else MAX_STRENGTH
+    strength = min(max(binomial / variance - 1, 0.0), MAX_STRENGTH) if variance > 0 else MAX_STRENGTH
     return hosts.select("_host", ((k + strength * mean) / (n + strength)).alias("_rate"))
 
 

@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from floodmark.llm import bwt
 from floodmark.llm import wordhash as wh
+from floodmark.llm.occurrences import parts
 from floodmark.llm.textscan import utf8
-from floodmark.plans.sizing import size_in_bytes
 
 NAME = "op3_suffix_array"
 SQL = None
@@ -297,9 +297,7 @@ def _merged(batch: np.ndarray, group, ids, starts, sizes, at, text) -> tuple[np.
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (the remaining bytes) of every row."""
     texts = docs.select(F.col(id_column).cast("long").alias("_id"), F.col(text_column).alias("_text"))
-    size = size_in_bytes(docs)
-    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
-    groups = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // GROUP_BYTES))
+    buckets, groups = (parts(texts, "_text", n) for n in (BUCKET_BYTES, GROUP_BYTES))
     flags = shared_keys(piece_keys(texts, groups, buckets))
     found = repeats(shared_pieces(texts, flags, groups, buckets))
 

@@ -82,7 +82,7 @@ def windows(docs: DataFrame, buckets: int) -> DataFrame:
 def remove_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``_id``, ``n_words``, ``n_removed`` and ``kept`` (the words that stay, joined by one space) of every row."""
     texts = docs.select(F.col(id_column).cast("long").alias("_id"), F.col(text_column).alias("_text"))
-    buckets = oc.bucket_count(docs)
+    buckets = oc.parts(texts, "_text", oc.BUCKET_BYTES)
     near = oc.marked(texts, oc.resolve(anchors(texts, buckets), every=True))
     found = oc.resolve(windows(near, buckets), every=False)
 
