@@ -13,8 +13,8 @@
    pairs within one component are the only ones left out.
 4. Components come from alternating star contraction. Links and labels stay in tables.
 
-Texts without words are linked with nothing; null counts as empty. Rows that share an id count as one document. A null
-id takes no part in links and is its own (null) component. Only the id and the text are read.
+Texts without words are linked with nothing; null counts as empty. Rows that share an id count as one document. A
+null id names no node: such a row has the component of its equal set, if a row with an id has that set, and null otherwise. Only the id and the text are read.
 """
 
 from __future__ import annotations

@@ -3,7 +3,8 @@
 A map task turns a chunk of texts into keys with positions (document id, offset). Within the chunk equal keys are
 settled at once; one position per distinct key goes on to the key's bucket, so a key that a third of all
 documents hold reaches its bucket once per chunk. Buckets cut the key space evenly and their number follows the input, so
-a bucket fits a task. What a bucket finds goes back to the documents as packed offsets, joined by id.
+a bucket fits a task. What a bucket finds goes back to groups of documents (by a hash of the id), packed again, so
+the exchanges hold rows per pair of bucket and group and not per position.
 
 Ids are integers; rows without an id are left out of every comparison.
 """
@@ -14,7 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from floodmark.llm.textscan import utf8
@@ -27,7 +28,7 @@ UNKNOWN_SIZE = 1 << 50
 FIELDS = [("_bucket", pa.int32()), ("_settled", pa.bool_()), *((c, pa.binary()) for c in ("_ids", "_counts", "_offsets", "_keys", "_rest"))]
 SCHEMA = pa.schema(FIELDS)
 DDL = "_bucket int, _settled boolean, _ids binary, _counts binary, _offsets binary, _keys binary, _rest binary"
-MARKS = "_id long, _marks binary"
+MARKS = "_group int, _ids binary, _counts binary, _offsets binary"
 
 
 def input_bytes(docs: DataFrame, text_column: str) -> int:
@@ -125,18 +126,42 @@ def unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.frombuffer(ids, np.int64), np.frombuffer(counts, np.int32)), np.frombuffer(offsets, np.int32)
 
 
-def marks(ids: np.ndarray, offsets: np.ndarray) -> pa.Table:
-    """One row per document with its offsets."""
-    order = np.lexsort((offsets, ids))
-    ids, offsets = ids[order], offsets[order]
-    cuts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else np.zeros(0, np.int64)
-    bounds = (4 * np.append(cuts, len(ids))).astype(np.int32)
-    data = pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(offsets.astype(np.int32).tobytes())])
-    return pa.table([pa.array(ids[cuts], pa.int64()), data], names=["_id", "_marks"])
+def group_column(ids: Column, groups: int) -> Column:
+    folded = ids.bitwiseXOR(F.shiftright(ids, 15)).bitwiseXOR(F.shiftright(ids, 31))
+    return F.pmod(folded, F.lit(groups)).cast("int")
 
 
-def resolve(occurrences: DataFrame, every: bool) -> DataFrame:
-    """``_id``, ``_marks``: positions whose key occurs elsewhere (``every``) or, otherwise, at an earlier position."""
+def group_of(ids: np.ndarray, groups: int) -> np.ndarray:
+    """``group_column`` for arrays."""
+    return np.mod(ids ^ (ids >> 15) ^ (ids >> 31), groups)
+
+
+def grouped(texts: DataFrame, groups: int) -> GroupedData:
+    return texts.withColumn("_group", group_column(F.col("_id"), groups)).groupBy("_group")
+
+
+def runs_of(values: np.ndarray) -> np.ndarray:
+    """Starts of the runs of equal values."""
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
+
+
+def marks(ids: np.ndarray, offsets: np.ndarray, groups: int) -> pa.Table:
+    """One row per group of documents with its ids and their offsets."""
+    group = group_of(ids, groups)
+    order = np.lexsort((offsets, ids, group))
+    ids, offsets, group = ids[order], offsets[order].astype(np.int32), group[order]
+    rows = []
+    bounds = np.append(runs_of(group), len(group))
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        own = runs_of(ids[a:b])
+        counts = np.diff(np.append(own, b - a)).astype(np.int32)
+        rows.append((int(group[a]), ids[a:b][own].tobytes(), counts.tobytes(), offsets[a:b].tobytes()))
+    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["_group", "_ids", "_counts", "_offsets"])
+
+
+def resolve(occurrences: DataFrame, every: bool, groups: int) -> DataFrame:
+    """Rows of ``MARKS``: positions whose key occurs elsewhere (``every``) or, otherwise, at an earlier position."""
 
     def run(table: pa.Table) -> pa.Table:
         done = table.column("_settled").to_numpy().astype(bool)
@@ -151,19 +176,23 @@ def resolve(occurrences: DataFrame, every: bool) -> DataFrame:
         ids, offsets = ids[order], offsets[order]
         _, found = settle(ids, offsets, keys, every)
         more, at = unpacked(table.filter(pa.array(done)))
-        return marks(np.concatenate([ids[found], more]), np.concatenate([offsets[found], at]))
+        return marks(np.concatenate([ids[found], more]), np.concatenate([offsets[found], at]), groups)
 
     return occurrences.groupBy("_bucket").applyInArrow(run, MARKS)
 
 
-def marked(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``_id``, ``_text`` and ``_marks`` (a list of packed offsets, null without any) of every row."""
-    own = found.groupBy("_id").agg(F.collect_list("_marks").alias("_marks"))
-    return docs.join(own, "_id", "left")
+class Marks:
+    """Offsets by document id, from the rows of a group."""
 
+    def __init__(self, table: pa.Table):
+        ids, offsets = unpacked(table)
+        order = np.lexsort((offsets, ids))
+        self.ids, self.offsets = ids[order], offsets[order].astype(np.int64)
 
-def offsets_of(lists: list[bytes] | None) -> np.ndarray:
-    return np.frombuffer(b"".join(lists or ()), np.int32)
+    def of(self, row_id: int | None) -> np.ndarray:
+        if row_id is None:
+            return self.offsets[:0]
+        return self.offsets[np.searchsorted(self.ids, row_id) : np.searchsorted(self.ids, row_id, "right")]
 
 
 def mapped(docs: DataFrame, text: int, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]) -> DataFrame:

@@ -20,12 +20,13 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floodmark.llm import occurrences as oc
 from floodmark.llm import wordhash as wh
-from floodmark.llm.textscan import blocks, utf8
+from floodmark.llm.textscan import utf8
 
 NAME = "op5_difference_cover"
 SQL = None
@@ -53,22 +54,26 @@ def anchors(docs: DataFrame, buckets: int) -> DataFrame:
     return oc.mapped(docs, 1, work)
 
 
-def windows(docs: DataFrame, buckets: int) -> DataFrame:
-    """Packed windows around the repeated anchors (``_marks``)."""
+def windows(texts: DataFrame, near: DataFrame, buckets: int, groups: int) -> DataFrame:
+    """Packed windows around the repeated anchors (``near``)."""
 
-    def work(chunk: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        chunk = chunk.filter(chunk.column(2).is_valid())  # here, so that both joins read one exchange of the texts
+    def work(docs: pa.Table, anchors_near: pa.Table) -> pa.Table:
+        known = oc.Marks(anchors_near)
+        batches = docs.select(["_id", "_text"]).filter(pc.is_in(docs.column("_id"), pa.array(np.unique(known.ids)))).to_batches()
+        out = [r for chunk in oc.chunks(iter(batches), 1) for r in around(chunk, known)]
+        return pa.Table.from_batches(out, schema=oc.SCHEMA)
+
+    def around(chunk: pa.RecordBatch, known: oc.Marks) -> Iterator[pa.RecordBatch]:
         data, offsets = utf8(chunk.column(1))
         hashes, cuts = wh.words(data, offsets)
-        near = np.zeros(len(hashes) + 1, np.int32)
-        for k, lists in enumerate(chunk.column(2).to_pylist()):
-            at = oc.offsets_of(lists).astype(np.int64)
-            n = cuts[k + 1] - cuts[k] - WINDOW + 1
+        edges = np.zeros(len(hashes) + 1, np.int32)
+        for k, row_id in enumerate(chunk.column(0).to_pylist()):
+            at, n = known.of(row_id), cuts[k + 1] - cuts[k] - WINDOW + 1
             first, last = np.maximum(at + ANCHOR - WINDOW, 0), np.minimum(at + 1, n)
             some = first < last
-            np.add.at(near, cuts[k] + first[some], 1)
-            np.add.at(near, cuts[k] + last[some], -1)
-        at = np.flatnonzero(np.cumsum(near[:-1]) > 0)
+            np.add.at(edges, cuts[k] + first[some], 1)
+            np.add.at(edges, cuts[k] + last[some], -1)
+        at = np.flatnonzero(np.cumsum(edges[:-1]) > 0)
         rows = np.searchsorted(cuts, at, "right") - 1
         keys = wh.window_hashes(hashes, at, WINDOW)
         rest = (wh.window_hashes(hashes, at, WINDOW, second=True) >> np.uint64(32)).astype(np.uint32)
@@ -76,37 +81,32 @@ def windows(docs: DataFrame, buckets: int) -> DataFrame:
         heads, settled = oc.settle(ids, place, [keys, rest], every=False)
         yield from oc.packed(ids, place, keys, rest, settled, heads, buckets)
 
-    return oc.mapped(docs, 1, work)
+    return oc.grouped(texts, groups).cogroup(near.groupBy("_group")).applyInArrow(work, oc.DDL)
 
 
 def remove_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``_id``, ``n_words``, ``n_removed`` and ``kept`` (the words that stay, joined by one space) of every row."""
     texts = docs.select(F.col(id_column).cast("long").alias("_id"), F.col(text_column).alias("_text"))
-    buckets = oc.parts(texts, "_text", oc.BUCKET_BYTES)
-    near = oc.marked(texts, oc.resolve(anchors(texts, buckets), every=True))
-    found = oc.resolve(windows(near, buckets), every=False)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in blocks(batches, 1):
-            n, gone, kept = [], [], []
-            for text, lists in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
-                split = (text or "").encode().split()
-                n.append(len(split))
-                if lists:
-                    edges = np.zeros(len(split) + WINDOW + 1, np.int32)
-                    at = oc.offsets_of(lists)
-                    np.add.at(edges, at, 1)
-                    np.add.at(edges, at + WINDOW, -1)
-                    stays = np.cumsum(edges)[: len(split)] == 0
-                    split = list(compress(split, stays.tolist()))
-                gone.append(n[-1] - len(split))
-                kept.append(b" ".join(split))
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
-                ["_id", "n_words", "n_removed", "kept"],
-            )
-
-    return oc.marked(texts, found).mapInArrow(cut, "_id long, n_words long, n_removed long, kept string")
+    buckets = groups = oc.parts(texts, "_text", oc.BUCKET_BYTES)
+    near = oc.resolve(anchors(texts, buckets), True, groups)
+    found = oc.resolve(windows(texts, near, buckets, groups), False, groups)
+
+    def cut(own: pa.Table, gone: pa.Table) -> pa.Table:
+        known, rows = oc.Marks(gone), []
+        for row_id, text in zip(own.column("_id").to_pylist(), own.column("_text").to_pylist()):
+            split = (text or "").encode().split()
+            n, at = len(split), known.of(row_id)
+            if len(at):
+                edges = np.zeros(n + WINDOW + 1, np.int32)
+                np.add.at(edges, at, 1)
+                np.add.at(edges, at + WINDOW, -1)
+                split = list(compress(split, (np.cumsum(edges)[:n] == 0).tolist()))
+            rows.append((n, n - len(split), b" ".join(split).decode()))
+        kinds = (pa.int64(), pa.int64(), pa.string())
+        return pa.table([own.column("_id"), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=["_id", "n_words", "n_removed", "kept"])
+
+    schema = "_id long, n_words long, n_removed long, kept string"
+    return oc.grouped(texts, groups).cogroup(found.groupBy("_group")).applyInArrow(cut, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

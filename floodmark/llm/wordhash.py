@@ -26,7 +26,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _R)
+BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _R)
 _LOWER = np.arange(256)
 _LOWER[65:91] += 32
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -57,7 +57,7 @@ def stretches(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np
 
 def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word, and the n + 1 offsets of the texts into them; whole texts of about ``block`` bytes at a time."""
-    table = _BYTE[_LOWER] if lower else _BYTE
+    table = BYTE[_LOWER] if lower else BYTE
     hashes, cuts, n, row = [], [np.zeros(1, np.int64)], 0, 0
     while row < len(offsets) - 1:
         stop = max(int(np.searchsorted(offsets, offsets[row] + block, "right")) - 1, row + 1)
