@@ -36,6 +36,8 @@ NAME = "op3_suffix_array"
 SQL = None
 LENGTH = 100
 GRAM = 32
+#: Bytes that are hashed at once.
+BLOCK = 1 << 20
 #: File bytes of the input per group of documents and per bucket.
 GROUP_BYTES, BUCKET_BYTES = 5 << 20, 8 << 20
 HOT_GROUPS = 20_000
@@ -61,28 +63,25 @@ class Pieces:
             self._find()
 
     def _find(self) -> None:
-        data, offsets = self.data, self.offsets
-        grams = np.arange(len(data) - GRAM + 1)
-        hashes = wh.mix(wh.stretches(wh._BYTE[data], grams, grams + GRAM, _G))
-        least = (hashes & np.uint64(0xFFFFFFFF00000000)) | grams.astype(np.uint64)  # order value, then the leftmost place
-        span, width = 1, LENGTH - GRAM + 1
-        while 2 * span <= width:
-            least = np.minimum(least[:-span], least[span:])
-            span *= 2
-        rest = width - span
-        least = np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
-        at = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)[: len(data) - LENGTH + 1]
-        counts = np.maximum(np.diff(offsets) - (LENGTH - 1), 0)
-        rows = np.repeat(np.arange(len(counts)), counts)
-        windows = np.arange(len(rows)) - (np.cumsum(counts) - counts)[rows] + offsets[:-1][rows]
-        if not len(windows):
-            return
-        chosen = at[windows]
-        new = np.concatenate([[True], (chosen[1:] != chosen[:-1]) | (rows[1:] != rows[:-1])])
+        """Pieces of the windows, some BLOCK of them at a time; a piece also ends where a block does."""
+        found = []
+        for begin in range(0, len(self.data) - LENGTH + 1, BLOCK):
+            part = self.data[begin : begin + BLOCK + LENGTH - 1]
+            places = np.arange(begin, begin + len(part) - LENGTH + 1)
+            rows = np.searchsorted(self.offsets, places, "right") - 1
+            inside = places + LENGTH <= self.offsets[rows + 1]
+            if inside.any():
+                at, keys = _minimizers(part)
+                found.append(self._runs(at[inside], keys, places[inside], rows[inside]))
+        if found:
+            self.first, self.last, self.row, self.key = (np.concatenate([f[k] for f in found]) for k in range(4))
+
+    @staticmethod
+    def _runs(at: np.ndarray, keys: np.ndarray, places: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+        new = np.concatenate([[True], (at[1:] != at[:-1]) | (rows[1:] != rows[:-1])])
         begin = np.flatnonzero(new)
-        stop = np.append(begin[1:], len(windows)) - 1
-        self.first, self.last, self.row = windows[begin], windows[stop], rows[begin]
-        self.key = wh.mix(hashes[chosen[begin]] ^ _G)
+        stop = np.append(begin[1:], len(at)) - 1
+        return places[begin], places[stop], rows[begin], keys[at[begin]]
 
     def keep(self, chosen: np.ndarray) -> None:
         self.first, self.last, self.row, self.key = (x[chosen] for x in (self.first, self.last, self.row, self.key))
@@ -91,16 +90,43 @@ class Pieces:
         """The pieces ``hot`` become single windows, each under a key of its own text."""
         n = self.last[hot] - self.first[hot] + 1
         one = np.repeat(self.first[hot] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        key = wh.mix(wh.stretches(wh._BYTE[self.data], one, one + LENGTH, _W[0]))
+        key = prints(self.data, one, one + LENGTH)[0]
         row = np.repeat(self.row[hot], n)
         self.first, self.last = np.concatenate([self.first[~hot], one]), np.concatenate([self.last[~hot], one])
         self.row, self.key = np.concatenate([self.row[~hot], row]), np.concatenate([self.key[~hot], key])
 
     def prints(self) -> list[np.ndarray]:
-        """A 128-bit digest and the length of every piece."""
-        ends = self.last + LENGTH
-        values = wh._BYTE[self.data]
-        return [*(wh.mix(wh.stretches(values, self.first, ends, w)) for w in _W), ends - self.first]
+        return prints(self.data, self.first, self.last + LENGTH)
+
+
+def _minimizers(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every window the place of its smallest string (the leftmost one), and the keys of all strings."""
+    grams = np.arange(len(part) - GRAM + 1)
+    hashes = wh.mix(wh.stretches(wh.BYTE[part], grams, grams + GRAM, _G))
+    least = (hashes & np.uint64(0xFFFFFFFF00000000)) | grams.astype(np.uint64)  # order value, then the place
+    span, width = 1, LENGTH - GRAM + 1
+    while 2 * span <= width:
+        least = np.minimum(least[:-span], least[span:])
+        span *= 2
+    if width > span:
+        least = np.minimum(least[: span - width], least[width - span :])
+    return (least & np.uint64(0xFFFFFFFF)).astype(np.int64), wh.mix(hashes ^ _G)
+
+
+def prints(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """A 128-bit digest and the length of every stretch, some BLOCK bytes at a time."""
+    order = np.argsort(starts, kind="stable")
+    out = [np.zeros(len(starts), np.uint64) for _ in _W]
+    begin = 0
+    while begin < len(order):
+        low = starts[order[begin]]
+        stop = int(np.searchsorted(starts[order], low + BLOCK, "left"))
+        chosen = order[begin:stop]
+        values = wh.BYTE[data[low : ends[chosen].max()]]
+        for digest, base in zip(out, _W):
+            digest[chosen] = wh.mix(wh.stretches(values, starts[chosen] - low, ends[chosen] - low, base))
+        begin = stop
+    return [*out, ends - starts]
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -198,13 +224,13 @@ def shared_pieces(texts: DataFrame, flags: DataFrame, groups: int, buckets: int)
 def _deal(found: Pieces, group: int, buckets: int, columns: list[list]) -> None:
     """Rows of the pieces that are first of their kind in the group; the others are settled."""
     ids, starts = found.ids[found.row], found.first - found.offsets[found.row]
-    prints = found.prints()
-    order = np.lexsort((starts, ids, *prints))
-    same = np.concatenate([[False], *([np.logical_and.reduce([p[order][1:] == p[order][:-1] for p in prints])] if len(order) > 1 else [np.zeros(max(len(order) - 1, 0), bool)])])
-    same = same[: len(order)]
+    digests = found.prints()
+    order = np.lexsort((starts, ids, *digests))
+    same = np.zeros(len(order), bool)
+    same[1:] = np.logical_and.reduce([p[order][1:] == p[order][:-1] for p in digests])
     head = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))] if len(order) else order
     later = order[same & ((ids[order] != ids[head]) | (starts[order] != starts[head]))]
-    done = _intervals(np.zeros(len(later), np.int64), ids[later], starts[later], starts[later] + prints[2][later])
+    done = _intervals(np.zeros(len(later), np.int64), ids[later], starts[later], starts[later] + digests[2][later])
     if done.num_rows:
         for column, value in zip(columns, (group % buckets, group, *(done.column(c)[0].as_py() for c in ("_ids", "_starts", "_ends")), None, None)):
             column.append(value)
@@ -214,7 +240,7 @@ def _deal(found: Pieces, group: int, buckets: int, columns: list[list]) -> None:
     cuts = np.searchsorted(bucket_of(found.key[heads], buckets), np.arange(buckets + 1))
     for b in np.flatnonzero(np.diff(cuts)):
         at = heads[cuts[b] : cuts[b + 1]]
-        sizes = prints[2][at]
+        sizes = digests[2][at]
         places = np.repeat(found.first[at] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
         values = (int(b), group, planes(ids[at]), planes(starts[at].astype(np.int32)), planes(sizes.astype(np.int32)), planes(found.key[at]), found.data[places].tobytes())
         for column, value in zip(columns, values):
@@ -248,11 +274,10 @@ def _repeated(own: pa.Table) -> list[tuple[np.ndarray, ...]]:
     group = np.repeat(np.array(own.column("_group").to_pylist()), [len(s) // 4 for s in own.column("_sizes").to_pylist()])
     text = np.frombuffer(b"".join(own.column("_bytes").to_pylist()), np.uint8)
     at = np.cumsum(sizes) - sizes
-    values = wh._BYTE[text]
-    prints = [wh.mix(wh.stretches(values, at, at + sizes, w)) for w in _W]
-    order = np.lexsort((starts, ids, sizes, *prints, keys))
+    digests = prints(text, at, at + sizes)
+    order = np.lexsort((starts, ids, *digests, keys))
     equal = np.ones(max(len(order) - 1, 0), bool)
-    for p in (keys, sizes, *prints):
+    for p in (keys, *digests):
         equal &= p[order][1:] == p[order][:-1]
     same = np.concatenate([[False], equal])
     head = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
