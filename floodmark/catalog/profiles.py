@@ -206,11 +206,12 @@ def select_k_best(spark, sf_dir):
     return rounded(selection.select_k_best(flows(spark, sf_dir), FLOW_FEATURES, "label", 3), 4)
 
 
-@query("pca_reduce_two", f"""WITH {FLOW}, s AS (SELECT avg(l_quantity) AS mx, stddev_pop(l_quantity) AS sx, avg(l_extendedprice) AS my, stddev_pop(l_extendedprice) AS sy FROM flow),
-z AS (SELECT row_id, (l_quantity - mx) / sx AS x, (l_extendedprice - my) / sy AS y FROM flow, s)
+@query("pca_reduce_two", f"""WITH {FLOW}, s AS (SELECT avg(l_quantity) AS mx, stddev_pop(l_quantity) AS sx, avg(l_extendedprice) AS my, stddev_pop(l_extendedprice) AS sy,
+  CASE WHEN corr(l_quantity, l_extendedprice) < 0 THEN -1.0 ELSE 1.0 END AS side FROM flow),
+z AS (SELECT row_id, (l_quantity - mx) / sx AS x, side * (l_extendedprice - my) / sy AS y FROM flow, s)
 SELECT row_id, round(abs(x + y) / sqrt(2), 5) AS pc0, round(abs(x - y) / sqrt(2), 5) AS pc1 FROM z""")
 def pca_reduce_two(spark, sf_dir):
-    """Two scaled, positively correlated features: the components are the diagonals, up to sign."""
+    """Two scaled features: the components are the diagonals, the one along the correlation first, up to sign."""
     two = ["l_quantity", "l_extendedprice"]
     df = flows(spark, sf_dir)
     scaled = cleaning.standard_scaler_transform(df, cleaning.standard_scaler_fit(df, two))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from floodmark.catalog.registry import query, rounded
 from floodmark.catalog.standins import JUDGED, REQ, TRUTH, judged_flows, requests, truth_scores
 from floodmark.operators import enrich, ensemble, evaluation, splitting
+from floodmark.plans.ordering import below_fraction, order_hash
 
 CELLS_SQL = """count(*) FILTER (y <> -1 AND p <> -1) AS tn, count(*) FILTER (y <> -1 AND p = -1) AS fp,
   count(*) FILTER (y = -1 AND p <> -1) AS fn, count(*) FILTER (y = -1 AND p = -1) AS tp"""
@@ -70,7 +71,8 @@ def cost_weights(spark, sf_dir):
 @query("stacking")
 def stacking(spark, sf_dir):
     df = judged_flows(spark, sf_dir)
-    train, test = splitting.benign_split(df.withColumn("label", F.lit("Benign")), "row_id")
+    held_out = below_fraction(order_hash("stacking", "row_id"), 0.2)
+    train, test = df.filter(~held_out), df.filter(held_out)
     model = ensemble.stacking_fit(train, ["score_a", "score_b"])
     return rounded(evaluation.binary_metrics(ensemble.stacking_predict(test, model)))
 
@@ -78,7 +80,8 @@ def stacking(spark, sf_dir):
 @query("stacking_weighted")
 def stacking_weighted(spark, sf_dir):
     df = judged_flows(spark, sf_dir).withColumn("weight", ensemble.cost_weights())
-    train, test = splitting.benign_split(df.withColumn("label", F.lit("Benign")), "row_id")
+    held_out = below_fraction(order_hash("stacking", "row_id"), 0.2)
+    train, test = df.filter(~held_out), df.filter(held_out)
     model = ensemble.stacking_fit(train, ["score_a", "score_b"], weight="weight")
     return rounded(evaluation.binary_metrics(ensemble.stacking_predict(test, model)))
 

@@ -29,7 +29,8 @@ def trailing_rate_day(spark, sf_dir):
 def window_sql(size: int, slide: int, source: str = REQ, having: str = "") -> str:
     us, step = size * 1_000_000, slide * 1_000_000
     return f"""WITH {source},
-w AS (SELECT *, (ts_us // {step} - unnest(range(0, {size // slide}))) * {step} AS window_start_us FROM req)
+s AS (SELECT *, (ts_us // {step} - unnest(range(0, {-(-size // slide)}))) * {step} AS window_start_us FROM req),
+w AS (SELECT * FROM s WHERE window_start_us + {us} > ts_us)
 SELECT src, window_start_us, count(*) AS request_count, round(count(*) / {size}.0::DOUBLE, 6) AS request_rate,
   count(DISTINCT path) AS unique_paths, round(count(*) FILTER (status // 100 = 2) / count(*)::DOUBLE, 6) AS share_2xx,
   round(count(*) FILTER (status // 100 = 4) / count(*)::DOUBLE, 6) AS share_4xx,
@@ -47,6 +48,12 @@ def traffic_window_sliding(spark, sf_dir):
     return rounded(traffic.traffic_window(requests(spark, sf_dir), 60, 10))
 
 
+@query("traffic_window_uneven", window_sql(60, 25))
+def traffic_window_uneven(spark, sf_dir):
+    """The slide does not divide the size: panes of their greatest common divisor."""
+    return rounded(traffic.traffic_window(requests(spark, sf_dir), 60, 25))
+
+
 @query("traffic_window_day", window_sql(86400, 21600))
 def traffic_window_day(spark, sf_dir):
     return rounded(traffic.traffic_window(requests(spark, sf_dir), 86400, 21600))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from floodmark.functions.scores import flag_below
 from floodmark.operators.detect.thresholds import percentile_threshold
+from floodmark.plans.ordering import below_fraction, order_hash
 from floodmark.plans.moments import mean_and_covariance, sum_vectors
 from floodmark.plans.sizing import file_partitions, spread
 from floodmark.plans.staging import staged
@@ -154,13 +155,14 @@ def _seed_means(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     return means
 
 
-def _warm_start(df: DataFrame, columns: list[str], n: int, centre: np.ndarray, cov: np.ndarray, k: int, kind: str, max_iter: int, tol: float, seed: int) -> MixtureModel:
-    """EM on a bounded random sample inside one task: a start that saves most passes over the whole table."""
+def _warm_start(df: DataFrame, columns: list[str], n: int, centre: np.ndarray, cov: np.ndarray, k: int, kind: str, max_iter: int, tol: float, seed: int, start_rows: int) -> MixtureModel:
+    """EM on a sample of about ``start_rows`` rows inside one task: a start that saves most passes over the whole table."""
     d = len(columns)
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = [b.to_numpy(dtype=float) for b in batches]
         x = np.concatenate(rows) if rows else np.zeros((0, d))
+        x = x[np.lexsort(x.T)]
         weights, means, covs = np.full(k, 1.0 / k), np.tile(centre, (k, 1)), np.tile(cov / k + RIDGE * np.eye(d), (k, 1, 1))
         if len(x) >= k:
             means, previous = _seed_means(x, k, np.random.default_rng(seed)), -math.inf
@@ -173,12 +175,13 @@ def _warm_start(df: DataFrame, columns: list[str], n: int, centre: np.ndarray, c
                 previous = likelihood
         yield pd.DataFrame({"s": [np.concatenate([weights, means.ravel(), covs.ravel()])]})
 
-    sample = df.select(*columns).filter(F.rand(seed) < min(1.0, START_ROWS / max(n, 1)))
+    # chosen by a hash of the values, so that the start depends on the rows and not on their partitions
+    sample = df.select(*columns).filter(below_fraction(order_hash(seed, F.concat_ws(":", *columns)), min(1.0, start_rows / max(n, 1))))
     flat = sum_vectors(sample.repartition(1).mapInPandas(fit, "s array<double>"), "s", k * (1 + d + d * d))
     return mixture_model(columns, flat[:k], flat[k : k + k * d].reshape(k, d), flat[k + k * d :].reshape(k, d, d))
 
 
-def em_fit(df: DataFrame, columns: list[str], k: int, kind: str = "full", max_iter: int = 100, tol: float = 1e-3, seed: int = 42) -> tuple[MixtureModel, float, int]:
+def em_fit(df: DataFrame, columns: list[str], k: int, kind: str = "full", max_iter: int = 100, tol: float = 1e-3, seed: int = 42, start_rows: int = START_ROWS) -> tuple[MixtureModel, float, int]:
     """Distributed EM for any covariance shape: (model, total log likelihood, rows).
 
     ``df`` should be a staged table. Each pass runs the E-step per partition and sums the sufficient
@@ -192,7 +195,7 @@ def em_fit(df: DataFrame, columns: list[str], k: int, kind: str = "full", max_it
         model = mixture_model(columns, [1.0], [centre], [full + RIDGE * np.eye(d)])
         return model, gmm_score(df, model).agg(F.sum("score")).first()[0], n
 
-    model = _warm_start(df, columns, n, centre, cov, k, kind, max_iter, tol, seed)
+    model = _warm_start(df, columns, n, centre, cov, k, kind, max_iter, tol, seed, start_rows)
     previous, numbers = -math.inf, file_partitions(df) * (1 + k + k * d + k * d * d)
     for _ in range(max_iter):
         shared = df.sparkSession.sparkContext.broadcast(model)

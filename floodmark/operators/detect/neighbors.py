@@ -72,7 +72,7 @@ def top_k(
             rough = q @ (-2.0 * refs.T)
             rough += ref_squares
             rough += q_squares[:, None]
-            margin = 1e-9 * (1.0 + q_squares + ref_squares.max())
+            margin = 1e-9 * (1.0 + q_squares + ref_squares.max())  # far above the digits that count
         else:
             rough = _all_distances(q, refs, metric)
             margin = np.full(len(q), 1e-9)
@@ -84,7 +84,7 @@ def top_k(
             limit = np.minimum(limit, np.square(bound) if squares else bound)
         rows, cols = np.nonzero(rough <= np.minimum(limit + margin, 1e300)[:, None])
         exact = _pair_distances(q[rows], refs[cols], metric)
-        order = np.lexsort((ref_ids[cols], exact, rows))
+        order = np.lexsort((ref_ids[cols], np.round(exact, DIGITS), rows))
         rows, cols, exact = rows[order], cols[order], exact[order]
         rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
         keep = rank < k
@@ -92,6 +92,10 @@ def top_k(
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
+#: Distances count as equal when they agree in so many decimals; ties go to the smaller id.
+DIGITS = 12
+
+
 @dataclass
 class CellIndex:
     """Bounded summary of the reference side: pivots and per-cell counts, radii and block counts."""
@@ -288,14 +292,15 @@ def knn_join(
         found = _compare_blocks(routed, blocks, index, k, inner, exclude_self, query_rows)
         if probes is None:
             found = stage(found, "knn-home")
-            best = Window.partitionBy("q_id").orderBy("dist", "n_id")
+            best = Window.partitionBy("q_id").orderBy(F.round("dist", DIGITS), "n_id")
             kth = found.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") == k)
             bounded = routed.join(kth.select("q_id", F.col("dist").alias("reach")), "q_id", "left")
-            bounded = bounded.withColumn("reach", F.coalesce("reach", F.lit(float("inf"))))
+            # as far as distances that count as equal to the k-th
+            bounded = bounded.withColumn("reach", F.coalesce(F.col("reach") + 2 * 10.0**-DIGITS, F.lit(float("inf"))))
             further = stage(_route_within(bounded, index, inner).filter(F.size("cells") > 0), "knn-further")
             found = found.unionByName(_compare_blocks(further, blocks, index, k, inner, exclude_self, query_rows))
         # distances of equal pairs may differ in the last bits between blocks; compare them at 12 digits
-        best = Window.partitionBy("q_id").orderBy(F.round("dist", 12), "n_id")
+        best = Window.partitionBy("q_id").orderBy(F.round("dist", DIGITS), "n_id")
         ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     dist = F.col("dist") * F.col("dist") / 2.0 if metric == "cosine" else F.col("dist")
     return ranked.select(F.col("q_id").alias(q_id), "n_id", dist.alias("dist"), "rank")

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 
 from floodmark.functions.scores import flag_above, flag_below
 from floodmark.plans.quantiles import exact_quantile
+from floodmark.plans.staging import staged
 
 
 def percentile_threshold(df: DataFrame, percentile: float, score: str = "score", side: str = "high") -> float:
     """Cut-off that leaves ``percentile`` per cent of the scores on the normal side (linear interpolation)."""
-    return exact_quantile(df, score, (percentile if side == "high" else 100.0 - percentile) / 100.0)
+    with staged(df.select(score), "scores") as scores:  # the quantile takes several passes, the scorer runs once
+        return exact_quantile(scores, score, (percentile if side == "high" else 100.0 - percentile) / 100.0)
 
 
 def apply_threshold(df: DataFrame, threshold: float, score: str = "score", side: str = "high") -> DataFrame:

@@ -83,6 +83,8 @@ class ScoreRing:
     def step(self, score: float) -> tuple[float, bool]:
         """Threshold in force for this score and whether it is exceeded; accepted scores enter the ring."""
         limit = self.threshold()
+        if score is None or score != score:  # a missing score is neither flagged nor remembered
+            return limit, False
         anomalous = score > limit
         if not anomalous:
             if len(self.arrival) == self.size:
@@ -92,6 +94,11 @@ class ScoreRing:
         return limit, anomalous
 
 
+def tie_break(df: DataFrame, columns: list[str]) -> list[str]:
+    """The columns of ``columns`` that rows can be ordered by."""
+    return [c for c in columns if not isinstance(df.schema[c].dataType, (T.MapType, T.VariantType))]
+
+
 def adaptive_threshold(
     df: DataFrame, key: str, ts: str, score: str, default: float, size: int = 1000, percentile: float = 95.0, minimum: int = 100
 ) -> DataFrame:
@@ -101,7 +108,8 @@ def adaptive_threshold(
     batches; the task holds one ring of ``size`` scores, never the whole key.
     """
     schema = T.StructType([*df.schema.fields, T.StructField("threshold", T.DoubleType()), T.StructField("y_pred", T.IntegerType())])
-    ordered = df.repartition(key).sortWithinPartitions(key, ts)
+    rest = [c for c in df.columns if c not in (key, ts, score)]  # equal times replay in one order
+    ordered = df.repartition(key).sortWithinPartitions(key, ts, *tie_break(df, rest), score)
 
     def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, ring, started = None, None, False

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from floodmark.functions.scores import ANOMALY, NORMAL
 from floodmark.plans.chunks import overlap_chunks
-from floodmark.plans.sizing import fits_broadcast, skew_join
+from floodmark.plans.sizing import broadcast_limit, fits_broadcast, skew_join
 
 
 def attach_labels(features: DataFrame, labels: DataFrame, row_id: str = "row_id") -> DataFrame:
@@ -38,9 +38,13 @@ def geo_enrich(
         F.col(end).alias("_end"),
         *columns,
     )
+    # Catalyst does not count what explode adds, so the prefixes are counted before anything may be broadcast
+    prefixes = blocks.agg(F.sum(F.floor(F.col(end) / width) - F.floor(F.col(start) / width) + 1)).first()[0] or 0
+    per_row = 48 * len(cut.columns)
+    small = prefixes * per_row <= broadcast_limit(df)
     left = df.withColumn("_prefix", F.floor(F.col(address) / width))
     inside = F.col(address).between(F.col("_start"), F.col("_end"))
-    return skew_join(left, cut, ["_prefix"], "left", inside).drop("_prefix", "_start", "_end")
+    return skew_join(left, cut, ["_prefix"], "left", inside, small=small).drop("_prefix", "_start", "_end")
 
 
 def blacklist_flag(df: DataFrame, bad: DataFrame, key: str, out: str = "blacklisted") -> DataFrame:

@@ -173,18 +173,15 @@ def compare_models(metrics: DataFrame, requests: int = 0, attacks: int = 0) -> D
 
 def latency_summary(df: DataFrame, model: str = "model", latency_ms: str = "latency_ms") -> DataFrame:
     """Mean, p50/p95/p99 latency and rows per second for each model."""
-    names = [r[0] for r in df.select(model).distinct().orderBy(model).collect()]
-    per_model = {m: F.when(F.col(model) == m, F.col(latency_ms)) for m in names}
-    found = exact_quantiles(df, per_model, [0.5, 0.95, 0.99])
-    quantiles = df.sparkSession.createDataFrame(
-        [(m, *found[m]) for m in names], f"{model} string, p50 double, p95 double, p99 double"
-    )
-    means = df.groupBy(model).agg(
+    # one group per model, a null name included; equal latencies are counted, not listed
+    ranks = F.percentile(latency_ms, F.array(*[F.lit(p) for p in (0.5, 0.95, 0.99)]))
+    summed = df.groupBy(model).agg(
         F.count("*").alias("n"),
         F.avg(latency_ms).alias("mean_ms"),
         F.try_divide(1000.0 * F.count("*"), F.sum(latency_ms)).alias("throughput"),
+        ranks.alias("_ranks"),
     )
-    return means.join(F.broadcast(quantiles), model)
+    return summed.select("*", *[F.col("_ranks")[i].alias(p) for i, p in enumerate(("p50", "p95", "p99"))]).drop("_ranks")
 
 
 def quality_over_time(df: DataFrame, ts_us: str = "ts_us", y: str = "y", y_pred: str = "y_pred", days: int = 7) -> DataFrame:

@@ -26,7 +26,7 @@ def per_feature(df: DataFrame, features: list[str], stats: dict[str, callable])
 
 def profile_files(df: DataFrame) -> DataFrame:
     """Rows and bytes per source file, with the number of columns of the table."""
-    n_columns = len([c for c in df.columns if c not in ("source_file", "source_bytes")])
+    n_columns = len([c for c in df.columns if c not in ("source_file", "source_path", "source_bytes")])
     return df.groupBy("source_file").agg(
         F.count("*").alias("n_rows"),
         F.max("source_bytes").alias("n_bytes"),

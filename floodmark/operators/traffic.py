@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,18 +57,21 @@ def traffic_window(
 ) -> DataFrame:
     """Per source and window: count, rate, unique paths, status shares, mean payload.
 
-    Events are first merged per (pane, source, path), pane = slide; only those merged rows are repeated
-    over the overlapping windows, so a busy source is reduced before any shuffle by source.
+    Events are first merged per (pane, source, path), pane = greatest common divisor of size and slide; only those
+    merged rows are repeated over the windows that hold the pane, so a busy source is reduced before any shuffle by source.
     """
     slide = (slide_seconds or size_seconds) * SECOND_US
-    per_window = size_seconds * SECOND_US // slide
-    pane = F.floor(F.col(ts_us) / F.lit(slide)).cast("long")
+    size = size_seconds * SECOND_US
+    step = math.gcd(size, slide)
+    pane = F.floor(F.col(ts_us) / F.lit(step)).cast("long")
     merged = df.groupBy(source, path, pane.alias("_pane")).agg(*request_partials())
-    shifts = F.sequence(F.lit(0), F.lit(per_window - 1))
-    spread = merged.withColumn("_shift", F.explode(shifts)) if per_window > 1 else merged.withColumn("_shift", F.lit(0))
-    spread = spread.withColumn("window_start_us", (F.col("_pane") - F.col("_shift")) * F.lit(slide))
+    start = F.col("_pane") * F.lit(step)
+    first = F.ceil((start + F.lit(step - size)) / F.lit(slide)).cast("long")
+    last = F.floor(start / F.lit(slide)).cast("long")
+    windows = F.filter(F.sequence(first, F.greatest(first, last)), lambda w: w <= last)  # none where windows leave gaps
+    spread = merged.withColumn("window_start_us", F.explode(F.transform(windows, lambda w: w * F.lit(slide))))
     sums = [F.sum(c).alias(c) for c in PARTIALS]
-    if per_window > 1:
+    if step != size or step != slide:
         spread = spread.groupBy(source, "window_start_us", path).agg(*sums)
     totals = spread.groupBy(source, "window_start_us").agg(*sums, F.count(path).alias("unique_paths"))
     return totals.select(source, "window_start_us", *window_ratios(size_seconds))

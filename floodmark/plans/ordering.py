@@ -86,7 +86,11 @@ def _search_cuts(long: DataFrame, names: list[str], sizes: Callable[[dict[str, i
             for p, c in sorted(by_draw[n]):
                 if rank[n] <= c:
                     prefix[n] = p
-                    if c <= RESOLVE_ROWS or len(p) >= 32:
+                    if len(p) >= 32:  # whole hashes: what is left are rows with one id, which no cut can part
+                        if rank[n] != c:
+                            raise ValueError(f"{c} rows share one id: a draw of an exact size needs distinct row ids")
+                        cuts[n] = p
+                    elif c <= RESOLVE_ROWS:
                         few.append(n)
                     break
                 rank[n] -= c

@@ -8,21 +8,27 @@ from pyspark.sql import functions as F
 
 from floodmark.plans.staging import stage
 
+#: Distinct values of one window task.
+ROWS_PER_BUCKET = 1_000_000
+
 
 def running_totals(
-    df: DataFrame, order: str, sums: list[str], buckets: int = 256, descending: bool = True
+    df: DataFrame, order: str, sums: list[str], buckets: int | None = None, descending: bool = True
 ) -> tuple[DataFrame, dict[str, float]]:
     """Add ``cum_<c>`` for each column of ``sums``, accumulated along ``order`` (a distinct double).
 
     Also returns the grand totals.
 
     The table is cut into about equal ranges of ``order``; each range is accumulated by its own task and
-    shifted by the totals of the ranges before it (at most ``buckets`` + 1 rows of totals).
+    shifted by the totals of the ranges before it. ``buckets`` follows the number of rows: ROWS_PER_BUCKET of
+    them in each, at least 16 and at most 8192 ranges (rows of totals on the driver).
     """
     table = stage(df, "running")
+    if buckets is None:
+        buckets = int(min(8192, max(16, table.count() // ROWS_PER_BUCKET)))
     cuts = table.agg(
         F.percentile_approx(
-            order, F.array(*[F.lit(i / buckets) for i in range(1, buckets)]), F.lit(10_000)
+            order, F.array(*[F.lit(i / buckets) for i in range(1, buckets)]), F.lit(max(10_000, 8 * buckets))
         ).alias("c")
     ).first()["c"]
     splits = [float("-inf"), *sorted({float(c) for c in cuts or []} - {float("-inf"), float("inf")}), float("inf")]

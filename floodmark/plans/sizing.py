@@ -44,12 +44,13 @@ def skew_join(
     how: str = "left",
     residual: Column | None = None,
     salts: int = 16,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join a large, possibly skewed ``left`` with a lookup table ``right`` (at most few rows per key).
 
     A lookup below the broadcast limit is broadcast. A bigger one is shuffled, with the left rows of
     one key spread over ``salts`` tasks and the lookup rows repeated once per salt.
-    ``residual`` refers to plain column names, which must differ between both sides except ``keys``.
+    ``small`` says what the estimate cannot know, for a ``right`` that was counted. ``residual`` refers to plain column names, which must differ between both sides except ``keys``.
     """
     renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
     condition = F.lit(True)
@@ -58,7 +59,7 @@ def skew_join(
     if residual is not None:
         condition = condition & residual
     drop = [f"_r_{k}" for k in keys]
-    if fits_broadcast(right):
+    if fits_broadcast(right) if small is None else small:
         return left.join(F.broadcast(renamed), condition, how).drop(*drop)
     salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
     spread = renamed.withColumn("_r_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

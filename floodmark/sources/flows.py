@@ -2,35 +2,89 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_flow_csv(spark: SparkSession, path: str | list[str], columns: list[str]) -> DataFrame:
-    """Scan CSV files of one layout as text columns; unreadable files are skipped.
+def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``header`` (first line) and ``files`` of every layout in a folder."""
+    lines = spark.read.option("ignoreCorruptFiles", True).text(path)
+    first = lines.select(
+        F.col("_metadata.file_path").alias("file"), "value", F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n")
+    )
+    headers = first.filter("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    return headers.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+
+
+def header_names(line: str) -> list[str]:
+    """Column names of a header line; a repeated name gets its position behind it."""
+    names = [n.strip().lstrip("\ufeff") for n in next(csv.reader([line]))]
+    return [n if n and names.index(n) == i else f"{n}_{i}" for i, n in enumerate(names)]
 
-    ``source_file`` and ``source_bytes`` come from file metadata. Use ``unreadable_files`` for the report.
+
+def read_flow_csv(spark: SparkSession, path: str | list[str], columns: list[str] | None = None) -> DataFrame:
+    """Scan CSV files as text columns, each by the names in its own header, and put them together by name.
+
+    Files with one header are one scan. With ``columns`` these are returned, null where a file lacks one. What can be read of a
+    damaged file is kept and its loss is reported by ``damaged_files``; ``unreadable_files`` names files without any row.
+    ``source_file``, ``source_path`` and ``source_bytes`` come from file metadata.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    raw = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("ignoreCorruptFiles", True)
-        .csv(path)
-    )
-    return raw.select(
-        "*",
-        F.col("_metadata.file_name").alias("source_file"),
-        F.col("_metadata.file_size").alias("source_bytes"),
-    )
+    tables = []
+    for layout in file_headers(spark, path).orderBy("header").collect():  # one row per layout
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in header_names(layout["header"])])
+        reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("ignoreCorruptFiles", True)
+        raw = reader.option("enforceSchema", True).csv([unquote(f) for f in layout["files"]])
+        tables.append(
+            raw.select(
+                "*",
+                F.col("_metadata.file_name").alias("source_file"),
+                F.col("_metadata.file_path").alias("source_path"),
+                F.col("_metadata.file_size").alias("source_bytes"),
+            )
+        )
+    if not tables:
+        names = [T.StructField(c, T.StringType()) for c in [*(columns or []), "source_file", "source_path"]]
+        return spark.createDataFrame([], T.StructType([*names, T.StructField("source_bytes", T.LongType())]))
+    table = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), tables)
+    if columns is None:
+        return table
+    have = set(table.columns)
+    own = [F.col(f"`{c}`") if c in have else F.lit(None).cast("string").alias(c) for c in columns]
+    return table.select(*own, "source_file", "source_path", "source_bytes")
+
+
+def listed_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("source_path"), F.col("length").alias("source_bytes"))
 
 
 def unreadable_files(spark: SparkSession, path: str | list[str], table: DataFrame) -> DataFrame:
-    """Files of the folder from which no row was read."""
-    listed = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("source_file"))
-    return listed.join(table.select("source_file").distinct(), "source_file", "left_anti")
+    """``source_path`` of the files of the folder from which no row was read."""
+    return listed_files(spark, path).select("source_path").join(table.select("source_path").distinct(), "source_path", "left_anti")
+
+
+def damaged_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``source_path`` and ``reason`` of the files that cannot be read to their end.
+
+    All files are read at once with errors on; only a part that fails is halved and read again.
+    """
+    found, parts = [], [[r[0] for r in listed_files(spark, path).select("source_path").collect()]]
+    while parts:
+        files = parts.pop()
+        if not files:
+            continue
+        try:
+            spark.read.option("ignoreCorruptFiles", False).text([unquote(f) for f in files]).agg(F.sum(F.length("value"))).collect()
+        except Exception as error:  # whatever a reader raises is the reason that is reported
+            if len(files) == 1:
+                found.append((files[0], str(error).strip().splitlines()[0][:300]))
+            else:
+                parts += [files[: len(files) // 2], files[len(files) // 2 :]]
+    return spark.createDataFrame(sorted(found), "source_path string, reason string")
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:

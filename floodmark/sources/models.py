@@ -20,3 +20,25 @@ def load_model(spark: SparkSession, path: str, kinds: list[type]):
     parts = {r["part"]: json.loads(r["value"]) for r in spark.read.parquet(path).collect()}
     kind = next(k for k in kinds if k.__name__ == parts["kind"])
     return kind(**{f.name: parts[f.name] for f in fields(kind)})
+
+
+def _folder(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def model_versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete versions ``v=<number>`` under ``path``."""
+    files, target = _folder(spark, path)
+    if not files.exists(target):
+        return []
+    names = [(s.getPath(), s.getPath().getName()) for s in files.listStatus(target)]
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(int(n[2:]) for p, n in names if n.startswith("v=") and files.exists(done(p, "_SUCCESS")))
+
+
+def drop_versions(spark: SparkSession, path: str, below: int) -> None:
+    files, target = _folder(spark, path)
+    for v in model_versions(spark, path):
+        if v < below:
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(target, f"v={v}"), True)

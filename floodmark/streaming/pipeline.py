@@ -12,7 +12,7 @@ from floodmark.functions.http import path_features, status_class, time_features,
 from floodmark.operators.detect.ocsvm import OneClassModel, ocsvm_update
 from floodmark.operators.traffic import PARTIALS, request_partials, window_ratios
 from floodmark.plans.staging import scratch_path
-from floodmark.sources.models import save_model
+from floodmark.sources.models import drop_versions, load_model, model_versions, save_model
 
 
 def stream_features(events: DataFrame) -> DataFrame:
@@ -41,11 +41,31 @@ def stream_windows(events: DataFrame, size_seconds: int, slide_seconds: int | No
     return totals.select(source, start, *window_ratios(size_seconds))
 
 
+class LateRows:
+    """Rows dropped by the watermark since the query started.
+
+    A query remembers its last progress reports only (100 by default), so ``poll`` adds up what is new since the last call; call it
+    more often than reports are dropped. Reports that were missed are noticed by their batch numbers and raise an error.
+    """
+
+    def __init__(self, query: StreamingQuery):
+        self.query, self.total, self._last = query, 0, -1
+
+    def poll(self) -> int:
+        fresh = [p for p in self.query.recentProgress if p.batchId > self._last]
+        seen: dict[int, int] = {}
+        for p in fresh:
+            seen[p.batchId] = max(seen.get(p.batchId, 0), sum(int(op.numRowsDroppedByWatermark) for op in p.stateOperators))
+        if self._last >= 0 and seen and min(seen) > self._last + 1:
+            raise RuntimeError(f"progress of batches {self._last + 1} to {min(seen) - 1} is gone: poll more often")
+        self.total += sum(seen.values())
+        self._last = max(seen, default=self._last)
+        return self.total
+
+
 def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped by the watermark so far."""
-    return sum(
-        int(op.numRowsDroppedByWatermark) for p in query.recentProgress for op in p.stateOperators
-    )
+    """``LateRows`` of a query whose progress reports are all still there."""
+    return LateRows(query).poll()
 
 
 def stream_dedup(events: DataFrame, key: list[str], ts: str = "ts", watermark: str = "10 minutes") -> DataFrame:
@@ -71,13 +91,20 @@ def stream_score(events: DataFrame, score: Callable[[DataFrame], DataFrame], pub
 
 def ocsvm_online(events: DataFrame, model: OneClassModel, path: str, verified_normal: str = "verified_normal",
                  checkpoint: str | None = None) -> tuple[StreamingQuery, Callable[[], OneClassModel]]:
-    """One gradient step per micro-batch of verified-normal rows; each version is saved under ``path``."""
+    """One gradient step per micro-batch of verified-normal rows; each version is saved under ``path``.
+
+    A batch starts from the newest version before it, so a restarted stream goes on where it stopped and a batch that
+    comes again is applied to the version it was applied to before. Versions below the previous one are removed.
+    """
     spark = events.sparkSession
-    current = [model]
+
+    def before(batch_id: int) -> OneClassModel:
+        versions = [v for v in model_versions(spark, path) if v < batch_id]
+        return load_model(spark, f"{path}/v={max(versions)}", [OneClassModel]) if versions else model
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        current[0] = ocsvm_update(batch.filter(F.col(verified_normal)), current[0])
-        save_model(spark, current[0], f"{path}/v={batch_id}")
+        save_model(spark, ocsvm_update(batch.filter(F.col(verified_normal)), before(batch_id)), f"{path}/v={batch_id}")
+        drop_versions(spark, path, below=batch_id - 1)
 
     query = (
         events.writeStream.foreachBatch(step)
@@ -85,7 +112,7 @@ def ocsvm_online(events: DataFrame, model: OneClassModel, path: str, verified_no
         .trigger(availableNow=True)
         .start()
     )
-    return query, lambda: current[0]
+    return query, lambda: before(2**62)
 
 
 def stream_alert(scores: DataFrame, key: str = "deployment", ts: str = "ts", score: str = "score", limit: float = 0.8,

@@ -102,7 +102,7 @@ def test_csv_layouts_are_merged_by_name(spark, tmp_path):
     narrow, wide = tmp_path / "narrow.csv", tmp_path / "wide.csv"
     narrow.write_text("Dst Port,Flow Duration,Label\n80,1.5,Benign\nDst Port,Flow Duration,Label\n")
     wide.write_text("Flow ID,Dst Port,Flow Duration,Label\nf1,443,Infinity,DoS\n")
-    frames = [flow_source.read_flow_csv(spark, str(p), flow_source.header_of(spark, str(p))) for p in (narrow, wide)]
+    frames = [flow_source.read_flow_csv(spark, str(p)).drop("source_file", "source_path", "source_bytes") for p in (narrow, wide)]
     merged = cleaning.union_standard(frames, cleaning.STANDARD_COLUMNS)
     assert merged.columns == ["Dst Port", "Flow Duration", "Label"]
     clean = cleaning.to_numeric(cleaning.drop_leaked_headers(merged), ["Flow Duration"])
@@ -116,13 +116,32 @@ def test_unreadable_files_are_skipped_and_reported(spark, tmp_path):
     (tmp_path / "bad.csv.gz").write_bytes(b"not a gzip file")
     table = flow_source.read_flow_csv(spark, str(tmp_path), ["a", "Label"])
     assert table.count() == 1
-    assert [r.source_file for r in flow_source.unreadable_files(spark, str(tmp_path), table).collect()] == ["bad.csv.gz"]
+    assert [r[0].split("/")[-1] for r in flow_source.unreadable_files(spark, str(tmp_path), table).collect()] == ["bad.csv.gz"]
     assert profiling.profile_files(table).first().n_columns == 2
 
 
+def test_folder_of_mixed_layouts_is_read_by_name(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("a,b,Label\n1,2,Benign\n")
+    (tmp_path / "two x.csv").write_text("extra,a,b,Label\n9,3,4,DoS\n8,5,6,DoS\n")
+    table = flow_source.read_flow_csv(spark, str(tmp_path))
+    assert {(r.a, r.b, r.Label, r.extra) for r in table.collect()} == {("1", "2", "Benign", None), ("3", "4", "DoS", "9"), ("5", "6", "DoS", "8")}
+    assert flow_source.read_flow_csv(spark, str(tmp_path), ["b", "none"]).columns[:2] == ["b", "none"]
+
+
+def test_truncated_files_are_reported(spark, tmp_path):
+    import gzip
+
+    whole = gzip.compress(("a,Label\n" + "".join(f"{i * 7919 % 100003},Benign\n" for i in range(50_000))).encode())
+    (tmp_path / "cut.csv.gz").write_bytes(whole[: len(whole) // 2])
+    (tmp_path / "ok.csv").write_text("a,Label\n1,Benign\n")
+    damaged = flow_source.damaged_files(spark, str(tmp_path)).collect()
+    assert [r.source_path.split("/")[-1] for r in damaged] == ["cut.csv.gz"] and damaged[0].reason
+    assert flow_source.read_flow_csv(spark, str(tmp_path), ["a"]).count() > 1
+
+
 def test_access_log_lines(spark):
     lines = [
-        '192.168.1.100 - - [01/Jan/2024:12:34:56 +0000] "GET /api/users?page=1 HTTP/1.1" 200 1234 "Mozilla/5.0 (X)"',
+        '203.0.113.9 - - [17/Mar/2031:04:05:06 +0000] "GET /shop/cart?item=88 HTTP/1.1" 206 977 "agent/7 (test)"',
         '10.0.0.1 - - [01/Jan/2024:12:34:56 +0200] "POST / HTTP/1.0" 500 -',
         "garbage",
         None,
@@ -130,7 +149,7 @@ def test_access_log_lines(spark):
     df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, line string")
     a, b, c, d = logs.parse_access_log(df).orderBy("i").collect()
     assert (a.remote_addr, a.method, a.path, a.query, a.status, a.body_bytes_sent, a.user_agent, a.malformed) == (
-        "192.168.1.100", "GET", "/api/users", "page=1", 200, 1234, "Mozilla/5.0 (X)", False)
+        "203.0.113.9", "GET", "/shop/cart", "item=88", 206, 977, "agent/7 (test)", False)
     assert str(a.timestamp) != str(b.timestamp) and b.query == "" and b.body_bytes_sent is None and b.user_agent is None
     assert c.malformed and d.malformed and c.path is None
 
