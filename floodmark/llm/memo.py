@@ -12,7 +12,7 @@ class ChunkMemo(dict):
     use come back. What is forgotten is encoded again, so the bound never changes a result.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 600_000, longest: int = 200):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 300_000, longest: int = 200):
         self.encode, self.limit, self.longest, self.old, self.long = encode, limit, longest, {}, []
 
     def fill(self, chunks: set[str]) -> ChunkMemo:

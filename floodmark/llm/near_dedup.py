@@ -173,7 +173,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, counted: bool) ->
 
     for column, keep in (("_long", collide), ("_set", alike))[counted:]:
         a, b = (sets.select(F.col("_node").alias(k), F.col(column).alias(f"{k}x")) for k in ("_a", "_b"))
-        pairs = _filtered(pairs.join(a, "_a").join(b, "_b"), "_ax", "_bx", keep)
+        # staged, so that a task never holds the Python workers of two filters
+        pairs = stage(_filtered(pairs.join(a, "_a").join(b, "_b"), "_ax", "_bx", keep), "pairs")
     return pairs
 
 
@@ -242,9 +243,9 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, id_column: st
     sets = sets.withColumnRenamed("_id", "_node").join(wanted, ["_node", "_d1", "_d2"]).drop("_d1", "_d2")
     sets = stage(sets.dropDuplicates(["_node"]), "sets")
     posted = chosen.select("_node", F.explode("_prefix").alias("_token"))
-    links = stage(confirmed(stars(posted), sets, percent, counted=False), "star-links")
+    links = confirmed(stars(posted), sets, percent, counted=False)
     labels = components(links, "_a", "_b")
-    more = confirmed(across(posted, sets, labels, percent), sets, percent, counted=True)
+    more = confirmed(stage(across(posted, sets, labels, percent), "tile-pairs"), sets, percent, counted=True)
     labels = components(links.unionByName(more), "_a", "_b")
     found = signed.select("_id", *key).join(nodes.select(*key, "_node"), key, "left")
     found = found.join(labels.select(F.col("node").alias("_node"), "component"), "_node", "left")
