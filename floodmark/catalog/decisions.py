@@ -36,7 +36,25 @@ def retrain_set(spark, sf_dir):
     return rows.select("row_id", F.lit(due).alias("due"))
 
 
-@query("adaptive_threshold")
+def replay_sql(key: str) -> str:
+    """The threshold replayed row by row: a recursion over the rank of each key's rows that carries the ring of scores."""
+    return f"""WITH RECURSIVE {REQ}, e AS (
+  SELECT event_type AS {key}, row_id, ts_us, payload AS score, row_number() OVER (PARTITION BY event_type ORDER BY ts_us, row_id) AS i FROM req
+), r AS (
+  SELECT {key}, 0::BIGINT AS i, []::DOUBLE[] AS ring, NULL::BIGINT AS row_id, NULL::BIGINT AS ts_us, NULL::DOUBLE AS score, NULL::DOUBLE AS threshold
+  FROM (SELECT DISTINCT {key} FROM e)
+  UNION ALL
+  SELECT {key}, i, CASE WHEN score > threshold THEN ring WHEN len(ring) >= 1000 THEN list_append(ring[2:], score) ELSE list_append(ring, score) END,
+    row_id, ts_us, score, threshold
+  FROM (SELECT r.{key}, e.i, r.ring, e.row_id, e.ts_us, e.score,
+          CASE WHEN len(r.ring) < 100 THEN 150.0::DOUBLE ELSE list_aggregate(r.ring, 'quantile_cont', 0.95) END AS threshold
+        FROM r JOIN e ON e.{key} = r.{key} AND e.i = r.i + 1)
+)
+SELECT {key}, row_id, ts_us, round(score, 6) AS score, round(threshold, 6) AS threshold,
+  CAST(CASE WHEN score > threshold THEN -1 ELSE 1 END AS INTEGER) AS y_pred FROM r WHERE i > 0"""
+
+
+@query("adaptive_threshold", replay_sql("deployment"))
 def adaptive_threshold(spark, sf_dir):
     df = requests(spark, sf_dir).select(F.col("event_type").alias("deployment"), "row_id", "ts_us", F.col("payload").alias("score"))
     return rounded(drift.adaptive_threshold(df, "deployment", "ts_us", "score", 150.0))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from floodmark.catalog.decisions import replay_sql
 from floodmark.catalog.detectors import TWO_D_SQL, SMALL_FOREST, TWO, prepared
 from floodmark.catalog.joins import geo_blocks
 from floodmark.catalog.registry import query, rounded
@@ -92,7 +93,7 @@ def ocsvm_online(spark, sf_dir):
     return rounded(scored.agg(F.count("*").alias("n"), F.avg((F.col("y_pred") == -1).cast("double")).alias("outlier_share")), 3)
 
 
-@query("stream_adaptive_threshold")
+@query("stream_adaptive_threshold", replay_sql("key"))
 def stream_adaptive_threshold(spark, sf_dir):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     scores = event_stream(spark, sf_dir).select(F.col("event_type").alias("deployment"), "row_id", "ts_us", F.col("payload").alias("score"))
