@@ -56,19 +56,30 @@ def blacklist_flag(df: DataFrame, bad: DataFrame, key: str, out: str = "blacklis
 def score_asof(ticks: DataFrame, scores: DataFrame, key: list[str], ts_us: str = "ts_us", ttl_seconds: int = 60) -> DataFrame:
     """For each tick the newest score of its key at or before it, null when older than the time to live.
 
-    Both sides are interleaved by time inside (key, chunk); scores near the end of a chunk are repeated
-    into the next one, so no key needs a single task and no inequality join is planned.
+    Time is cut into slots of a hundredth of the time to live. Inside (key, slot) ticks and scores are interleaved by time;
+    the newest score of earlier slots comes from a table with one row per key and slot. So a busy key is served by
+    as many tasks as it has slots, and no inequality join is planned.
     """
     ttl = ttl_seconds * 1_000_000
+    size = ttl // 100
     others = [c for c in ticks.columns if c not in (*key, ts_us)]
     left = ticks.select(*key, ts_us, F.struct(*others).alias("_tick") if others else F.lit(1).alias("_tick"))
     left = left.withColumn("_score", F.lit(None).cast("double"))
     right = scores.select(*key, ts_us, F.col("score").cast("double").alias("_score"))
     both = left.unionByName(right, allowMissingColumns=True).withColumn("_is_tick", F.col("_tick").isNotNull().cast("int"))
-    chunked = overlap_chunks(both, ts_us, ttl, context=F.col("_is_tick") == 0)
-    so_far = Window.partitionBy(*key, "_chunk").orderBy(ts_us, "_is_tick").rowsBetween(Window.unboundedPreceding, 0)
-    known = F.last(F.when(F.col("_is_tick") == 0, F.struct(F.col(ts_us).alias("t"), F.col("_score").alias("s"))), True)
-    joined = chunked.withColumn("_last", known.over(so_far)).filter((F.col("_is_tick") == 1) & ~F.col("_copy"))
+    both = both.withColumn("_slot", F.floor(F.col(ts_us) / F.lit(size)).cast("long"))
+    known = F.when(F.col("_is_tick") == 0, F.struct(F.col(ts_us).alias("t"), F.col("_score").alias("s")))
+    so_far = Window.partitionBy(*key, "_slot").orderBy(ts_us, "_is_tick").rowsBetween(Window.unboundedPreceding, 0)
+    inside = both.withColumn("_last", F.last(known, True).over(so_far)).filter("_is_tick = 1")
+    # the newest score of a slot: at equal times the last one in the order of the scores
+    slots = both.groupBy(*key, "_slot").agg(F.max(known).alias("_newest")).withColumn("_start", F.col("_slot") * F.lit(size))
+    before = Window.partitionBy(*key, "_chunk").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = overlap_chunks(slots, "_start", ttl + size).withColumn("_earlier", F.last("_newest", True).over(before)).filter(~F.col("_copy"))
+    earlier = earlier.select(*[F.col(k).alias(f"_k_{k}") for k in key], F.col("_slot").alias("_k_slot"), "_earlier")
+    same = F.col("_slot") == F.col("_k_slot")
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    joined = inside.join(earlier, same).withColumn("_last", F.coalesce("_last", "_earlier"))
     fresh = (F.col(ts_us) - F.col("_last.t")) <= ttl
     return joined.select(
         *key,

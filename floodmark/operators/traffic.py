@@ -10,18 +10,38 @@ from pyspark.sql import functions as F
 from floodmark.plans.chunks import overlap_chunks
 
 SECOND_US = 1_000_000
+#: Slots of a look-back; divides a second's microseconds.
+SLOTS = 100
 
 
 def trailing_rate(df: DataFrame, source: str = "src", ts_us: str = "ts_us", seconds: int = 60) -> DataFrame:
     """Per event: requests of the same source in the preceding ``seconds`` (inclusive) and the per-second rate.
 
-    A source is cut into chunks of ten look-backs, so one busy source is counted by many tasks.
+    The look-back is cut into slots. Whole slots come from counts per (source, slot); only in its own slot and in
+    the slot where its look-back begins is an event compared with other events. So a flood from one source is counted by
+    as many tasks as it has slots, whatever number of rows a second of it holds.
     """
     span = seconds * SECOND_US
-    chunked = overlap_chunks(df, ts_us, span)
-    frame = Window.partitionBy(source, "_chunk").orderBy(ts_us).rangeBetween(-span, 0)
-    counted = chunked.withColumn("recent_requests", F.count("*").over(frame)).filter(~F.col("_copy"))
-    return counted.withColumn("rate", F.col("recent_requests") / F.lit(float(seconds))).drop("_chunk", "_copy")
+    size = span // SLOTS
+    own_slot, begin = F.floor(F.col(ts_us) / F.lit(size)).cast("long"), F.col(ts_us) - F.lit(span)
+    in_slot = Window.partitionBy(source, "_slot")
+    so_far = in_slot.orderBy(ts_us).rangeBetween(Window.unboundedPreceding, 0)
+    own = df.withColumn("_slot", own_slot).withColumn("_own", F.count("*").over(so_far))
+    counts = own.groupBy(source, "_slot").agg(F.count("*").alias("_n")).withColumn("_start", F.col("_slot") * F.lit(size))
+    # an event stands in its own slot to be counted, and in the slot where its look-back begins to ask
+    places = F.array(
+        F.struct(F.col("_slot").alias("slot"), F.col(ts_us).alias("t"), F.lit(1).alias("real")),
+        F.struct((F.col("_slot") - F.lit(SLOTS)).alias("slot"), begin.alias("t"), F.lit(0).alias("real")),
+    )
+    both = own.withColumn("_e", F.explode(places)).withColumn("_home", F.col("_slot")).withColumns({"_slot": F.col("_e.slot"), "_t": F.col("_e.t")})
+    later = in_slot.orderBy("_t").rangeBetween(0, Window.unboundedFollowing)
+    edged = both.withColumn("_edge", F.sum("_e.real").over(later)).filter("_e.real = 0")
+    between = Window.partitionBy(source, "_chunk").orderBy("_slot").rangeBetween(1 - SLOTS, -1)
+    filled = overlap_chunks(counts, "_start", span).withColumn("_between", F.coalesce(F.sum("_n").over(between), F.lit(0)))
+    filled = filled.filter(~F.col("_copy")).select(F.col(source).alias("_f_source"), F.col("_slot").alias("_f_slot"), "_between")
+    joined = edged.join(filled, F.col(source).eqNullSafe(F.col("_f_source")) & (F.col("_home") == F.col("_f_slot")))
+    recent = F.col("_own") + F.col("_edge") + F.col("_between")
+    return joined.select(*df.columns, recent.alias("recent_requests"), (recent / F.lit(float(seconds))).alias("rate"))
 
 
 def request_partials(payload: str = "payload", status: str = "status") -> list[Column]:

@@ -11,22 +11,32 @@ from pyspark.sql import functions as F
 
 CODEGEN_COLUMNS = 8
 DIRECT_NUMBERS = 2_000_000
+#: Tasks of each level of a tree of sums.
+TREE_LEVELS = (256, 8)
 
 
 def sum_vectors(df: DataFrame, column: str, numbers: int | None = None) -> np.ndarray:
-    """Element-wise sum of an array column. Sums run per position, so no task holds all vectors.
+    """Element-wise sum of an array column.
 
-    ``numbers`` is the known total length of all vectors; a small total is summed without a shuffle.
+    ``numbers`` is the known total length of all vectors; a small total is summed without a shuffle. Otherwise whole
+    vectors are added in a tree, so what is shuffled is one row per vector and not one per number, and the driver
+    gets the few vectors of the last level.
     """
-    if numbers is not None and numbers <= DIRECT_NUMBERS:
-        vectors = [r[0] for r in df.select(column).collect()]
-        return np.sum(vectors, axis=0) if vectors else np.zeros(0)
-    exploded = df.select(F.posexplode(column).alias("i", "v"))
-    rows = exploded.groupBy("i").agg(F.sum("v").alias("v")).collect()
-    out = np.zeros(len(rows))
-    for r in rows:
-        out[r["i"]] = r["v"]
-    return out
+    vectors = df.select(F.col(column).alias("s"))
+    if numbers is None or numbers > DIRECT_NUMBERS:
+
+        def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = None
+            for batch in batches:
+                for v in batch["s"]:
+                    total = np.array(v, dtype=float) if total is None else total + v
+            if total is not None:
+                yield pd.DataFrame({"s": [total]})
+
+        for width in TREE_LEVELS:
+            vectors = vectors.repartition(width).mapInPandas(add, "s array<double>")
+    rows = [r[0] for r in vectors.collect()]
+    return np.sum(rows, axis=0) if rows else np.zeros(0)
 
 
 def mean_and_covariance(df: DataFrame, columns: list[str]) -> tuple[int, np.ndarray, np.ndarray]:

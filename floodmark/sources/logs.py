@@ -32,18 +32,21 @@ CONTAINER_LOG = T.StructType(
 
 
 def parse_access_log(df: DataFrame, line: str = "line") -> DataFrame:
-    """Parse access-log lines into typed columns; ``malformed`` marks lines that do not match."""
-    groups = F.regexp_extract_all(F.col(line), F.lit(ACCESS_LINE), F.lit(0))
-    matched = F.size(groups) > 0
+    """Parse access-log lines into typed columns; ``malformed`` marks lines that do not match or hold a unit separator."""
+    # one match per line: its groups are written side by side and read back from an array
+    between = "\x1f"
+    groups = F.regexp_replace(F.col(line), F.lit(ACCESS_LINE), F.lit(between + between.join(f"${i}" for i in range(1, 8))))
+    source = df.withColumn("_parts", F.split(groups, between))
+    matched = F.coalesce((F.size("_parts") == 8) & (F.get("_parts", F.lit(0)) == "") & ~F.col(line).contains(between), F.lit(False))
 
     def part(i: int):
-        return F.when(matched, F.regexp_extract(line, ACCESS_LINE, i))
+        return F.when(matched, F.get("_parts", F.lit(i)))
 
     target = part(4)
     at = F.instr(target, "?")
     agent = part(7)
-    return df.select(
-        "*",
+    return source.select(
+        *df.columns,
         part(1).alias("remote_addr"),
         F.try_to_timestamp(part(2), F.lit(ACCESS_TIME)).alias("timestamp"),
         part(3).alias("method"),
