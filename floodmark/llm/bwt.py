@@ -1,10 +1,12 @@
 """Burrows-Wheeler transforms of string collections, merged by interleave refinement.
 
-A shard is a set of strings with its suffixes sorted. Merging starts from an interleave that lists whole shards one after
-the other. A step moves every suffix ``STEP`` symbols to the left by the transform (the symbols in front of it) and
-deals the shard numbers out stably by these symbols: an interleave that was right for the first h symbols is then right for
-h + STEP. No suffix is compared or sorted again. Blocks of the interleave are suffixes not told apart so far; the step in
-which a border appears gives the common prefix, and the blocks left at the end are the repeated intervals.
+A shard is a set of strings with its suffixes sorted; its transform gives, for every suffix in order, the STEP symbols in
+front of it and the place of the suffix that starts there. Merging starts from an interleave that lists whole shards one
+after the other. A step follows the transforms: all suffixes move STEP symbols to the left and are dealt out stably by these
+symbols, so an interleave that was right for the first h symbols is right for h + STEP. No suffix is compared or sorted
+again. Blocks of the interleave are suffixes not told apart so far; the step in which a border appears gives the common
+prefix, and the blocks left at the end are the repeated intervals. A suffix that is alone in its block, or too short, stays
+so in all further steps and is left out of them.
 """
 
 from __future__ import annotations
@@ -25,10 +27,7 @@ def step_keys(text: np.ndarray, ends: np.ndarray, owner: np.ndarray) -> np.ndarr
 
 
 def suffix_order(first: np.ndarray, ends: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """Suffixes of one shard in order, equal ones by place (prefix doubling from STEP-symbol ranks).
-
-    The order is total: a transform of suffixes sorted to a limited depth would not agree with its own steps.
-    """
+    """Suffixes of one shard in order, equal ones by place (prefix doubling from STEP-symbol ranks)."""
     n, h = len(first), STEP
     place = np.arange(n)
     inside = ends[owner]
@@ -37,7 +36,11 @@ def suffix_order(first: np.ndarray, ends: np.ndarray, owner: np.ndarray) -> np.n
     while h < longest and (not n or rank.max() + 1 < n):
         ahead = place + h
         behind = np.where(ahead < inside, rank[np.minimum(ahead, n - 1)] + 1, 0)
-        rank = np.unique(rank * (n + 2) + behind, return_inverse=True)[1]
+        both = rank * (n + 2) + behind
+        order = np.argsort(both)
+        both = both[order]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.concatenate([[0], np.cumsum(both[1:] != both[:-1])])
         h *= 2
     return np.argsort(rank, kind="stable")
 
@@ -54,47 +57,34 @@ def repeated_blocks(lengths: np.ndarray, text: np.ndarray, shards: np.ndarray, d
     keys = step_keys(text, ends, owner)
     small = keys.max(initial=0) < 1 << 16
     keys = keys.astype(np.uint16 if small else np.uint32)  # 16-bit keys are dealt out by a radix sort
-    # per shard: the sorted suffixes, and for each of them the symbols in front of it
-    order, shard_of = [], []
+    # the shards' sorted suffixes one after the other, and their transforms: symbols in front, and where they lead
+    order = []
     for shard in np.unique(shards):
         own = np.flatnonzero(shards[owner] == shard)
         chosen = shards == shard
         local_ends = np.cumsum(lengths[chosen])
         local_owner = np.repeat(np.arange(len(local_ends)), lengths[chosen])
         order.append(own[suffix_order(keys[own], local_ends, local_owner)])
-        shard_of.append(np.full(len(own), len(shard_of), np.uint8))
-    order, interleave = np.concatenate(order), np.concatenate(shard_of)
-    sorted_by_shard = order
+    order = np.concatenate(order).astype(np.int32) if order else np.zeros(0, np.int32)
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
     moves = order - starts[owner[order]] >= STEP
-    in_front = np.where(moves, keys[np.maximum(order - STEP, 0)], 0).astype(keys.dtype)
-    seeds = ends[owner[order]] - order < STEP  # too short to be reached by a step: placed by their own symbols
-    # a suffix of exactly STEP symbols is reached from its string's end, which the transform does not list
-    whole = ends[owner[order]] - order == STEP
-    fixed = seeds | whole
-    seed_keys, seed_shards = keys[order[fixed]], interleave[fixed]
-    n_seeds, n = int(fixed.sum()), len(order)
-    blocks = np.zeros(n, np.int64)
-    lines = np.empty(n, keys.dtype)
-    can_move = np.empty(n, bool)
-    alone = -1 - np.arange(n_seeds)
-    seed_blocks = np.where(whole[fixed], 0, alone)  # in the first step nothing tells a whole one from longer suffixes
-    for _ in range(depth // STEP):
-        slots = np.argsort(interleave, kind="stable")  # the k-th slot of a shard holds its k-th suffix
-        lines[slots], can_move[slots] = in_front, moves
-        source = np.concatenate([seed_keys, lines[can_move]])
-        dealt = np.argsort(source, kind="stable")
-        source = source[dealt]
-        before = np.concatenate([seed_blocks, blocks[can_move]])[dealt]
-        seed_blocks = alone
-        interleave = np.concatenate([seed_shards, interleave[can_move]])[dealt]
-        border = np.ones(n, bool)
-        border[1:] = (source[1:] != source[:-1]) | (before[1:] != before[:-1])
-        blocks = np.cumsum(border) - 1
-        if border.all():
+    ahead = np.maximum(order - STEP, 0)
+    in_front, leads_to = keys[ahead], rank[ahead]
+    # the first STEP symbols: the suffixes that have them, dealt out by their own symbols
+    interleave = np.flatnonzero(ends[owner[order]] - order >= STEP).astype(np.int32)
+    symbols, blocks = keys[order[interleave]], np.zeros(len(interleave), np.int32)
+    for h in range(STEP, depth + 1, STEP):
+        if h > STEP:
+            moving = moves[interleave]
+            source = interleave[moving]
+            symbols, interleave, blocks = in_front[source], leads_to[source], blocks[moving]
+        dealt = np.argsort(symbols, kind="stable")
+        symbols, interleave, blocks = symbols[dealt], interleave[dealt], blocks[dealt]
+        border = np.ones(len(dealt) + 1, bool)
+        border[1:-1] = (symbols[1:] != symbols[:-1]) | (blocks[1:] != blocks[:-1])
+        twins = ~(border[:-1] & border[1:])
+        interleave, blocks = interleave[twins], np.cumsum(border[:-1], dtype=np.int32)[twins]
+        if not len(interleave):
             break
-    twins = ~border
-    twins[:-1] |= ~border[1:]
-    slots = np.argsort(interleave, kind="stable")
-    place = np.empty(n, np.int64)
-    place[slots] = sorted_by_shard
-    return place[twins], blocks[twins]
+    return order[interleave].astype(np.int64), blocks
