@@ -27,6 +27,13 @@ def profile_files(spark, sf_dir):
     return profiling.profile_files(raw).agg(F.sum("n_rows").alias("n_rows"), F.max("n_columns").alias("n_columns"))
 
 
+@query("dtype_census", """SELECT CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS dtype, count(*) AS n
+FROM information_schema.columns WHERE table_name = 'lineitem' GROUP BY 1""")
+def dtype_census(spark, sf_dir):
+    census = profiling.dtype_census(table(spark, sf_dir, "lineitem"))
+    return spark.createDataFrame(sorted(census.items()), "dtype string, n long")
+
+
 @query("label_distribution", f"""WITH {FLOW}, c AS (
   SELECT CASE WHEN grouping(l_linestatus) = 1 THEN 'all' ELSE l_linestatus END AS scope, label, count(*) AS n
   FROM flow GROUP BY GROUPING SETS ((l_linestatus, label), (label)))
@@ -90,6 +97,11 @@ def drop_leaked_headers(spark, sf_dir):
     return cleaning.drop_leaked_headers(dirty_flows(spark, sf_dir)).groupBy("Label").agg(F.count("*").alias("n"))
 
 
+@query("count_leaked_headers", f"""WITH {DIRTY} SELECT count(*) FILTER ("Label" = 'Label') AS n_leaked FROM dirty""")
+def count_leaked_headers(spark, sf_dir):
+    return cleaning.count_leaked_headers(dirty_flows(spark, sf_dir))
+
+
 @query("union_standard", f"""WITH {FLOW}
 SELECT row_id, CASE WHEN l_linestatus = 'O' THEN l_tax END AS l_tax, l_quantity, label FROM flow""")
 def union_standard(spark, sf_dir):

@@ -30,6 +30,23 @@ def read_flow_csv(spark, sf_dir):
     return rounded(out, 4)
 
 
+@query("read_flow_folder", f"""WITH {FLOW} SELECT l_linestatus, count(*) AS n, count(*) FILTER (l_linestatus = 'O') AS n_taxed,
+  round(sum(l_quantity), 4) AS quantity, 0::BIGINT AS n_damaged, 0::BIGINT AS n_unreadable, true AS bytes_known FROM flow GROUP BY 1""")
+def read_flow_folder(spark, sf_dir):
+    """Files of two layouts in one folder, read by their own headers, with the report of losses."""
+    df, path = flows(spark, sf_dir), scratch_path(spark, "flow-folder")
+    flow_source.write_split(df.filter("l_linestatus = 'O'").select("l_linestatus", "l_tax", "l_quantity"), path, "csv")
+    flow_source.write_split(df.filter("l_linestatus <> 'O'").select("l_quantity", "l_linestatus"), path, "csv", "append")
+    raw = flow_source.read_flow_csv(spark, path)
+    damaged = flow_source.damaged_files(spark, path).count()
+    unreadable = flow_source.unreadable_files(spark, path, raw).filter("source_path like '%.csv'").count()
+    return rounded(cleaning.to_numeric(raw, ["l_quantity", "l_tax"]).groupBy("l_linestatus").agg(
+        F.count("*").alias("n"), F.count("l_tax").alias("n_taxed"), F.sum("l_quantity").alias("quantity"),
+        F.lit(damaged).cast("long").alias("n_damaged"), F.lit(unreadable).cast("long").alias("n_unreadable"),
+        F.bool_and(F.col("source_bytes") > 0).alias("bytes_known"),
+    ), 4)
+
+
 @query("read_labelled_parquet", """SELECT l_returnflag AS label, count(*) AS n, 10 AS n_features FROM lineitem GROUP BY 1""")
 def read_labelled_parquet(spark, sf_dir):
     df, features = flow_source.read_labelled_parquet(spark, f"{sf_dir}/lineitem.parquet", "l_returnflag")
@@ -163,6 +180,6 @@ GROUP BY 1 HAVING max(epoch_us(ts)) >= (SELECT t FROM now) - 86400000000""")
 def latest_score_sink(spark, sf_dir):
     path = scratch_path(spark, "latest")
     scores = event_stream(spark, sf_dir).select("src", "ts_us", F.col("payload").alias("score"))
-    sinks.latest_score_sink(scores, path, ["src"], "ts_us").awaitTermination()
+    sinks.latest_score_sink(scores, path, ["src"], "ts_us", ttl_seconds=86_400).awaitTermination()
     now = table(spark, sf_dir, "events").agg(F.max(micros("ts"))).first()[0]
     return sinks.read_snapshot(spark, path, "ts_us", F.lit(now), 86_400)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from floodmark.plans.staging import scratch_path
+from floodmark.sources.models import drop_versions, model_versions
 
 METRIC_COLUMNS = [
     "model", "dataset", "training_samples", "test_samples", "features", "accuracy", "precision", "recall", "f1", "fpr",
@@ -69,21 +70,27 @@ def latest_scores(scores: DataFrame, key: list[str], ts: str, now: Column, ttl_s
     return newest.filter((now - F.col(ts)).between(0, ttl_seconds * 1_000_000))
 
 
-def latest_score_sink(stream: DataFrame, path: str, key: list[str], ts: str, checkpoint: str | None = None) -> StreamingQuery:
+def latest_score_sink(stream: DataFrame, path: str, key: list[str], ts: str, checkpoint: str | None = None, ttl_seconds: int | None = None) -> StreamingQuery:
     """Keep one newest score per key in a versioned snapshot table under ``path``.
 
     Each micro-batch merges its pre-aggregated newest scores with the last snapshot and writes the next
-    version; a replayed batch overwrites its own version. Read it with ``read_snapshot``.
+    version; a replayed batch overwrites its own version. With ``ttl_seconds`` keys that are older than that against the newest time
+    seen leave the snapshot, which so holds the live keys only. The two newest versions stay, for readers and replays.
+    Read it with ``read_snapshot``.
     """
     spark = stream.sparkSession
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         fresh = batch.select(*key, ts, "score")
-        known = [v for v in _versions(spark, path) if v < batch_id]
+        known = [v for v in model_versions(spark, path) if v < batch_id]
         if known:
             fresh = fresh.unionByName(spark.read.parquet(f"{path}/v={max(known)}"))
         newest = fresh.groupBy(*key).agg(F.max_by("score", ts).alias("score"), F.max(ts).alias(ts))
+        if ttl_seconds is not None:
+            latest = newest.agg(F.max(ts).alias("_latest"))  # one row
+            newest = newest.join(F.broadcast(latest), F.col(ts) >= F.col("_latest") - F.lit(ttl_seconds * 1_000_000)).drop("_latest")
         newest.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+        drop_versions(spark, path, below=max(known, default=batch_id))
 
     return (
         stream.writeStream.foreachBatch(merge)
@@ -93,15 +100,9 @@ def latest_score_sink(stream: DataFrame, path: str, key: list[str], ts: str, che
     )
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    done = [s.getPath() for s in fs.listStatus(root) if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    return [int(p.getName().split("=")[1]) for p in done]
-
-
 def read_snapshot(spark: SparkSession, path: str, ts: str, now: Column, ttl_seconds: int = 60) -> DataFrame:
-    snapshot = spark.read.parquet(f"{path}/v={max(_versions(spark, path))}")
+    versions = model_versions(spark, path)
+    if not versions:  # nothing has been published yet
+        return spark.createDataFrame([], f"score double, {ts} long")
+    snapshot = spark.read.parquet(f"{path}/v={max(versions)}")
     return snapshot.filter((now - F.col(ts)).between(0, ttl_seconds * 1_000_000))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -89,6 +89,23 @@ def stream_score(events: DataFrame, score: Callable[[DataFrame], DataFrame], pub
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def newest_model_score(spark: SparkSession, path: str, kinds: list[type], score: Callable[[DataFrame, object], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    """A scorer for ``stream_score`` that uses the newest model version under ``path`` for each micro-batch.
+
+    A version is loaded once; a model published while the stream runs serves from the next batch on.
+    """
+    loaded: dict[int, object] = {}
+
+    def run(batch: DataFrame) -> DataFrame:
+        newest = max(model_versions(spark, path))
+        if newest not in loaded:
+            loaded.clear()
+            loaded[newest] = load_model(spark, f"{path}/v={newest}", kinds)
+        return score(batch, loaded[newest])
+
+    return run
+
+
 def ocsvm_online(events: DataFrame, model: OneClassModel, path: str, verified_normal: str = "verified_normal",
                  checkpoint: str | None = None) -> tuple[StreamingQuery, Callable[[], OneClassModel]]:
     """One gradient step per micro-batch of verified-normal rows; each version is saved under ``path``.

@@ -120,3 +120,25 @@ def test_checkpoint_folder_comes_from_the_session():
         conf = Conf()
 
     assert checkpoint_root(Session()) == "hdfs://shared/folder"
+
+
+def test_online_model_goes_on_after_a_restart(spark, tmp_path):
+    """Stopped in the middle and started again, the stream ends with the model of one run."""
+    from floodmark.operators.detect import ocsvm
+
+    start = ocsvm.OneClassModel(["payload"], "linear", 1.0, 0.5, [], [], [0.0], 0.0)
+    groups = [[row(1, i, payload=float(i % 7)) for i in range(g * 10, g * 10 + 10)] for g in range(4)]
+
+    models = []
+    for name, runs in (("once", (range(4),)), ("twice", (range(2), range(2, 4)))):
+        for files in runs:
+            for i in files:
+                spark.createDataFrame(groups[i], SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/{name}-in/part-{i}")
+                time.sleep(1.1)
+            stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/{name}-in/*")
+            stream = stream.withColumn("verified_normal", F.lit(True))
+            query, current = pipeline.ocsvm_online(stream, start, str(tmp_path / f"{name}-models"), checkpoint=str(tmp_path / f"{name}-check"))
+            query.awaitTermination()
+        models.append(current())
+    assert models[0].w == models[1].w and models[0].rho == models[1].rho and models[0].w != [0.0]
+    assert len(list((tmp_path / "twice-models").glob("v=*"))) == 2
