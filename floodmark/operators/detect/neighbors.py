@@ -29,6 +29,8 @@ BLOCK_ROWS = 8192
 QUERY_ROWS = 8192
 BROADCAST_VALUES = 4_000_000
 MAX_PIVOTS = 256
+#: Of an approximate index: cells hold about ``block_rows`` rows up to this many of them (65,536 vectors on the driver).
+MAX_PROBED_PIVOTS = 1 << 16
 MAX_TASKS = 20_000
 METRICS = ("euclidean", "manhattan", "cosine", "mahalanobis", "hamming")
 
@@ -119,14 +121,25 @@ def _assign(df: DataFrame, pivots: np.ndarray, metric: str) -> DataFrame:
             if not len(batch):
                 continue
             x = _matrix(batch["v"])
-            cell = _all_distances(x, shared.value, metric).argmin(axis=1)
+            step = max(1, 4_000_000 // len(shared.value))
+            cell = np.concatenate([_all_distances(x[i : i + step], shared.value, metric).argmin(axis=1) for i in range(0, len(x), step)])
             yield batch.assign(cell=cell.astype("int32"), radius=_pair_distances(x, shared.value[cell], metric))
 
     return df.mapInPandas(nearest, "r_id long, v array<double>, cell int, radius double")
 
 
-def _index(ref: DataFrame, n: int, metric: str, seed: int, block_rows: int) -> tuple[CellIndex, DataFrame]:
+def _per_cell(df: DataFrame, **numbers) -> DataFrame:
+    """``df`` with columns of numbers per cell; at most one small row per pivot is broadcast."""
+    rows = [(c, *(int(v[c]) for v in numbers.values())) for c in range(len(next(iter(numbers.values()))))]
+    table = df.sparkSession.createDataFrame(rows, "cell int, " + ", ".join(f"{k} int" for k in numbers))
+    return df.join(F.broadcast(table), "cell")
+
+
+def _index(ref: DataFrame, n: int, metric: str, seed: int, block_rows: int, probed: bool = False) -> tuple[CellIndex, DataFrame]:
+    """Exact search prunes cells by their radius, for which few are enough; probing compares whole cells and keeps them small."""
     wanted = int(min(MAX_PIVOTS, max(1, math.isqrt(n) // 8)))
+    if probed:
+        wanted = int(min(MAX_PROBED_PIVOTS, max(wanted, n // block_rows)))
     sample = take_in_hash_order(ref, order_hash(seed, "r_id"), wanted).select("v").collect()
     pivots = np.unique(_matrix(pd.Series([r["v"] for r in sample])), axis=0)
     cells = stage(_assign(ref, pivots, metric), "cells")
@@ -143,9 +156,8 @@ def _index(ref: DataFrame, n: int, metric: str, seed: int, block_rows: int) -> t
         np.array([stats[c]["hi"] if c in stats else -np.inf for c in every]),
         np.maximum(1, -(-counts // block_rows)),
     )
-    slots = F.array(*[F.lit(int(s)) for s in index.slots])
-    slot = F.pmod(F.xxhash64("r_id"), F.get(slots, F.col("cell"))).cast("int")
-    return index, cells.select("r_id", "v", "cell", slot.alias("slot"))
+    slot = F.pmod(F.xxhash64("r_id"), F.col("_slots")).cast("int")
+    return index, _per_cell(cells, _slots=index.slots).select("r_id", "v", "cell", slot.alias("slot"))
 
 
 def _route_closest(queries: DataFrame, index: CellIndex, k: int, metric: str, probes: int) -> DataFrame:
@@ -157,13 +169,17 @@ def _route_closest(queries: DataFrame, index: CellIndex, k: int, metric: str, pr
         for batch in batches:
             if not len(batch):
                 continue
-            d = _all_distances(_matrix(batch["v"]), ix.pivots, metric)
-            d[:, ix.counts == 0] = np.inf
-            closest = np.argsort(d, axis=1)
-            held = np.cumsum(ix.counts[closest], axis=1)
-            enough = (held < min(k, int(ix.counts.sum()))).sum(axis=1) + 1
-            need = np.minimum(np.maximum(probes, enough), int((ix.counts > 0).sum()))
-            yield batch.assign(cells=[c[:m].tolist() for c, m in zip(closest, need)])
+            x, cells = _matrix(batch["v"]), []
+            step = max(1, 4_000_000 // len(ix.pivots))
+            for i in range(0, len(x), step):
+                d = _all_distances(x[i : i + step], ix.pivots, metric)
+                d[:, ix.counts == 0] = np.inf
+                closest = np.argsort(d, axis=1)
+                held = np.cumsum(ix.counts[closest], axis=1)
+                enough = (held < min(k, int(ix.counts.sum()))).sum(axis=1) + 1
+                need = np.minimum(np.maximum(probes, enough), int((ix.counts > 0).sum()))
+                cells += [c[:m].tolist() for c, m in zip(closest, need)]
+            yield batch.assign(cells=cells)
 
     return queries.mapInPandas(route, "q_id long, v array<double>, cells array<int>")
 
@@ -197,11 +213,11 @@ def _compare_blocks(
     # the queries of a cell are cut into groups, its reference blocks repeated once per group
     load = {r["cell"]: r["count"] for r in asked.groupBy("cell").count().collect()}
     per_cell = [max(1, -(-load.get(c, 0) // query_rows)) for c in range(len(index.counts))]
-    groups = F.array(*map(F.lit, per_cell))
-    slots = F.array(*[F.lit(int(s)) for s in index.slots])
-    asked = asked.withColumn("grp", F.pmod(F.xxhash64("q_id"), F.get(groups, F.col("cell"))).cast("int"))
-    asked = asked.withColumn("slot", F.explode(F.sequence(F.lit(0), F.get(slots, F.col("cell")) - 1)))
-    offered = blocks.withColumn("grp", F.explode(F.sequence(F.lit(0), F.get(groups, F.col("cell")) - 1)))
+    asked = _per_cell(asked, _groups=per_cell, _slots=index.slots)
+    asked = asked.withColumn("grp", F.pmod(F.xxhash64("q_id"), F.col("_groups")).cast("int"))
+    asked = asked.withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("_slots") - 1))).drop("_groups", "_slots")
+    offered = _per_cell(blocks, _groups=per_cell)
+    offered = offered.withColumn("grp", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1))).drop("_groups")
     bounded = "reach" in routed.columns
 
     def compare(asking: pd.DataFrame, offering: pd.DataFrame) -> pd.DataFrame:
@@ -287,7 +303,7 @@ def knn_join(
     else:
         right = stage(right, "knn-ref")
         needed = k + 1 if exclude_self else k
-        index, blocks = _index(right, size["n"], inner, seed, block_rows)
+        index, blocks = _index(right, size["n"], inner, seed, block_rows, probes is not None)
         routed = stage(_route_closest(left, index, needed, inner, probes or 1), "knn-route")
         found = _compare_blocks(routed, blocks, index, k, inner, exclude_self, query_rows)
         if probes is None:
@@ -307,7 +323,11 @@ def knn_join(
 
 
 def knn_approx(queries: DataFrame, ref: DataFrame, k: int, q_id: str, r_id: str, vector: str = "vector", probes: int = 4, **options) -> DataFrame:
-    """Neighbours from the ``probes`` closest cells only: work per query stays constant as the table grows."""
+    """Neighbours from the ``probes`` closest cells only.
+
+    Cells hold about ``block_rows`` rows, so a query is compared with about probes * block_rows rows whatever the size of the
+    table; from MAX_PROBED_PIVOTS * block_rows rows on cells grow with it.
+    """
     return knn_join(queries, ref, k, q_id, r_id, vector, probes=probes, **options)
 
 

@@ -94,3 +94,13 @@ def test_deep_network_ends_in_a_sigmoid():
         step[k] = 1e-6
         up, down = (autoencoder.loss_gradient(x, flat + s, sizes, True)[0] for s in (step, -step))
         assert math.isclose((up - down) / 2e-6, gradient[k], abs_tol=1e-6)
+
+
+def test_candidates_per_query_stay_flat(spark):
+    sizes = []
+    for n in (2_000, 20_000):
+        points = [(F.pmod(F.xxhash64(F.lit(k), F.col("id")), F.lit(10_000)) / 10_000.0) for k in range(4)]
+        ref = spark.range(n).select(F.col("id").alias("r_id"), F.array(*points).alias("v"))
+        index, _ = neighbors._index(ref, n, "euclidean", 1, 64, probed=True)
+        sizes.append(index.counts[index.counts > 0].mean())
+    assert sizes[1] < 1.5 * sizes[0] and sizes[1] < 2 * 64
