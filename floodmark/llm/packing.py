@@ -75,19 +75,19 @@ class ByteTokenizer:
         out: list[bytes] = []
         for at in range(0, len(chunks), 4096):
             group = chunks[at : at + 4096]
-            alone = {k for k, c in enumerate(group) if not c.strip(" \n\t\r") or self.OTHER_SPACE(c)}
-            padded = ["" if k in alone else c if c[0] in " \n\t\r" else "\n" + c for k, c in enumerate(group)]
+            alone = [k for k, c in enumerate(group) if c.isspace() or self.OTHER_SPACE(c)]
+            padded = [c if c[0] in " \n\t\r" else "\n" + c for c in group]
+            for k in alone:
+                padded[k] = ""
             ids = self._ids("".join(padded))
-            ends = np.cumsum(self.widths[ids])
-            raw = np.cumsum([len(c.encode()) for c in padded])
-            stops = (np.searchsorted(ends, raw, "left") + 1).tolist()
-            joined, start = ids.tobytes(), 0
-            for k, (chunk, pad, stop) in enumerate(zip(group, padded, stops)):
-                if k in alone:
-                    out.append(self._ids(chunk).tobytes())
-                    continue
-                out.append(joined[4 * (start + (len(pad) > len(chunk))) : 4 * stop])
-                start = stop
+            raw = np.cumsum([len(c) if c.isascii() else len(c.encode()) for c in padded])
+            stops = np.searchsorted(np.cumsum(self.widths[ids]), raw, "left") + (raw > 0)
+            starts = np.append(0, stops[:-1]) + [len(p) > len(c) for p, c in zip(padded, group)]
+            joined = ids.tobytes()
+            cut = [joined[x:y] for x, y in zip((4 * starts).tolist(), (4 * stops).tolist())]
+            for k in alone:
+                cut[k] = self._ids(group[k]).tobytes()
+            out += cut
         return out
 
     def _ids(self, text: str) -> np.ndarray:
