@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from floodmark.llm.memo import ChunkMemo
-from floodmark.llm.textscan import blocks
+from floodmark.llm.textscan import blocks, byte_class, owner, utf8
 from floodmark.plans.staging import stage
 
 NAME = "op10_best_fit_packing"
@@ -40,6 +40,10 @@ VOCABULARY = "byte_bpe_50k.json"
 #: Pieces that one task ranks, about.
 SHARD_ROWS = 200_000
 
+_SPACE = byte_class(" \n\t\r")
+#: Bytes that every other white space begins with or is.
+_SUSPECT = np.isin(np.arange(256), [0x0B, 0x0C, *range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3])
+
 Interval = tuple[int, int, int, int, int]  # length, first rank, number of ranks, first bin, offset
 
 
@@ -51,7 +55,6 @@ class ByteTokenizer:
     white space beyond the four usual characters go to the library whole.
     """
 
-    CHUNKS = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+").findall
     OTHER_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
 
     def __init__(self, path: str):
@@ -93,11 +96,33 @@ class ByteTokenizer:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        rows = [[t] if self.OTHER_SPACE(t) else self.CHUNKS(t) for t in texts]
-        known = self.memo.fill(set().union(*rows)).__getitem__
-        return [b"".join(map(known, row)) for row in rows]
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a column, and the n + 1 offsets of the texts into them.
+
+        Chunks are cut, and equal ones found, in the column's buffer; Python sees the distinct chunks of a block.
+        """
+        data, offsets = utf8(column)
+        space = _SPACE[data]
+        begin = np.zeros(len(data) + 1, bool)
+        begin[1:-1] = space[1:] & ~space[:-1]
+        for k in np.unique(owner(np.flatnonzero(_SUSPECT[data]), offsets)):
+            low, high = offsets[k], offsets[k + 1]
+            if self.OTHER_SPACE(data[low:high].tobytes().decode()):
+                begin[low:high] = False
+        begin[offsets[:-1]] = True
+        starts = np.flatnonzero(begin[: len(data)])
+        bounds = np.append(starts, len(data)).astype(np.int64)
+        chunks = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))])
+        distinct = chunks.dictionary_encode()
+        found = distinct.dictionary.to_pylist()
+        parts = list(map(self.memo.fill(set(found)).__getitem__, found))
+        sizes = np.array([len(p) for p in parts], np.int64) // 4
+        flat, first = np.frombuffer(b"".join(parts), "<u4"), np.cumsum(sizes) - sizes
+        index = distinct.indices.to_numpy()
+        counts = sizes[index]
+        ends = np.cumsum(counts)
+        ids = flat[np.repeat(first[index] - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)]
+        return ids, np.append(0, ends)[np.searchsorted(starts, offsets)]
 
 
 @lru_cache(maxsize=2)
@@ -120,8 +145,9 @@ def pieces(
         encode = tokenizer(path).encode
         for part in blocks(batches, len(keep), block):
             row, number, begun, sizes, sums, ids = [], [], [], [], [], []
-            for k, tokens in enumerate(encode([t or "" for t in part.column(len(keep)).to_pylist()])):
-                tokens += end
+            tokens_of, cuts = encode(part.column(len(keep)))
+            for k in range(part.num_rows):
+                tokens = tokens_of[cuts[k] : cuts[k + 1]].tobytes() + end
                 n = len(tokens) // 4
                 start = 0
                 for p in range(-(-n // capacity)):
