@@ -5,14 +5,18 @@ the question, so the text is first dealt out: the smallest hash among the ``GRAM
 window's bucket. Consecutive windows with the same smallest string form a piece, and equal windows meet in one bucket. Three
 exchanges of packed rows follow, all between groups of documents (by a hash of the id) and buckets (by key):
 
-1. keys of all pieces; a key that one group alone holds, once, settles its windows as unrepeated;
+1. keys of all pieces and the number of different pieces; a key that one group alone holds, once, settles its windows as
+   unrepeated;
 2. the other pieces. Equal pieces are collapsed to their earliest occurrence on either side. For a key with
    several different pieces, the bucket sorts the suffixes of each shard of pieces, merges the shards' transforms by
    interleave refinement (see ``bwt``) and reads the repeated intervals off the blocks at depth LENGTH;
 3. intervals that go, back to the documents.
 
-A key that more than ``HOT_GROUPS`` groups hold would fill its bucket with the contexts of a passage that everyone shares;
-such pieces are dealt out as single windows under the hash of the window, so they spread, with the same result.
+A string of 32 to 99 bytes that everyone shares would fill its key's bucket with its different contexts. A key with more
+than ``HOT_PIECES`` different pieces besides the first of each group (which may be the same piece everywhere), or with
+more than ``HOT_GROUPS`` groups, is hot: its pieces are dealt out as single windows under the digest of the window, so they
+spread, with the same result. A window travels as its digest, without its bytes. So one key brings at most HOT_PIECES +
+HOT_GROUPS pieces of up to 168 bytes (4.7 MB; 2.4 MB with the 6,000 groups of 30 GB) to a merge.
 
 Null texts have no bytes. Rows of a null id are kept whole and compared with nothing; rows repeated under one id do not
 count against each other. Only the id (an integer) and the text are read.
@@ -40,7 +44,7 @@ GRAM = 32
 BLOCK = 1 << 20
 #: File bytes of the input per group of documents and per bucket.
 GROUP_BYTES, BUCKET_BYTES = 5 << 20, 8 << 20
-HOT_GROUPS = 20_000
+HOT_PIECES, HOT_GROUPS = 8_192, 20_000
 #: Shards of pieces whose transforms are merged, and suffixes merged at once (a key's pieces stay together).
 SHARDS, MERGE_SYMBOLS = 4, 1 << 20
 _G = np.uint64(0x9E6C63D0876A9A47)
@@ -83,6 +87,14 @@ class Pieces:
         stop = np.append(begin[1:], len(at)) - 1
         return places[begin], places[stop], rows[begin], keys[at[begin]]
 
+    def variety(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct keys in order, and how many different pieces each has besides the first."""
+        keys, inverse, counts = np.unique(self.key, return_inverse=True, return_counts=True)
+        again = np.flatnonzero(counts[inverse] > 1)
+        digest = prints(self.data, self.first[again], self.last[again] + LENGTH)[0]
+        different = again[np.unique(digest, return_index=True)[1]]
+        return keys, np.maximum(np.bincount(inverse[different], minlength=len(keys)) - 1, 0).astype(np.uint32)
+
     def keep(self, chosen: np.ndarray) -> None:
         self.first, self.last, self.row, self.key = (x[chosen] for x in (self.first, self.last, self.row, self.key))
 
@@ -149,19 +161,17 @@ def _grouped(texts: DataFrame, groups: int) -> DataFrame:
 
 
 def piece_keys(texts: DataFrame, groups: int, buckets: int) -> DataFrame:
-    """First exchange: every group's distinct keys, by bucket."""
+    """First exchange: every group's distinct keys with the number of further pieces, by bucket."""
 
     def run(docs: pa.Table) -> pa.Table:
-        keys = np.unique(Pieces(docs).key)
+        keys, more = Pieces(docs).variety()
         cuts = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
         own = np.flatnonzero(np.diff(cuts))
         group = docs.column("_group")[0].as_py()
-        return pa.table(
-            [pa.array([group] * len(own), pa.int32()), pa.array(own, pa.int32()), pa.array([planes(keys[cuts[b] : cuts[b + 1]]) for b in own], pa.binary())],
-            names=["_group", "_bucket", "_keys"],
-        )
+        values = (pa.array([planes(v[cuts[b] : cuts[b + 1]]) for b in own], pa.binary()) for v in (keys, more))
+        return pa.table([pa.array([group] * len(own), pa.int32()), pa.array(own, pa.int32()), *values], names=["_group", "_bucket", "_keys", "_more"])
 
-    return _grouped(texts, groups).applyInArrow(run, "_group int, _bucket int, _keys binary")
+    return _grouped(texts, groups).applyInArrow(run, "_group int, _bucket int, _keys binary, _more binary")
 
 
 def shared_keys(keys: DataFrame) -> DataFrame:
@@ -169,8 +179,10 @@ def shared_keys(keys: DataFrame) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         own = [unplaned(k, np.uint64) for k in table.column("_keys").to_pylist()]
-        distinct, inverse, counts = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
-        flags = ((counts > 1).astype(np.uint8) + (counts > HOT_GROUPS))[inverse].astype(np.uint8)
+        more = np.concatenate([unplaned(m, np.uint32) for m in table.column("_more").to_pylist()])
+        _, inverse, counts = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+        hot = (np.bincount(inverse, more) > HOT_PIECES) | (counts > HOT_GROUPS)
+        flags = np.where(hot, 2, counts > 1)[inverse].astype(np.uint8)
         parts = np.split(flags, np.cumsum([len(k) for k in own])[:-1])
         return pa.table([table.column("_group"), table.column("_bucket"), pa.array([p.tobytes() for p in parts], pa.binary())], names=["_group", "_bucket", "_flags"])
 
@@ -202,7 +214,8 @@ PIECES = "_bucket int, _group int, _ids binary, _starts binary, _sizes binary, _
 
 
 def shared_pieces(texts: DataFrame, flags: DataFrame, groups: int, buckets: int) -> DataFrame:
-    """Second exchange: pieces of shared keys, by bucket; a null bucket holds the intervals a group settled itself."""
+    """Second exchange: pieces of shared keys, by bucket. Rows without keys hold the intervals that a group settled itself,
+    rows without sizes hold single windows with the second half of their digests as bytes."""
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         columns = [[] for _ in range(7)]
@@ -225,26 +238,38 @@ def _deal(found: Pieces, group: int, buckets: int, columns: list[list]) -> None:
     """Rows of the pieces that are first of their kind in the group; the others are settled."""
     ids, starts = found.ids[found.row], found.first - found.offsets[found.row]
     digests = found.prints()
-    order = np.lexsort((starts, ids, *digests))
-    same = np.zeros(len(order), bool)
-    same[1:] = np.logical_and.reduce([p[order][1:] == p[order][:-1] for p in digests])
-    head = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))] if len(order) else order
-    later = order[same & ((ids[order] != ids[head]) | (starts[order] != starts[head]))]
+    heads, later = _twins(ids, starts, digests)
     done = _intervals(np.zeros(len(later), np.int64), ids[later], starts[later], starts[later] + digests[2][later])
     if done.num_rows:
         for column, value in zip(columns, (group % buckets, group, *(done.column(c)[0].as_py() for c in ("_ids", "_starts", "_ends")), None, None)):
             column.append(value)
-    heads = order[~same]
     bucket = bucket_of(found.key[heads], buckets)
     heads = heads[np.lexsort((starts[heads], ids[heads], bucket))]
     cuts = np.searchsorted(bucket_of(found.key[heads], buckets), np.arange(buckets + 1))
+    single = found.key == digests[0]
     for b in np.flatnonzero(np.diff(cuts)):
-        at = heads[cuts[b] : cuts[b + 1]]
-        sizes = digests[2][at]
-        places = np.repeat(found.first[at] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-        values = (int(b), group, planes(ids[at]), planes(starts[at].astype(np.int32)), planes(sizes.astype(np.int32)), planes(found.key[at]), found.data[places].tobytes())
-        for column, value in zip(columns, values):
-            column.append(value)
+        both = heads[cuts[b] : cuts[b + 1]]
+        for at, windows in ((both[~single[both]], False), (both[single[both]], True)):
+            if not len(at):
+                continue
+            if windows:
+                sizes, raw = None, planes(digests[1][at])
+            else:
+                sizes = digests[2][at]
+                places = np.repeat(found.first[at] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+                sizes, raw = planes(sizes.astype(np.int32)), found.data[places].tobytes()
+            values = (int(b), group, planes(ids[at]), planes(starts[at].astype(np.int32)), sizes, planes(found.key[at]), raw)
+            for column, value in zip(columns, values):
+                column.append(value)
+
+
+def _twins(ids: np.ndarray, starts: np.ndarray, values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The earliest of each kind in the order of ``values``, and all others that are not the same place again."""
+    order = np.lexsort((starts, ids, *values))
+    same = np.zeros(len(order), bool)
+    same[1:] = np.logical_and.reduce([v[order][1:] == v[order][:-1] for v in values])
+    head = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))] if len(order) else order
+    return order[~same], order[same & ((ids[order] != ids[head]) | (starts[order] != starts[head]))]
 
 
 def repeats(pieces: DataFrame) -> DataFrame:
@@ -252,6 +277,8 @@ def repeats(pieces: DataFrame) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         own = table.filter(table.column("_keys").is_valid())
+        windows = own.filter(own.column("_sizes").is_null())
+        own = own.filter(own.column("_sizes").is_valid())
         settled = table.filter(table.column("_keys").is_null())
         ready = []
         for g, i, s, e in zip(*(settled.column(c).to_pylist() for c in ("_group", "_ids", "_starts", "_sizes"))):
@@ -259,6 +286,8 @@ def repeats(pieces: DataFrame) -> DataFrame:
             ready.append((np.full(len(i), g), i, unplaned(s, np.int32).astype(np.int64), unplaned(e, np.int32).astype(np.int64)))
         if own.num_rows:
             ready += _repeated(own)
+        if windows.num_rows:
+            ready.append(_repeated_windows(windows))
         if not ready:
             return _intervals(*(np.zeros(0, np.int64) for _ in range(4)))
         return _intervals(*(np.concatenate([r[k] for r in ready]) for k in range(4)))
@@ -266,6 +295,18 @@ def repeats(pieces: DataFrame) -> DataFrame:
     return pieces.groupBy("_bucket").applyInArrow(run, INTERVALS)
 
 
+def _repeated_windows(windows: pa.Table) -> tuple[np.ndarray, ...]:
+    """Later occurrences among single windows: equal digests are equal windows."""
+    ids, starts, first, second = (
+        np.concatenate([unplaned(v, k) for v in windows.column(c).to_pylist()])
+        for c, k in (("_ids", np.int64), ("_starts", np.int32), ("_keys", np.uint64), ("_bytes", np.uint64))
+    )
+    group = np.repeat(np.array(windows.column("_group").to_pylist()), [len(s) // 4 for s in windows.column("_starts").to_pylist()])
+    _, later = _twins(ids, starts, [second, first])
+    start = starts[later].astype(np.int64)
+    return group[later], ids[later], start, start + LENGTH
+
+
 def _repeated(own: pa.Table) -> list[tuple[np.ndarray, ...]]:
     ids, starts, sizes, keys = (
         np.concatenate([unplaned(v, k) for v in own.column(c).to_pylist()]).astype(t)
@@ -275,16 +316,9 @@ def _repeated(own: pa.Table) -> list[tuple[np.ndarray, ...]]:
     text = np.frombuffer(b"".join(own.column("_bytes").to_pylist()), np.uint8)
     at = np.cumsum(sizes) - sizes
     digests = prints(text, at, at + sizes)
-    order = np.lexsort((starts, ids, *digests, keys))
-    equal = np.ones(max(len(order) - 1, 0), bool)
-    for p in (keys, *digests):
-        equal &= p[order][1:] == p[order][:-1]
-    same = np.concatenate([[False], equal])
-    head = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
-    later = order[same & ((ids[order] != ids[head]) | (starts[order] != starts[head]))]
+    heads, later = _twins(ids, starts, [*digests, keys])
     out = [(group[later], ids[later], starts[later], starts[later] + sizes[later])]
     # keys with several different pieces: their strings go into shards
-    heads = order[~same]
     new = np.concatenate([[True], keys[heads][1:] != keys[heads][:-1]])
     run = np.cumsum(new) - 1
     several = np.bincount(run)[run] > 1

@@ -89,6 +89,26 @@ def test_byte_repeats_hot_keys(small, monkeypatch):
     assert by_id(got, "n_bytes", "n_removed", "n_spans", "h") == brute.byte_repeats(texts_of(small))
 
 
+def test_byte_repeats_of_a_line_in_different_documents(spark):
+    """No key brings more than HOT_PIECES different pieces to one merge, at the shipped threshold and in few groups."""
+    rng = random.Random(8)
+    line = "".join(rng.choice("abcdefghij") for _ in range(90))
+    sides = ["".join(rng.choice("klmnopqrst") for _ in range(12)) for _ in range(40)]
+    texts = ["".join(rng.choice("0123456789") for _ in range(10)) + line + "".join(rng.choice("uvwxyz") for _ in range(10)) for _ in range(12_000)]
+    texts += [rng.choice(sides) + line + rng.choice(sides) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    narrow, groups, buckets = df.selectExpr("doc_id as _id", "text as _text"), 3, 4
+    flags = suffix_dedup.shared_keys(suffix_dedup.piece_keys(narrow, groups, buckets))
+    sent: dict[int, int] = {}
+    for r in suffix_dedup.shared_pieces(narrow, flags, groups, buckets).where("_keys is not null").collect():
+        for key in suffix_dedup.unplaned(bytes(r["_keys"]), np.uint64).tolist():
+            sent[key] = sent.get(key, 0) + 1
+    assert 0 < max(sent.values()) <= 8192
+    got = suffix_dedup.remove_repeats(df).selectExpr("*", "sha2(kept, 256) as h")
+    want = brute.byte_repeats(texts_of(df))
+    assert by_id(got, "n_bytes", "n_removed", "n_spans", "h") == want and any(w[1] for w in want.values())
+
+
 def test_word_repeats(docs):
     got = window_dedup.remove_passages(docs).selectExpr("*", "sha2(kept, 256) as h")
     assert by_id(got, "n_words", "n_removed", "h") == brute.word_repeats(texts_of(docs))
