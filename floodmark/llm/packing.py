@@ -52,7 +52,9 @@ class ByteTokenizer:
 
     A chunk is white space with the run of other characters behind it. The vocabulary's pattern never lets a token
     cross the border before white space, and looks behind nothing, so chunks are encoded alone. Texts with
-    white space beyond the four usual characters go to the library whole.
+    white space beyond the four usual characters go to the library whole. The vocabulary's one added token,
+    ``<|endoftext|>``, holds no white space and takes none from its sides, so it lies within a chunk; as the library
+    does by default, it becomes its own id (13 bytes) and splits the chunk before the pattern runs.
     """
 
     OTHER_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
@@ -61,7 +63,6 @@ class ByteTokenizer:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         resize = getattr(self.library.model, "_resize_cache", None)
         if resize is not None:
             resize(0)  # the memo holds what comes back; the library's own cache only costs time on new chunks

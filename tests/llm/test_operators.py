@@ -207,6 +207,23 @@ def test_packing(docs):
     check_places(got)
 
 
+def test_packing_keeps_the_added_token(spark):
+    """Ids of a fresh library, also where a text holds the vocabulary's added token or a part of it."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(packing.VOCABULARY)
+    library = Tokenizer.from_file(path)
+    assert library.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    rng = random.Random(9)
+    parts = ["<|endoftext|>", "<|endoftext|>", "<|endof", "text|>", "<|", "|>", " ", "  ", "\n", "\t\r", "a", "été", "don't", "\u3000", "12", "😀"]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", " <|endoftext|> "] + ["".join(rng.choices(parts, k=rng.randint(1, 30))) for _ in range(3000)]
+    texts.append("a <|endoftext|> b " * 900)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = packing.pack_documents(df, path).collect()
+    want = {(i, *p) for i, t in enumerate(texts) for p in brute.pieces(library.encode(t, add_special_tokens=False).ids)}
+    assert {(r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got} == want and len(got) == len(want)
+
+
 def check_places(rows, capacity: int = 1024) -> int:
     bins: dict[int, list] = {}
     for r in rows:
