@@ -5,11 +5,13 @@ rendered; where an output continues the one before, the difference is the span o
 template rewrites history, which is reported instead of spans. A probe rendering with a marker in place of the text
 shows where in the span the text stands; the assistant's texts make up the loss mask.
 
-Rows are dealt by (conversation, block of turn numbers); a block starts from the last turn before it, so a
-conversation that holds a third of all rows is rendered in many tasks, and the prefixes stay short. A template must
-therefore show a turn independently of what lies more than one turn back, apart from telling the first turn from others;
-``trace`` checks what a block can see. The digests of a conversation are sequential by nature: its rendered turns stream
-through one task in order, one Arrow batch in memory at a time.
+What a black box does with a turn may depend on all turns before it (numbers, dropped history, alternating roles), so its
+whole prefixes are rendered: a conversation is held by one task, and its work grows with the square of its turns. A
+template is ``local`` if it shows a turn independently of what lies more than one turn back, apart from telling the first
+turn from others; this is known of the default template and cannot be seen from outside. Rows of a local template are
+dealt by (conversation, block of turn numbers); a block starts from the last turn before it, so a conversation that
+holds a third of all rows is rendered in many tasks, and the prefixes stay short. The digests of a conversation are
+sequential by nature: its rendered turns stream through one task in order, one Arrow batch in memory at a time.
 
 Null texts and roles are empty. Turns are ordered by number, then role and text, so ties and repeated rows have a fixed
 place. Null turn numbers come first; a null conversation is a conversation of its own. Texts of any length pass whole.
@@ -108,17 +110,24 @@ def trace(template: Template, before: Turns, turns: Turns) -> Iterator[tuple[str
         shown = output
 
 
-def format_turns(conversations: DataFrame, template: Template = chat_template, block: int = BLOCK) -> DataFrame:
+def format_turns(conversations: DataFrame, template: Template = chat_template, block: int = BLOCK, local: bool | None = None) -> DataFrame:
     """One row per turn: ``conv_id``, ``turn``, ``position`` in its block, ``role``, ``rendered``, ``text_start``,
-    ``text_end`` (code points within ``rendered``, -1 where unknown) and ``rewrites``."""
+    ``text_end`` (code points within ``rendered``, -1 where unknown) and ``rewrites``.
+
+    ``local``: the template may be rendered in blocks; if not given, only the default template is. Otherwise a
+    conversation is one block.
+    """
+    local = template is chat_template if local is None else local
+    number = F.coalesce(F.floor(F.col("turn") / block), F.lit(-(2**62))) if local else F.lit(0).cast("long")
     rows = conversations.select(
         "conv_id",
         "turn",
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
-        F.coalesce(F.floor(F.col("turn") / block), F.lit(-(2**62))).alias("_block"),
+        number.alias("_block"),
     )
     order = ["turn", "role", "text"]
+    # no edge of a whole conversation: its only block has none before it
     edges = rows.groupBy("conv_id", "_block").agg(F.max(F.struct(*order)).alias("_edge"))
     last = F.lag("_edge").over(Window.partitionBy("conv_id").orderBy("_block"))  # one row per block of turns
     edges = edges.select("conv_id", "_block", last.alias("_edge")).where("_edge is not null")
@@ -131,20 +140,24 @@ def format_turns(conversations: DataFrame, template: Template = chat_template, b
             for batch in batches:
                 yield from zip(*(batch.column(c).to_pylist() for c in ("conv_id", "_block", "_own", "turn", "role", "text")))
 
+        def traced():
+            for (conv, _), members in groupby(stream(), key=lambda r: r[:2]):
+                before, part, position = [], [], 0
+                for _, _, own, turn, role, text in members:
+                    if own:
+                        part.append((turn, role, text))
+                    else:
+                        before.append((role, text))
+                    if local and len(part) == block:  # many rows of one number: go on from the last of them
+                        yield from _traced(template, conv, before, part, position)
+                        before, position, part = [part[-1][1:]], position + len(part), []
+                yield from _traced(template, conv, before, part, position)
+
         out: list[tuple] = []
         held = 0
-        for (conv, _), members in groupby(stream(), key=lambda r: r[:2]):
-            before, part, position = [], [], 0
-            for _, _, own, turn, role, text in members:
-                if own:
-                    part.append((turn, role, text))
-                else:
-                    before.append((role, text))
-                if len(part) == block:  # many rows of one number: go on from the last of them
-                    out += _traced(template, conv, before, part, position)
-                    before, position, part = [part[-1][1:]], position + len(part), []
-            out += _traced(template, conv, before, part, position)
-            held += sum(len(r[4]) for r in out[-block:])
+        for row in traced():
+            out.append(row)
+            held += len(row[4])
             if len(out) >= 2000 or held > 1 << 24:
                 yield _batch(out, schema)
                 out, held = [], 0
@@ -164,9 +177,10 @@ def format_turns(conversations: DataFrame, template: Template = chat_template, b
     )
 
 
-def _traced(template: Template, conv, before: Turns, part: list[tuple], position: int) -> list[tuple]:
-    found = trace(template, before, [p[1:] for p in part])
-    return [(conv, p[0], position + k, p[1], *t) for k, (p, t) in enumerate(zip(part, found))]
+def _traced(template: Template, conv, before: Turns, part: list[tuple], position: int) -> Iterator[tuple]:
+    if part:
+        for k, (p, t) in enumerate(zip(part, trace(template, before, [p[1:] for p in part]))):
+            yield conv, p[0], position + k, p[1], *t
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:

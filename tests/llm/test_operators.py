@@ -341,6 +341,36 @@ def test_chat_detects_rewritten_history(spark):
     assert flags == [False, True, True]
 
 
+def test_chat_black_box_sees_whole_prefixes(spark):
+    """Numbered rounds, history changed late and only between borders, and demanded alternation, over 100 turns."""
+
+    def numbered(turns):
+        return "".join(f"[Round {k // 2 + 1}] {r}: {t}\n" if k % 2 == 0 else f"{r}: {t}\n" for k, (r, t) in enumerate(turns))
+
+    def forgets(turns):
+        return "".join(f"{r}: {t}\n" for r, t in (turns[-50:] if 70 <= len(turns) < 75 else turns))
+
+    def alternates(turns):
+        if any(r != ("user", "assistant")[k % 2] for k, (r, _) in enumerate(turns)):
+            raise ValueError("roles must alternate")
+        return "".join(f"<{r}>{t}" for r, t in turns)
+
+    turns = [(("user", "assistant")[k % 2], f"text {k}") for k in range(101)]
+    df = spark.createDataFrame([(c, k, *t) for c in (1, 2) for k, t in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    for template in (numbered, forgets, alternates):
+        want, shown = [], ""
+        for k in range(1, len(turns) + 1):
+            output = template(turns[:k])
+            rewrites = not output.startswith(shown)
+            want.append((output if rewrites else output[len(shown) :], rewrites))
+            shown = output
+        for conv in (1, 2):
+            got = chat.format_turns(df, template).where(f"conv_id = {conv}").orderBy("turn").collect()
+            assert [(r["rendered"], r["rewrites"]) for r in got] == want
+            assert all(r["rewrites"] or r["rendered"][r["text_start"] : r["text_end"]] == r["text"] for r in map(lambda g: g.asDict() | {"text": f"text {g['turn']}"}, got))
+    assert sum(r["rewrites"] for r in chat.format_turns(df, forgets).where("conv_id = 1").collect()) == 6
+
+
 def test_transforms_merge():
     rng = random.Random(7)
     for _ in range(100):
