@@ -82,7 +82,8 @@ def gmm_select_facts(spark, sf_dir):
 def knn_approx_recall(spark, sf_dir):
     v = vectors(spark, sf_dir)
     exact = neighbors.knn_join(v, v, 5, "vec_id", "vec_id", "embedding", exclude_self=True)
-    approx = neighbors.knn_approx(v, v, 5, "vec_id", "vec_id", "embedding", probes=64, exclude_self=True)
+    rows = max(1, v.count() // 100)  # a hundred cells, many more than the default probes
+    approx = neighbors.knn_approx(v, v, 5, "vec_id", "vec_id", "embedding", exclude_self=True, block_rows=rows)
     share = neighbors.recall(approx, exact, "vec_id").first()[0]
     return v.agg(F.count("*").alias("n"), F.lit(bool(share >= 0.9)).alias("recall_holds"))
 

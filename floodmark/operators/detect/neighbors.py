@@ -31,6 +31,9 @@ BROADCAST_VALUES = 4_000_000
 MAX_PIVOTS = 256
 #: Of an approximate index: cells hold about ``block_rows`` rows up to this many of them (65,536 vectors on the driver).
 MAX_PROBED_PIVOTS = 1 << 16
+#: Queries whose exact neighbours tell how many cells an approximate search needs, and what is added to the recall asked for,
+#: some three standard errors of the sample.
+SAMPLE_QUERIES, SAMPLE_MARGIN = 400, 0.03
 MAX_TASKS = 20_000
 METRICS = ("euclidean", "manhattan", "cosine", "mahalanobis", "hamming")
 
@@ -280,11 +283,13 @@ def knn_join(
     block_rows: int = BLOCK_ROWS,
     query_rows: int = QUERY_ROWS,
     broadcast_values: int = BROADCAST_VALUES,
+    least_recall: float | None = None,
 ) -> DataFrame:
     """k nearest reference rows per query: (q_id, n_id, dist, rank); ties by id.
 
     Exact for every metric. With ``probes`` only that many closest cells are searched (more where they
-    hold fewer than k rows). ``exclude_self`` skips the reference row with the query's own id.
+    hold fewer than k rows), and with ``least_recall`` as many more as a sample of the queries needs for it.
+    ``exclude_self`` skips the reference row with the query's own id.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric}")
@@ -304,6 +309,10 @@ def knn_join(
         right = stage(right, "knn-ref")
         needed = k + 1 if exclude_self else k
         index, blocks = _index(right, size["n"], inner, seed, block_rows, probes is not None)
+        if probes is not None and least_recall is not None:
+            sample = stage(take_in_hash_order(left, order_hash(seed + 1, "q_id"), SAMPLE_QUERIES), "knn-sample")
+            exact = knn_join(sample, right, k, "q_id", "r_id", "v", inner, exclude_self, None, seed, BLOCK_ROWS, query_rows, broadcast_values)
+            probes = max(probes, _probes_needed(sample, exact, blocks, index, inner, least_recall))
         routed = stage(_route_closest(left, index, needed, inner, probes or 1), "knn-route")
         found = _compare_blocks(routed, blocks, index, k, inner, exclude_self, query_rows)
         if probes is None:
@@ -322,13 +331,27 @@ def knn_join(
     return ranked.select(F.col("q_id").alias(q_id), "n_id", dist.alias("dist"), "rank")
 
 
-def knn_approx(queries: DataFrame, ref: DataFrame, k: int, q_id: str, r_id: str, vector: str = "vector", probes: int = 4, **options) -> DataFrame:
-    """Neighbours from the ``probes`` closest cells only.
+def _probes_needed(sample: DataFrame, exact: DataFrame, blocks: DataFrame, index: CellIndex, metric: str, least_recall: float) -> int:
+    """Closest cells that hold the share ``least_recall`` (and the margin) of the sample's exact neighbours."""
+    ranked = _route_closest(sample, index, 1, metric, len(index.pivots)).select("q_id", "cells")
+    placed = exact.select("q_id", "n_id").join(blocks.select(F.col("r_id").alias("n_id"), "cell"), "n_id").join(F.broadcast(ranked), "q_id")
+    share = min(1.0, least_recall + SAMPLE_MARGIN)
+    need = placed.agg(F.percentile(F.array_position("cells", F.col("cell")), F.lit(share))).first()[0]
+    return math.ceil(need or 1)
 
-    Cells hold about ``block_rows`` rows, so a query is compared with about probes * block_rows rows whatever the size of the
-    table; from MAX_PROBED_PIVOTS * block_rows rows on cells grow with it.
+
+def knn_approx(
+    queries: DataFrame, ref: DataFrame, k: int, q_id: str, r_id: str, vector: str = "vector", probes: int = 4, least_recall: float | None = 0.9, **options
+) -> DataFrame:
+    """Neighbours from the closest cells only: ``probes`` of them, or more until ``least_recall`` is reached.
+
+    Cells hold about ``block_rows`` rows, so a query is compared with about probes * block_rows rows. How many cells
+    hold the neighbours depends on the data: few where rows form clusters, most of them where many dimensions are
+    filled evenly. It is read off the exact neighbours of SAMPLE_QUERIES queries. Without ``least_recall`` the work of a
+    query does not depend on the size of the table (from MAX_PROBED_PIVOTS * block_rows rows on cells grow with it), but
+    recall falls as cells become more.
     """
-    return knn_join(queries, ref, k, q_id, r_id, vector, probes=probes, **options)
+    return knn_join(queries, ref, k, q_id, r_id, vector, probes=probes, least_recall=least_recall, **options)
 
 
 def recall(approx: DataFrame, exact: DataFrame, q_id: str) -> DataFrame:
