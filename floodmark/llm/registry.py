@@ -8,7 +8,7 @@ from floodmark.catalog.registry import Query
 
 MODULES = (
     "piece_codec", "exact_dedup", "suffix_dedup", "near_dedup", "window_dedup",
-    "quality", "chat", "secrets", "personal", "packing", "token_files", "importance",
+    "quality", "chat", "secrets", "personal", "packing", "token_files", "importance", "part_codes",
 )
 
 
