@@ -34,7 +34,27 @@ from floodmark.llm.textscan import blocks, utf8
 from floodmark.plans.staging import stage
 
 NAME = "op4_minhash_near_dedup"
-SQL = None
+SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+  FROM words, unnest(range(1, greatest(len(w) - 1, 2))) r(i) WHERE len(w) > 0
+), sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b USING (s) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (
+  SELECT a, b FROM shared x JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * x.n >= 85 * (p.n + q.n - x.n)
+), ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, w.b FROM reach r JOIN ways w ON w.a = r.other
+)
+SELECT r.doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles, min(r.other) AS component_id, r.doc_id = min(r.other) AS kept
+FROM reach r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
+"""
 COORDINATES, LONG_COORDINATES, SHORT_COORDINATES = 32, 1024, 256
 #: Highest chance, per link at the threshold, that a count of collisions misses it.
 MISS = 1e-8
@@ -66,7 +86,7 @@ def shingle_sets(column: pa.Array, size: int) -> list[np.ndarray]:
     for k in range(len(column)):
         n = cuts[k + 1] - cuts[k]
         if 0 < n < size:
-            out.append(wh.window_hashes(hashes, cuts[k : k + 1], int(n)) ^ np.uint64(n))
+            out.append(wh.window_hashes(hashes[cuts[k] : cuts[k + 1]], np.zeros(1, np.int64), int(n)) ^ np.uint64(n))
         else:
             out.append(np.unique(shingles[bounds[k] : bounds[k + 1]]))
     return out

@@ -29,7 +29,20 @@ from floodmark.llm import wordhash as wh
 from floodmark.llm.textscan import utf8
 
 NAME = "op5_difference_cover"
-SQL = None
+SQL = r"""
+WITH words AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS k FROM words, unnest(range(1, len(w) - 18)) r(i)),
+later AS (SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, i + d AS i FROM later, unnest(range(20)) r(d)),
+single AS (SELECT doc_id, i, w[i] AS x FROM words, unnest(range(1, len(w) + 1)) r(i)),
+stay AS (
+  SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY i) AS kept
+  FROM single ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM words LEFT JOIN stay USING (doc_id)
+"""
 WINDOW = 20
 #: A perfect difference set: every remainder is a difference of two members.
 PERIOD, COVER = 13, (0, 1, 3, 9)
@@ -76,7 +89,7 @@ def windows(texts: DataFrame, near: DataFrame, buckets: int, groups: int) -> Dat
         at = np.flatnonzero(np.cumsum(edges[:-1]) > 0)
         rows = np.searchsorted(cuts, at, "right") - 1
         keys = wh.window_hashes(hashes, at, WINDOW)
-        rest = (wh.window_hashes(hashes, at, WINDOW, second=True) >> np.uint64(32)).astype(np.uint32)
+        rest = (wh.window_hashes(wh.words(data, offsets, second=True)[0], at, WINDOW) >> np.uint64(32)).astype(np.uint32)
         ids, place = chunk.column(0).to_numpy()[rows], at - cuts[rows]
         heads, settled = oc.settle(ids, place, [keys, rest], every=False)
         yield from oc.packed(ids, place, keys, rest, settled, heads, buckets)

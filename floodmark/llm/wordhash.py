@@ -1,8 +1,10 @@
 """Vectorised 64-bit hashes of words and of word sequences in UTF-8 buffers.
 
-A word is a run of bytes other than ASCII white space. Hashes are polynomials modulo 2**64 over random byte values
-with a final mix, taken as differences of prefix sums, so a block of texts needs a handful of numpy passes. They depend
-on the bytes alone and agree between tasks, runs and machines.
+A word is a run of bytes other than ASCII white space. Its hash sums its 8-byte blocks, each mixed with its place first, so
+no two words are equal by the algebra of a polynomial; a second hash mixes other numbers in. A window's hash combines
+those of its halves, again through the mix. Blocks of texts need a handful of numpy passes. Hashes depend on the bytes alone and
+agree between tasks, runs and machines. ``stretches`` (polynomials modulo 2**64 over random byte values) serves short strings
+of bounded length only: from 1,024 bytes on there are strings on which it fails for every base.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _R)
-_LOWER = np.arange(256)
+_LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -55,15 +57,36 @@ def stretches(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np
     return (sums[ends] - sums[starts]) * down[starts]
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+_TAIL = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
+
+
+def _blocked(part: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: np.uint64) -> np.ndarray:
+    """Hash of every word from its 8-byte blocks (the last one filled with zeros) and its length."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    lengths = ends - starts
+    many = (lengths + 7) // 8
+    first = np.cumsum(many) - many
+    word = np.repeat(np.arange(len(starts)), many)
+    place = np.arange(len(word)) - first[word]
+    padded = np.concatenate([part, np.zeros(8, np.uint8)])
+    eights = np.ndarray(len(part) + 1, "<u8", padded, strides=(1,))
+    block = eights[starts[word] + 8 * place] & _TAIL[np.minimum(lengths[word] - 8 * place, 8)]
+    spot = mix((place + 1).astype(np.uint64) * seed)
+    sums = np.add.reduceat(mix((block ^ spot) * seed), first)
+    return mix(sums + lengths.astype(np.uint64) * _R)
+
+
+def words(
+    data: np.ndarray, offsets: np.ndarray, lower: bool = False, second: bool = False, block: int = 1 << 20
+) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word, and the n + 1 offsets of the texts into them; whole texts of about ``block`` bytes at a time."""
-    table = BYTE[_LOWER] if lower else BYTE
     hashes, cuts, n, row = [], [np.zeros(1, np.int64)], 0, 0
     while row < len(offsets) - 1:
         stop = max(int(np.searchsorted(offsets, offsets[row] + block, "right")) - 1, row + 1)
         part, own = data[offsets[row] : offsets[stop]], offsets[row : stop + 1] - offsets[row]
         starts, ends = runs(~_SPACE[part], own)
-        hashes.append(mix(stretches(table[part], starts, ends, _R) + (ends - starts).astype(np.uint64)))
+        hashes.append(_blocked(_LOWER[part] if lower else part, starts, ends, _S2 if second else _S1))
         cuts.append(n + np.searchsorted(starts, own[1:]))
         n, row = n + len(starts), stop
     return np.concatenate([np.zeros(0, np.uint64), *hashes]), np.concatenate(cuts)
@@ -77,6 +100,16 @@ def windows(hashes: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndar
     return np.arange(len(rows)) - first[rows] + offsets[:-1][rows], rows
 
 
-def window_hashes(hashes: np.ndarray, at: np.ndarray, size: int, second: bool = False) -> np.ndarray:
-    """Hash of the ``size`` words from each of ``at``."""
-    return mix(stretches(hashes, at, at + size, _S2 if second else _S1))
+def window_hashes(hashes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` words from each of ``at``: doubled spans of words, put together as the size's bits say."""
+    if not len(at):
+        return np.zeros(0, np.uint64)
+    span, level, done, out = 1, hashes, 0, np.full(len(at), size, np.uint64)
+    while True:
+        if size & span:
+            out = mix(out * _S1 + level[at + done])
+            done += span
+        if done == size:
+            return out
+        level = mix(level[:-span] * _S2 + level[span:])
+        span *= 2
