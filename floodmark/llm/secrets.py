@@ -2,9 +2,10 @@
 
 The patterns find assignments, access keys and long hexadecimal runs. Beyond them, every run of key characters is
 scored by the log-likelihood ratio of two first-order Markov models over characters: random strings against ordinary
-identifiers. Both are trained on labelled samples: the values that the patterns found in the corpus count as random
-(mixed with the uniform model, so that key alphabets without samples are known too), all other runs as ordinary. The
-transition counts cover all documents; they are sums over the map side, 2 * 67 * 67 numbers in the end.
+identifiers. Pattern spans are cut out of a run; what is left of it is scored piece by piece, and all its pieces together, so that
+a key around a hexadecimal stretch goes with it. Both models are trained on labelled samples: the values (without their keywords)
+that the patterns found in the corpus count as random (mixed with the uniform model, so that key alphabets without samples are
+known too), runs that touch no pattern span as ordinary. The transition counts cover all documents; they are sums over the map side, 2 * 67 * 67 numbers in the end.
 
 Spans are in code points. Null and empty texts have no spans; texts are scanned whole, in linear time; rows are
 independent, so repeated rows repeat their spans and no key is grouped. Only the id and the text are read.
@@ -76,6 +77,34 @@ def scan(column: pa.Array) -> Iterator[tuple[list[sp.Span], np.ndarray, list[tup
         yield base, data, (ts[own], te[own], ps[own], pe[own])
 
 
+def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(spans):
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], e))
+        else:
+            out.append((s, e))
+    return out
+
+
+def _values(text: str, base: list[sp.Span]) -> list[tuple[int, int]]:
+    """The pattern spans without the keywords of assignments, put together."""
+    return _union([(ASSIGN.match(text, s, e).start(2), e) if kind == "assign" else (s, e) for kind, s, e in base])
+
+
+def _pieces(spans: list[tuple[int, int]], runs_of: tuple[np.ndarray, ...], inside: bool) -> tuple[np.ndarray, ...]:
+    """Parts of the runs inside (or outside) disjoint spans, as bytes and code points, with the run of each."""
+    out: list[tuple[int, int, int, int, int]] = []
+    ts, te, ps, pe = runs_of
+    marks = [0, *(x for s in spans for x in s), int(pe.max(initial=0)) + 1] if not inside else [x for s in spans for x in s]
+    for s, e in zip(marks[::2], marks[1::2]):
+        for k in range(int(np.searchsorted(pe, s, "right")), int(np.searchsorted(ps, e, "left"))):
+            a, b, shift = max(s, int(ps[k])), min(e, int(pe[k])), int(ts[k] - ps[k])  # runs are ASCII
+            if a < b:
+                out.append((a + shift, b + shift, a, b, k))
+    return tuple(np.array([x[i] for x in out], np.int64) for i in range(5))
+
+
 def _outside(base: list[sp.Span], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Which of the runs (code points) touch no base span."""
     free = np.ones(len(starts), bool)
@@ -99,12 +128,13 @@ def train(docs: DataFrame, text_column: str = "text") -> np.ndarray:
         sums = np.zeros((2, size * size), np.int64)
         for part in blocks(batches, 0):
             plain, labelled = [], []
-            for base, data, (ts, te, ps, pe) in scan(part.column(0)):
-                free = _outside(base, ps, pe)
-                plain.append((ts[free], te[free]))
-                labelled.append((ts[~free], te[~free]))
+            for text, (base, data, own) in zip(part.column(0).to_pylist(), scan(part.column(0))):
+                free = _outside(base, *own[2:])
+                plain.append((own[0][free], own[1][free]))
+                if base:
+                    labelled.append(_pieces(_values(text, base), own, True)[:2])
             for row, chosen in enumerate((plain, labelled)):
-                starts, ends = (np.concatenate([c[k] for c in chosen]) for k in (0, 1))
+                starts, ends = (np.concatenate([np.zeros(0, np.int64), *(c[k] for c in chosen)]) for k in (0, 1))
                 if len(starts):
                     sums[row] += np.bincount(_transitions(data, starts, ends), minlength=size * size)
         which, pair = np.nonzero(sums)
@@ -140,19 +170,25 @@ def _dicts(spans: list[sp.Span]) -> list[dict]:
 
 def spans_of(column: pa.Array, ratios: np.ndarray) -> Iterator[list[sp.Span]]:
     """All spans of each text: those of the patterns and the runs whose likelihood ratio says random."""
-    for base, data, (ts, te, ps, pe) in scan(column):
-        long = te - ts >= LEAST_SCORED
-        if long.any():
-            ts, te, ps, pe = (x[long] for x in (ts, te, ps, pe))
-            free = _outside(base, ps, pe)
-            ts, te, ps, pe = (x[free] for x in (ts, te, ps, pe))
-        else:
-            ts = ts[:0]
-        if not len(ts):
+    for base, data, own in scan(column):
+        long = own[1] - own[0] >= LEAST_SCORED
+        if not long.any():
             yield base
             continue
-        sums = np.add.reduceat(ratios[_transitions(data, ts, te)], np.concatenate([[0], np.cumsum(te - ts - 1)[:-1]]))
-        more = [(MARKOV, int(s), int(e)) for s, e, r in zip(ps, pe, sums) if r >= LEAST_RATIO]
+        own = tuple(x[long] for x in own)
+        if base:
+            ts, te, ps, pe, run = _pieces(_union([(s, e) for _, s, e in base]), own, False)
+        else:
+            (ts, te, ps, pe), run = own, np.arange(len(own[0]))
+        many = te - ts - 1
+        scores, some = np.zeros(len(ts)), many > 0
+        if some.any():
+            starts = np.cumsum(many[some]) - many[some]
+            scores[some] = np.add.reduceat(ratios[_transitions(data, ts[some], te[some])], starts)
+        together, length = np.bincount(run, scores, len(own[0])), np.bincount(run, te - ts, len(own[0]))
+        alone = (scores >= LEAST_RATIO) & (te - ts >= LEAST_SCORED)
+        found = alone | ((together >= LEAST_RATIO) & (length >= LEAST_SCORED))[run]
+        more = [(MARKOV, s, e) for s, e in zip(ps[found].tolist(), pe[found].tolist())]
         yield sorted(base + more, key=lambda s: (s[1], (*KINDS, MARKOV).index(s[0])))
 
 
