@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 
@@ -135,3 +136,54 @@ def quality(text: str | None) -> tuple[int, ...]:
     return (
         len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(repeated),
     )
+
+
+FEATURE_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def features(text: str | None, longest: int = 2, buckets: int = 10_000) -> tuple[int, list[int]]:
+    words = FEATURE_WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    runs = [" ".join(words[k : k + n]) for n in range(1, longest + 1) for k in range(len(words) - n + 1)]
+    return len(words), [zlib.crc32(r.encode()) % buckets for r in runs]
+
+
+def importance(rows: list[tuple[int, str | None]], target: list[str | None]) -> dict[int, tuple]:
+    """n_features, weight, score and rank of every row with its own id."""
+    own = [(i, *features(t)) for i, t in rows]
+    s, t = Counter(b for _, _, f in own for b in f), Counter(b for x in target for b in features(x)[1])
+    all_s, all_t = sum(s.values()), sum(t.values())
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (all_s + 10_000) / ((s[b] + 1) * (all_t + 10_000)))) for b in range(10_000)]
+    out = {}
+    for i, n, f in own:
+        weight = sum(gain[b] for b in f) // len(f) if f else 0
+        h = int(hashlib.sha256(f"7:{i}".encode()).hexdigest()[:8], 16)
+        out[i] = (n, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))))
+    ranked = sorted((i for i in out if out[i][0] >= 20), key=lambda i: (-out[i][3], i))
+    rank = {i: k + 1 for k, i in enumerate(ranked[: 25 * len(ranked) // 100])}
+    return {i: (*o[1:], rank.get(i)) for i, o in out.items()}
+
+
+def part_codes(rows: list[tuple], rounds: int = 6) -> tuple[dict, list]:
+    """(code, error, label_error) of every row with a whole vector, and the codebooks; rows are (id, vector, label)."""
+    kept = [(i, [math.floor(4096 * int(x) if abs(x) >= 2.0**60 else 4096 * x) for x in v], label) for i, v, label in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    kept.sort(key=lambda r: (r[0], r[1]))
+    width = len(kept[0][1]) // 8
+    parts = [[v[p * width : (p + 1) * width] for _, v, _ in kept] for p in range(8)]
+    books = [own[:16] for own in parts]
+
+    def nearest(p: int, x: list[int]) -> tuple[int, int]:
+        return min((sum((a - b) ** 2 for a, b in zip(x, e)), k) for k, e in enumerate(books[p]))
+
+    for _ in range(rounds):
+        for p, own in enumerate(parts):
+            groups = defaultdict(list)
+            for x in own:
+                groups[nearest(p, x)[1]].append(x)
+            books[p] = [[sum(c) // len(groups[k]) for c in zip(*groups[k])] if k in groups else e for k, e in enumerate(books[p])]
+    out, sums = [], Counter()
+    for k, (i, _, label) in enumerate(kept):
+        near = [nearest(p, parts[p][k]) for p in range(8)]
+        out.append((i, label, "".join(f"{e:02x}" for _, e in near), sum(d for d, _ in near)))
+        sums[label] += out[-1][3]
+    cap = (1 << 63) - 1
+    return sorted((i, code, min(error, cap), min(sums[label], cap)) for i, label, code, error in out), books
