@@ -2,9 +2,10 @@
 
 The vocabulary drops white space, and its pattern parts letters from digits and other characters, so a text may be cut
 wherever no pattern match, no composition of characters and no added token can lie across the cut. Cuts are made at ASCII white
-space, around ASCII digits, and between ASCII letters and a few brackets and marks; what is between them is encoded alone by the
+space, around ASCII digits, and between letters and ASCII punctuation; what is between them is encoded alone by the
 library. Apostrophes (contractions) and ``<``, ``|`` and ``>`` (added tokens, which keep their own ids as the
-library does by default) never get a cut.
+library does by default) never get a cut. Chunks of Latin-1 characters without these three are lower-cased first, as the
+vocabulary would; others may compose or be added tokens.
 """
 
 from __future__ import annotations
@@ -15,15 +16,19 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-from floodmark.llm.memo import ChunkMemo
 from floodmark.llm.textscan import byte_class, utf8
 
 _SPACE = byte_class(" \t\n\x0b\x0c\r")
 _DIGIT = byte_class("0123456789")
 _LETTER = byte_class("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
-_BEFORE_LETTER = byte_class('("[{')
-_AFTER_LETTER = byte_class('.,;:!?)"]}')
+_MARK = byte_class('!"#$%&()*+,-./:;=?@[\\]^_`{}~')
 _ASCII = np.arange(256) < 128
+#: Bytes of a chunk that must keep its case.
+_CASED = byte_class("<|") | (np.arange(256) >= 0xC4)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
+#: Chunks that one generation of the memo holds, and the longest ones it keeps.
+MEMO_CHUNKS, MEMO_LENGTH = 300_000, 200
 #: How the vocabulary marks the last token of a word.
 WORD_END = "</w>"
 
@@ -40,7 +45,26 @@ class WordTokenizer:
         self.vocabulary = self.library.get_vocab_size(with_added_tokens=True)
         self.last = np.zeros(self.vocabulary, bool)
         self.last[[i for t, i in self.library.get_vocab(with_added_tokens=False).items() if t.endswith(WORD_END)]] = True
-        self.memo = ChunkMemo(self._encode)
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def known(self, chunks: list[str]) -> list[bytes]:
+        """Encoded chunks. Two generations bound the memo; what was forgotten is encoded again."""
+        if len(self.memo) > MEMO_CHUNKS:
+            self.memo, self.older = {}, self.memo
+        out = list(map(self.memo.get, chunks))
+        new, older = [], self.older.get
+        for k in [k for k, x in enumerate(out) if x is None]:
+            found = out[k] = older(chunks[k])
+            if found is None:
+                new.append(k)
+            else:
+                self.memo[chunks[k]] = found
+        for k, x in zip(new, self._encode([chunks[k] for k in new])):
+            out[k] = x
+            if len(chunks[k]) <= MEMO_LENGTH:
+                self.memo[chunks[k]] = x
+        return out
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
         """Single words are joined for the library, whose ids are cut behind every word's last one; others go alone."""
@@ -69,12 +93,12 @@ class WordTokenizer:
         """Ids of all texts of a column, and the n + 1 offsets of the texts into them."""
         data, offsets = utf8(column)
         starts, ends = chunk_bounds(data, offsets)
-        text = np.ascontiguousarray(data[_inside(starts, ends, len(data))])
+        text = lowered(data, starts, ends)[_inside(starts, ends, len(data))]
         bounds = np.append(0, np.cumsum(ends - starts)).astype(np.int64)
         chunks = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(text)])
         distinct = chunks.dictionary_encode()
         found = distinct.dictionary.to_pylist()
-        parts = list(map(self.memo.fill(set(found)).__getitem__, found))
+        parts = self.known(found)
         sizes = np.array([len(p) for p in parts], np.int64) // 4
         flat, first = np.frombuffer(b"".join(parts), "<u4"), np.cumsum(sizes) - sizes
         index = distinct.indices.to_numpy()
@@ -88,13 +112,13 @@ def chunk_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     """Starts and ends of the chunks of all texts; white space lies between them."""
     n = len(data)
     space = _SPACE[data]
-    digit, letter, ascii_ = _DIGIT[data], _LETTER[data], _ASCII[data]
+    digit, letter, mark, ascii_ = _DIGIT[data], _LETTER[data], _MARK[data], _ASCII[data]
     left, right = slice(0, max(n - 1, 0)), slice(1, n)
+    ends_letter = letter.copy()  # also the last bytes of Latin-1 letters
+    ends_letter[1:] |= (data[left] == 0xC3) & (data[right] != 0x97) & (data[right] != 0xB7)
     cut = np.zeros(n + 1, bool)
-    cut[1:n] = (digit[left] | digit[right]) & ascii_[left] & ascii_[right]
-    cut[1:n] |= letter[left] & _AFTER_LETTER[data[right]]
-    cut[1:n] |= _BEFORE_LETTER[data[left]] & letter[right]
-    cut[1:n] |= space[left]
+    cut[1:n] = (digit[left] & ascii_[right]) | (digit[right] & (ascii_[left] | ends_letter[left]))
+    cut[1:n] |= (ends_letter[left] & mark[right]) | (mark[left] & letter[right]) | space[left]
     cut[offsets] = True
     begin = cut[:n] & ~space
     ends = np.zeros(n + 1, bool)  # position behind the last byte of a chunk
@@ -103,6 +127,14 @@ def chunk_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return np.flatnonzero(begin), np.flatnonzero(ends)
 
 
+def lowered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The bytes with A to Z in lower case, but for the chunks that must keep their case."""
+    out = _LOWER[data]
+    for k in np.unique(np.searchsorted(starts, np.flatnonzero(_CASED[data]), "right") - 1).tolist():
+        out[starts[k] : ends[k]] = data[starts[k] : ends[k]]
+    return out
+
+
 def _inside(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     edges = np.zeros(n + 1, np.int8)
     edges[starts] += 1
