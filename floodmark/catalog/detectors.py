@@ -120,11 +120,29 @@ def gmm_fit(spark, sf_dir):
 @query("gmm_fit_components")
 def gmm_fit_components(spark, sf_dir):
     train, _ = prepared(spark, sf_dir)
-    model = gmm.gmm_fit(train, FLOW_FEATURES, k=3, max_iter=20, n_init=2)
+    model = gmm.gmm_fit(train, FLOW_FEATURES, k=3, n_init=10)
     rows = [(i, w, *m) for i, (w, m) in enumerate(zip(model.weights, model.means))]
     return rounded(spark.createDataFrame(rows, "component int, weight double, " + ", ".join(f"{c} double" for c in FLOW_FEATURES)))
 
 
+@query("gmm_fit_parted", f"""WITH {FLOW}, p AS (
+  SELECT c, l_quantity / 50 + 100 * c AS x, l_discount + 10 * c AS y
+  FROM (SELECT *, CASE label WHEN 'Benign' THEN 0 WHEN 'Attack' THEN 1 ELSE 2 END AS c FROM flow))
+SELECT CAST(c AS INTEGER) AS component, round(count(*) / sum(count(*)) OVER (), 6) AS weight, round(avg(x), 6) AS mean_x, round(avg(y), 6) AS mean_y,
+  round(var_pop(x) + 1e-6::DOUBLE, 6) AS var_x, round(covar_pop(x, y), 6) + 0.0 AS cov_xy, round(var_pop(y) + 1e-6::DOUBLE, 6) AS var_y FROM p GROUP BY c""")
+def gmm_fit_parted(spark, sf_dir):
+    """Three groups far apart: the fit's components are the groups, with their shares, means and covariances."""
+    group = F.when(F.col("label") == "Benign", 0).when(F.col("label") == "Attack", 1).otherwise(2)
+    rows = flows(spark, sf_dir).select((F.col("l_quantity") / 50 + 100 * group).alias("x"), (F.col("l_discount") + 10 * group).alias("y"))
+    model = gmm.gmm_fit(rows, ["x", "y"], k=3)
+    out = []
+    for i in sorted(range(3), key=lambda i: model.means[i][0]):
+        factor = np.linalg.inv(np.array(model.whitening[i]))
+        cov = factor @ factor.T
+        out.append((len(out), model.weights[i], *model.means[i], float(cov[0, 0]), float(cov[0, 1]), float(cov[1, 1])))
+    return rounded(spark.createDataFrame(out, "component int, weight double, mean_x double, mean_y double, var_x double, cov_xy double, var_y double"))
+
+
 TWO_D_SQL = f"""WITH {FLOW}, b AS (SELECT * FROM flow WHERE label = 'Benign'),
 p AS (SELECT avg(l_quantity) AS mx, avg(l_discount) AS my, var_pop(l_quantity) + 1e-6::DOUBLE AS xx, var_pop(l_discount) + 1e-6::DOUBLE AS yy, covar_pop(l_quantity, l_discount) AS xy FROM b),
 s AS (SELECT row_id, label, -ln(2 * pi()) - 0.5 * ln(xx * yy - xy * xy)
@@ -160,7 +178,7 @@ def gmm_bic(spark, sf_dir):
 @query("gmm_select")
 def gmm_select(spark, sf_dir):
     train, _ = prepared(spark, sf_dir)
-    _, report = gmm.gmm_select(train, FLOW_FEATURES, k_range=[1, 2], max_iter=5)
+    _, report = gmm.gmm_select(train, FLOW_FEATURES)
     return rounded(report, 2)
 
 
@@ -322,7 +340,7 @@ def ocsvm_predict(spark, sf_dir):
 @query("autoencoder_fit")
 def autoencoder_fit(spark, sf_dir):
     train, test = prepared(spark, sf_dir)
-    model, history = autoencoder.autoencoder_fit(train, FLOW_FEATURES, "row_id", [4, 8, 3, 8, 4], epochs=8)
+    model, history = autoencoder.autoencoder_fit(train, FLOW_FEATURES, "row_id", autoencoder.layer_sizes(len(FLOW_FEATURES), "v2"))
     model = autoencoder.autoencoder_threshold(train, model)
     metrics = evaluation.binary_metrics(autoencoder.autoencoder_predict(test, model))
     return rounded(metrics.withColumn("first_loss", F.lit(history[0][1])).withColumn("best_loss", F.lit(min(h[1] for h in history))))
@@ -386,7 +404,12 @@ def rules_traffic(spark, sf_dir):
     return _ruled(spark, sf_dir, rules.rules_traffic())
 
 
-@query("rules_patterns", _rule_sql({"flood_rate": "rate * 20 >= 1000", "large_payload": "payload * 10000 > 1048576",
+# the entropy of a path in bits, from the counts of its characters
+_PATH_ENTROPY = """(SELECT -sum(n * 1.0 / length(path) * log2(n * 1.0 / length(path)))
+  FROM (SELECT count(*) AS n FROM (SELECT unnest(string_split(path, '')) AS c) GROUP BY c))"""
+
+
+@query("rules_patterns", _rule_sql({"flood_rate": "rate * 20 >= 1000", "large_payload": "payload * 10000 > 1048576", "random_path": f"{_PATH_ENTROPY} > 4.0",
                                     "scripted_agent": "user_agent IS NULL OR regexp_matches(lower(user_agent), 'curl|wget|python|scrapy|httpclient|bot')"}))
 def rules_patterns(spark, sf_dir):
     df = rated_requests(spark, sf_dir).withColumn("rate", F.col("rate") * 20).withColumn("payload", F.col("payload") * 10000)
@@ -409,8 +432,8 @@ def grid_search(spark, sf_dir):
     validation = held.filter(below_fraction(order_hash("validation", "row_id"), 0.5))
 
     def fit(df, percentile, k):
-        model = gmm.gmm_threshold(df, gmm.gmm_fit(df, FLOW_FEATURES, k=k, max_iter=10), percentile)
+        model = gmm.gmm_threshold(df, gmm.gmm_fit(df, FLOW_FEATURES, k=k), percentile)
         return model, evaluation.binary_metrics(gmm.gmm_predict(validation, model)).first()["f1"]
 
-    _, report = grid.grid_search(train, fit, {"percentile": [5.0, 10.0], "k": [1]}, smallest=False)
+    _, report = grid.grid_search(train, fit, {"percentile": [2.0, 5.0, 10.0], "k": [1, 2, 3]}, smallest=False)
     return rounded(report)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -14,10 +16,9 @@ from pyspark.sql import functions as F
 
 from floodmark.functions.scores import flag_below
 from floodmark.operators.detect.thresholds import percentile_threshold
-from floodmark.plans.ordering import below_fraction, order_hash
-from floodmark.plans.moments import mean_and_covariance, sum_vectors
-from floodmark.plans.sizing import file_partitions, spread
+from floodmark.plans.moments import mean_and_covariance
 from floodmark.plans.staging import staged
+from floodmark.plans.weighted import WEIGHT, LocalPasses, Passes, TablePasses, gaps, spread_centres, weighted_rows
 
 RIDGE = 1e-6
 START_ROWS = 5_000
@@ -52,9 +53,7 @@ def gmm_fit(df: DataFrame, columns: list[str], k: int = 1, max_iter: int = 100,
     if k == 1:
         _, mean, cov = mean_and_covariance(df, columns)
         return mixture_model(columns, [1.0], [mean], [cov + RIDGE * np.eye(len(columns))])
-    with staged(spread(df.select(*columns)), "gmm") as table:
-        fits = [em_fit(table, columns, k, "full", max_iter, seed=seed + i) for i in range(n_init)]
-    return max(fits, key=lambda fit: fit[1])[0]
+    return max(em_fits(df, columns, [(k, "full", seed + i) for i in range(n_init)], max_iter), key=lambda fit: fit[1])[0]
 
 
 def log_density(model: MixtureModel) -> Column:
@@ -132,106 +131,139 @@ def _m_step(kind: str, weight: np.ndarray, first: np.ndarray, second: np.ndarray
     return weight / weight.sum(), means, covs + RIDGE * np.eye(d)
 
 
-def _e_step(x: np.ndarray, model: MixtureModel, centre: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
-    """Log likelihood and summed responsibilities, weighted rows and weighted outer products around ``centre``."""
+def _e_step(x: np.ndarray, w: np.ndarray, model: MixtureModel, centre: np.ndarray) -> np.ndarray:
+    """Log likelihood, summed responsibilities, weighted rows and weighted outer products around ``centre``, in one vector."""
     parts = _log_components(x, model)
     logs = _log_sum(parts)
-    share = np.exp(parts - logs[:, None])
+    share = np.exp(parts - logs[:, None]) * w[:, None]
     z = x - centre
     second = np.stack([(z * s[:, None]).T @ z for s in share.T])
-    return float(logs.sum()), share.sum(axis=0), share.T @ z, second
+    return np.concatenate([[float((w * logs).sum())], share.sum(axis=0), (share.T @ z).ravel(), second.ravel()])
 
 
-def _seed_means(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """k-means with spread-out starts on a sample."""
-    means = x[rng.integers(len(x))][None]
-    while len(means) < k:
-        gap = np.square(x[:, None] - means).sum(axis=2).min(axis=1)
-        odds = gap / gap.sum() if gap.sum() > 0 else None
-        means = np.vstack([means, x[rng.choice(len(x), p=odds)]])
-    for _ in range(20):
-        nearest = np.square(x[:, None] - means).sum(axis=2).argmin(axis=1)
-        means = np.stack([x[nearest == c].mean(axis=0) if (nearest == c).any() else means[c] for c in range(k)])
-    return means
+def _climb(passes: Passes, columns: list[str], model: MixtureModel, centre: np.ndarray, n: float, kind: str, max_iter: int, tol: float) -> tuple[MixtureModel, float]:
+    """EM passes over all rows until the mean log likelihood changes by less than ``tol``."""
+    k, d = len(model.weights), len(columns)
+    previous = likelihood = -math.inf
+    for _ in range(max_iter):
+        sums = passes.sums(lambda x, w, m=model: _e_step(x, w, m, centre), 1 + k + k * d + k * d * d)
+        likelihood = float(sums[0])
+        if abs(likelihood - previous) / n < tol:
+            break
+        previous = likelihood
+        weight, first = sums[1 : 1 + k], sums[1 + k : 1 + k + k * d].reshape(k, d)
+        shares, means, covs = _m_step(kind, weight, first, sums[1 + k + k * d :].reshape(k, d, d))
+        model = mixture_model(columns, shares, means + centre, covs)
+    return model, likelihood
 
 
-def _warm_start(df: DataFrame, columns: list[str], n: int, centre: np.ndarray, cov: np.ndarray, k: int, kind: str, max_iter: int, tol: float, seed: int, start_rows: int) -> MixtureModel:
-    """EM on a sample of about ``start_rows`` rows inside one task: a start that saves most passes over the whole table."""
-    d = len(columns)
+def _hard_start(passes: Passes, columns: list[str], means: np.ndarray, centre: np.ndarray, kind: str) -> MixtureModel:
+    """The mixture of the rows nearest to each centre, distances in units of the components' common spread."""
+    k, d = means.shape
+    scale = np.sqrt(np.maximum(passes.sums(lambda x, w: (w[:, None] * np.square(x - centre)).sum(axis=0), d), 1e-300))
 
-    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [b.to_numpy(dtype=float) for b in batches]
-        x = np.concatenate(rows) if rows else np.zeros((0, d))
-        x = x[np.lexsort(x.T)]
-        weights, means, covs = np.full(k, 1.0 / k), np.tile(centre, (k, 1)), np.tile(cov / k + RIDGE * np.eye(d), (k, 1, 1))
-        if len(x) >= k:
-            means, previous = _seed_means(x, k, np.random.default_rng(seed)), -math.inf
-            for _ in range(max_iter):
-                likelihood, weight, first, second = _e_step(x, mixture_model(columns, weights, means, covs), centre)
-                weights, means, covs = _m_step(kind, weight, first, second)
-                means = means + centre
-                if abs(likelihood - previous) / len(x) < tol:
-                    break
-                previous = likelihood
-        yield pd.DataFrame({"s": [np.concatenate([weights, means.ravel(), covs.ravel()])]})
-
-    # chosen by a hash of the values, so that the start depends on the rows and not on their partitions
-    sample = df.select(*columns).filter(below_fraction(order_hash(seed, F.concat_ws(":", *columns)), min(1.0, start_rows / max(n, 1))))
-    flat = sum_vectors(sample.repartition(1).mapInPandas(fit, "s array<double>"), "s", k * (1 + d + d * d))
-    return mixture_model(columns, flat[:k], flat[k : k + k * d].reshape(k, d), flat[k + k * d :].reshape(k, d, d))
+    def moments(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+        near, z = gaps((x - centre) / scale, (means - centre) / scale).argmin(axis=1), x - centre
+        own = [(z[near == c], w[near == c]) for c in range(k)]
+        first = np.stack([(zc * wc[:, None]).sum(axis=0) for zc, wc in own])
+        second = np.stack([(zc * wc[:, None]).T @ zc for zc, wc in own])
+        return np.concatenate([np.bincount(near, w, k), first.ravel(), second.ravel()])
 
+    sums = passes.sums(moments, k + k * d + k * d * d)
+    shares, found, covs = _m_step(kind, sums[:k], sums[k : k + k * d].reshape(k, d), sums[k + k * d :].reshape(k, d, d))
+    return mixture_model(columns, shares, found + centre, covs)
 
-def em_fit(df: DataFrame, columns: list[str], k: int, kind: str = "full", max_iter: int = 100, tol: float = 1e-3, seed: int = 42, start_rows: int = START_ROWS) -> tuple[MixtureModel, float, int]:
-    """Distributed EM for any covariance shape: (model, total log likelihood, rows).
 
-    ``df`` should be a staged table. Each pass runs the E-step per partition and sums the sufficient
-    statistics, shifted by the column means so that the second moments stay accurate. Passes go on until
-    the mean log likelihood of all rows changes by less than ``tol``.
-    """
+def _fit(passes: Passes, columns: list[str], n: float, centre: np.ndarray, cov: np.ndarray, k: int, kind: str, max_iter: int, tol: float, seed: int, start_rows: int) -> tuple[MixtureModel, float]:
+    """One fit: seeding over all rows, EM on a weighted draw of about ``start_rows`` rows where there are many more, EM on all rows."""
     d = len(columns)
-    n, centre, cov = mean_and_covariance(df, columns)
     if k == 1:
         full = {"full": cov, "tied": cov, "diag": np.diag(np.diag(cov)), "spherical": np.eye(d) * np.trace(cov) / d}[kind]
         model = mixture_model(columns, [1.0], [centre], [full + RIDGE * np.eye(d)])
-        return model, gmm_score(df, model).agg(F.sum("score")).first()[0], n
+        return model, float(passes.sums(lambda x, w: _e_step(x, w, model, centre)[:1], 1)[0])
+    means = spread_centres(passes, k, centre, np.sqrt(np.maximum(np.diag(cov), 1e-300)), n, seed)
+    model = _hard_start(passes, columns, means, centre, kind)
+    if passes.rows > 4 * start_rows:
+        x, w, odds = passes.draw(lambda x, w: start_rows * w / n, seed + 7)
+        sample = LocalPasses(x, w / odds)  # a draw's inverse odds make its sums estimates of those over all rows
+        model, _ = _climb(sample, columns, model, centre, float(sample.weights.sum()), kind, max_iter, tol)
+    return _climb(passes, columns, model, centre, n, kind, max_iter, tol)
+
+
+def _moments(x: np.ndarray, w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    n = float(w.sum())
+    centre = (w[:, None] * x).sum(axis=0) / n
+    z = x - centre
+    return n, centre, (w[:, None] * z).T @ z / n
 
-    model = _warm_start(df, columns, n, centre, cov, k, kind, max_iter, tol, seed, start_rows)
-    previous, numbers = -math.inf, file_partitions(df) * (1 + k + k * d + k * d * d)
-    for _ in range(max_iter):
-        shared = df.sparkSession.sparkContext.broadcast(model)
 
-        def e_step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total, weight, first, second = 0.0, np.zeros(k), np.zeros((k, d)), np.zeros((k, d, d))
-            for batch in batches:
-                likelihood, w, f, s = _e_step(batch.to_numpy(dtype=float), shared.value, centre)
-                total, weight, first, second = total + likelihood, weight + w, first + f, second + s
-            yield pd.DataFrame({"s": [np.concatenate([[total], weight, first.ravel(), second.ravel()])]})
+#: Numbers of a table of distinct rows up to which every fit runs inside one task.
+LOCAL_NUMBERS = 2_000_000
 
-        sums = sum_vectors(df.select(*columns).mapInPandas(e_step, "s array<double>"), "s", numbers)
-        shared.unpersist()
-        likelihood = float(sums[0])
-        if abs(likelihood - previous) / n < tol:
-            break
-        previous = likelihood
-        weight, first = sums[1 : 1 + k], sums[1 + k : 1 + k + k * d].reshape(k, d)
-        shares, means, covs = _m_step(kind, weight, first, sums[1 + k + k * d :].reshape(k, d, d))
-        model = mixture_model(columns, shares, means + centre, covs)
-    return model, likelihood, n
-
-
-def gmm_select(df: DataFrame, columns: list[str], k_range=range(1, 10), kinds=("full", "tied", "diag", "spherical"), max_iter: int = 100) -> tuple[MixtureModel, DataFrame]:
-    """Fit every (k, covariance shape) and keep the lowest BIC; also returns the table of fits."""
-    rows, best = [], None
-    with staged(spread(df.select(*columns)), "gmm-select") as table:
-        for kind in kinds:
-            for k in k_range:
-                model, likelihood, n = em_fit(table, columns, k, kind, max_iter)
-                p = _free_parameters(k, len(columns), kind)
-                bic, aic = p * math.log(n) - 2 * likelihood, 2 * p - 2 * likelihood
-                rows.append((kind, k, p, likelihood, aic, bic))
-                if best is None or bic < best[0]:
-                    best = (bic, model)
+
+def em_fits(
+    df: DataFrame, columns: list[str], wanted: list[tuple[int, str, int]], max_iter: int = 100, tol: float = 1e-3, start_rows: int = START_ROWS, local_numbers: int = LOCAL_NUMBERS
+) -> list[tuple[MixtureModel, float, int]]:
+    """A fit (model, total log likelihood, rows) for every (k, covariance shape, seed).
+
+    Equal rows are counted first. While the distinct rows are few, they are broadcast and the fits are the tasks of one job, each
+    doing the same passes in memory; otherwise each pass is a job over the staged table and three fits run at a time.
+    Fewer distinct rows than ``k`` give as many components as there are rows.
+    """
+    spark, d = df.sparkSession, len(columns)
+    with staged(weighted_rows(df, columns), "gmm") as table:
+        rows = table.count()
+        if not rows:
+            raise ValueError("a mixture needs rows to be fitted on")
+        if rows * (d + 1) <= local_numbers:
+            held = table.toPandas()
+            x, w = held[columns].to_numpy(dtype=float), held[WEIGHT].to_numpy()
+            shared = spark.sparkContext.broadcast((x, w))
+
+            def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                for batch in batches:
+                    for job in batch["id"]:
+                        k, kind, seed = wanted[int(job)]
+                        passes = LocalPasses(*shared.value)
+                        n, centre, cov = _moments(passes.x, passes.weights)
+                        model, likelihood = _fit(passes, columns, n, centre, cov, k, kind, max_iter, tol, seed, start_rows)
+                        yield pd.DataFrame({"job": [job], "likelihood": [likelihood], "rows": [int(n)], "model": [pickle.dumps(model)]})
+
+            jobs = spark.range(0, len(wanted), 1, len(wanted)).mapInPandas(run, "job long, likelihood double, rows long, model binary")
+            found = {r["job"]: (pickle.loads(r["model"]), r["likelihood"], r["rows"]) for r in jobs.collect()}
+            shared.unpersist()
+            return [found[j] for j in range(len(wanted))]
+        n, centre, cov = mean_and_covariance(df, columns)
+        passes = TablePasses(table, columns, rows)
+
+        def fit(one: tuple[int, str, int]) -> tuple[MixtureModel, float, int]:
+            model, likelihood = _fit(passes, columns, float(n), centre, cov, one[0], one[1], max_iter, tol, one[2], start_rows)
+            return model, likelihood, n
+
+        with ThreadPoolExecutor(min(3, len(wanted))) as pool:
+            return list(pool.map(fit, wanted))
+
+
+def em_fit(df: DataFrame, columns: list[str], k: int, kind: str = "full", max_iter: int = 100, tol: float = 1e-3, seed: int = 42, start_rows: int = START_ROWS) -> tuple[MixtureModel, float, int]:
+    """One fit of ``em_fits``."""
+    return em_fits(df, columns, [(k, kind, seed)], max_iter, tol, start_rows)[0]
+
+
+def gmm_select(
+    df: DataFrame, columns: list[str], k_range=range(1, 10), kinds=("full", "tied", "diag", "spherical"), max_iter: int = 100, seed: int = 42, n_init: int = 1
+) -> tuple[MixtureModel, DataFrame]:
+    """Fit every (k, covariance shape) from ``n_init`` starts and keep the lowest BIC; also returns the table of fits."""
+    wanted = [(k, kind, seed + i) for kind in kinds for k in k_range for i in range(n_init if k > 1 else 1)]
+    best: dict[tuple[str, int], tuple[MixtureModel, float, int]] = {}
+    for (k, kind, _), fit in zip(wanted, em_fits(df, columns, wanted, max_iter)):
+        if (kind, k) not in best or fit[1] > best[kind, k][1]:
+            best[kind, k] = fit
+    rows = []
+    for (kind, k), (model, likelihood, n) in best.items():
+        p = _free_parameters(len(model.weights), len(columns), kind)
+        rows.append((kind, k, p, likelihood, 2 * p - 2 * likelihood, p * math.log(n) - 2 * likelihood))
     report = df.sparkSession.createDataFrame(
         rows, "covariance string, k int, n_parameters int, log_likelihood double, aic double, bic double"
     )
-    return best[1], report
+    chosen = min(rows, key=lambda r: r[5])
+    return best[chosen[0], chosen[1]][0], report
