@@ -98,6 +98,18 @@ def knn_approx_recall(spark, sf_dir):
     return v.agg(F.count("*").alias("n"), F.lit(bool(share >= 0.9)).alias("recall_holds"))
 
 
+@query("knn_tree_recall", "SELECT count(*) AS n, true AS recall_holds, true AS ranks_hold FROM embeddings")
+def knn_tree_recall(spark, sf_dir):
+    """Neighbours of every vector through pivot trees whose leaves are far smaller than the table, against the exact ones."""
+    v = vectors(spark, sf_dir)
+    exact = neighbors.knn_join(v, v, 5, "vec_id", "vec_id", "embedding", exclude_self=True)
+    index = neighbors.tree_index(v, "vec_id", "embedding", k=5, trees=2, leaf_rows=32)
+    found = stage(neighbors.tree_join(v, index, 5, "vec_id", "embedding", exclude_self=True), "tree-join")
+    share = neighbors.recall(found, exact, "vec_id").first()["recall"]
+    ranks = found.groupBy("vec_id").agg(F.sort_array(F.collect_list("rank")).alias("r")).agg(F.bool_and(F.col("r") == F.array(*map(F.lit, range(1, 6))))).first()[0]
+    return v.agg(F.count("*").alias("n"), F.lit(bool(share >= 0.9)).alias("recall_holds"), F.lit(bool(ranks)).alias("ranks_hold"))
+
+
 @query("ocsvm_fit_facts", f"""{BENIGN} SELECT kernel, count(*) AS n, true AS share_holds FROM b, (SELECT unnest(['rbf', 'linear', 'poly']) AS kernel) GROUP BY 1""")
 def ocsvm_fit_facts(spark, sf_dir):
     """The offset is the nu-quantile of the train scores: the share outside is nu, but for one row."""

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from floodmark.functions.scores import flag_above
+from floodmark.operators.detect import pivot_tree
 from floodmark.operators.detect.thresholds import percentile_threshold
 from floodmark.plans.moments import mean_and_covariance
 from floodmark.plans.ordering import order_hash, take_in_hash_order
@@ -293,12 +294,7 @@ def knn_join(
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric}")
-    whitening = None
-    if metric == "mahalanobis":
-        d = len(ref.select(vector).first()[0])
-        wide = ref.select(*[F.col(vector)[i].cast("double").alias(f"x{i}") for i in range(d)])
-        _, _, cov = mean_and_covariance(wide, wide.columns)
-        whitening = np.linalg.inv(np.linalg.cholesky(cov + 1e-12 * np.eye(d)))
+    whitening = _whitening(ref, vector) if metric == "mahalanobis" else None
     inner = "euclidean" if metric in ("cosine", "mahalanobis") else metric
     right = _prepare(ref, vector, metric, whitening).select(F.col(r_id).cast("long").alias("r_id"), "v")
     left = _prepare(queries, vector, metric, whitening).select(F.col(q_id).cast("long").alias("q_id"), "v")
@@ -354,6 +350,81 @@ def knn_approx(
     return knn_join(queries, ref, k, q_id, r_id, vector, probes=probes, least_recall=least_recall, **options)
 
 
+@dataclass
+class TreeIndex:
+    """Pivot trees over a reference side, with what is needed to prepare queries for it and the beam that it needs."""
+
+    trees: list[pivot_tree.PivotTree]
+    metric: str
+    whitening: np.ndarray | None
+    beam: int
+    recall: float | None = None
+
+
+def tree_index(
+    ref: DataFrame, r_id: str, vector: str = "vector", metric: str = "euclidean", k: int = 5, least_recall: float | None = 0.9, trees: int = pivot_tree.TREES,
+    beam: int = pivot_tree.BEAM, leaf_rows: int = pivot_tree.LEAF_ROWS, seed: int = 42,
+) -> TreeIndex:
+    """Build ``trees`` pivot trees (``pivot_tree``).
+
+    With ``least_recall`` the beam is doubled until SAMPLE_QUERIES reference rows find that share (and the margin) of their exact k
+    neighbours, so recall is measured on the table at hand. Where rows form clusters the first beam is enough at every size, and a
+    query's work does not grow with the table; rows that fill many dimensions evenly need a wider one.
+    """
+    if metric not in METRICS:
+        raise ValueError(f"unknown metric {metric}")
+    whitening = _whitening(ref, vector) if metric == "mahalanobis" else None
+    inner = "euclidean" if metric in ("cosine", "mahalanobis") else metric
+    rows = stage(_prepare(ref, vector, metric, whitening).select(F.col(r_id).cast("long").alias("r_id"), "v"), "tree-ref")
+    index = TreeIndex([pivot_tree.build_tree(rows, inner, seed + 1000 * t, leaf_rows=leaf_rows) for t in range(trees)], metric, whitening, beam)
+    if least_recall is None:
+        return index
+    sample = stage(take_in_hash_order(rows, order_hash(seed + 1, "r_id"), SAMPLE_QUERIES).select(F.col("r_id").alias("q_id"), "v"), "tree-sample")
+    # the few queries are the side that is compared with every block of the reference
+    exact = stage(_all_against_few(sample, rows, k, inner), "tree-exact")
+    leaves = max((t.leaves.select("node").distinct().count() for t in index.trees), default=1)
+    while True:
+        index.recall = recall(_best(pivot_tree.search(sample, index.trees, k, True, index.beam)[0], k), exact, "q_id").first()["recall"]
+        if index.recall is None or index.recall >= min(1.0, least_recall + SAMPLE_MARGIN) or index.beam >= leaves:
+            return index
+        index.beam *= 2
+
+
+def _all_against_few(few: DataFrame, rows: DataFrame, k: int, metric: str) -> DataFrame:
+    """Exact k nearest rows of few queries (the rows' own ids left out): they are broadcast, and every task keeps its k best."""
+    held = few.toPandas()
+    shared = rows.sparkSession.sparkContext.broadcast((held["q_id"].to_numpy(), _matrix(held["v"])))
+
+    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, queries = shared.value
+        for batch in batches:
+            if len(batch) and len(ids):
+                q, n, dist, _ = top_k(queries, _matrix(batch["v"]), batch["r_id"].to_numpy(), k, metric, ids)
+                yield pd.DataFrame({"q_id": ids[q], "n_id": n, "dist": dist})
+
+    return _best(rows.mapInPandas(nearest, "q_id long, n_id long, dist double"), k)
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("q_id").orderBy(F.round("dist", DIGITS), "n_id")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+def tree_join(queries: DataFrame, index: TreeIndex, k: int, q_id: str, vector: str = "vector", exclude_self: bool = False) -> DataFrame:
+    """k nearest rows among the leaves that each query reaches: (q_id, n_id, dist, rank), as ``knn_join``."""
+    left = _prepare(queries, vector, index.metric, index.whitening).select(F.col(q_id).cast("long").alias("q_id"), "v")
+    ranked = _best(pivot_tree.search(stage(left, "tree-queries"), index.trees, k, exclude_self, index.beam)[0], k)
+    dist = F.col("dist") * F.col("dist") / 2.0 if index.metric == "cosine" else F.col("dist")
+    return ranked.select(F.col("q_id").alias(q_id), "n_id", dist.alias("dist"), "rank")
+
+
+def _whitening(ref: DataFrame, vector: str) -> np.ndarray:
+    d = len(ref.select(vector).first()[0])
+    wide = ref.select(*[F.col(vector)[i].cast("double").alias(f"x{i}") for i in range(d)])
+    _, _, cov = mean_and_covariance(wide, wide.columns)
+    return np.linalg.inv(np.linalg.cholesky(cov + 1e-12 * np.eye(d)))
+
+
 def recall(approx: DataFrame, exact: DataFrame, q_id: str) -> DataFrame:
     """Share of the exact neighbours that the approximate result found."""
     hits = exact.select(q_id, "n_id").join(approx.select(q_id, "n_id").withColumn("_hit", F.lit(1)), [q_id, "n_id"], "left")
@@ -409,6 +480,7 @@ class LofModel:
     metric: str
     probes: int | None
     threshold: float
+    index: TreeIndex | None = None
 
 
 def _reach_density(neighbours: DataFrame, k_distance: DataFrame, q_id: str) -> DataFrame:
@@ -426,22 +498,38 @@ def _outlier_factor(neighbours: DataFrame, own: DataFrame, density: DataFrame, q
 
 
 def lof_fit(
-    train: DataFrame, row_id: str, vector: str = "vector", k: int = 20, metric: str = "euclidean", contamination: float | None = None, probes: int | None = None
+    train: DataFrame, row_id: str, vector: str = "vector", k: int = 20, metric: str = "euclidean", contamination: float | None = None, probes: int | None = None,
+    exact_values: int = BROADCAST_VALUES, least_recall: float | None = 0.9, **tree_options,
 ) -> LofModel:
-    """k-distance and local reachability density per train row; cut-off 1.5 or the train percentile."""
-    near = stage(knn_join(train, train, k, row_id, row_id, vector, metric, exclude_self=True, probes=probes), "lof-near")
+    """k-distance and local reachability density per train row; cut-off 1.5 or the train percentile.
+
+    Neighbours are exact while the train rows hold at most ``exact_values`` numbers (or of ``probes`` cells, if given). Beyond, they come
+    from a ``tree_index`` with ``least_recall``, which the model keeps for scoring.
+    """
+    index = None
+    values = train.agg(F.sum(F.size(vector))).first()[0] or 0
+    if probes is None and values > exact_values:
+        index = tree_index(train, row_id, vector, metric, k, least_recall, **tree_options)
+        near = tree_join(train, index, k, row_id, vector, exclude_self=True)
+    else:
+        near = knn_join(train, train, k, row_id, row_id, vector, metric, exclude_self=True, probes=probes)
+    near = stage(near, "lof-near")
     k_dist = near.groupBy(F.col(row_id).alias("row_id")).agg(F.max("dist").alias("k_dist"))
     lrd = _reach_density(near, k_dist, row_id).withColumnRenamed(row_id, "row_id")
     density = stage(k_dist.join(lrd, "row_id"), "lof-density")
     own = density.select(F.col("row_id").alias(row_id), "lrd")
     scores = stage(_outlier_factor(near, own, density, row_id), "lof-train")
     cut = 1.5 if contamination is None else percentile_threshold(scores, 100.0 * (1.0 - contamination))
-    return LofModel(train, density, scores, row_id, vector, k, metric, probes, cut)
+    return LofModel(train, density, scores, row_id, vector, k, metric, probes, cut, index)
 
 
 def lof_score(df: DataFrame, model: LofModel, q_id: str) -> DataFrame:
     """Novelty score of new rows against the train side; about 1 = as dense as its neighbours."""
-    near = stage(knn_join(df, model.ref, model.k, q_id, model.row_id, model.vector, model.metric, probes=model.probes), "lof-query")
+    if model.index is not None:
+        near = tree_join(df, model.index, model.k, q_id, model.vector)
+    else:
+        near = knn_join(df, model.ref, model.k, q_id, model.row_id, model.vector, model.metric, probes=model.probes)
+    near = stage(near, "lof-query")
     own = _reach_density(near, model.density, q_id)
     return _outlier_factor(near, own, model.density, q_id)
 

@@ -10,15 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from floodmark.sources import headers
+
 
 def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``header`` (first line) and ``files`` of every layout in a folder."""
-    lines = spark.read.option("ignoreCorruptFiles", True).text(path)
-    first = lines.select(
-        F.col("_metadata.file_path").alias("file"), "value", F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n")
-    )
-    headers = first.filter("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("header"))
-    return headers.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    """``header`` (first line) and ``files`` of every layout in a folder; a few kilobytes of every file are read."""
+    paths = [path] if isinstance(path, str) else path
+    if all(headers.listable(p) for p in paths):
+        found = headers.first_lines(spark, paths).select(F.col("source_path").alias("file"), "header")
+    else:  # patterns, and stores that only Spark opens: one scan of all lines
+        lines = spark.read.option("ignoreCorruptFiles", True).text(paths)
+        first = lines.select(
+            F.col("_metadata.file_path").alias("file"), "value", F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n")
+        )
+        found = first.filter("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    return found.where("header is not null").groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
 
 
 def header_names(line: str) -> list[str]:
@@ -35,13 +41,17 @@ def read_flow_csv(spark: SparkSession, path: str | list[str], columns: list[str]
     ``source_file``, ``source_path`` and ``source_bytes`` come from file metadata.
     """
     tables = []
-    for layout in file_headers(spark, path).orderBy("header").collect():  # one row per layout
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in header_names(layout["header"])])
+    layouts = file_headers(spark, path)
+    alone = [r[0] for r in layouts.select("header").orderBy("header").limit(2).collect()]
+    # files of one layout are read as the folder; only several layouts need their lists of files
+    found = [(alone[0], None)] if len(alone) == 1 else [tuple(r) for r in layouts.orderBy("header").collect()]
+    for header, files in found:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in header_names(header)])
         reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("ignoreCorruptFiles", True)
-        raw = reader.option("enforceSchema", True).csv([unquote(f) for f in layout["files"]])
+        raw = reader.option("enforceSchema", True).csv(path if files is None else [unquote(f) for f in files])
         tables.append(
             raw.select(
-                "*",
+                *[F.col(f"`{c}`") for c in schema.names],
                 F.col("_metadata.file_name").alias("source_file"),
                 F.col("_metadata.file_path").alias("source_path"),
                 F.col("_metadata.file_size").alias("source_bytes"),
