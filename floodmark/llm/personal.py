@@ -8,18 +8,20 @@ likelihood by the forward-backward recursion over segments. Only surroundings of
 segment must hold one of them: elsewhere "no entity" is the only path.
 
 Labels come from the patterns, on a bounded sample of rows (``TRAIN_ROWS``, a parameter, in the order of a hash of
-the id); everything else covers all rows and whole texts. A model span is added where it touches no pattern span and
+id and text, whole lines of theirs); everything else covers all rows and whole texts. A model span is added where it touches no pattern span and
 its posterior log-odds against "no entity" reach ``LEAST_ODDS``. Spans are in code points. Null and empty texts have no
 spans; rows are independent, repeated rows repeat their spans. Only the id and the text are read.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,8 @@ SQL = None
 KINDS = ("email", "ip", "card", "phone")
 OUTSIDE = "none"
 TRAIN_ROWS = 3000
+#: Atoms of a training lattice, about; longer ones are cut.
+TRAIN_ATOMS = 400
 EPOCHS, RATE, DECAY = 4, 0.3, 1e-4
 MOST_ATOMS = 16
 #: Characters decoded around a digit or @.
@@ -167,21 +171,26 @@ class SpanModel:
         return out
 
     def decode(self, lattice: Lattice) -> list[tuple[str, int, int, float]]:
-        """Best segmentation: kind, first atom, end atom, log-odds of each entity against no entity there."""
-        n, segments = len(lattice.atoms), self.segments(lattice)
+        """Best segmentation: kind, first atom, end atom, log-odds of each entity against no entity there.
+
+        Segments are looked at once, from left to right; only a score and a back-pointer per atom are kept.
+        """
+        n = len(lattice.atoms)
         best, back = [0.0] + [-math.inf] * n, [None] * (n + 1)
         for i in range(n):
             if best[i] > best[i + 1]:
-                best[i + 1], back[i + 1] = best[i], (i, None, 0.0)
-            for j, _, scores in segments[i]:
-                for kind, s in zip(KINDS, scores):
+                best[i + 1], back[i + 1] = best[i], None
+            for j in lattice.candidates(i):
+                for kind, s in zip(KINDS, self.scores(lattice.features(i, j))):
                     if best[i] + s > best[j]:
                         best[j], back[j] = best[i] + s, (i, kind, s)
         out, at = [], n
         while at:
+            if back[at] is None:
+                at -= 1
+                continue
             i, kind, s = back[at]
-            if kind is not None:
-                out.append((kind, i, at, s))
+            out.append((kind, i, at, s))
             at = i
         return out[::-1]
 
@@ -251,38 +260,57 @@ def scanned(column: pa.Array) -> Iterator[tuple[str, np.ndarray]]:
 
 
 def labelled(text: str, hits: np.ndarray) -> Iterator[tuple[Lattice, dict[tuple[int, int], str]]]:
-    """Lattices of a text with the pattern spans as labels (those that end at atoms, without overlaps)."""
-    base, taken = [], []
+    """Lattices of a text with the pattern spans as labels (those that end at atoms, without overlaps).
+
+    A lattice over ``TRAIN_ATOMS`` atoms is cut into several between labels, so that all of it trains in bounded memory.
+    """
+    taken: list[tuple[int, int, str]] = []
     for kind, s, e in base_spans(text):
-        if all(e <= s2 or e2 <= s for s2, e2 in taken):
-            taken.append((s, e))
-            base.append((kind, s, e))
+        at = bisect.bisect_left(taken, (s, e))
+        if (not at or taken[at - 1][1] <= s) and (at == len(taken) or e <= taken[at][0]):
+            taken.insert(at, (s, e, kind))
     for start, end in stretches(text, hits):
-        lattice = Lattice(text, start, end)
-        first, last = ({a[k]: i + k for i, a in enumerate(lattice.atoms)} for k in (0, 1))
-        labels = {(first[s], last[e]): k for k, s, e in base if s in first and e in last}
-        if len(lattice.atoms) <= 400:
-            yield lattice, labels
+        own = taken[bisect.bisect_left(taken, (start,)) : bisect.bisect_left(taken, (end,))]
+        atoms = [(m.start(), m.end()) for m in ATOM.finditer(text, start, end)]
+        begin = 0
+        while begin < len(atoms):
+            stop = min(begin + TRAIN_ATOMS, len(atoms))
+            if stop < len(atoms):  # not inside a label
+                at = bisect.bisect_left(own, (atoms[stop][0],)) - 1
+                while at >= 0 and stop < len(atoms) and own[at][1] > atoms[stop][0]:
+                    stop += 1
+            lattice = Lattice(text, atoms[begin][0], atoms[stop - 1][1])
+            first, last = ({a[k]: i + k for i, a in enumerate(lattice.atoms)} for k in (0, 1))
+            yield lattice, {(first[s], last[e]): k for s, e, k in own if s in first and e in last}
+            begin = stop
 
 
 def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", rows: int = TRAIN_ROWS) -> SpanModel:
-    """Fit on the ``rows`` documents with digits or @ that come first in the order of a hash of the id."""
-    chosen = docs.select(F.xxhash64(F.lit(9), id_column).alias("_h"), F.col(text_column).alias("_text"))
-    chosen = chosen.where(F.col("_text").rlike("[@0-9]")).withColumn("_near", _surroundings())
-    sample = chosen.select("_h", "_near").orderBy("_h", "_near").limit(rows).collect()
-    lattices = []
-    for (text, hits) in scanned(pa.array(["\n".join(r["_near"]) for r in sample], pa.string())):
-        lattices += labelled(text, hits)
-    lattices.sort(key=lambda x: hashlib.sha256(repr(x[0].classes).encode()).digest())
-    model = SpanModel()
-    model.fit([x for x in lattices if x[0].atoms])
-    return model
-
-
-def _surroundings():
-    """The lines' parts around digits and @ of a text: what the sample needs, not the text itself."""
-    near = F.regexp_extract_all("_text", F.lit(r"([^\n]{0,48}[@0-9][^\n]{0,48})"), F.lit(1))
-    return F.slice(near, 1, 20)
+    """Fit on the ``rows`` documents with digits or @ that come first in the order of a hash of id and text (equal rows count once).
+
+    Two passes choose them: one estimates how many there are, the next keeps those below a bound on the hash, some half more than
+    wanted, of which an exact cut is taken. All lines of theirs with digits or @ are labelled, and the fit runs in
+    one task; the driver gets the weights.
+    """
+    chosen = docs.select(F.xxhash64(F.lit(9), id_column, text_column).alias("_h"), F.col(text_column).alias("_text"))
+    chosen = chosen.where(F.col("_text").rlike("[@0-9]"))
+    found = chosen.agg(F.approx_count_distinct("_h")).first()[0]
+    if found > 1.5 * rows:
+        chosen = chosen.where(F.col("_h") < F.lit(int(1.5 * rows / found * 2.0**64) - (1 << 63)))
+    sample = chosen.groupBy("_h").agg(F.min("_text").alias("_text")).orderBy("_h").limit(rows)
+    lines = F.regexp_extract_all("_text", F.lit(r"([^\n]*[@0-9][^\n]*)"), F.lit(1))
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattices = [x for batch in batches for text, hits in scanned(batch.column(0)) for x in labelled(text, hits)]
+        lattices.sort(key=lambda x: hashlib.sha256(repr(x[0].classes).encode()).digest())
+        model = SpanModel()
+        model.fit([x for x in lattices if x[0].atoms])
+        weights = [(k, f, float(w)) for (k, f), w in model.weights.items()]
+        columns = [pa.array([w[i] for w in weights], t) for i, t in enumerate((pa.string(), pa.string(), pa.float64()))]
+        yield pa.RecordBatch.from_arrays(columns, ["kind", "feature", "weight"])
+
+    fitted = sample.select(F.array_join(lines, "\n").alias("_lines")).coalesce(1).mapInArrow(fit, "kind string, feature string, weight double")
+    return SpanModel({(r["kind"], r["feature"]): r["weight"] for r in fitted.collect()})
 
 
 def spans_of(text: str, hits: np.ndarray, model: SpanModel) -> list[sp.Span]:
@@ -291,12 +319,14 @@ def spans_of(text: str, hits: np.ndarray, model: SpanModel) -> list[sp.Span]:
         return []
     base = base_spans(text)
     order = sorted((s, e) for _, s, e in base)
+    reach = list(accumulate((e for _, e in order), max))  # the furthest end of the pattern spans up to each
     more = []
     for start, end in stretches(text, hits):
         lattice = Lattice(text, start, end)
         for kind, i, j, odds in model.decode(lattice) if lattice.atoms else ():
             s, e = lattice.atoms[i][0], lattice.atoms[j - 1][1]
-            if odds >= LEAST_ODDS and not any(s < e2 and s2 < e for s2, e2 in order):
+            before = bisect.bisect_left(order, (e,))
+            if odds >= LEAST_ODDS and not (before and reach[before - 1] > s):
                 more.append((f"model_{kind}", s, e))
     return base + more
 
