@@ -103,7 +103,7 @@ def knn_tree_recall(spark, sf_dir):
     """Neighbours of every vector through pivot trees whose leaves are far smaller than the table, against the exact ones."""
     v = vectors(spark, sf_dir)
     exact = neighbors.knn_join(v, v, 5, "vec_id", "vec_id", "embedding", exclude_self=True)
-    index = neighbors.tree_index(v, "vec_id", "embedding", k=5, trees=2, leaf_rows=32)
+    index = neighbors.tree_index(v, "vec_id", "embedding", k=5, trees=1, leaf_rows=64)
     found = stage(neighbors.tree_join(v, index, 5, "vec_id", "embedding", exclude_self=True), "tree-join")
     share = neighbors.recall(found, exact, "vec_id").first()["recall"]
     ranks = found.groupBy("vec_id").agg(F.sort_array(F.collect_list("rank")).alias("r")).agg(F.bool_and(F.col("r") == F.array(*map(F.lit, range(1, 6))))).first()[0]
