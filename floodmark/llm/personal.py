@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import heapq
 import math
 import re
 from collections import defaultdict
@@ -36,8 +37,8 @@ SQL = None
 KINDS = ("email", "ip", "card", "phone")
 OUTSIDE = "none"
 TRAIN_ROWS = 3000
-#: Atoms of a training lattice, about; longer ones are cut.
-TRAIN_ATOMS = 400
+#: Atoms of a training lattice, about (longer ones are cut), and candidate segments of all that train.
+TRAIN_ATOMS, TRAIN_SEGMENTS = 400, 100_000
 EPOCHS, RATE, DECAY = 4, 0.3, 1e-4
 MOST_ATOMS = 16
 #: Characters decoded around a digit or @.
@@ -285,12 +286,13 @@ def labelled(text: str, hits: np.ndarray) -> Iterator[tuple[Lattice, dict[tuple[
             begin = stop
 
 
-def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", rows: int = TRAIN_ROWS) -> SpanModel:
+def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", rows: int = TRAIN_ROWS, segments: int = TRAIN_SEGMENTS) -> SpanModel:
     """Fit on the ``rows`` documents with digits or @ that come first in the order of a hash of id and text (equal rows count once).
 
     Two passes choose them: one estimates how many there are, the next keeps those below a bound on the hash, some half more than
-    wanted, of which an exact cut is taken. All lines of theirs with digits or @ are labelled, and the fit runs in
-    one task; the driver gets the weights.
+    wanted, of which an exact cut is taken. All lines of theirs with digits or @ are labelled; of their lattices those that come
+    first in the order of a hash of what they hold train, about ``segments`` candidate segments, so that few very long texts do not
+    set the time. The fit runs in one task; the driver gets the weights.
     """
     chosen = docs.select(F.xxhash64(F.lit(9), id_column, text_column).alias("_h"), F.col(text_column).alias("_text"))
     chosen = chosen.where(F.col("_text").rlike("[@0-9]"))
@@ -301,10 +303,17 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     lines = F.regexp_extract_all("_text", F.lit(r"([^\n]*[@0-9][^\n]*)"), F.lit(1))
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattices = [x for batch in batches for text, hits in scanned(batch.column(0)) for x in labelled(text, hits)]
-        lattices.sort(key=lambda x: hashlib.sha256(repr(x[0].classes).encode()).digest())
+        drawn: list[tuple[bytes, int, int, tuple]] = []  # a heap with the largest hash on top
+        size = 0
+        for number, x in enumerate(x for batch in batches for text, hits in scanned(batch.column(0)) for x in labelled(text, hits)):
+            many = sum(1 for i in range(len(x[0].atoms)) for _ in x[0].candidates(i))
+            hashed = hashlib.sha256(repr((x[0].classes, sorted(x[1].items()))).encode()).digest()
+            heapq.heappush(drawn, (bytes(255 - b for b in hashed), number, many, x))
+            size += many
+            while size - drawn[0][2] >= segments:
+                size -= heapq.heappop(drawn)[2]
         model = SpanModel()
-        model.fit([x for x in lattices if x[0].atoms])
+        model.fit([x for *_, x in sorted(drawn, reverse=True) if x[0].atoms])
         weights = [(k, f, float(w)) for (k, f), w in model.weights.items()]
         columns = [pa.array([w[i] for w in weights], t) for i, t in enumerate((pa.string(), pa.string(), pa.float64()))]
         yield pa.RecordBatch.from_arrays(columns, ["kind", "feature", "weight"])
