@@ -6,6 +6,7 @@ import bisect
 from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,12 +66,18 @@ def retrain_set(df: DataFrame, now_us: int, last_trained_us: int, ts_us: str = "
 
 
 class ScoreRing:
-    """The last ``size`` accepted scores, in arrival and in sorted order."""
+    """The last ``size`` accepted scores, in arrival and in sorted order.
+
+    Only accepted scores move the threshold, so ``replay`` decides a whole run of flagged (or missing) scores by one array
+    comparison and steps through accepted ones only. As flagged scores stay out, the threshold of a long key sinks: of n evenly
+    spread scores about 20 * size * ln(n / (20 * size)) are accepted, and that is the number of Python steps.
+    """
 
     def __init__(self, default: float, size: int = 1000, percentile: float = 95.0, minimum: int = 100, start=()):
         self.default, self.size, self.percentile, self.minimum = default, size, percentile, minimum
         self.arrival = deque(start)
         self.sorted = sorted(self.arrival)
+        self.steps = 0  # accepted scores so far, each a Python step
 
     def threshold(self) -> float:
         if len(self.sorted) < self.minimum:
@@ -80,18 +87,36 @@ class ScoreRing:
         high = min(low + 1, len(self.sorted) - 1)
         return self.sorted[low] + (self.sorted[high] - self.sorted[low]) * (at - low)
 
-    def step(self, score: float) -> tuple[float, bool]:
-        """Threshold in force for this score and whether it is exceeded; accepted scores enter the ring."""
-        limit = self.threshold()
-        if score is None or score != score:  # a missing score is neither flagged nor remembered
-            return limit, False
-        anomalous = score > limit
-        if not anomalous:
-            if len(self.arrival) == self.size:
-                del self.sorted[bisect.bisect_left(self.sorted, self.arrival.popleft())]
-            self.arrival.append(score)
-            bisect.insort(self.sorted, score)
-        return limit, anomalous
+    def accept(self, score: float) -> None:
+        if len(self.arrival) == self.size:
+            del self.sorted[bisect.bisect_left(self.sorted, self.arrival.popleft())]
+        self.arrival.append(score)
+        bisect.insort(self.sorted, score)
+        self.steps += 1
+
+    def replay(self, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Threshold in force for each score and whether it is exceeded; accepted scores enter the ring.
+
+        A missing score (NaN) is neither flagged nor remembered.
+        """
+        scores = np.asarray(scores, dtype=float)
+        limits = np.empty(len(scores))
+        at, limit = 0, self.threshold()
+        while at < len(scores):
+            end, width = at, 1
+            while end < len(scores):  # the first accepted score, looked for in windows that double
+                below = scores[end : end + width] <= limit
+                first = int(below.argmax())
+                if below[first]:
+                    end += first
+                    break
+                end, width = min(end + width, len(scores)), width * 2
+            limits[at : end + 1] = limit
+            if end < len(scores):
+                self.accept(float(scores[end]))
+                limit = self.threshold()
+            at = end + 1
+        return limits, scores > limits
 
 
 def tie_break(df: DataFrame, columns: list[str]) -> list[str]:
@@ -105,22 +130,26 @@ def adaptive_threshold(
     """Running percentile of the last ``size`` scores of the key that were not flagged, and the flag.
 
     The feedback makes each key sequential. Rows of a key stream through one task in time order as Arrow
-    batches; the task holds one ring of ``size`` scores, never the whole key.
+    batches; the task holds one ring of ``size`` scores, never the whole key, and steps through accepted scores only.
+    Keys may be null (one key of their own); a missing score is not flagged and gets the threshold in force.
     """
     schema = T.StructType([*df.schema.fields, T.StructField("threshold", T.DoubleType()), T.StructField("y_pred", T.IntegerType())])
     rest = [c for c in df.columns if c not in (key, ts, score)]  # equal times replay in one order
     ordered = df.repartition(key).sortWithinPartitions(key, ts, *tie_break(df, rest), score)
 
     def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, ring, started = None, None, False
+        current, ring = None, None
         for batch in batches:
-            limits, flags = [], []
-            for k, s in zip(batch[key].tolist(), batch[score].tolist()):
-                if not started or k != current:
-                    current, ring, started = k, ScoreRing(default, size, percentile, minimum), True
-                limit, anomalous = ring.step(s)
-                limits.append(limit)
-                flags.append(ANOMALY if anomalous else NORMAL)
-            yield batch.assign(threshold=limits, y_pred=pd.array(flags, dtype="int32"))
+            keys = batch[key]
+            same = (keys == keys.shift()) | (keys.isna() & keys.shift().isna())
+            edges = [0, *(np.flatnonzero(~same.to_numpy(dtype=bool, na_value=False)[1:]) + 1), len(batch)]
+            scores = batch[score].to_numpy(dtype=float, na_value=np.nan)
+            limits, flags = np.empty(len(batch)), np.empty(len(batch), dtype=bool)
+            for a, b in zip(edges, edges[1:]):
+                k = None if pd.isna(keys.iloc[a]) else keys.iloc[a]
+                if ring is None or k != current:
+                    current, ring = k, ScoreRing(default, size, percentile, minimum)
+                limits[a:b], flags[a:b] = ring.replay(scores[a:b])
+            yield batch.assign(threshold=limits, y_pred=np.where(flags, ANOMALY, NORMAL).astype("int32"))
 
     return ordered.mapInPandas(replay, schema)

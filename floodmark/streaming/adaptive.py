@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -30,7 +31,7 @@ class AdaptiveThresholdProcessor(StatefulProcessor):
         ring = ScoreRing(self.default, self.size, self.percentile, self.minimum, start)
         # a micro-batch is bounded by the source's rate limit
         batch = pd.concat(list(rows)).sort_values(["ts_us", "row_id"])
-        steps = [ring.step(s) for s in batch["score"]]
+        limits, flags = ring.replay(batch["score"].to_numpy(dtype=float, na_value=np.nan))
         self.state.update((list(ring.arrival),))
         yield pd.DataFrame(
             {
@@ -38,8 +39,8 @@ class AdaptiveThresholdProcessor(StatefulProcessor):
                 "row_id": batch["row_id"].to_numpy(),
                 "ts_us": batch["ts_us"].to_numpy(),
                 "score": batch["score"].to_numpy(),
-                "threshold": [t for t, _ in steps],
-                "y_pred": pd.array([ANOMALY if a else NORMAL for _, a in steps], dtype="int32"),
+                "threshold": limits,
+                "y_pred": np.where(flags, ANOMALY, NORMAL).astype("int32"),
             }
         )
 

@@ -146,6 +146,38 @@ def test_adaptive_threshold_replays(spark, batch):
         assert np.allclose([m[0] for m in mine], [w[0] for w in want]) and [m[1] for m in mine] == [w[1] for w in want]
 
 
+@pytest.mark.parametrize("shape", ["even", "levels", "rising", "missing", "constant"])
+def test_ring_decides_runs_of_flagged_scores_at_once(shape):
+    rng = np.random.default_rng(4)
+    scores = {
+        "even": rng.random(6000),
+        "levels": rng.integers(0, 9, 6000) / 2.0,
+        "rising": np.arange(6000) / 1000.0,
+        "missing": np.where(rng.random(6000) < 0.3, np.nan, rng.random(6000)),
+        "constant": np.full(3000, 0.25),
+    }[shape]
+    want = replay(scores, 0.9, 100, 20)
+    ring, limits, flags = drift.ScoreRing(0.9, 100, 95.0, 20), [], []
+    for part in np.array_split(scores, 7):  # the ring carries over from batch to batch
+        limit, flag = ring.replay(part)
+        limits.append(limit)
+        flags.append(flag)
+    assert np.allclose(np.concatenate(limits), [w[0] for w in want], rtol=0, atol=1e-12)
+    assert np.concatenate(flags).tolist() == [w[1] == -1 for w in want]
+
+
+def test_ring_steps_grow_with_the_logarithm_of_a_key():
+    scores = np.random.default_rng(5).random(400_000)
+    steps = []
+    for n in (100_000, 400_000):
+        ring = drift.ScoreRing(0.9, 100, 95.0, 20)
+        ring.replay(scores[:n])
+        steps.append(ring.steps)
+    assert steps[1] < 400_000 / 20 and steps[1] < 1.5 * steps[0]  # four times the rows, hardly more steps
+    empty = drift.ScoreRing(0.9).replay(np.array([]))
+    assert len(empty[0]) == len(empty[1]) == 0
+
+
 def test_retraining_is_due_after_a_week(spark):
     day = drift.DAY_US
     df = spark.createDataFrame([(1, 0, 1), (2, 9 * day, 1), (3, 9 * day, -1), (4, 3 * day, 1)], "id int, ts_us long, y_pred int")
