@@ -9,7 +9,7 @@ from floodmark.catalog.detectors import TWO_D_SQL, SMALL_FOREST, TWO, prepared
 from floodmark.catalog.joins import geo_blocks
 from floodmark.catalog.registry import query, rounded
 from floodmark.catalog.scans import event_stream, run_to_table
-from floodmark.catalog.standins import FLOW_FEATURES, REQ, flows, row_key, table
+from floodmark.catalog.standins import FLOW, FLOW_FEATURES, REQ, flows, row_key, table
 from floodmark.catalog.windows import window_sql
 from floodmark.functions.scores import sigmoid_score
 from floodmark.operators import enrich, ensemble
@@ -93,6 +93,19 @@ def ocsvm_online(spark, sf_dir):
     return rounded(scored.agg(F.count("*").alias("n"), F.avg((F.col("y_pred") == -1).cast("double")).alias("outlier_share")), 3)
 
 
+@query("ocsvm_online_step", f"""WITH {FLOW}, b AS (SELECT l_quantity AS x, l_discount AS y, 0.02::DOUBLE * l_quantity - 3.0::DOUBLE * l_discount < 0.2513::DOUBLE AS o FROM flow WHERE label = 'Benign'),
+g AS (SELECT count(*) * 0.1::DOUBLE AS nu_n, count(*) FILTER (o) AS n_out, sum(x) FILTER (o) AS sx, sum(y) FILTER (o) AS sy FROM b)
+SELECT round(0.02::DOUBLE + 0.5 * (sx / nu_n - 0.02::DOUBLE), 6) AS w_quantity, round(-3.0::DOUBLE + 0.5 * (sy / nu_n + 3.0::DOUBLE), 6) AS w_discount,
+  round(0.2513::DOUBLE + 0.5 * (1 - n_out / nu_n), 6) AS rho, 1 AS steps FROM g""")
+def ocsvm_online_step(spark, sf_dir):
+    """The stream's update of a linear boundary equals the gradient step over all verified-normal rows (one file, one batch)."""
+    model = ocsvm.OneClassModel(TWO, "linear", 1.0, 0.1, [], [], [0.02, -3.0], 0.2513)
+    query_, current = pipeline.ocsvm_online(flow_stream(spark, sf_dir), model, scratch_path(spark, "online-step"))
+    query_.awaitTermination()
+    m = current()
+    return rounded(spark.createDataFrame([(*m.w, m.rho, m.steps)], "w_quantity double, w_discount double, rho double, steps int"))
+
+
 @query("stream_adaptive_threshold", replay_sql("key"))
 def stream_adaptive_threshold(spark, sf_dir):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
@@ -107,3 +120,13 @@ WHERE lowest > 0.2 AND n = 2 AND (s + 2) * 60000000 <= (SELECT max(ts_us) - 6000
 def stream_alert(spark, sf_dir):
     scores = event_stream(spark, sf_dir).select(F.col("event_type").alias("deployment"), "ts", (F.col("payload") / 100).alias("score"))
     return rounded(run_to_table(pipeline.stream_alert(scores, limit=0.2, minutes=2), "stream-alert"))
+
+
+@query("stream_alert_documented", """WITH m AS (SELECT epoch_us(ts) // 60000000 AS minute, avg(value / 10) AS m FROM events GROUP BY 1),
+w AS (SELECT minute - unnest(range(0, 5)) AS s, m FROM m), a AS (SELECT s, min(m) AS lowest, count(*) AS n FROM w GROUP BY 1)
+SELECT 'web' AS deployment, s * 60000000 AS start_us, (s + 5) * 60000000 AS end_us, round(lowest, 6) AS lowest FROM a
+WHERE lowest > 0.8 AND n = 5 AND (s + 5) * 60000000 <= (SELECT max(epoch_us(ts)) - 600000000 FROM events)""")
+def stream_alert_documented(spark, sf_dir):
+    """The documented limit and span (0.8 in each of five minutes) over all requests as one deployment."""
+    scores = event_stream(spark, sf_dir).select(F.lit("web").alias("deployment"), "ts", (F.col("payload") / 10).alias("score"))
+    return rounded(run_to_table(pipeline.stream_alert(scores), "stream-alert-documented"))
