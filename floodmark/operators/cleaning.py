@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from floodmark.plans.quantiles import exact_quantiles
+from floodmark.plans.sketches import stored_quantiles
 
 # Columns that identify a flow rather than describe its behaviour.
 NON_FEATURES = ["Label", "Timestamp", "Dst Port", "Protocol"]
@@ -78,6 +79,11 @@ def median_fit(df: DataFrame, columns: list[str]) -> Medians:
     return Medians(list(columns), [found[c][0] for c in columns])
 
 
+def median_refresh(sketches: DataFrame, columns: list[str]) -> Medians:
+    """``median_fit`` from stored sketches of ``finite_or_null`` columns: merges days, reads no row again."""
+    return Medians(list(columns), [q[0] for q in stored_quantiles(sketches, columns, [0.5])])
+
+
 def median_fill(df: DataFrame, medians: Medians) -> DataFrame:
     return df.withColumns(
         {c: F.coalesce(finite_or_null(c), F.lit(v)) for c, v in zip(medians.columns, medians.values)}
@@ -101,6 +107,12 @@ def clip_fit(df: DataFrame, columns: list[str], low: float = 0.001, high: float
     return ClipRange(list(columns), [found[c][0] for c in columns], [found[c][1] for c in columns])
 
 
+def clip_refresh(sketches: DataFrame, columns: list[str], low: float = 0.001, high: float = 0.999) -> ClipRange:
+    """``clip_fit`` from stored sketches."""
+    found = stored_quantiles(sketches, columns, [low, high])
+    return ClipRange(list(columns), [q[0] for q in found], [q[1] for q in found])
+
+
 def clip_apply(df: DataFrame, limits: ClipRange) -> DataFrame:
     def cut(c: str, a: float, b: float) -> Column:
         return F.when(F.col(c) < F.lit(a), F.lit(a)).when(F.col(c) > F.lit(b), F.lit(b)).otherwise(F.col(c))
