@@ -70,27 +70,35 @@ def latest_scores(scores: DataFrame, key: list[str], ts: str, now: Column, ttl_s
     return newest.filter((now - F.col(ts)).between(0, ttl_seconds * 1_000_000))
 
 
+def merge_latest(fresh: DataFrame, path: str, key: list[str], ts: str, version: int, ttl_seconds: int | None = None) -> None:
+    """Merge new scores with the last snapshot under ``path`` into version ``version``; versions below the last one go.
+
+    With ``ttl_seconds`` keys that are older than that against the newest time seen leave the snapshot. Of scores at the same time the highest stays,
+    so a version that is written again is the same.
+    """
+    spark = fresh.sparkSession
+    known = [v for v in model_versions(spark, path) if v < version]
+    if known:
+        fresh = fresh.unionByName(spark.read.parquet(f"{path}/v={max(known)}"))
+    newest = fresh.groupBy(*key).agg(F.max_by("score", F.struct(ts, "score")).alias("score"), F.max(ts).alias(ts))
+    if ttl_seconds is not None:
+        latest = newest.agg(F.max(ts).alias("_latest"))  # one row
+        newest = newest.join(F.broadcast(latest), F.col(ts) >= F.col("_latest") - F.lit(ttl_seconds * 1_000_000)).drop("_latest")
+    newest.write.mode("overwrite").parquet(f"{path}/v={version}")
+    drop_versions(spark, path, below=max(known, default=version))
+
+
 def latest_score_sink(stream: DataFrame, path: str, key: list[str], ts: str, checkpoint: str | None = None, ttl_seconds: int | None = None) -> StreamingQuery:
     """Keep one newest score per key in a versioned snapshot table under ``path``.
 
     Each micro-batch merges its pre-aggregated newest scores with the last snapshot and writes the next
-    version; a replayed batch overwrites its own version. With ``ttl_seconds`` keys that are older than that against the newest time
-    seen leave the snapshot, which so holds the live keys only. The two newest versions stay, for readers and replays.
-    Read it with ``read_snapshot``.
+    version; a replayed batch overwrites its own version. ``ttl_seconds`` as in ``merge_latest``: the snapshot so holds the live keys
+    only. The two newest versions stay, for readers and replays. Read it with ``read_snapshot``.
     """
     spark = stream.sparkSession
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.select(*key, ts, "score")
-        known = [v for v in model_versions(spark, path) if v < batch_id]
-        if known:
-            fresh = fresh.unionByName(spark.read.parquet(f"{path}/v={max(known)}"))
-        newest = fresh.groupBy(*key).agg(F.max_by("score", ts).alias("score"), F.max(ts).alias(ts))
-        if ttl_seconds is not None:
-            latest = newest.agg(F.max(ts).alias("_latest"))  # one row
-            newest = newest.join(F.broadcast(latest), F.col(ts) >= F.col("_latest") - F.lit(ttl_seconds * 1_000_000)).drop("_latest")
-        newest.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
-        drop_versions(spark, path, below=max(known, default=batch_id))
+        merge_latest(batch.select(*key, ts, "score"), path, key, ts, batch_id, ttl_seconds)
 
     return (
         stream.writeStream.foreachBatch(merge)
