@@ -11,7 +11,7 @@ from floodmark.catalog.standins import FLOW, FLOW_FEATURES, JUDGED, REQ, flows,
 from floodmark.functions.http import path_features
 from floodmark.functions.scores import binary_label
 from floodmark.operators import cleaning, enrich, evaluation, splitting
-from floodmark.operators.detect import autoencoder, gmm, grid, iforest, neighbors, ocsvm, rules, thresholds
+from floodmark.operators.detect import autoencoder, deep, gmm, grid, iforest, neighbors, ocsvm, rules, thresholds
 from floodmark.operators.traffic import trailing_rate
 from floodmark.plans.ordering import below_fraction, order_hash
 from floodmark.plans.staging import stage
@@ -353,6 +353,18 @@ def autoencoder_score(spark, sf_dir):
     return rounded(autoencoder.autoencoder_score(flows(spark, sf_dir), model).select("row_id", "mse"))
 
 
+@query("deep_score", f"""WITH {FLOW}, h AS (SELECT row_id, l_quantity AS x, l_discount AS y, greatest(0.5 * l_quantity - 2.0 * l_discount - 1.0, 0) AS h FROM flow),
+p AS (SELECT avg(h) AS m, var_pop(h) AS v FROM h), u AS (SELECT *, 1.25 * (h - m) / sqrt(v + 1e-3) - 0.5 AS u FROM h, p)
+SELECT row_id, round(((1.5 * u + 2.0 - x) ** 2 + (-0.25 * u + 0.5 - y) ** 2) / 2, 6) AS mse FROM u""")
+def deep_score(spark, sf_dir):
+    """Given weights, moments of the normalised layer over all rows."""
+    df, sizes = flows(spark, sf_dir), [2, 1, 2]
+    flat = [0.5, -2.0, -1.0, 1.5, -0.25, 2.0, 0.5, 1.25, -0.5]
+    ((mean, variance),) = deep.layer_moments(df, TWO, np.array(flat), sizes, [0])
+    model = deep.DeepModel(TWO, sizes, flat, [0], [mean.tolist()], [variance.tolist()], None, False)
+    return rounded(deep.deep_score(df, model).select("row_id", "mse"))
+
+
 @query("percentile_threshold", f"""WITH {JUDGED} SELECT round(quantile_cont(score_b, 0.95), 6) AS high, round(quantile_cont(score_b, 0.05), 6) AS low,
   (SELECT count(*) FROM judged WHERE score_b > (SELECT quantile_cont(score_b, 0.95) FROM judged WHERE y = 1)) AS n_flagged FROM judged WHERE y = 1""")
 def percentile_threshold(spark, sf_dir):

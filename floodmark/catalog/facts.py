@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from floodmark.catalog.registry import query, rounded
 from floodmark.catalog.standins import FLOW, FLOW_FEATURES, JUDGED, flows, judged_flows, vectors
 from floodmark.operators import cleaning, ensemble, evaluation, selection
-from floodmark.operators.detect import autoencoder, gmm, grid, iforest, neighbors, ocsvm
+from floodmark.operators.detect import autoencoder, deep, gmm, grid, iforest, neighbors, ocsvm
 from floodmark.plans.ordering import below_fraction, order_hash
 from floodmark.plans.staging import stage
 
@@ -137,6 +137,34 @@ def autoencoder_fit_facts(spark, sf_dir):
     )
 
 
+@query("deep_fit_facts", f"""{BENIGN} SELECT count(*) AS n, 4 * 30 + 30 + 30 * 20 + 20 + 20 * 10 + 10 + 10 * 20 + 20 + 20 * 30 + 30 + 30 * 4 + 4 + 60 AS n_weights,
+  true AS means_hold, true AS variances_hold, true AS loss_falls, true AS share_holds FROM b""")
+def deep_fit_facts(spark, sf_dir):
+    """The deep network at its defaults: the moments it keeps are those of its first layer over the train rows, worked out again as expressions."""
+    train = flows(spark, sf_dir).filter("label = 'Benign'")
+    ends = train.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in FLOW_FEATURES for f in (F.min, F.max)]).first()
+    unit = {c: (F.col(c) - ends[f"min_{c}"]) / (ends[f"max_{c}"] - ends[f"min_{c}"]) for c in FLOW_FEATURES}
+    train = stage(train.select("row_id", *[unit[c].alias(c) for c in FLOW_FEATURES]), "unit-flows")
+    model, history = deep.deep_fit(train, FLOW_FEATURES, "row_id")
+    width, flat = model.sizes[1], np.asarray(model.weights)
+    w, b = flat[: 4 * width].reshape(4, width), flat[4 * width : 5 * width]
+    layer = [F.greatest(F.lit(0.0), sum((F.col(c) * F.lit(float(w[i, j])) for i, c in enumerate(FLOW_FEATURES)), F.lit(float(b[j])))) for j in range(width)]
+    trained = train.filter(~below_fraction(order_hash("42-validation", "row_id"), 0.2))
+    moments = trained.agg(*[F.avg(h).alias(f"m{j}") for j, h in enumerate(layer)], *[F.var_pop(h).alias(f"v{j}") for j, h in enumerate(layer)]).first()
+    means = all(abs(moments[f"m{j}"] - model.means[0][j]) < 1e-9 for j in range(width))
+    variances = all(abs(moments[f"v{j}"] - model.variances[0][j]) < 1e-9 for j in range(width))
+    model = deep.deep_threshold(train, model)
+    flagged = F.count_if(F.col("y_pred") == -1)
+    return deep.deep_predict(train, model).agg(
+        F.count("*").alias("n"),
+        F.lit(len(flat)).alias("n_weights"),
+        F.lit(means).alias("means_hold"),
+        F.lit(variances).alias("variances_hold"),
+        F.lit(bool(min(h[1] for h in history) < history[0][1])).alias("loss_falls"),
+        ((flagged <= 0.05 * F.count("*") + 1) & (F.count_if(F.col("score") >= 1 - 1e-12) >= 0.05 * F.count("*") - 1)).alias("share_holds"),
+    )
+
+
 @query("stacking_facts", f"""WITH {JUDGED} SELECT 'plain' AS kind, count(*) AS n, count(*) FILTER (y = -1) AS n_attacks, true AS gradient_vanishes FROM judged
 UNION ALL SELECT 'weighted', count(*), count(*) FILTER (y = -1), true FROM judged""")
 def stacking_facts(spark, sf_dir):
