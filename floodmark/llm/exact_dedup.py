@@ -1,16 +1,21 @@
-"""Exact duplicates by a tree merge of digest runs; DataFrame functions only.
+"""Exact duplicates by a tree merge of sorted digest runs; DataFrame functions only.
 
-Every document gives a digest of its normalised text. Leaves of a tree hold one run each: the distinct
-digests of a shard with their smallest identifier and row count. Rounds of the tree merge ``FAN_IN``
-neighbouring runs at once until one logical run is left, whose rows still lie spread over all partitions by
-digest. Verdicts go down the same tree, so a digest that a third of all rows share meets at most
-``FAN_IN`` rows per join key on the way up and one leaf's share on the way down: no key is ever gathered.
+Every document gives a digest of its normalised text. Leaves of a tree hold one run each: the distinct digests of a shard in sorted
+order with their smallest identifier and row count. Rounds of the tree merge ``FAN_IN`` neighbouring runs at once: their rows
+are exchanged by (run above, digest), put in order of the digest and folded by one pass over the sorted rows, so what leaves a round is
+again a sorted run. The smallest identifier is kept as (is null, identifier), an ordered pair, which Spark folds over sorted rows and
+never in a hash table; memory does not depend on the number of digests. The last run's rows still lie spread over all partitions. Verdicts
+go down the same tree by merge joins with the runs below, so a digest that a third of all rows share meets at most ``FAN_IN`` rows per
+key on the way up and one leaf's share on the way down: no key is ever gathered. The tree grows a level whenever a leaf would hold more
+than ``LEAF_ROWS`` rows.
 
 A digest counts as equal only if SHA-256, an independent 64-bit hash and the byte length agree; all three
 travel in the run key and are compared at every level.
 
 Nulls count as empty text; empty texts equal each other. Repeated rows of one id form one group with that id and
-are all kept. A null id sorts after every other id and stays only if the whole group has null ids.
+are all kept. A null id sorts after every other id and stays only if the whole group has null ids. An empty table gives an empty result. A
+text of any length is one row and is hashed as a whole. Other columns may have any names: ``exact_groups`` carries none of them along, and
+``dedup`` joins on names of its own (``__id``, ``__sha``).
 """
 
 from __future__ import annotations
@@ -23,6 +28,8 @@ from floodmark.plans.staging import stage
 NAME = "op2_exact_dedup"
 FAN_IN = 16
 LEVELS = 2
+#: Rows of a leaf from which on the tree gets another level.
+LEAF_ROWS = 4_000_000
 KEY = ["_sha", "_check", "_bytes"]
 
 SQL = r"""
@@ -38,43 +45,55 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
+def tree_levels(rows: int) -> int:
+    """Levels of the tree: at least LEVELS, and as many as bring a leaf down to LEAF_ROWS."""
+    levels = LEVELS
+    while rows > LEAF_ROWS * FAN_IN**levels:
+        levels += 1
+    return levels
+
+
 def digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Leaf rows: id, run key and leaf number. The leaf depends on the id alone, so reruns of a task agree."""
-    leaves = FAN_IN**LEVELS
+    """One row per document: id and run key."""
     text = normalised(F.col(text_column))
     return docs.select(F.col(id_column).alias("_id"), text.alias("_text")).select(
         "_id",
         F.unhex(F.sha2("_text", 256)).alias("_sha"),
         F.xxhash64("_text").alias("_check"),
         F.octet_length("_text").cast("long").alias("_bytes"),
-        F.pmod(F.xxhash64("_id"), F.lit(leaves)).cast("int").alias("_run"),
     )
 
 
 def merge_runs(runs: DataFrame) -> DataFrame:
-    """One merge of runs with the same number: smallest id and row count of every verified key."""
+    """One merge of sorted runs with the same number: smallest id (nulls last) and row count of every verified key, in sorted order."""
     return runs.groupBy("_run", *KEY).agg(F.min("_keep").alias("_keep"), F.sum("_rows").alias("_rows"))
 
 
 def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: ``_id``, ``_sha``, ``keep_id``, ``group_size``.
 
-    The digest table (about 60 bytes a document) is staged, so texts are read and hashed once.
+    The digest table (about 60 bytes a document) is staged, so texts are read and hashed once. A row's leaf depends on its id alone, so
+    reruns of a task agree.
     """
-    leaf_rows = stage(digests(docs, id_column, text_column), "digests")
-    level = merge_runs(leaf_rows.withColumns({"_keep": F.col("_id"), "_rows": F.lit(1).cast("long")}))
-    levels = [level]
-    for _ in range(LEVELS):
+    staged = stage(digests(docs, id_column, text_column), "digests")
+    levels = tree_levels(staged.count())  # from the files' footers
+    leaf_rows = staged.withColumn("_run", F.pmod(F.xxhash64("_id"), F.lit(FAN_IN**levels)).cast("int"))
+    own = F.struct(F.col("_id").isNull().alias("null"), F.col("_id").alias("id"))
+    level = merge_runs(leaf_rows.withColumns({"_keep": own, "_rows": F.lit(1).cast("long")}))
+    runs = [level]
+    for _ in range(levels):
         level = merge_runs(level.withColumn("_run", F.floor(F.col("_run") / FAN_IN).cast("int")))
-        levels.append(level)
-    verdict = levels.pop()
-    while levels:
-        below = levels.pop().select("_run", *KEY)
-        up = below.withColumn("_up", F.floor(F.col("_run") / FAN_IN).cast("int"))
+        runs.append(level)
+    verdict = runs.pop()
+    while runs:
+        # the run above must know an id that is no larger and a group that is no smaller; both also keep the run below as it was
+        # merged on the way up, so its exchange is read again and not made again
+        below = runs.pop().withColumnsRenamed({"_keep": "_own", "_rows": "_own_rows"}).withColumn("_up", F.floor(F.col("_run") / FAN_IN).cast("int"))
         down = verdict.withColumnRenamed("_run", "_up")
-        verdict = up.join(down, ["_up", *KEY]).select("_run", *KEY, "_keep", "_rows")
+        known = down.join(below, ["_up", *KEY]).where((F.col("_keep") <= F.col("_own")) & (F.col("_rows") >= F.col("_own_rows")))
+        verdict = known.select("_run", *KEY, "_keep", "_rows")
     return leaf_rows.join(verdict, ["_run", *KEY]).select(
-        "_id", "_sha", F.col("_keep").alias("keep_id"), F.col("_rows").alias("group_size")
+        "_id", "_sha", F.col("_keep.id").alias("keep_id"), F.col("_rows").alias("group_size")
     )
 
 

@@ -76,6 +76,26 @@ def test_exact(docs):
     assert {i for i, _ in texts_of(stays)} == {i for i, w in want.items() if w[2]}
 
 
+def test_exact_runs_are_sorted_and_the_tree_grows(spark, monkeypatch):
+    """Merges fold sorted rows, and a deeper tree gives the same groups; a third of all rows are copies of one text, one id is null."""
+    rows = [(i, "hot  copy" if i % 3 == 0 else f"text {i % 50}") for i in range(600)] + [(None, "hot copy"), (None, "alone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {}
+    for i, t in rows:
+        want.setdefault(" ".join(t.split()), []).append(i)
+    want = sorted((i, min((j for j in same if j is not None), default=None), len(same)) for same in want.values() for i in same if i is not None)
+    for leaf_rows, levels in ((4_000_000, 2), (1, 3)):
+        monkeypatch.setattr(exact_dedup, "LEAF_ROWS", leaf_rows)
+        assert exact_dedup.tree_levels(len(rows)) == levels
+        got = exact_dedup.exact_groups(df)
+        found = got.collect()
+        assert sorted((r._id, r.keep_id, r.group_size) for r in found if r._id is not None) == want
+        assert sorted((r.keep_id is None, r.group_size) for r in found if r._id is None) == [(False, 201), (True, 1)]
+        plan = got._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+        assert "SortAggregate" in plan and "HashAggregate" not in plan
+    assert [exact_dedup.tree_levels(10**n) for n in (0, 6)] == [2, 5]
+
+
 def test_byte_repeats(docs):
     got = suffix_dedup.remove_repeats(docs).selectExpr("*", "sha2(kept, 256) as h")
     assert by_id(got, "n_bytes", "n_removed", "n_spans", "h") == brute.byte_repeats(texts_of(docs))
