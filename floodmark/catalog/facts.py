@@ -133,7 +133,7 @@ def autoencoder_fit_facts(spark, sf_dir):
         F.count("*").alias("n"),
         F.lit(len(model.weights)).alias("n_weights"),
         F.lit(bool(min(h[1] for h in history) < history[0][1])).alias("loss_falls"),
-        ((flagged <= 0.05 * F.count("*") + 1) & (F.count_if(F.col("score") >= model.threshold - 1e-12) >= 0.05 * F.count("*") - 1)).alias("share_holds"),
+        ((flagged <= 0.05 * F.count("*") + 1) & (F.count_if(F.col("mse") >= model.threshold - 1e-12) >= 0.05 * F.count("*") - 1)).alias("share_holds"),
     )
 
 
