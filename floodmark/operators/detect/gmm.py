@@ -4,21 +4,20 @@ from __future__ import annotations
 
 import math
 import pickle
-from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floodmark.functions.scores import flag_below
 from floodmark.operators.detect.thresholds import percentile_threshold
 from floodmark.plans.moments import mean_and_covariance
 from floodmark.plans.staging import staged
-from floodmark.plans.weighted import WEIGHT, LocalPasses, Passes, TablePasses, gaps, spread_centres, weighted_rows
+from floodmark.plans.weighted import WEIGHT, LocalPasses, Passes, SharedPasses, TablePasses, nearest, spread_centres, weighted_rows
 
 RIDGE = 1e-6
 START_ROWS = 5_000
@@ -73,16 +72,18 @@ def log_density(model: MixtureModel) -> Column:
 
 
 def _log_components(x: np.ndarray, model: MixtureModel) -> np.ndarray:
-    parts = []
-    for mean, white, norm in zip(model.means, model.whitening, model.log_norm):
-        z = (x - np.asarray(mean)) @ np.asarray(white).T
-        parts.append(norm - 0.5 * (z * z).sum(axis=1))
-    return np.stack(parts, axis=1)
+    """Log density of every component (rows) at every row of ``x`` (columns): long lines, which numpy adds up fast."""
+    columns, parts = np.ascontiguousarray(x.T), np.empty((len(model.weights), len(x)))
+    for part, mean, white, norm in zip(parts, model.means, model.whitening, model.log_norm):
+        z = np.asarray(white) @ (columns - np.asarray(mean)[:, None])
+        z *= z
+        part[:] = norm - 0.5 * z.sum(axis=0)
+    return parts
 
 
 def _log_sum(parts: np.ndarray) -> np.ndarray:
-    top = parts.max(axis=1)
-    return top + np.log(np.exp(parts - top[:, None]).sum(axis=1))
+    top = parts.max(axis=0)
+    return top + np.log(np.exp(parts - top).sum(axis=0))
 
 
 def gmm_score(df: DataFrame, model: MixtureModel) -> DataFrame:
@@ -133,12 +134,24 @@ def _m_step(kind: str, weight: np.ndarray, first: np.ndarray, second: np.ndarray
 
 def _e_step(x: np.ndarray, w: np.ndarray, model: MixtureModel, centre: np.ndarray) -> np.ndarray:
     """Log likelihood, summed responsibilities, weighted rows and weighted outer products around ``centre``, in one vector."""
-    parts = _log_components(x, model)
-    logs = _log_sum(parts)
-    share = np.exp(parts - logs[:, None]) * w[:, None]
-    z = x - centre
-    second = np.stack([(z * s[:, None]).T @ z for s in share.T])
-    return np.concatenate([[float((w * logs).sum())], share.sum(axis=0), (share.T @ z).ravel(), second.ravel()])
+    k, d = len(model.weights), len(centre)
+    i, j = np.triu_indices(d)
+    total, second = np.zeros(1 + k + k * d), np.zeros((k, len(i)))
+    step = min(16_384, max(256, 1_000_000 // (d * d)))
+    for start in range(0, len(x), step):
+        part, weight = x[start : start + step], w[start : start + step]
+        share = _log_components(part, model)
+        top = share.max(axis=0)
+        np.exp(np.subtract(share, top, out=share), out=share)
+        mass = share.sum(axis=0)
+        logs = top + np.log(mass)
+        share *= weight / mass
+        z = np.ascontiguousarray((part - centre).T)
+        total += np.concatenate([[float((weight * logs).sum())], share.sum(axis=1), (share @ z.T).ravel()])
+        second += share @ (z[i] * z[j]).T
+    products = np.empty((k, d, d))
+    products[:, i, j] = products[:, j, i] = second
+    return np.concatenate([total, products.ravel()])
 
 
 def _climb(passes: Passes, columns: list[str], model: MixtureModel, centre: np.ndarray, n: float, kind: str, max_iter: int, tol: float) -> tuple[MixtureModel, float]:
@@ -157,39 +170,76 @@ def _climb(passes: Passes, columns: list[str], model: MixtureModel, centre: np.n
     return model, likelihood
 
 
-def _hard_start(passes: Passes, columns: list[str], means: np.ndarray, centre: np.ndarray, kind: str) -> MixtureModel:
-    """The mixture of the rows nearest to each centre, distances in units of the components' common spread."""
+@dataclass
+class Start:
+    """What the fits of one number of components share, whatever their shape: centres, and sums of the rows nearest to each."""
+
+    means: np.ndarray
+    sums: np.ndarray
+
+    def model(self, columns: list[str], centre: np.ndarray, kind: str) -> MixtureModel:
+        k, d = self.means.shape
+        shares, found, covs = _m_step(kind, self.sums[:k], self.sums[k : k + k * d].reshape(k, d), self.sums[k + k * d :].reshape(k, d, d))
+        return mixture_model(columns, shares, found + centre, covs)
+
+
+def _start(passes: Passes, n: float, centre: np.ndarray, cov: np.ndarray, k: int, seed: int) -> Start:
+    """Centres from seeding over all rows; distances of the rows to them are taken in units of the components' common spread."""
+    means = spread_centres(passes, k, centre, np.sqrt(np.maximum(np.diag(cov), 1e-300)), n, seed)
     k, d = means.shape
     scale = np.sqrt(np.maximum(passes.sums(lambda x, w: (w[:, None] * np.square(x - centre)).sum(axis=0), d), 1e-300))
 
     def moments(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-        near, z = gaps((x - centre) / scale, (means - centre) / scale).argmin(axis=1), x - centre
+        near, z = nearest((x - centre) / scale, (means - centre) / scale)[0], x - centre
         own = [(z[near == c], w[near == c]) for c in range(k)]
         first = np.stack([(zc * wc[:, None]).sum(axis=0) for zc, wc in own])
         second = np.stack([(zc * wc[:, None]).T @ zc for zc, wc in own])
         return np.concatenate([np.bincount(near, w, k), first.ravel(), second.ravel()])
 
-    sums = passes.sums(moments, k + k * d + k * d * d)
-    shares, found, covs = _m_step(kind, sums[:k], sums[k : k + k * d].reshape(k, d), sums[k + k * d :].reshape(k, d, d))
-    return mixture_model(columns, shares, found + centre, covs)
+    return Start(means, passes.sums(moments, k + k * d + k * d * d))
 
 
-def _fit(passes: Passes, columns: list[str], n: float, centre: np.ndarray, cov: np.ndarray, k: int, kind: str, max_iter: int, tol: float, seed: int, start_rows: int) -> tuple[MixtureModel, float]:
-    """One fit: seeding over all rows, EM on a weighted draw of about ``start_rows`` rows where there are many more, EM on all rows."""
-    d = len(columns)
+Drawn = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _first_rows(passes: Passes, n: float, seed: int, start_rows: int) -> Drawn | None:
+    """A weighted draw of about ``start_rows`` rows where there are many more."""
+    return passes.draw(lambda x, w: start_rows * w / n, seed + 7) if passes.rows > 4 * start_rows else None
+
+
+def _first_model(columns: list[str], centre: np.ndarray, cov: np.ndarray, k: int, kind: str, max_iter: int, tol: float, start: Start | None, drawn: Drawn | None) -> MixtureModel:
+    """Where the passes over all rows begin: closed form for one component, otherwise EM from the start on the drawn rows."""
     if k == 1:
+        d = len(columns)
         full = {"full": cov, "tied": cov, "diag": np.diag(np.diag(cov)), "spherical": np.eye(d) * np.trace(cov) / d}[kind]
-        model = mixture_model(columns, [1.0], [centre], [full + RIDGE * np.eye(d)])
-        return model, float(passes.sums(lambda x, w: _e_step(x, w, model, centre)[:1], 1)[0])
-    means = spread_centres(passes, k, centre, np.sqrt(np.maximum(np.diag(cov), 1e-300)), n, seed)
-    model = _hard_start(passes, columns, means, centre, kind)
-    if passes.rows > 4 * start_rows:
-        x, w, odds = passes.draw(lambda x, w: start_rows * w / n, seed + 7)
+        return mixture_model(columns, [1.0], [centre], [full + RIDGE * np.eye(d)])
+    model = start.model(columns, centre, kind)
+    if drawn is not None:
+        x, w, odds = drawn
         sample = LocalPasses(x, w / odds)  # a draw's inverse odds make its sums estimates of those over all rows
         model, _ = _climb(sample, columns, model, centre, float(sample.weights.sum()), kind, max_iter, tol)
+    return model
+
+
+def _finish(passes: Passes, columns: list[str], model: MixtureModel, centre: np.ndarray, n: float, k: int, kind: str, max_iter: int, tol: float) -> tuple[MixtureModel, float]:
+    """EM on all rows; one component only needs its likelihood."""
+    if k == 1:
+        return model, float(passes.sums(lambda x, w: _e_step(x, w, model, centre)[:1], 1)[0])
     return _climb(passes, columns, model, centre, n, kind, max_iter, tol)
 
 
+def _in_tasks(spark: SparkSession, many: int, work: Callable[[int], object]) -> list:
+    """``work(0)`` to ``work(many - 1)``, each in a task of its own."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for job in batch["id"]:
+                yield pd.DataFrame({"job": [job], "found": [pickle.dumps(work(int(job)))]})
+
+    rows = spark.range(0, many, 1, many).mapInPandas(run, "job long, found binary").collect()
+    return [pickle.loads(r["found"]) for r in sorted(rows, key=lambda r: r["job"])]
+
+
 def _moments(x: np.ndarray, w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
     n = float(w.sum())
     centre = (w[:, None] * x).sum(axis=0) / n
@@ -207,7 +257,7 @@ def em_fits(
     """A fit (model, total log likelihood, rows) for every (k, covariance shape, seed).
 
     Equal rows are counted first. While the distinct rows are few, they are broadcast and the fits are the tasks of one job, each
-    doing the same passes in memory; otherwise each pass is a job over the staged table and three fits run at a time.
+    doing the same passes in memory; otherwise the fits go side by side and one job over the staged table answers a pass of each.
     Fewer distinct rows than ``k`` give as many components as there are rows.
     """
     spark, d = df.sparkSession, len(columns)
@@ -220,28 +270,32 @@ def em_fits(
             x, w = held[columns].to_numpy(dtype=float), held[WEIGHT].to_numpy()
             shared = spark.sparkContext.broadcast((x, w))
 
-            def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-                for batch in batches:
-                    for job in batch["id"]:
-                        k, kind, seed = wanted[int(job)]
-                        passes = LocalPasses(*shared.value)
-                        n, centre, cov = _moments(passes.x, passes.weights)
-                        model, likelihood = _fit(passes, columns, n, centre, cov, k, kind, max_iter, tol, seed, start_rows)
-                        yield pd.DataFrame({"job": [job], "likelihood": [likelihood], "rows": [int(n)], "model": [pickle.dumps(model)]})
-
-            jobs = spark.range(0, len(wanted), 1, len(wanted)).mapInPandas(run, "job long, likelihood double, rows long, model binary")
-            found = {r["job"]: (pickle.loads(r["model"]), r["likelihood"], r["rows"]) for r in jobs.collect()}
+            def local(job: int) -> tuple[MixtureModel, float, int]:
+                k, kind, seed = wanted[job]
+                passes = LocalPasses(*shared.value)
+                n, centre, cov = _moments(passes.x, passes.weights)
+                start, drawn = (_start(passes, n, centre, cov, k, seed), _first_rows(passes, n, seed, start_rows)) if k > 1 else (None, None)
+                model = _first_model(columns, centre, cov, k, kind, max_iter, tol, start, drawn)
+                return *_finish(passes, columns, model, centre, n, k, kind, max_iter, tol), int(n)
+
+            found = _in_tasks(spark, len(wanted), local)
             shared.unpersist()
-            return [found[j] for j in range(len(wanted))]
+            return found
         n, centre, cov = mean_and_covariance(df, columns)
-        passes = TablePasses(table, columns, rows)
-
-        def fit(one: tuple[int, str, int]) -> tuple[MixtureModel, float, int]:
-            model, likelihood = _fit(passes, columns, float(n), centre, cov, one[0], one[1], max_iter, tol, one[2], start_rows)
-            return model, likelihood, n
-
-        with ThreadPoolExecutor(min(3, len(wanted))) as pool:
-            return list(pool.map(fit, wanted))
+        passes = SharedPasses(TablePasses(table, columns, rows))
+        # the shapes of one k and seed share their start, all fits of a seed the rows drawn
+        pairs, seeds = (sorted({w[i] for w in wanted if w[0] > 1}) for i in (slice(0, 3, 2), 2))
+        begun = passes.run([partial(_start, passes, float(n), centre, cov, *p) for p in pairs] + [partial(_first_rows, passes, float(n), s, start_rows) for s in seeds])
+        starts, draws = dict(zip(pairs, begun)), dict(zip(seeds, begun[len(pairs) :]))
+        given = spark.sparkContext.broadcast((starts, draws))
+
+        def first(job: int) -> MixtureModel:
+            k, kind, seed = wanted[job]
+            return _first_model(columns, centre, cov, k, kind, max_iter, tol, given.value[0].get((k, seed)), given.value[1].get(seed))
+
+        models = _in_tasks(spark, len(wanted), first)
+        fits = [partial(_finish, passes, columns, model, centre, float(n), k, kind, max_iter, tol) for model, (k, kind, _) in zip(models, wanted)]
+        return [(model, likelihood, n) for model, likelihood in passes.run(fits)]
 
 
 def em_fit(df: DataFrame, columns: list[str], k: int, kind: str = "full", max_iter: int = 100, tol: float = 1e-3, seed: int = 42, start_rows: int = START_ROWS) -> tuple[MixtureModel, float, int]:

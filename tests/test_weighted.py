@@ -81,3 +81,35 @@ def test_copies_of_a_row_are_dealt_to_all_parts(spark):
     again = averaging.in_parts(rows.repartition(5, "a"), 64, 42).groupBy(averaging.PART).agg(F.sum("a").alias("s"))
     first = dealt.groupBy(averaging.PART).agg(F.sum("a").alias("s"))
     assert {r[0]: r[1] for r in again.collect()} == {r[0]: r[1] for r in first.collect()}
+
+
+def test_fits_over_a_table_share_their_passes(spark, monkeypatch):
+    """Eight fits read the table hardly more often than the longest of them alone."""
+    x = F.col("id")
+    rows = spark.range(6_000).select(
+        (F.pmod(F.xxhash64(x), F.lit(997)) / 997.0 + F.when(x % 3 == 0, 4.0).otherwise(0.0)).alias("a"), (F.pmod(F.xxhash64(F.lit(1), x), F.lit(991)) / 991.0).alias("b")
+    )
+    jobs, sum_vectors = [], weighted.sum_vectors
+    monkeypatch.setattr(weighted, "sum_vectors", lambda *a: jobs.append(1) or sum_vectors(*a))
+    wanted = [(k, kind, 42) for kind in ("full", "tied", "diag", "spherical") for k in (2, 3)]
+    alone = []
+    for one in wanted:
+        jobs.clear()
+        fit = gmm.em_fits(rows, ["a", "b"], [one], local_numbers=0, max_iter=6)[0]
+        alone.append((len(jobs), fit))
+    jobs.clear()
+    together = gmm.em_fits(rows, ["a", "b"], wanted, local_numbers=0, max_iter=6)
+    assert len(jobs) <= 1.5 * max(n for n, _ in alone) < sum(n for n, _ in alone)
+    for got, (_, one) in zip(together, alone):
+        assert got[1] == pytest.approx(one[1], rel=1e-9) and np.allclose(got[0].means, one[0].means, atol=1e-6)
+
+
+def test_a_failing_pass_ends_all_fits(spark):
+    table = weighted.weighted_rows(spark.range(10).select(F.col("id").cast("double").alias("a")), ["a"])
+    passes = weighted.SharedPasses(weighted.TablePasses(table, ["a"], 10))
+
+    def wrong(x, w):
+        raise ValueError("no such step")
+
+    with pytest.raises(Exception, match="no such step"):
+        passes.run([lambda: passes.sums(wrong, 1), lambda: passes.sums(lambda x, w: np.array([w.sum()]), 1)])
