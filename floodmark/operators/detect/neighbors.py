@@ -3,7 +3,7 @@
 A reference side of proven small size is broadcast. A bigger one is grouped around hash-drawn pivots into
 cells: a query first meets its own cell, which bounds the distance of its k-th neighbour, and then only the
 cells that can hold a nearer row by the triangle inequality. Cells are cut into bounded blocks and the
-queries of a cell into bounded groups, so a cell of duplicates or a hot cell is spread over many tasks.
+queries into bounded groups, small cells go together, so a cell of duplicates or a hot cell is spread over many tasks.
 Each (block, query group) yields at most the k best rows per query.
 """
 
@@ -27,7 +27,7 @@ from floodmark.plans.sizing import skew_join, spread
 from floodmark.plans.staging import stage
 
 BLOCK_ROWS = 8192
-QUERY_ROWS = 8192
+QUERY_ROWS = 32_768
 BROADCAST_VALUES = 4_000_000
 MAX_PIVOTS = 256
 #: Of an approximate index: cells hold about ``block_rows`` rows up to this many of them (65,536 vectors on the driver).
@@ -36,6 +36,8 @@ MAX_PROBED_PIVOTS = 1 << 16
 #: some three standard errors of the sample.
 SAMPLE_QUERIES, SAMPLE_MARGIN = 400, 0.03
 MAX_TASKS = 20_000
+#: Rows and numbers of the cells that are compared with one group of queries.
+BUNDLE_ROWS, BUNDLE_VALUES = 65_536, 4_000_000
 METRICS = ("euclidean", "manhattan", "cosine", "mahalanobis", "hamming")
 
 
@@ -209,34 +211,69 @@ def _route_within(bounded: DataFrame, index: CellIndex, metric: str) -> DataFram
     return bounded.mapInPandas(route, "q_id long, v array<double>, cells array<int>, reach double")
 
 
+def _bundles(index: CellIndex) -> np.ndarray:
+    """Bundle of every cell: neighbouring cells (pivots are in order) up to BUNDLE_VALUES numbers; a cell cut into blocks stays alone."""
+    most = max(1, min(BUNDLE_ROWS, BUNDLE_VALUES // max(1, index.pivots.shape[1])))
+    out, held = np.zeros(len(index.counts), int), 0
+    for c in range(1, len(out)):
+        held += int(index.counts[c - 1])
+        new = held + index.counts[c] > most or index.slots[c] > 1 or index.slots[c - 1] > 1
+        out[c], held = out[c - 1] + new, 0 if new else held
+    return out
+
+
 def _compare_blocks(
     routed: DataFrame, blocks: DataFrame, index: CellIndex, k: int, metric: str, exclude_self: bool, query_rows: int
 ) -> DataFrame:
-    """The k best rows of each (query, block) among the routed pairs: (q_id, n_id, dist)."""
-    asked = routed.withColumn("cell", F.explode("cells")).drop("cells")
-    # the queries of a cell are cut into groups, its reference blocks repeated once per group
-    load = {r["cell"]: r["count"] for r in asked.groupBy("cell").count().collect()}
-    per_cell = [max(1, -(-load.get(c, 0) // query_rows)) for c in range(len(index.counts))]
-    asked = _per_cell(asked, _groups=per_cell, _slots=index.slots)
+    """The k best rows of each (query, block or bundle of cells) among the routed pairs: (q_id, n_id, dist).
+
+    A query goes once to a bundle with any of its cells and meets only those of them, so what is shuffled does not grow with the number
+    of cells that a query needs.
+    """
+    query_rows = max(1, min(query_rows, BUNDLE_VALUES // max(1, index.pivots.shape[1])))
+    bundle = _bundles(index)
+    bundle_of = F.array(*[F.lit(int(b)) for b in bundle])
+    asked = routed.withColumn("bundle", F.explode(F.array_distinct(F.transform("cells", lambda c: F.get(bundle_of, c)))))
+    # the queries of a bundle are cut into groups, its reference blocks repeated once per group
+    load = {r["bundle"]: r["count"] for r in asked.groupBy("bundle").count().collect()}
+    many = int(bundle[-1]) + 1
+    groups = [max(1, -(-load.get(b, 0) // query_rows)) for b in range(many)]
+    slots = np.ones(many, int)
+    np.maximum.at(slots, bundle, index.slots)
+    asked = _per_cell(asked.withColumnRenamed("bundle", "cell"), _groups=groups, _slots=slots).withColumnRenamed("cell", "bundle")
     asked = asked.withColumn("grp", F.pmod(F.xxhash64("q_id"), F.col("_groups")).cast("int"))
     asked = asked.withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("_slots") - 1))).drop("_groups", "_slots")
-    offered = _per_cell(blocks, _groups=per_cell)
+    offered = _per_cell(blocks, bundle=bundle, _groups=[groups[b] for b in bundle])
     offered = offered.withColumn("grp", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1))).drop("_groups")
     bounded = "reach" in routed.columns
 
     def compare(asking: pd.DataFrame, offering: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({"q_id": [], "n_id": [], "dist": []})
         if not len(asking) or not len(offering):
-            return pd.DataFrame({"q_id": [], "n_id": [], "dist": []})
-        ids = asking["q_id"].to_numpy()
-        q, n, dist, _ = top_k(
-            _matrix(asking["v"]), _matrix(offering["v"]), offering["r_id"].to_numpy(), k, metric,
-            ids if exclude_self else None, asking["reach"].to_numpy(dtype=float) if bounded else None,
-        )
-        return pd.DataFrame({"q_id": ids[q], "n_id": n, "dist": dist})
+            return empty
+        ids, x, refs, ref_ids = asking["q_id"].to_numpy(), _matrix(asking["v"]), _matrix(offering["v"]), offering["r_id"].to_numpy()
+        reach = asking["reach"].to_numpy(dtype=float) if bounded else None
+        cells = offering["cell"].to_numpy()
+        wanted = asking["cells"].explode()
+        at, wanted = asking["cells"].map(len).to_numpy(), wanted.to_numpy(dtype=float)
+        at = np.repeat(np.arange(len(ids)), at)
+        found = []
+        for cell in np.unique(cells):
+            rows, own = at[wanted == cell], np.flatnonzero(cells == cell)
+            if len(rows):
+                q, n, dist, _ = top_k(x[rows], refs[own], ref_ids[own], k, metric, ids[rows] if exclude_self else None, None if reach is None else reach[rows])
+                found.append((rows[q], n, dist))
+        if not found:
+            return empty
+        q, n, dist = (np.concatenate(part) for part in zip(*found))
+        order = np.lexsort((n, np.round(dist, DIGITS), q))
+        q, n, dist = q[order], n[order], dist[order]
+        keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+        return pd.DataFrame({"q_id": ids[q[keep]], "n_id": n[keep], "dist": dist[keep]})
 
     # few bytes but much work per group: a fixed number of partitions is not merged by AQE
-    keys = ["cell", "slot", "grp"]
-    pairs = int(sum(g * s for g, s in zip(per_cell, index.slots)))
+    keys = ["bundle", "slot", "grp"]
+    pairs = int(sum(g * s for g, s in zip(groups, slots)))
     tasks = max(routed.sparkSession.sparkContext.defaultParallelism, min(pairs, MAX_TASKS))
     asked, offered = asked.repartition(tasks, *keys), offered.repartition(tasks, *keys)
     return asked.groupBy(*keys).cogroup(offered.groupBy(*keys)).applyInPandas(compare, "q_id long, n_id long, dist double")

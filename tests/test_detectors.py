@@ -277,3 +277,22 @@ def test_grid_keeps_the_best(spark):
     assert best == (1, 4) and table.count() == 6
     best, _ = grid.grid_search(df, lambda d, a: (a, a), {"a": [3, 1, 2]}, smallest=False)
     assert best == 3
+
+
+def test_cells_are_met_in_bundles(spark, monkeypatch):
+    """Evenly spread queries need every cell, and still travel once per bundle; the neighbours stay exact."""
+    from floodmark.operators.detect import neighbors
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1_200, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vector array<double>")
+    gaps = np.sqrt(np.square(x[:, None, :] - x).sum(axis=2))
+    np.fill_diagonal(gaps, np.inf)
+    want = np.argsort(gaps, axis=1)[:, :3]
+    for values in (neighbors.BUNDLE_VALUES, 8 * 300):  # all cells in one bundle; several bundles
+        monkeypatch.setattr(neighbors, "BUNDLE_VALUES", values)
+        near = neighbors.knn_join(df, df, 3, "id", "id", exclude_self=True, broadcast_values=0, block_rows=500).collect()
+        assert {(r["id"], r["rank"]): r["n_id"] for r in near} == {(i, j + 1): int(n) for i, row in enumerate(want) for j, n in enumerate(row)}
+    counts = np.array([250, 200, 90, 700, 30, 10])
+    index = neighbors.CellIndex(np.zeros((6, 8)), counts, np.zeros(6), np.zeros(6), np.array([1, 1, 1, 2, 1, 1]))
+    assert neighbors._bundles(index).tolist() == [0, 1, 1, 2, 3, 3]
