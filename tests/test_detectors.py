@@ -296,3 +296,55 @@ def test_cells_are_met_in_bundles(spark, monkeypatch):
     counts = np.array([250, 200, 90, 700, 30, 10])
     index = neighbors.CellIndex(np.zeros((6, 8)), counts, np.zeros(6), np.zeros(6), np.array([1, 1, 1, 2, 1, 1]))
     assert neighbors._bundles(index).tolist() == [0, 1, 1, 2, 3, 3]
+
+
+def test_neighbours_in_few_dimensions_meet_boxes(spark):
+    """Beyond FEW_ROWS rows: the same neighbours as brute force, copies and rows without a place among them."""
+    from floodmark.operators.detect import boxes
+
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.normal(0, 1, (9_000, 3)), np.repeat([[0.5, 0.5, 0.5]], 3_000, axis=0), np.round(rng.normal(5, 1, (3_000, 3)))])
+    assert len(x) > boxes.FEW_ROWS
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(-1, [1.0, float("nan"), 0.0]), (-2, None), (-3, [1.0, None, 0.0])], "id long, vector array<double>")
+    near = neighbors.knn_join(df, df, 4, "id", "id", exclude_self=True).toPandas()
+    assert len(near) == 4 * len(x) and near["id"].min() == 0 and near["n_id"].min() == 0
+    asked = list(range(0, len(x), 101))
+    got = near[near["id"].isin(asked)].sort_values(["id", "rank"])
+    for i, rows in got.groupby("id"):
+        gaps = np.sqrt(np.square(x - x[i]).sum(axis=1))
+        gaps[i] = np.inf
+        assert rows["n_id"].tolist() == np.lexsort((np.arange(len(x)), np.round(gaps, 12)))[:4].tolist()
+    twice = spark.createDataFrame([(1, [0.0, 0.0, 0.0])] * 2 + [(None, [5.0, 5.0, 5.0])], "id long, vector array<double>")
+    counts = {r["id"]: r["count"] for r in neighbors.knn_join(twice, df, 4, "id", "id").groupBy("id").count().collect()}
+    assert counts == {1: 8, None: 4}
+
+
+def test_boxes_met_by_a_query_do_not_grow_with_the_table():
+    from floodmark.operators.detect import boxes
+
+    met = []
+    for n in (8_000, 128_000):
+        x = np.random.default_rng(3).normal(0, 1, (n, 3))
+        found = boxes.draw(x[: n // 32], 3)
+        box = found.place(x)
+        for b in np.unique(box):
+            found.low[b], found.high[b] = x[box == b].min(axis=0), x[box == b].max(axis=0)
+        for node in range(len(found.axis) - 1, -1, -1):
+            if found.axis[node] >= 0:
+                two = [found.left[node], found.right[node]]
+                found.low[node], found.high[node] = found.low[two].min(axis=0), found.high[two].max(axis=0)
+        gaps = [np.sort(np.square(x - q).sum(axis=1))[5] ** 0.5 for q in x[:200]]
+        row, node = found.within(x[:200], np.array(gaps), "euclidean")
+        assert set(zip(range(200), box[:200])) <= set(zip(row, node))
+        met.append(len(row) / 200 * n / len(np.unique(box)))
+    assert met[1] < 1.5 * met[0] < 1.5 * 6 * 2048
+
+
+def test_outlier_factors_in_few_dimensions_are_exact_at_any_size(spark, monkeypatch):
+    monkeypatch.setattr(neighbors, "BROADCAST_VALUES", 100)
+    rng = np.random.default_rng(12)
+    train = rng.normal(0, 1, (400, 4))
+    model = neighbors.lof_fit(vector_frame(spark, train), "row_id", k=10)
+    assert model.index is None
+    own, _ = lof_reference(train, train[:2], 10)
+    assert np.allclose([r["score"] for r in model.scores.orderBy("row_id").collect()], own, atol=1e-6)
