@@ -409,7 +409,8 @@ def tree_index(
 
     With ``least_recall`` the beam is doubled until SAMPLE_QUERIES reference rows find that share (and the margin) of their exact k
     neighbours, so recall is measured on the table at hand. Where rows form clusters the first beam is enough at every size, and a
-    query's work does not grow with the table; rows that fill many dimensions evenly need a wider one.
+    query's work does not grow with the table; rows that fill many dimensions evenly need a wider one. Beyond ``pivot_tree.MAX_BEAM``
+    the trees are cut back by a level, down to their roots, where every row is met and one tree is enough.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric}")
@@ -422,12 +423,18 @@ def tree_index(
     sample = stage(take_in_hash_order(rows, order_hash(seed + 1, "r_id"), SAMPLE_QUERIES).select(F.col("r_id").alias("q_id"), "v"), "tree-sample")
     # the few queries are the side that is compared with every block of the reference
     exact = stage(_all_against_few(sample, rows, k, inner), "tree-exact")
-    leaves = max((t.leaves.select("node").distinct().count() for t in index.trees), default=1)
+    wanted, levels = min(1.0, least_recall + SAMPLE_MARGIN), max((t.levels for t in index.trees), default=0)
     while True:
-        index.recall = recall(_best(pivot_tree.search(sample, index.trees, k, True, index.beam)[0], k), exact, "q_id").first()["recall"]
-        if index.recall is None or index.recall >= min(1.0, least_recall + SAMPLE_MARGIN) or index.beam >= leaves:
+        leaves = max((t.leaves.select("node").distinct().count() for t in index.trees), default=1)
+        while True:
+            index.recall = recall(_best(pivot_tree.search(sample, index.trees, k, True, index.beam)[0], k), exact, "q_id").first()["recall"]
+            if index.recall is None or index.recall >= wanted or index.beam >= min(leaves, max(beam, pivot_tree.MAX_BEAM)):
+                break
+            index.beam *= 2
+        if index.recall is None or index.recall >= wanted or levels == 0 or index.beam >= leaves:
             return index
-        index.beam *= 2
+        levels, index.beam = levels - 1, beam
+        index.trees = [pivot_tree.cut_back(t, min(t.levels, levels)) for t in (index.trees if levels else index.trees[:1])]
 
 
 def _all_against_few(few: DataFrame, rows: DataFrame, k: int, metric: str) -> DataFrame:

@@ -27,6 +27,10 @@ from floodmark.plans.staging import stage
 #: Pivots of a node, rows of a leaf, levels at most, rows of one group of a join, trees and beam unless a caller says otherwise.
 FANOUT, LEAF_ROWS, MAX_LEVELS, GROUP_ROWS = 16, 256, 12, 4096
 TREES, BEAM = 4, 8
+#: Rows and numbers of one group of queries, or of one block of a leaf, that are compared with each other.
+COMPARED_ROWS, COMPARED_VALUES = 32_768, 2_000_000
+#: A search that needs a wider beam than this meets fewer, bigger leaves instead (``cut_back``), so a query does not travel with thousands of nodes.
+MAX_BEAM = 32
 
 
 @dataclass
@@ -39,6 +43,15 @@ class PivotTree:
     metric: str
 
 
+def cut_back(tree: PivotTree, levels: int, fanout: int = FANOUT) -> PivotTree:
+    """The tree with ``levels`` of pivots only: leaves further down go together in their ancestor there."""
+    first_below = (fanout ** (levels + 1) - 1) // (fanout - 1)
+    node = F.col("node")
+    for _ in range(tree.levels - levels):
+        node = F.when(node >= first_below, F.floor((node - 1) / fanout).cast("long")).otherwise(node)
+    return PivotTree(tree.pivots.where(F.col("level") < levels), tree.leaves.withColumn("node", node), levels, tree.metric)
+
+
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """Rows of a list column (all of one length) as an array."""
     if isinstance(column, pa.ChunkedArray):
@@ -124,30 +137,37 @@ def descend(queries: DataFrame, tree: PivotTree, beam: int = BEAM, fanout: int =
 
     Leaves above the last level stay in the beam with the distance of their pivot, and are found again at each level.
     """
-    beamed = queries.select("q_id", "v", F.lit(0).cast("long").alias("node"), F.lit(0.0).alias("gap"))
+    # ids may come with several vectors or be null: a beam belongs to an id and its vector
+    asked = queries.select("q_id", "v").dropDuplicates().withColumn("_key", F.xxhash64("q_id", "v"))
+    beamed = asked.select("q_id", "_key", F.lit(0).cast("long").alias("node"), F.lit(0.0).alias("gap"))
+
+    def with_vectors(beam: DataFrame) -> DataFrame:
+        own = asked.withColumnsRenamed({"q_id": "_q_id", "_key": "_own"})
+        return beam.join(own, (F.col("_key") == F.col("_own")) & F.col("q_id").eqNullSafe(F.col("_q_id"))).drop("_q_id", "_own")
+
     metric = tree.metric
 
     def spread(own: pa.Table, offered: pa.Table) -> pa.Table:
         if not own.num_rows:
-            return pa.table([pa.array([], t) for t in (pa.int64(), pa.list_(pa.float64()), pa.int64(), pa.float64())], names=["q_id", "v", "node", "gap"])
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.float64())], names=["q_id", "_key", "node", "gap"])
         if not offered.num_rows:  # a leaf
-            return own.select(["q_id", "v", "node", "gap"])
+            return own.select(["q_id", "_key", "node", "gap"])
         gaps = distances(matrix(own.column("v")), matrix(offered.column("p")), metric)
         child = np.asarray(offered.column("node")) * fanout + 1 + np.asarray(offered.column("child"))
         many = min(beam, gaps.shape[1])
         best = np.argpartition(gaps, many - 1, axis=1)[:, :many]
-        at = np.repeat(np.arange(own.num_rows), many)
-        picked = own.select(["q_id", "v"]).take(pa.array(at))
+        picked = own.select(["q_id", "_key"]).take(pa.array(np.repeat(np.arange(own.num_rows), many)))
         return picked.append_column("node", pa.array(child[best].ravel(), pa.int64())).append_column("gap", pa.array(np.take_along_axis(gaps, best, axis=1).ravel()))
 
     for level in range(tree.levels):
         sizes = beamed.groupBy("node").agg(F.count("*").alias("n"))
         pivots = tree.pivots.where(F.col("level") == level).drop("level")
-        met = _met(beamed, pivots, sizes, "q_id", spread, "q_id long, v array<double>, node long, gap double")
-        order = Window.partitionBy("q_id").orderBy("gap", "node")
+        # the vectors are joined to the few nodes of a beam; all nodes seen go through the window without them
+        met = _met(with_vectors(beamed), pivots, sizes, "_key", spread, "q_id long, _key long, node long, gap double")
+        order = Window.partitionBy("q_id", "_key").orderBy("gap", "node")
         kept = met.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= beam).drop("_rank")
         beamed = stage(kept, "tree-beam")
-    return beamed.select("q_id", "v", "node")
+    return with_vectors(beamed).select("q_id", "v", "node")
 
 
 def compared(reached: DataFrame, tree: PivotTree, k: int, exclude_self: bool = False) -> DataFrame:
@@ -155,10 +175,12 @@ def compared(reached: DataFrame, tree: PivotTree, k: int, exclude_self: bool = F
     from floodmark.operators.detect.neighbors import top_k
 
     metric = tree.metric
-    sizes = tree.leaves.groupBy("node").agg(F.count("*").alias("n"))
-    blocks = sizes.select("node", F.ceil(F.col("n") / GROUP_ROWS).cast("int").alias("_blocks"))
-    load = reached.groupBy("node").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("_groups"))
-    both = stage(blocks.join(load, "node"), "tree-load")
+    sizes = tree.leaves.groupBy("node").agg(F.count("*").alias("n"), F.greatest(F.max(F.size("v")), F.lit(1)).alias("d"))
+    sizes = sizes.withColumn("_most", F.least(F.lit(COMPARED_ROWS), F.ceil(F.lit(COMPARED_VALUES) / F.col("d"))))
+    blocks = sizes.select("node", F.ceil(F.col("n") / F.col("_most")).cast("int").alias("_blocks"), "_most")
+    load = reached.groupBy("node").agg(F.count("*").alias("_load"))
+    both = blocks.join(load, "node").select("node", "_blocks", F.ceil(F.col("_load") / F.col("_most")).cast("int").alias("_groups"))
+    both = stage(both, "tree-load")
     asking = reached.join(both, "node").withColumn("_group", F.pmod(F.xxhash64("q_id"), "_groups").cast("int"))
     asking = asking.withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).drop("_blocks", "_groups")
     offering = tree.leaves.join(both, "node").withColumn("_block", F.pmod(F.xxhash64("r_id"), "_blocks").cast("int"))

@@ -125,3 +125,16 @@ def test_folder_of_one_layout_is_read_as_a_folder(spark, tmp_path):
     table = flows.read_flow_csv(spark, str(tmp_path))
     assert sorted((r["x"], r["y"], r["source_file"]) for r in table.collect()) == [(str(i), "a", f"{i}.csv") for i in range(3)]
     assert table.columns == ["x", "y", "source_file", "source_path", "source_bytes"]
+
+
+def test_wide_searches_cut_trees_back(spark, monkeypatch):
+    """Evenly filled dimensions: fewer, bigger leaves are met rather than a beam of thousands, and the recall asked for is reached."""
+    rng = np.random.default_rng(4)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(3_000, 24)))], "id long, vector array<double>")
+    index = neighbors.tree_index(rows, "id", k=4, trees=1, leaf_rows=8)
+    assert index.beam <= pivot_tree.MAX_BEAM and index.recall >= 0.9
+    tree = index.trees[0]
+    assert tree.leaves.count() == 3_000 and tree.leaves.select("r_id").distinct().count() == 3_000
+    assert tree.leaves.select("node").distinct().count() <= 16**tree.levels
+    exact = neighbors.knn_join(rows, rows, 4, "id", "id", exclude_self=True)
+    assert neighbors.recall(neighbors.tree_join(rows, index, 4, "id", exclude_self=True), exact, "id").first()["recall"] >= 0.9
