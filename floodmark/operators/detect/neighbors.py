@@ -62,6 +62,94 @@ def _all_distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
     return np.sqrt(np.maximum(squared, 0.0))
 
 
+def _levels(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, float, float] | None:
+    """Both sides as whole numbers 0 .. 255 of one scale, the size of a step, and the most that a manhattan distance in them is off."""
+    low, high = min(a.min(), b.min()), max(a.max(), b.max())
+    if not np.isfinite(high - low) or a.shape[1] > 256:  # sums of steps must fit 16 bits
+        return None
+    step = (high - low) / 255.0 or 1.0
+    a, b = (np.ascontiguousarray(np.rint((x - low) / step).astype(np.uint8).T) for x in (a, b))
+    return a, b, step, step * len(a) * (1.0 + 1e-6)
+
+
+def _codes(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Numbers of the distinct values per column, in one byte; equal codes are equal values."""
+    out = np.empty((a.shape[1], len(a) + len(b)), np.uint8)
+    if a.shape[1] > 254 or not len(a) or not len(b):  # 255 stands for a hidden pair
+        return None
+    for j in range(a.shape[1]):
+        values, code = np.unique(np.concatenate([a[:, j], b[:, j]]), return_inverse=True, equal_nan=False)
+        if len(values) > 256:
+            return None
+        out[j] = code
+    return out[:, : len(a)], out[:, len(a) :]
+
+
+#: Pairs whose distances are added up at once, column by column, in the cache.
+TILE_ROWS, TILE_COLUMNS = 64, 2048
+
+
+def _steps(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
+    """Manhattan distances in steps, or numbers of unequal codes, of all pairs of two sides laid out by column."""
+    out = np.zeros((a.shape[1], b.shape[1]), np.uint16 if metric == "manhattan" else np.uint8)
+    for i in range(0, a.shape[1], TILE_ROWS):
+        for j in range(0, b.shape[1], TILE_COLUMNS):
+            tile = out[i : i + TILE_ROWS, j : j + TILE_COLUMNS]
+            total, gap, least = np.zeros(tile.shape, out.dtype), np.empty(tile.shape, np.uint8), np.empty(tile.shape, np.uint8)
+            for x, y in zip(a[:, i : i + TILE_ROWS, None], b[:, None, j : j + TILE_COLUMNS]):
+                if metric == "manhattan":
+                    np.maximum(x, y, out=gap)
+                    np.minimum(x, y, out=least)
+                    np.subtract(gap, least, out=gap)
+                else:
+                    np.not_equal(x, y, out=gap.view(bool))
+                np.add(total, gap, out=total)
+            tile[:] = total
+    return out
+
+
+def _screened(queries: np.ndarray, refs: np.ndarray, k: int, metric: str, hidden: np.ndarray, reach: np.ndarray | None, sides: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that can be among the k nearest, from distances of small whole numbers that are off by a known amount at most."""
+    steps = _steps(sides[0], sides[1], metric)
+    step, off = (sides[2], sides[3]) if metric == "manhattan" else (1.0 / queries.shape[1], 0.0)
+    top = np.iinfo(steps.dtype).max
+    if hidden is not None:
+        steps[hidden] = top
+    limit = np.full(len(queries), np.inf)
+    if len(refs) > k:
+        kth = np.partition(steps, k - 1, axis=1)[:, k - 1]
+        limit = np.where(kth == top, np.inf, kth * step + 2.0 * off)
+    if reach is not None:
+        limit = np.minimum(limit, reach + off)
+    most = np.minimum(np.floor((limit + 1e-9) / step + 1e-6), top - 1)
+    keep = steps <= most.astype(steps.dtype)[:, None]
+    return np.nonzero(keep)
+
+
+def _rough(queries: np.ndarray, refs: np.ndarray, ref_squares: np.ndarray | None, k: int, metric: str, hidden: np.ndarray | None, reach: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that can be among the k nearest, from distances that are right but for their last digits."""
+    squares = ref_squares is not None
+    if squares:
+        q_squares = np.square(queries).sum(axis=1)
+        rough = queries @ (-2.0 * refs.T)
+        rough += ref_squares
+        rough += q_squares[:, None]
+        margin = 1e-9 * (1.0 + q_squares + ref_squares.max())  # far above the digits that count
+    else:
+        rough = _all_distances(queries, refs, metric)
+        margin = np.full(len(queries), 1e-9)
+    if hidden is not None:
+        rough[hidden] = np.inf
+    limit = np.partition(rough, k - 1, axis=1)[:, k - 1] if len(refs) > k else np.full(len(queries), np.inf)
+    if reach is not None:
+        limit = np.minimum(limit, np.square(reach) if squares else reach)
+    return np.nonzero(rough <= np.minimum(limit + margin, 1e300)[:, None])
+
+
+#: References from which manhattan and hamming distances are screened in small whole numbers first.
+SCREENED_ROWS = 256
+
+
 def top_k(
     queries: np.ndarray, refs: np.ndarray, ref_ids: np.ndarray, k: int, metric: str, own: np.ndarray | None = None, reach: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -71,26 +159,17 @@ def top_k(
     """
     squares = metric not in ("manhattan", "hamming")
     ref_squares = np.square(refs).sum(axis=1) if squares else None
+    # few numbers are not worth a screen
+    sides = None if squares or len(refs) < SCREENED_ROWS or not len(queries) else _levels(queries, refs) if metric == "manhattan" else _codes(queries, refs)
     step = max(1, 4_000_000 // max(1, len(refs)))
     parts = []
     for start in range(0, len(queries), step):
         q = queries[start : start + step]
-        if squares:
-            q_squares = np.square(q).sum(axis=1)
-            rough = q @ (-2.0 * refs.T)
-            rough += ref_squares
-            rough += q_squares[:, None]
-            margin = 1e-9 * (1.0 + q_squares + ref_squares.max())  # far above the digits that count
+        hidden = None if own is None else own[start : start + step, None] == ref_ids[None, :]
+        if sides is not None:
+            rows, cols = _screened(q, refs, k, metric, hidden, None if reach is None else reach[start : start + step], (sides[0][:, start : start + step], *sides[1:]))
         else:
-            rough = _all_distances(q, refs, metric)
-            margin = np.full(len(q), 1e-9)
-        if own is not None:
-            rough[own[start : start + step, None] == ref_ids[None, :]] = np.inf
-        limit = np.partition(rough, k - 1, axis=1)[:, k - 1] if len(refs) > k else np.full(len(q), np.inf)
-        if reach is not None:
-            bound = reach[start : start + step]
-            limit = np.minimum(limit, np.square(bound) if squares else bound)
-        rows, cols = np.nonzero(rough <= np.minimum(limit + margin, 1e300)[:, None])
+            rows, cols = _rough(q, refs, ref_squares, k, metric, hidden, None if reach is None else reach[start : start + step])
         exact = _pair_distances(q[rows], refs[cols], metric)
         order = np.lexsort((ref_ids[cols], np.round(exact, DIGITS), rows))
         rows, cols, exact = rows[order], cols[order], exact[order]
@@ -211,9 +290,14 @@ def _route_within(bounded: DataFrame, index: CellIndex, metric: str) -> DataFram
     return bounded.mapInPandas(route, "q_id long, v array<double>, cells array<int>, reach double")
 
 
+def _bundle_rows(pivots: np.ndarray) -> int:
+    """Rows that are compared with one group of queries."""
+    return max(1, min(BUNDLE_ROWS, BUNDLE_VALUES // max(1, pivots.shape[1])))
+
+
 def _bundles(index: CellIndex) -> np.ndarray:
     """Bundle of every cell: neighbouring cells (pivots are in order) up to BUNDLE_VALUES numbers; a cell cut into blocks stays alone."""
-    most = max(1, min(BUNDLE_ROWS, BUNDLE_VALUES // max(1, index.pivots.shape[1])))
+    most = _bundle_rows(index.pivots)
     out, held = np.zeros(len(index.counts), int), 0
     for c in range(1, len(out)):
         held += int(index.counts[c - 1])

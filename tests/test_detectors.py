@@ -348,3 +348,24 @@ def test_outlier_factors_in_few_dimensions_are_exact_at_any_size(spark, monkeypa
     assert model.index is None
     own, _ = lof_reference(train, train[:2], 10)
     assert np.allclose([r["score"] for r in model.scores.orderBy("row_id").collect()], own, atol=1e-6)
+
+
+@pytest.mark.parametrize("metric", ["manhattan", "hamming"])
+def test_screens_in_small_numbers_lose_no_neighbour(metric):
+    """The screen's pairs hold the neighbours, and far fewer pairs than all are measured."""
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(1_500, 24))
+    x = np.sign(x) if metric == "hamming" else x
+    x[:40] = x[40:80]
+    gaps = np.abs(x[:200, None] - x).sum(axis=2) if metric == "manhattan" else (x[:200, None] != x).mean(axis=2)
+    gaps[np.arange(200), np.arange(200)] = np.inf
+    want = [np.lexsort((np.arange(1_500), np.round(g, 12)))[:5].tolist() for g in gaps]
+    q, n, _, _ = neighbors.top_k(x[:200], x, np.arange(1_500), 5, metric, np.arange(200))
+    assert [n[q == i].tolist() for i in range(200)] == want
+    sides = neighbors._levels(x[:200], x) if metric == "manhattan" else neighbors._codes(x[:200], x)
+    rows, cols = neighbors._screened(x[:200], x, 5, metric, np.arange(200)[:, None] == np.arange(1_500), None, sides)
+    assert {(i, j) for i, row in enumerate(want) for j in row} <= set(zip(rows.tolist(), cols.tolist())) and len(rows) < 200 * 1_500 / 4
+    reach = gaps.min(axis=1) + 1e-9
+    q, n, _, _ = neighbors.top_k(x[:200], x, np.arange(1_500), 5, metric, np.arange(200), reach)
+    assert all(set(n[q == i]) == set(np.flatnonzero(gaps[i] <= reach[i])[:5]) for i in range(200))
+    assert neighbors._levels(np.array([[np.nan]]), x[:, :1]) is None and neighbors._codes(np.zeros((2, 300)), np.zeros((2, 300))) is None
