@@ -239,7 +239,8 @@ def _index(ref: DataFrame, n: int, metric: str, seed: int, block_rows: int, prob
         counts,
         np.array([stats[c]["lo"] if c in stats else np.inf for c in every]),
         np.array([stats[c]["hi"] if c in stats else -np.inf for c in every]),
-        np.maximum(1, -(-counts // block_rows)),
+        # cells that fit one bundle stay whole: a query travels once per block
+        np.maximum(1, -(-counts // max(block_rows, _bundle_rows(pivots)))),
     )
     slot = F.pmod(F.xxhash64("r_id"), F.col("_slots")).cast("int")
     return index, _per_cell(cells, _slots=index.slots).select("r_id", "v", "cell", slot.alias("slot"))

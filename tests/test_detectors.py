@@ -369,3 +369,9 @@ def test_screens_in_small_numbers_lose_no_neighbour(metric):
     q, n, _, _ = neighbors.top_k(x[:200], x, np.arange(1_500), 5, metric, np.arange(200), reach)
     assert all(set(n[q == i]) == set(np.flatnonzero(gaps[i] <= reach[i])[:5]) for i in range(200))
     assert neighbors._levels(np.array([[np.nan]]), x[:, :1]) is None and neighbors._codes(np.zeros((2, 300)), np.zeros((2, 300))) is None
+
+
+def test_cells_that_fit_a_bundle_stay_whole(spark):
+    df = spark.range(3_000).select(F.col("id").alias("r_id"), F.array(*[F.rand(i) for i in range(8)]).alias("v"))
+    index, _ = neighbors._index(df, 3_000, "euclidean", 1, 20, probed=True)
+    assert index.counts.sum() == 3_000 and index.counts.max() > 20 and index.slots.max() == 1 and neighbors._bundles(index).max() == 0
