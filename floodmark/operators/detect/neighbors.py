@@ -171,6 +171,9 @@ def top_k(
         else:
             rows, cols = _rough(q, refs, ref_squares, k, metric, hidden, None if reach is None else reach[start : start + step])
         exact = _pair_distances(q[rows], refs[cols], metric)
+        if sides is not None and reach is not None:
+            near = exact <= reach[start : start + step][rows] + 1e-9
+            rows, cols, exact = rows[near], cols[near], exact[near]
         order = np.lexsort((ref_ids[cols], np.round(exact, DIGITS), rows))
         rows, cols, exact = rows[order], cols[order], exact[order]
         rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
