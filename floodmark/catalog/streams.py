@@ -44,7 +44,9 @@ def stream_windows(spark, sf_dir):
 
 @query("stream_windows_sliding", window_sql(60, 10, having=_CLOSED.format(us=60_000_000)))
 def stream_windows_sliding(spark, sf_dir):
-    return rounded(run_to_table(pipeline.stream_windows(event_stream(spark, sf_dir), 60, 10), "stream-sliding"))
+    path = scratch_path(spark, "stream-sliding")
+    pipeline.stream_windows(event_stream(spark, sf_dir), 60, 10, table=path).awaitTermination()
+    return rounded(spark.read.parquet(path).drop("batch"))
 
 
 @query("stream_dedup", "SELECT event_id AS row_id, count(*) AS n FROM events GROUP BY 1")

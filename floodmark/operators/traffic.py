@@ -12,6 +12,8 @@ from floodmark.plans.chunks import overlap_chunks
 SECOND_US = 1_000_000
 #: Slots of a look-back; divides a second's microseconds.
 SLOTS = 100
+#: Windows of a source that one task sums up together, as a multiple of the windows that hold one pane.
+CHUNK = 16
 
 
 def trailing_rate(df: DataFrame, source: str = "src", ts_us: str = "ts_us", seconds: int = 60) -> DataFrame:
@@ -97,6 +99,46 @@ def traffic_window(
     return totals.select(source, "window_start_us", *window_ratios(size_seconds))
 
 
+def pane_us(size_seconds: int, slide_seconds: int) -> int:
+    return math.gcd(size_seconds, slide_seconds) * SECOND_US
+
+
+def pane_windows(size_seconds: int, slide_seconds: int) -> tuple[Column, Column]:
+    """Numbers of the first and the last window that hold ``_pane``; window k starts at k times the slide. First > last where windows leave gaps."""
+    step, size, slide = pane_us(size_seconds, slide_seconds), size_seconds * SECOND_US, slide_seconds * SECOND_US
+    start = F.col("_pane") * F.lit(step)
+    first = F.ceil((start + F.lit(step - size)) / F.lit(slide)).cast("long")
+    return first, F.floor(start / F.lit(slide)).cast("long")
+
+
+def windows_of_panes(
+    panes: DataFrame, size_seconds: int, slide_seconds: int, after_us: int, until_us: int, source: str = "src", path: str = "path",
+) -> DataFrame:
+    """The windows of ``traffic_window`` that end after ``after_us`` and not after ``until_us``, from one row per (source, path, ``_pane``).
+
+    A path counts once in a window, at its first pane there, so every row is told from which window on its path is new. Rows of
+    alike panes and news are summed over the paths; only then is a row repeated over its windows, in the task that holds all
+    rows of the source for a chunk of windows, so no row per window is shuffled and a busy source is reduced before it meets.
+    """
+    size, slide = size_seconds * SECOND_US, slide_seconds * SECOND_US
+    chunk = CHUNK * -(-size // slide)
+    first, last = pane_windows(size_seconds, slide_seconds)
+    open_first, open_last = F.lit((after_us - size) // slide + 1).cast("long"), F.lit((until_us - size) // slide).cast("long")
+    held = panes.withColumns({"_first": F.greatest(first, open_first), "_last": F.least(last, open_last)}).filter("_first <= _last")
+    chunks = F.sequence(F.floor(F.col("_first") / chunk).cast("long"), F.floor(F.col("_last") / chunk).cast("long"))
+    parts = held.withColumn("_chunk", F.explode(chunks)).withColumns({
+        "_first": F.greatest("_first", F.col("_chunk") * chunk), "_last": F.least("_last", (F.col("_chunk") + 1) * chunk - 1),
+    })
+    before = F.lag("_last").over(Window.partitionBy(source, path, "_chunk").orderBy("_pane"))
+    told = parts.withColumn("_new", F.least(F.greatest("_first", before + 1), F.col("_last") + 1))
+    sums = [F.sum(c).alias(c) for c in PARTIALS]
+    alike = told.groupBy(source, "_chunk", "_first", "_last", "_new").agg(*sums, F.count(path).alias("_paths"))
+    spread = alike.repartition(source, "_chunk").withColumn("_w", F.explode(F.sequence("_first", "_last")))
+    unique = F.sum(F.when(F.col("_w") >= F.col("_new"), F.col("_paths")).otherwise(0)).alias("unique_paths")
+    totals = spread.groupBy(source, "_chunk", "_w").agg(*sums, unique)
+    return totals.select(source, (F.col("_w") * F.lit(slide)).alias("window_start_us"), *window_ratios(size_seconds))
+
+
 def temporal_profile(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Requests by hour and weekday (Sunday = 0) and the deviation from the usual count of that hour."""
     counts = df.groupBy(F.hour(ts).alias("hour"), (F.dayofweek(ts) - 1).alias("day_of_week")).agg(

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from floodmark.functions.http import path_features, status_class, time_features, user_agent_features
 from floodmark.operators.detect.ocsvm import OneClassModel, ocsvm_update
-from floodmark.operators.traffic import PARTIALS, request_partials, window_ratios
+from floodmark.operators.traffic import PARTIALS, SECOND_US, pane_us, pane_windows, request_partials, window_ratios, windows_of_panes
 from floodmark.plans.staging import scratch_path
 from floodmark.sources.models import drop_versions, load_model, model_versions, save_model
 
@@ -27,12 +27,18 @@ def stream_features(events: DataFrame) -> DataFrame:
 
 
 def stream_windows(events: DataFrame, size_seconds: int, slide_seconds: int | None = None, watermark: str = "10 minutes",
-                   source: str = "src", ts: str = "ts", path: str = "path") -> DataFrame:
+                   source: str = "src", ts: str = "ts", path: str = "path", table: str | None = None,
+                   checkpoint: str | None = None) -> DataFrame | StreamingQuery:
     """Window features per source; rows later than the watermark are dropped.
 
     A first stateful step merges per (window, source, path), a second merges paths, so a busy source is
     spread over many state partitions and distinct paths stay exact without one big set.
+
+    Both steps keep a row for every window that holds an event. Given ``table``, a started query is returned instead that
+    appends the closed windows to that folder and keeps one row per (pane, source, path), however many windows hold it.
     """
+    if table:
+        return _windows_to_table(events, size_seconds, slide_seconds or size_seconds, watermark, source, ts, path, table, checkpoint)
     window = F.window(ts, f"{size_seconds} seconds", f"{slide_seconds} seconds" if slide_seconds else None)
     per_path = events.withWatermark(ts, watermark).groupBy(window.alias("w"), source, path).agg(*request_partials())
     again = F.window(F.window_time("w"), f"{size_seconds} seconds") if not slide_seconds else F.col("w")
@@ -41,6 +47,46 @@ def stream_windows(events: DataFrame, size_seconds: int, slide_seconds: int | No
     return totals.select(source, start, *window_ratios(size_seconds))
 
 
+def _windows_to_table(events: DataFrame, size_seconds: int, slide_seconds: int, watermark: str, source: str, ts: str, path: str,
+                      table: str, checkpoint: str | None) -> StreamingQuery:
+    """Micro-batches merged into panes under ``checkpoint``; the windows that a batch closes go to ``table``/batch=<id>.
+
+    Rows of a batch are judged by the watermark of the batches before, window by window, and the windows that end up to its own
+    watermark are closed (as where Spark runs a batch without data after each); the next batch takes over the panes that a later window still holds. A batch that comes again starts
+    from the same version and overwrites its own folders. The newest version of ``clock`` has the watermark and the late rows so far.
+    """
+    spark = events.sparkSession
+    root = checkpoint or scratch_path(spark, "windows-checkpoint")
+    panes, clock = f"{root}/panes", f"{root}/clock"
+    first, last = pane_windows(size_seconds, slide_seconds)
+    last_end = last * F.lit(slide_seconds * SECOND_US) + F.lit(size_seconds * SECOND_US)
+    pane = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(pane_us(size_seconds, slide_seconds))).cast("long")
+
+    def close(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.filter(F.col(ts).isNotNull()).groupBy(source, path, pane.alias("_pane")).agg(*request_partials(), F.max(ts).alias("_latest"))
+        schema, after, late_before = rows.schema, 0, 0  # a watermark starts at the epoch
+        older = [v for v in model_versions(spark, clock) if v < batch_id]
+        if older:
+            after, late_before = spark.read.parquet(f"{clock}/v={max(older)}").select("watermark_us", "late_rows").first()
+            kept = batch.sparkSession.read.schema(schema).parquet(f"{panes}/v={max(older)}").filter(last_end > after)
+            sums = [F.sum(c).cast(schema[c].dataType).alias(c) for c in PARTIALS]
+            rows = rows.unionByName(kept).groupBy(source, path, "_pane").agg(*sums, F.max("_latest").alias("_latest"))
+        rows.write.mode("overwrite").parquet(f"{panes}/v={batch_id}")
+        rows = spark.read.schema(schema).parquet(f"{panes}/v={batch_id}")
+        newest = F.unix_micros(F.max("_latest").cast("timestamp") - F.expr(f"INTERVAL {watermark}"))
+        late = F.sum(F.when((first <= last) & (last_end <= after), F.col("n")))
+        newest_us, n_late = rows.agg(newest, F.coalesce(late, F.lit(0))).first()
+        until = max(after, newest_us or 0)
+        closed = windows_of_panes(rows, size_seconds, slide_seconds, after, until, source, path)
+        closed.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
+        state = spark.createDataFrame([(until, late_before + n_late)], "watermark_us long, late_rows long")
+        state.coalesce(1).write.mode("overwrite").parquet(f"{clock}/v={batch_id}")
+        for folder in (panes, clock):
+            drop_versions(spark, folder, below=max(older, default=0))
+
+    return events.writeStream.foreachBatch(close).option("checkpointLocation", f"{root}/stream").trigger(availableNow=True).start()
+
+
 class LateRows:
     """Rows dropped by the watermark since the query started.
 
