@@ -36,6 +36,8 @@ MAX_PROBED_PIVOTS = 1 << 16
 #: some three standard errors of the sample.
 SAMPLE_QUERIES, SAMPLE_MARGIN = 400, 0.03
 MAX_TASKS = 20_000
+#: Query groups are cut smaller, down to so many rows, until every core has so many pairs of a group and a bundle.
+LEAST_QUERY_ROWS, PAIRS_PER_CORE = 2048, 6
 #: Rows and numbers of the cells that are compared with one group of queries.
 BUNDLE_ROWS, BUNDLE_VALUES = 65_536, 4_000_000
 METRICS = ("euclidean", "manhattan", "cosine", "mahalanobis", "hamming")
@@ -146,8 +148,179 @@ def _rough(queries: np.ndarray, refs: np.ndarray, ref_squares: np.ndarray | None
     return np.nonzero(rough <= np.minimum(limit + margin, 1e300)[:, None])
 
 
-#: References from which manhattan and hamming distances are screened in small whole numbers first.
-SCREENED_ROWS = 256
+#: References from which distances are screened in small numbers first; rows and references of a tile of pairs, pairs measured at once.
+SCREENED_ROWS, PIECE_ROWS, TILE_PAIRS, MEASURED_PAIRS = 256, 4096, 1 << 19, 1 << 16
+#: Share of a tile's pairs that single precision may leave undecided; beyond, the tile is screened in double precision.
+UNDECIDED = 0.05
+
+
+class _Squares:
+    """Squared distances of all pairs in single precision, around the centre of the references, each off by ``off`` of its query at most."""
+
+    hidden = np.float32(np.inf)
+
+    def __init__(self, queries: np.ndarray, refs: np.ndarray):
+        centre = refs.mean(axis=0)
+        a, b = queries - centre, refs - centre
+        self.scale = max(np.abs(a).max(), np.abs(b).max()) or 1.0
+        a, b = a / self.scale, b / self.scale
+        a_squares, b_squares = np.square(a).sum(axis=1), np.square(b).sum(axis=1)
+        self.a = np.column_stack([-2.0 * a, a_squares, np.ones(len(a))]).astype(np.float32)
+        self.b = np.column_stack([b, np.ones(len(b)), b_squares]).astype(np.float32).T
+        self.off = 4.0 * (refs.shape[1] + 8) * 2.0**-24 * (a_squares + b_squares.max())
+
+    def rough(self, rows: slice, cols: slice) -> np.ndarray:
+        return self.a[rows] @ self.b[:, cols]
+
+    def upper(self, rough: np.ndarray, rows: slice, cols: slice) -> np.ndarray:
+        """Distances that pairs of these rough ones do not pass."""
+        return np.sqrt(np.maximum(rough + self.off[rows], 0.0)) * self.scale
+
+    def most(self, upper: np.ndarray, rows: slice, cols: slice) -> np.ndarray:
+        """Rough distances that pairs within ``upper`` do not pass."""
+        return (np.square((upper + 2.0 * 10.0**-DIGITS) / self.scale) * (1.0 + 1e-6) + self.off[rows]).astype(np.float32)
+
+
+class _Levels:
+    """Manhattan distances of all pairs in steps of one size. A row's own distance to its steps is known, which bounds what a pair is off by.
+
+    |x - y| = x + y - 2 min(x, y), and four minima of numbers below 64 fit a byte.
+    """
+
+    hidden, top, most_columns = np.uint16(65_535), 63, 1024
+
+    def __init__(self, queries: np.ndarray, refs: np.ndarray):
+        low = np.minimum(queries.min(axis=0), refs.min(axis=0))
+        self.step = float((np.maximum(queries.max(axis=0), refs.max(axis=0)) - low).max()) / self.top or 1.0
+        self.sides, self.sums, self.off = [], [], []
+        for x in (queries - low, refs - low):
+            level = np.minimum(np.rint(x / self.step), self.top)
+            self.off.append(np.abs(x - level * self.step).sum(axis=1) * (1.0 + 1e-9) + 1e-12 * self.step)
+            self.sums.append(level.sum(axis=1).astype(np.uint16))
+            self.sides.append(np.ascontiguousarray(level.astype(np.uint8).T))
+
+    def rough(self, rows: slice, cols: slice) -> np.ndarray:
+        (a, b), (a_sums, b_sums) = (self.sides[0][:, rows], self.sides[1][:, cols]), (self.sums[0][rows], self.sums[1][cols])
+        out = a_sums[:, None] + b_sums
+        for i in range(0, a.shape[1], TILE_ROWS):
+            for j in range(0, b.shape[1], TILE_COLUMNS):
+                tile = out[i : i + TILE_ROWS, j : j + TILE_COLUMNS]
+                both, total, least = np.zeros(tile.shape, np.uint16), np.empty(tile.shape, np.uint8), np.empty(tile.shape, np.uint8)
+                x, y = a[:, i : i + TILE_ROWS, None], b[:, None, j : j + TILE_COLUMNS]
+                for c in range(0, len(a), 4):
+                    np.minimum(x[c], y[c], out=total)
+                    for more in range(c + 1, min(c + 4, len(a))):
+                        np.minimum(x[more], y[more], out=least)
+                        np.add(total, least, out=total)
+                    np.add(both, total, out=both)
+                tile -= both
+                tile -= both
+        return out
+
+    def _off(self, rows: slice, cols: slice) -> np.ndarray:
+        return self.off[0][rows] + self.off[1][cols].max()
+
+    def upper(self, rough: np.ndarray, rows: slice, cols: slice) -> np.ndarray:
+        return np.where(rough == self.hidden, np.inf, rough * self.step + self._off(rows, cols))
+
+    def most(self, upper: np.ndarray, rows: slice, cols: slice) -> np.ndarray:
+        steps = (upper + self._off(rows, cols) + 2.0 * 10.0**-DIGITS) / self.step
+        return np.minimum(np.floor(steps * (1.0 + 1e-9) + 1e-6), int(self.hidden) - 1).astype(np.uint16)
+
+
+def _screen(queries: np.ndarray, refs: np.ndarray, metric: str) -> _Squares | _Levels | None:
+    """A screen for the pairs of two sides; none where they are few or out of its range."""
+    if metric == "hamming" or len(refs) < SCREENED_ROWS or not len(queries) or not refs.shape[1]:
+        return None
+    with np.errstate(over="ignore", invalid="ignore"):
+        size = np.abs(refs).max() + np.abs(queries).max()
+    if not size < 1e100 or (metric == "manhattan" and refs.shape[1] > _Levels.most_columns):
+        return None
+    return _Levels(queries, refs) if metric == "manhattan" else _Squares(queries, refs)
+
+
+def _kth_at_most(rough: np.ndarray, k: int) -> np.ndarray | None:
+    """Per row a number that its k-th smallest one does not pass: the k-th of the smallest ones of disjoint columns."""
+    groups = min(rough.shape[1], max(256, 8 * k))
+    if groups < k:
+        return None
+    least = rough[:, :groups].copy()
+    for start in range(groups, rough.shape[1] - groups + 1, groups):
+        np.minimum(least, rough[:, start : start + groups], out=least)
+    return np.partition(least, k - 1, axis=1)[:, k - 1]
+
+
+def _own_pairs(own: np.ndarray | None, ref_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(query, reference) of equal ids, by query; nulls equal nothing."""
+    if own is None:
+        return np.zeros(0, int), np.zeros(0, int)
+    order = np.argsort(ref_ids, kind="stable")
+    first, last = (np.searchsorted(ref_ids[order], own, side=side) for side in ("left", "right"))
+    many = np.where(own == own, last - first, 0)
+    rows = np.repeat(np.arange(len(own)), many)
+    return rows, order[np.repeat(first - np.cumsum(many) + many, many) + np.arange(len(rows))]
+
+
+def _measured(queries: np.ndarray, refs: np.ndarray, rows: np.ndarray, cols: np.ndarray, metric: str) -> np.ndarray:
+    out = np.empty(len(rows))
+    for start in range(0, len(rows), MEASURED_PAIRS):
+        part = slice(start, start + MEASURED_PAIRS)
+        out[part] = _pair_distances(queries[rows[part]], refs[cols[part]], metric)
+    return out
+
+
+def _ranked(rows: np.ndarray, cols: np.ndarray, exact: np.ndarray, ref_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The k best of every row, in order: (row, column, distance, rank from 0)."""
+    order = np.lexsort((ref_ids[cols], np.round(exact, DIGITS), rows))
+    rows, cols, exact = rows[order], cols[order], exact[order]
+    rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    keep = rank < k
+    return rows[keep], cols[keep], exact[keep], rank[keep]
+
+
+def _nearest(screen: _Squares | _Levels, queries: np.ndarray, refs: np.ndarray, ref_ids: np.ndarray, k: int, metric: str, own: np.ndarray | None, reach: np.ndarray | None) -> Iterator[tuple]:
+    """``top_k`` of tiles of queries, that meet the references piece by piece within what the pieces before left possible."""
+    own_rows, own_cols = _own_pairs(own, ref_ids)
+    step = max(64, TILE_PAIRS // min(len(refs), PIECE_ROWS))
+    ref_squares = np.square(refs).sum(axis=1) if metric != "manhattan" else None
+    for start in range(0, len(queries), step):
+        rows = slice(start, min(start + step, len(queries)))
+        q = queries[rows]
+        near = np.full(len(q), np.inf) if reach is None else reach[rows].astype(float)
+        mine = slice(*np.searchsorted(own_rows, [rows.start, rows.stop]))
+        mine_rows, mine_cols = own_rows[mine] - start, own_cols[mine]
+        held, waiting = (np.zeros(0, int), np.zeros(0, int), np.zeros(0)), []
+        for at in range(0, len(refs), PIECE_ROWS):
+            cols = slice(at, min(at + PIECE_ROWS, len(refs)))
+            rough = screen.rough(rows, cols)
+            hide = (mine_cols >= at) & (mine_cols < cols.stop)
+            rough[mine_rows[hide], mine_cols[hide] - at] = screen.hidden
+            kth = _kth_at_most(rough, k)
+            if kth is not None:
+                near = np.minimum(near, screen.upper(kth, rows, cols))
+            keep = rough <= screen.most(near, rows, cols)[:, None]
+            keep[mine_rows[hide], mine_cols[hide] - at] = False
+            found = np.flatnonzero(keep)
+            if ref_squares is not None and len(found) > UNDECIDED * rough.size + 2 * k * len(q):
+                hidden = np.zeros(rough.shape, bool)
+                hidden[mine_rows[hide], mine_cols[hide] - at] = True
+                r, c = _rough(q, refs[cols], ref_squares[cols], k, metric, hidden, near)
+            else:
+                r, c = np.divmod(found, rough.shape[1])
+            waiting.append((r, c + at))
+            if at and cols.stop < len(refs) and sum(len(w[0]) for w in waiting) < 4 * k * len(q):
+                continue
+            # the k best so far, whose last one bounds what is yet to come
+            r, c = (np.concatenate(part) for part in zip(*waiting))
+            exact, waiting = _measured(q, refs, r, c, metric), []
+            if reach is not None:
+                within = exact <= reach[rows][r] + 1e-9
+                r, c, exact = r[within], c[within], exact[within]
+            held = _ranked(*(np.concatenate(part) for part in zip(held, (r, c, exact))), ref_ids, k)
+            last = held[3] == k - 1
+            near[held[0][last]] = np.minimum(near[held[0][last]], held[2][last])
+            held = held[:3]
+        yield held[0] + start, ref_ids[held[1]], held[2], np.arange(len(held[0])) - np.searchsorted(held[0], held[0]) + 1
 
 
 def top_k(
@@ -155,8 +328,11 @@ def top_k(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(query position, reference id, distance, rank) of the k nearest references within reach, ties by id.
 
-    Candidates come from a fast matrix product with a safety margin and are measured again exactly.
+    Candidates come from a fast screen of all pairs with a safety margin and are measured again exactly.
     """
+    screen = _screen(queries, refs, metric)
+    if screen is not None:
+        return tuple(np.concatenate(x) for x in zip(*_nearest(screen, queries, refs, ref_ids, k, metric, own, reach)))
     squares = metric not in ("manhattan", "hamming")
     ref_squares = np.square(refs).sum(axis=1) if squares else None
     # few numbers are not worth a screen
@@ -170,15 +346,12 @@ def top_k(
             rows, cols = _screened(q, refs, k, metric, hidden, None if reach is None else reach[start : start + step], (sides[0][:, start : start + step], *sides[1:]))
         else:
             rows, cols = _rough(q, refs, ref_squares, k, metric, hidden, None if reach is None else reach[start : start + step])
-        exact = _pair_distances(q[rows], refs[cols], metric)
+        exact = _measured(q, refs, rows, cols, metric)
         if sides is not None and reach is not None:
             near = exact <= reach[start : start + step][rows] + 1e-9
             rows, cols, exact = rows[near], cols[near], exact[near]
-        order = np.lexsort((ref_ids[cols], np.round(exact, DIGITS), rows))
-        rows, cols, exact = rows[order], cols[order], exact[order]
-        rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
-        keep = rank < k
-        parts.append((rows[keep] + start, ref_ids[cols[keep]], exact[keep], rank[keep] + 1))
+        rows, cols, exact, rank = _ranked(rows, cols, exact, ref_ids, k)
+        parts.append((rows + start, ref_ids[cols], exact, rank + 1))
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
@@ -325,6 +498,9 @@ def _compare_blocks(
     # the queries of a bundle are cut into groups, its reference blocks repeated once per group
     load = {r["bundle"]: r["count"] for r in asked.groupBy("bundle").count().collect()}
     many = int(bundle[-1]) + 1
+    # pairs are hashed to tasks: few big ones would leave cores idle
+    cores = routed.sparkSession.sparkContext.defaultParallelism
+    query_rows = min(query_rows, max(LEAST_QUERY_ROWS, sum(load.values()) // (PAIRS_PER_CORE * cores)))
     groups = [max(1, -(-load.get(b, 0) // query_rows)) for b in range(many)]
     slots = np.ones(many, int)
     np.maximum.at(slots, bundle, index.slots)
@@ -340,7 +516,7 @@ def _compare_blocks(
         if not len(asking) or not len(offering):
             return empty
         ids, x, refs, ref_ids = asking["q_id"].to_numpy(), _matrix(asking["v"]), _matrix(offering["v"]), offering["r_id"].to_numpy()
-        reach = asking["reach"].to_numpy(dtype=float) if bounded else None
+        reach = asking["reach"].to_numpy(dtype=float, copy=True) if bounded else None
         cells = offering["cell"].to_numpy()
         wanted = asking["cells"].explode()
         at, wanted = asking["cells"].map(len).to_numpy(), wanted.to_numpy(dtype=float)
@@ -349,8 +525,12 @@ def _compare_blocks(
         for cell in np.unique(cells):
             rows, own = at[wanted == cell], np.flatnonzero(cells == cell)
             if len(rows):
-                q, n, dist, _ = top_k(x[rows], refs[own], ref_ids[own], k, metric, ids[rows] if exclude_self else None, None if reach is None else reach[rows])
+                q, n, dist, rank = top_k(x[rows], refs[own], ref_ids[own], k, metric, ids[rows] if exclude_self else None, None if reach is None else reach[rows])
                 found.append((rows[q], n, dist))
+                if reach is not None:  # the next cells need not reach further than the k-th row of this one
+                    last = rank == k
+                    at_last = rows[q[last]]
+                    reach[at_last] = np.minimum(reach[at_last], dist[last] + 2 * 10.0**-DIGITS)
         if not found:
             return empty
         q, n, dist = (np.concatenate(part) for part in zip(*found))
@@ -362,7 +542,7 @@ def _compare_blocks(
     # few bytes but much work per group: a fixed number of partitions is not merged by AQE
     keys = ["bundle", "slot", "grp"]
     pairs = int(sum(g * s for g, s in zip(groups, slots)))
-    tasks = max(routed.sparkSession.sparkContext.defaultParallelism, min(pairs, MAX_TASKS))
+    tasks = max(cores, min(2 * pairs, MAX_TASKS))  # so that few share one
     asked, offered = asked.repartition(tasks, *keys), offered.repartition(tasks, *keys)
     return asked.groupBy(*keys).cogroup(offered.groupBy(*keys)).applyInPandas(compare, "q_id long, n_id long, dist double")
 
@@ -638,15 +818,12 @@ def lof_fit(
 ) -> LofModel:
     """k-distance and local reachability density per train row; cut-off 1.5 or the train percentile.
 
-    Neighbours are exact while the train rows hold at most ``exact_values`` numbers (or of ``probes`` cells, if given); if not said, at
-    any size in the few dimensions of ``boxes`` and up to BROADCAST_VALUES in more. Beyond, they come from a ``tree_index`` with
-    ``least_recall``, which the model keeps for scoring.
+    Neighbours are exact at any size (or of ``probes`` cells, if given). Where a caller bounds the exact search by ``exact_values``, those
+    of train rows that hold more numbers come from a ``tree_index`` with ``least_recall``, which the model keeps for scoring.
     """
     index = None
-    size = train.agg(F.sum(F.size(vector)).alias("values"), F.max(F.size(vector)).alias("d")).first()
-    if exact_values is None:
-        exact_values = math.inf if (size["d"] or 0) <= boxes.DIMENSIONS and metric != "hamming" else BROADCAST_VALUES
-    if probes is None and (size["values"] or 0) > exact_values:
+    many = exact_values is not None and probes is None and (train.agg(F.sum(F.size(vector))).first()[0] or 0) > exact_values
+    if many:
         index = tree_index(train, row_id, vector, metric, k, least_recall, **tree_options)
         near = tree_join(train, index, k, row_id, vector, exclude_self=True)
     else:
